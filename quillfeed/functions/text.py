@@ -5,7 +5,7 @@ so it stays inside whole-stage codegen. Patterns use only constructs that
 both Java regex and RE2 accept, so the same text can be checked in DuckDB.
 """
 
-from __future__ import annotations
+
 
 import re
 

@@ -154,33 +154,30 @@ def apply_image_rules(
     large_bytes: int = config.LARGE_IMAGE_BYTES,
     cdn_base: str = "https://cdn.example.invalid/cache",
 ) -> DataFrame:
-    """JOI14 then FLT11-13 and PRJ28.
-
-    * og:image (``page_meta(url, og_image)``) replaces img when img is empty or
-      the publisher forces open-graph images;
-    * ``image_meta(img, width, height, bytes, cached)`` decides: video suffix or
-      unreadable or both sides < min_size -> img blank; large + cached -> CDN
-      padded URL; large + not cached -> both blank; else padded_img = img."""
-    a = articles
-    if page_meta is not None:
-        a = a.join(page_meta.select(F.col("url"), F.col("og_image")), "url", "left")
-        force = F.coalesce(F.col(og_col), F.lit(False)) if og_col in a.columns else F.lit(False)
-        use_og = ((F.coalesce(F.col("img"), F.lit("")) == "") | force) & (F.coalesce(F.col("og_image"), F.lit("")) != "")
-        a = a.withColumn("img", F.when(use_og, F.col("og_image")).otherwise(F.col("img"))).drop("og_image")
+    """FLT11-13, JOI14 and PRJ28 in the reference's order.
+
+    1. ``image_meta(url, width, height, bytes, cached)`` of the article's image:
+       a video suffix, no readable size or both sides < ``min_size`` blank img;
+    2. og:image from ``page_meta(url, og_image)`` replaces img when img is now
+       empty or the publisher forces open-graph images (``og_col``);
+    3. padded_img = img; a large original image (> ``large_bytes``) uses the CDN
+       copy when it was cached, otherwise img and padded_img are both blanked."""
     m = image_meta.select(
         F.col("url").alias("img"), F.col("width").alias("_w"), F.col("height").alias("_h"),
         F.col("bytes").alias("_b"), F.col("cached").alias("_cached"),
     )
-    a = a.join(m, "img", "left")
+    a = articles.join(m, "img", "left")
     has_img = F.coalesce(F.col("img"), F.lit("")) != ""
     unusable = is_video_url(F.col("img")) | is_small_image(F.col("_w"), F.col("_h"), min_size)
-    large = is_large_image(F.col("_b"), large_bytes)
+    a = a.withColumn("_large", has_img & is_large_image(F.col("_b"), large_bytes))
+    a = a.withColumn("img", F.when(~has_img | unusable, F.lit("")).otherwise(F.col("img")))
+    if page_meta is not None:
+        a = a.join(page_meta.select("url", "og_image"), "url", "left")
+        force = F.coalesce(F.col(og_col), F.lit(False)) if og_col in a.columns else F.lit(False)
+        use_og = ((F.col("img") == "") | force) & (F.coalesce(F.col("og_image"), F.lit("")) != "")
+        a = a.withColumn("img", F.when(use_og, F.col("og_image")).otherwise(F.col("img"))).drop("og_image")
     cached = F.coalesce(F.col("_cached"), F.lit(False))
-    img = F.when(~has_img, F.lit("")).when(unusable, F.lit("")).when(large & ~cached, F.lit("")).otherwise(F.col("img"))
-    padded = (
-        F.when(~has_img | unusable, F.lit(""))
-        .when(large & cached, cdn_url(F.col("img"), cdn_base))
-        .when(large, F.lit(""))
-        .otherwise(F.col("img"))
-    )
-    return a.withColumn("padded_img", padded).withColumn("img", img).drop("_w", "_h", "_b", "_cached")
+    large = F.col("_large")
+    padded = F.when(large & cached, cdn_url(F.col("img"), cdn_base)).when(large, F.lit("")).otherwise(F.col("img"))
+    img = F.when(large & ~cached, F.lit("")).otherwise(F.col("img"))
+    return a.withColumn("padded_img", padded).withColumn("img", img).drop("_w", "_h", "_b", "_cached", "_large")

@@ -192,3 +192,155 @@ def taxonomy_channels(spark: SparkSession, base: str) -> DataFrame:
     mapping = enrich.expand_taxonomy(S.taxonomy_lines(spark, base), S.taxonomy_rules(spark, base))
     ext = enrich.classification_channels(S.classifications(spark, base), mapping)
     return ext.select("article_key", F.array_join("ext_channels", "|").alias("ext_channels"))
+
+
+# --- entry cleaning: FLT1-6, PRJ9-14 over feed items --------------------------
+import datetime as _dt  # noqa: E402
+
+from quillfeed.functions import text as TX  # noqa: E402
+from quillfeed.functions import urls as U  # noqa: E402
+from quillfeed.operators import clean  # noqa: E402
+from quillfeed.sources.tables import read_table  # noqa: E402
+
+CLEAN_AS_OF = _dt.datetime(2024, 1, 20)
+ENTRIES_SQL = """
+WITH e AS (SELECT *, date_trunc('second', ts) AS t FROM events)
+SELECT event_id AS ord,
+       event_type || ' & more ' || CAST(event_id AS VARCHAR) AS title,
+       'https://pub' || CAST(user_id AS VARCHAR) || '.example.com/news/' || event_type || '/' || CAST(event_id AS VARCHAR) AS link,
+       strftime(t, '%Y-%m-%d %H:%M:%S') AS publish_time,
+       props AS description,
+       CASE WHEN user_id % 10 = 0 THEN 'product' ELSE 'article' END AS content_type,
+       CAST(user_id AS VARCHAR) AS publisher_id
+FROM e
+WHERE event_type IN ('view', 'click', 'purchase')
+  AND (user_id % 10 = 0
+       OR (t >= TIMESTAMP '2024-01-20 01:00:00' - INTERVAL 60 DAY AND t <= TIMESTAMP '2024-01-20 01:00:00'))"""
+
+
+@register("entries_clean", ENTRIES_SQL)
+def entries_clean(spark: SparkSession, base: str) -> DataFrame:
+    """Feed entries -> articles: title decode, link pick, home-page links
+    dropped, free-form dates parsed (RFC 822, ISO 8601 with Z/offset; bad ones
+    dropped), 60-day/+1h window unless product, description to text."""
+    arts = clean.entries_to_articles(S.feed_items(spark, base), as_of=CLEAN_AS_OF)
+    return arts.select(
+        "ord", "title", "link", format_utc(F.col("publish_time")).alias("publish_time"),
+        "description", "content_type", "publisher_id",
+    )
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _sql_unescape(x: str) -> str:
+    for ent, ch in TX.COMMON_ENTITIES:
+        x = f"replace({x}, {_sql_str(ent)}, {_sql_str(ch)})"
+    return f"replace({x}, '&amp;', '&')"
+
+
+def _sql_strip(x: str) -> str:
+    x = f"regexp_replace({x}, {_sql_str(TX.COMMENT_RE)}, '', 'g')"
+    x = f"regexp_replace({x}, {_sql_str(TX.SCRIPT_STYLE_RE)}, '', 'g')"
+    return f"regexp_replace({x}, {_sql_str(TX.TAG_RE)}, '', 'g')"
+
+
+def _sql_scrub(x: str) -> str:
+    o, c = TX._OPEN, TX._CLOSE
+    x = f"regexp_replace({x}, {_sql_str(TX.COMMENT_RE)}, '', 'g')"
+    x = f"regexp_replace({x}, {_sql_str(TX.A_HREF_RE)}, {_sql_str(o + 'a href=\"' + chr(92) + '1\"' + c)}, 'g')"
+    x = f"regexp_replace({x}, {_sql_str(TX.ALLOWED_TAG_RE)}, {_sql_str(o + chr(92) + '1' + chr(92) + '2' + c)}, 'g')"
+    x = f"regexp_replace({x}, {_sql_str(TX.TAG_RE)}, '', 'g')"
+    x = f"replace(replace({x}, {_sql_str(o)}, '<'), {_sql_str(c)}, '>')"
+    return f"replace({x}, '&amp;', '&')"
+
+
+TITLE_RE = r"(?is)<title[^>]*>(.*?)</title>"
+HTML_SQL = f"""
+WITH p AS (SELECT page_id, html, {_sql_unescape(_sql_strip('html'))} AS txt, {_sql_scrub('html')} AS scrubbed FROM pages)
+SELECT page_id,
+       {_sql_unescape(_sql_unescape(_sql_strip(f"regexp_extract(html, {_sql_str(TITLE_RE)}, 1)")))} AS title_text,
+       length(txt) AS text_len, sha256(txt) AS text_sha,
+       length(scrubbed) AS scrub_len, sha256(scrubbed) AS scrub_sha,
+       regexp_extract(coalesce(html, ''), {_sql_str(r'''(?is)<a\b[^>]*?\shref\s*=\s*["']([^"']*)''')}, 1) AS first_link
+FROM p"""
+
+
+@register("html_clean", HTML_SQL)
+def html_clean(spark: SparkSession, base: str) -> DataFrame:
+    """Whole page HTML: scrub to the allowed tags (PRJ8), full text (PRJ9 +
+    PRJ10), title decoded twice, first link target (PRJ24 pattern on <a href>)."""
+    from quillfeed.functions.images import A_HREF_ATTR_RE, first_tag_attr
+
+    p = read_table(spark, base, "pages")
+    txt = TX.html_to_text(F.col("html"))
+    scrubbed = TX.scrub_html(F.col("html"))
+    return p.select(
+        "page_id",
+        TX.title_text(F.regexp_extract("html", TITLE_RE, 1)).alias("title_text"),
+        F.length(txt).cast("long").alias("text_len"), F.sha2(txt, 256).alias("text_sha"),
+        F.length(scrubbed).cast("long").alias("scrub_len"), F.sha2(scrubbed, 256).alias("scrub_sha"),
+        first_tag_attr(F.col("html"), A_HREF_ATTR_RE).alias("first_link"),
+    )
+
+
+URL_MIN_PATH = 8
+
+
+def _sql_re(col: str, group: int, pattern: str = U.URL_RE) -> str:
+    return f"regexp_extract({col}, {_sql_str(pattern)}, {group})"
+
+
+URLS_SQL = f"""
+WITH p AS (SELECT page_id, url,
+                  lower({_sql_re('url', 2)}) AS scheme, {_sql_re('url', 4)} AS netloc,
+                  {_sql_re('url', 5)} AS path, {_sql_re('url', 7)} AS query, {_sql_re('url', 9)} AS fragment,
+                  {_sql_re('url', 3)} AS auth FROM pages),
+h AS (SELECT *, nullif(lower({_sql_re('netloc', 1, U.HOST_RE)}), '') AS host FROM p)
+SELECT page_id, scheme, host, path, query,
+       sha256(url) AS url_hash,
+       (CASE WHEN {_sql_re('url', 2)} <> '' THEN {_sql_re('url', 2)} || ':' ELSE '' END)
+         || (CASE WHEN auth <> '' THEN '//' || netloc ELSE '' END)
+         || array_to_string(list_transform(string_split(path, '/'), lambda s: url_encode(s)), '/')
+         || (CASE WHEN query <> '' THEN '?' || query ELSE '' END)
+         || (CASE WHEN fragment <> '' THEN '#' || fragment ELSE '' END) AS encoded_url,
+       sha256(url) || sha256(trim(page_id::VARCHAR)) AS article_key,
+       replace(host, '.', '_') AS host_label,
+       regexp_replace(host, '^(https://(www\\.)?)?', 'https://www.') AS www_domain,
+       coalesce(scheme = 'https' AND netloc <> '', false) AS is_https
+FROM h
+WHERE length(path) >= {URL_MIN_PATH}"""
+
+
+@register("url_parts", URLS_SQL)
+def url_parts(spark: SparkSession, base: str) -> DataFrame:
+    """Lenient URL split (PRJ15), url hash before re-encoding (PRJ17), path
+    percent-encoding (PRJ16), article key (PRJ18), host label (PRJ33), https
+    www prefix (PRJ20), https check (PRJ21); short paths dropped (FLT4 with
+    min_path=8, since no page path here is shorter than 4)."""
+    p = read_table(spark, base, "pages").withColumn("link", F.col("url"))
+    p = clean.drop_home_links(p, "link", min_path=URL_MIN_PATH)
+    u = F.col("url")
+    return p.select(
+        "page_id", U.url_scheme(u).alias("scheme"), U.url_host(u).alias("host"), U.url_path(u).alias("path"),
+        U.url_query(u).alias("query"), U.url_hash(u).alias("url_hash"), U.reencode_url(u).alias("encoded_url"),
+        U.article_key(U.url_hash(u), F.col("page_id").cast("string")).alias("article_key"),
+        U.host_label(u).alias("host_label"), U.ensure_https_www(U.url_host(u)).alias("www_domain"),
+        U.is_https_url(u).alias("is_https"),
+    )
+
+
+# Stand-in word list: the reference's two custom words plus three tokens of the invented prose.
+STANDIN_WORDS = ("vibrators", "hedonistic", "enein", "chch", "ndtion")
+PROFANITY_SQL = f"""
+SELECT doc_id, lang, source,
+       coalesce(regexp_matches(lower(text), {_sql_str(TX.word_pattern(STANDIN_WORDS))}), false) AS flagged
+FROM documents"""
+
+
+@register("title_profanity", PROFANITY_SQL)
+def title_profanity(spark: SparkSession, base: str) -> DataFrame:
+    """FLT2 over whole document texts: flag texts containing a listed word."""
+    d = read_table(spark, base, "documents")
+    return d.select("doc_id", "lang", "source", TX.contains_listed_word(F.col("text"), STANDIN_WORDS).alias("flagged"))

@@ -157,3 +157,49 @@ CLASSIFICATIONS_SQL = """
 SELECT CAST(l_orderkey AS VARCHAR) AS article_key, l_linenumber AS ord,
        '/' || p_type || '/' || p_name || ' ' AS name, l_quantity / 50.0 AS confidence
 FROM lineitem JOIN part ON l_partkey = p_partkey"""
+
+
+# --- feed items: one event = one feed entry -----------------------------------
+# The event type decides which date layout the entry carries (and 'error'
+# entries carry an unparsable date); 'signup' entries link to the home page.
+def feed_items(spark: SparkSession, base: str) -> DataFrame:
+    e = read_table(spark, base, "events")
+    host = F.concat(F.lit("https://pub"), F.col("user_id").cast("string"), F.lit(".example.com"))
+    ts = F.col("ts")
+    rfc = F.date_format(ts, "EEE, dd MMM yyyy HH:mm:ss")
+    date_s = (
+        F.when(F.col("event_type") == "view", F.concat(rfc, F.lit(" +0000")))
+        .when(F.col("event_type") == "click", F.concat(rfc, F.lit(" GMT")))
+        .when(F.col("event_type") == "purchase", F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")))
+        .when(F.col("event_type") == "signup",
+              F.concat(F.date_format(ts + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00")))
+        .otherwise(F.lit("not a date"))
+    )
+    link = F.when(F.col("event_type") == "signup", F.concat(host, F.lit("/"))).otherwise(
+        F.concat(host, F.lit("/news/"), F.col("event_type"), F.lit("/"), F.col("event_id").cast("string")))
+    return e.select(
+        F.concat(F.col("event_type"), F.lit(" &amp; more "), F.col("event_id").cast("string")).alias("title"),
+        link.alias("link"),
+        F.lit(None).cast("string").alias("url"),
+        date_s.alias("updated"),
+        F.lit(None).cast("string").alias("published"),
+        F.lit(None).cast("string").alias("feed_updated"),
+        F.lit(None).cast("string").alias("feed_published"),
+        F.concat(F.lit("<p>"), F.col("props"), F.lit("</p>")).alias("description"),
+        F.lit(None).cast("string").alias("image"),
+        F.lit(None).cast("string").alias("urlToImage"),
+        F.lit(None).cast("array<struct<url:string,width:string>>").alias("media_content"),
+        F.lit(None).cast("array<struct<url:string,width:string>>").alias("media_thumbnail"),
+        F.lit(None).cast("string").alias("summary"),
+        F.lit(None).cast("string").alias("content_html"),
+        F.lit(None).cast("array<struct<url:string,type:string>>").alias("enclosures"),
+        F.lit(None).cast("string").alias("item_category"),
+        host.alias("site_url"),
+        F.lit("News").alias("category"),
+        F.when(F.col("user_id") % 10 == 0, F.lit("product")).otherwise(F.lit("article")).alias("content_type"),
+        F.col("user_id").cast("string").alias("publisher_id"),
+        F.concat(F.lit("Publisher "), F.col("user_id").cast("string")).alias("publisher_name"),
+        F.array(F.lit("Top News")).alias("channels"),
+        F.lit("").alias("creative_instance_id"),
+        F.col("event_id").alias("ord"),
+    )

@@ -19,6 +19,7 @@ def get_session(master: str | None = None, app: str = "quillfeed", shuffle_parti
         b = b.master(master)
     b = (
         b.config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
