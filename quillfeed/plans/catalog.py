@@ -344,3 +344,186 @@ def title_profanity(spark: SparkSession, base: str) -> DataFrame:
     """FLT2 over whole document texts: flag texts containing a listed word."""
     d = read_table(spark, base, "documents")
     return d.select("doc_id", "lang", "source", TX.contains_listed_word(F.col("text"), STANDIN_WORDS).alias("flagged"))
+
+
+# --- publisher sources and the store: AGG5, SET4-6, QRY1, QRY2, QRY6 -----------
+from quillfeed.operators import publishers as P  # noqa: E402
+from quillfeed.operators import store as ST  # noqa: E402
+
+
+def _valid_sources(spark, base):
+    good, _bad = P.split_valid(P.type_source_rows(S.source_rows(spark, base)))
+    return good
+
+
+def _store_tables(spark, base):
+    from quillfeed.sources.lookups import COVER_VALUE
+    from pyspark.sql import types as T
+
+    fav = spark.createDataFrame([], "domain string, favicon_url string")
+    cov = spark.createDataFrame([], T.StructType([T.StructField("domain", T.StringType())] + COVER_VALUE.fields))
+    nested = P.nest_locales(P.attach_lookups(_valid_sources(spark, base), fav, cov))
+    nested = nested.withColumn("ord", F.struct("publisher_name", "publisher_id"))
+    return ST.normalize_publishers(nested, as_of=config.AS_OF)
+
+
+def _locales_str(c):
+    return F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["locale"], x["rank"].cast("string"),
+                                                             F.array_join(x["channels"], ";"))), "|")
+
+
+GLOBAL_SOURCES_SQL = f"""
+WITH p AS ({S.SOURCE_PAIRS_SQL})
+SELECT sha256(feed_url) AS publisher_id,
+       arg_min('Source ' || source, (file, first_doc)) AS publisher_name,
+       arg_min(site_url, (file, first_doc)) AS site_url,
+       arg_min(feed_url, (file, first_doc)) AS feed_url,
+       true AS enabled, 0.0 AS score,
+       count(*) AS n_locales,
+       string_agg(lang || ':' || CAST(n_docs AS VARCHAR) || ':' || ch1 || ';Top News', '|' ORDER BY file, first_doc) AS locales
+FROM p GROUP BY feed_url"""
+
+
+@register("global_sources", GLOBAL_SOURCES_SQL)
+def global_sources(spark: SparkSession, base: str) -> DataFrame:
+    """Source rows typed (PRJ1-7), validated (FLT15) and nested per publisher:
+    first row supplies the attributes, every row appends {locale, channels, rank} (AGG5)."""
+    n = P.nest_locales(_valid_sources(spark, base))
+    return n.select(
+        "publisher_id", "publisher_name", "site_url", "feed_url", "enabled", "score",
+        F.size("locales").cast("long").alias("n_locales"), _locales_str(F.col("locales")).alias("locales"),
+    )
+
+
+FEEDS_BY_LOCALE_SQL = f"""
+WITH p AS ({S.SOURCE_PAIRS_SQL})
+SELECT lang AS locale, feed_url, 'Source ' || source AS publisher_name, 'News' AS category, site_url,
+       false AS og_images, 20 AS max_entries, '' AS creative_instance_id, 'article' AS content_type,
+       sha256(feed_url) AS publisher_id,
+       array_to_string(list_sort(list_distinct([ch1, 'Top News'])), '|') AS channels
+FROM p"""
+
+
+@register("feeds_by_locale", FEEDS_BY_LOCALE_SQL)
+def feeds_by_locale(spark: SparkSession, base: str) -> DataFrame:
+    """Nested sources loaded into six tables (SET4-6), then every locale's feeds
+    with publisher and distinct channels (QRY1: JOI9, JOI10, JOI11, AGG4)."""
+    f = ST.feeds_by_locale(_store_tables(spark, base))
+    return f.select(
+        "locale", "feed_url", "publisher_name", "category", "site_url", "og_images",
+        F.col("max_entries").cast("int").alias("max_entries"), "creative_instance_id", "content_type", "publisher_id",
+        F.array_join("channels", "|").alias("channels"),
+    )
+
+
+PUBLISHER_LOCALES_SQL = f"""
+WITH p AS ({S.SOURCE_PAIRS_SQL})
+SELECT site_url, lang AS locale, 'Source ' || source AS publisher_name, feed_url, 'News' AS category,
+       sha256(feed_url) AS publisher_id,
+       lang || ':' || CAST(n_docs AS VARCHAR) || ':' || array_to_string(list_sort(list_distinct([ch1, 'Top News'])), ';') AS locales
+FROM p"""
+
+
+@register("publisher_locales", PUBLISHER_LOCALES_SQL)
+def publisher_locales(spark: SparkSession, base: str) -> DataFrame:
+    """QRY2 for every (publisher, locale): feeds of the publisher with their
+    {locale, channels, rank} entries in that locale."""
+    q = ST.publishers_with_locales(_store_tables(spark, base))
+    return q.select("site_url", "locale", "publisher_name", "feed_url", "category", "publisher_id",
+                    _locales_str(F.col("locales")).alias("locales"))
+
+
+CHANNEL_LIST_SQL = f"""
+WITH p AS ({S.SOURCE_PAIRS_SQL})
+SELECT DISTINCT name FROM (SELECT ch1 AS name FROM p UNION ALL SELECT 'Top News' AS name)"""
+
+
+@register("channel_list", CHANNEL_LIST_SQL)
+def channel_list(spark: SparkSession, base: str) -> DataFrame:
+    """QRY6: distinct channel names of the store, sorted (AGG11, SRT3)."""
+    return ST.channel_names(_store_tables(spark, base))
+
+
+# --- articles in the store: SET7, SET12, JOI4, FLT16, JOI12 -----------------------
+STORE_AS_OF_1 = _dt.datetime(1998, 1, 1)
+STORE_AS_OF_2 = _dt.datetime(2002, 1, 1)
+
+
+def _keyed(df):
+    return ST.with_article_key(df.withColumn("url_hash", U.url_hash(F.col("url"))).withColumn("padded_img", F.col("img")))
+
+
+def _stored_articles(spark, base):
+    feeds = S.customer_feeds(spark, base)
+    return ST.upsert_articles(None, _keyed(S.order_articles(spark, base, incoming=False)), feeds, STORE_AS_OF_1)
+
+
+_KEYED_ORDERS_SQL = f"""
+k AS (SELECT *, sha256(url) || sha256(trim(title)) AS article_key FROM ({S.ORDER_ARTICLES_SQL})),
+s AS (SELECT article_key, arg_max(title, ord) AS title, arg_max(publish_time, ord) AS publish_time,
+             arg_max(img, ord) AS img, arg_max(description, ord) AS description,
+             arg_max(pop_score, ord) AS pop_score, arg_max(feed_id, ord) AS feed_id
+      FROM k WHERE stored GROUP BY article_key),
+i AS (SELECT article_key, arg_max(title, ord) AS title, arg_max(publish_time, ord) AS publish_time,
+             arg_max(img, ord) AS img, arg_max(description, ord) AS description,
+             arg_max(pop_score, ord) AS pop_score, arg_max(feed_id, ord) AS feed_id
+      FROM k WHERE NOT stored GROUP BY article_key)"""
+
+ARTICLE_UPSERT_SQL = f"""
+WITH {_KEYED_ORDERS_SQL}
+SELECT coalesce(s.article_key, i.article_key) AS article_key,
+       CASE WHEN i.article_key IS NOT NULL THEN i.title ELSE s.title END AS title,
+       strftime(CASE WHEN i.article_key IS NOT NULL THEN i.publish_time ELSE s.publish_time END, '%Y-%m-%d %H:%M:%S') AS publish_time,
+       CASE WHEN s.article_key IS NOT NULL AND i.article_key IS NOT NULL
+            THEN (CASE WHEN i.img <> '' THEN i.img ELSE s.img END)
+            WHEN i.article_key IS NOT NULL THEN i.img ELSE s.img END AS img,
+       CASE WHEN i.article_key IS NOT NULL THEN i.description ELSE s.description END AS description,
+       round(CASE WHEN i.article_key IS NOT NULL THEN i.pop_score ELSE s.pop_score END, 6) AS pop_score,
+       coalesce(s.feed_id, i.feed_id) AS feed_id,
+       CASE WHEN s.article_key IS NULL THEN '2002-01-01 00:00:00' ELSE '1998-01-01 00:00:00' END AS created,
+       CASE WHEN i.article_key IS NOT NULL THEN '2002-01-01 00:00:00' ELSE '1998-01-01 00:00:00' END AS modified
+FROM s FULL OUTER JOIN i ON s.article_key = i.article_key"""
+
+
+@register("article_upsert", ARTICLE_UPSERT_SQL)
+def article_upsert(spark: SparkSession, base: str) -> DataFrame:
+    """Two runs of the article upsert (SET7 + SET12): orders before 1998 load
+    an empty store, later orders update hits (img kept when the new one is
+    empty) and insert misses; audit columns per branch."""
+    feeds = S.customer_feeds(spark, base)
+    incoming = _keyed(S.order_articles(spark, base, incoming=True))
+    out = ST.upsert_articles(_stored_articles(spark, base), incoming, feeds, STORE_AS_OF_2)
+    return out.select(
+        "article_key", "title", format_utc(F.col("publish_time")).alias("publish_time"), "img", "description",
+        F.round("pop_score", 6).alias("pop_score"), "feed_id",
+        format_utc(F.col("created")).alias("created"), format_utc(F.col("modified")).alias("modified"),
+    )
+
+
+KNOWN_SQL = f"""
+WITH {_KEYED_ORDERS_SQL}
+SELECT DISTINCT k.article_key, EXISTS (SELECT 1 FROM s WHERE s.article_key = k.article_key AND s.img <> '') AS known
+FROM k WHERE NOT k.stored"""
+
+
+@register("known_articles", KNOWN_SQL)
+def known_articles(spark: SparkSession, base: str) -> DataFrame:
+    """JOI4 + FLT16: incoming article keys split into known (stored with an
+    image: reuse) and new (process), as semi and anti joins."""
+    incoming = _keyed(S.order_articles(spark, base, incoming=True)).select("article_key").distinct()
+    new, known = ST.split_known(incoming, _stored_articles(spark, base))
+    return known.withColumn("known", F.lit(True)).unionByName(new.withColumn("known", F.lit(False)))
+
+
+REMAINING_SQL = f"""
+WITH {_KEYED_ORDERS_SQL}
+SELECT s.article_key, s.title, strftime(s.publish_time, '%Y-%m-%d %H:%M:%S') AS publish_time
+FROM s WHERE s.article_key NOT IN (SELECT article_key FROM i)"""
+
+
+@register("remaining_articles", REMAINING_SQL)
+def remaining_articles_q(spark: SparkSession, base: str) -> DataFrame:
+    """JOI12 (QRY4): stored articles not in this run's published keys (anti join)."""
+    published = _keyed(S.order_articles(spark, base, incoming=True)).select("article_key")
+    r = ST.remaining_articles(_stored_articles(spark, base), published)
+    return r.select("article_key", "title", format_utc(F.col("publish_time")).alias("publish_time"))

@@ -203,3 +203,86 @@ def feed_items(spark: SparkSession, base: str) -> DataFrame:
         F.lit("").alias("creative_instance_id"),
         F.col("event_id").alias("ord"),
     )
+
+
+# --- publisher CSV rows: one row per documents (source, lang) pair ------------
+# Raw all-string rows with the source-list headers; the row's file is
+# 'sources.<lang>.csv' and its row number the pair's first doc_id.
+def source_rows(spark: SparkSession, base: str) -> DataFrame:
+    d = read_table(spark, base, "documents")
+    pairs = d.groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_doc"))
+    vocab = F.array(*[F.lit(c) for c in CHANNEL_VOCAB])
+    site = F.concat(F.lit("https://www."), F.col("source"), F.lit(".example.com"))
+    return pairs.select(
+        site.alias("Domain"),
+        F.concat(site, F.lit("/rss")).alias("Feed"),
+        F.concat(F.lit("Source "), F.col("source")).alias("Title"),
+        F.lit("News").alias("Category"),
+        F.lit("Enabled").alias("Status"),
+        F.lit("").alias("Score"),
+        F.lit("").alias("OG-Images"),
+        F.lit("article").alias("Content Type"),
+        F.lit("").alias("Creative Instance ID"),
+        F.concat(F.col("source"), F.lit(".example.com")).alias("Destination Domains"),
+        F.concat(F.element_at(vocab, (F.col("n_docs") % len(CHANNEL_VOCAB) + 1).cast("int")), F.lit("; Top News")).alias("Channels"),
+        F.col("n_docs").cast("string").alias("Rank"),
+        F.lit("").alias("Original_Feed"),
+        F.col("lang").alias("locale"),
+        F.concat(F.lit("sources."), F.col("lang"), F.lit(".csv")).alias("file"),
+        F.col("first_doc").alias("row_no"),
+    )
+
+
+SOURCE_PAIRS_SQL = """
+SELECT source, lang, count(*) AS n_docs, min(doc_id) AS first_doc,
+       'https://www.' || source || '.example.com' AS site_url,
+       'https://www.' || source || '.example.com/rss' AS feed_url,
+       'sources.' || lang || '.csv' AS file,
+       ['Fun','Top News','Sports','World News','Business','Top Sources','Technology'][CAST(count(*) % 7 AS INTEGER) + 1] AS ch1
+FROM documents GROUP BY source, lang"""
+
+
+# --- stored / incoming articles over orders -----------------------------------
+# article url key = (customer, priority); feed = customer; copies = orders.
+ORDER_SPLIT = "1998-01-01"
+
+
+def order_articles(spark: SparkSession, base: str, incoming: bool) -> DataFrame:
+    o = read_table(spark, base, "orders")
+    o = o.where(F.col("o_orderdate") >= F.lit(ORDER_SPLIT).cast("timestamp_ntz")) if incoming else \
+        o.where(F.col("o_orderdate") < F.lit(ORDER_SPLIT).cast("timestamp_ntz"))
+    return o.select(
+        F.concat(F.lit("https://shop"), F.col("o_custkey").cast("string"), F.lit(".example.com/orders/"),
+                 F.col("o_orderpriority")).alias("url"),
+        F.concat(F.lit(" Priority "), F.col("o_orderpriority"), F.lit(" ")).alias("title"),
+        F.col("o_orderdate").alias("publish_time"),
+        F.when(F.col("o_totalprice") > 200000, F.concat(F.lit("https://img.example.com/"), F.col("o_orderkey").cast("string"),
+                                                       F.lit(".jpg"))).otherwise(F.lit("")).alias("img"),
+        F.lit("Shop").alias("category"),
+        F.col("o_orderstatus").alias("description"),
+        F.lit("article").alias("content_type"),
+        F.lit("").alias("creative_instance_id"),
+        (F.col("o_totalprice") / 1000.0).alias("pop_score"),
+        F.lit(0.0).alias("score"),
+        F.sha2(F.concat(F.lit("https://shop"), F.col("o_custkey").cast("string"), F.lit(".example.com/rss")), 256).alias("publisher_id"),
+        F.col("o_orderkey").alias("ord"),
+    )
+
+
+def customer_feeds(spark: SparkSession, base: str) -> DataFrame:
+    c = read_table(spark, base, "customer")
+    url = F.concat(F.lit("https://shop"), F.col("c_custkey").cast("string"), F.lit(".example.com/rss"))
+    return c.select(F.col("c_custkey").alias("id"), url.alias("url"), F.sha2(url, 256).alias("url_hash"))
+
+
+ORDER_ARTICLES_SQL = """
+SELECT 'https://shop' || CAST(o_custkey AS VARCHAR) || '.example.com/orders/' || o_orderpriority AS url,
+       ' Priority ' || o_orderpriority || ' ' AS title,
+       o_orderdate AS publish_time,
+       CASE WHEN o_totalprice > 200000 THEN 'https://img.example.com/' || CAST(o_orderkey AS VARCHAR) || '.jpg' ELSE '' END AS img,
+       o_orderstatus AS description,
+       o_totalprice / 1000.0 AS pop_score,
+       o_custkey AS feed_id,
+       o_orderkey AS ord,
+       o_orderdate < TIMESTAMP '1998-01-01' AS stored
+FROM orders"""
