@@ -527,3 +527,181 @@ def remaining_articles_q(spark: SparkSession, base: str) -> DataFrame:
     published = _keyed(S.order_articles(spark, base, incoming=True)).select("article_key")
     r = ST.remaining_articles(_stored_articles(spark, base), published)
     return r.select("article_key", "title", format_utc(F.col("publish_time")).alias("publish_time"))
+
+
+# --- cache hit percentages: SET8, SET9, AGG9, AGG10 ------------------------------
+CACHE_SINCE = "2000-01-01 00:00:00"
+
+
+def _cache_inputs(spark, base):
+    o = read_table(spark, base, "orders")
+    c = read_table(spark, base, "customer")
+    n = read_table(spark, base, "nation")
+    li = read_table(spark, base, "lineitem")
+    article = o.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("feed_id"),
+                       F.col("o_orderdate").cast("timestamp").alias("created"), "o_orderstatus")
+    feed_locale = c.select(F.col("c_custkey").alias("feed_id"), F.col("c_nationkey").cast("long").alias("locale_id"))
+    locale = n.select(F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("locale"))
+    published = article.where(F.col("o_orderstatus") == "F").join(feed_locale, "feed_id") \
+        .select(F.col("id").alias("article_id"), "locale_id")
+    cache = ST.insert_cache_records(None, published)  # SET8
+    hits = li.where(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("article_id")) \
+        .join(published, "article_id")
+    cache = ST.increment_cache_hits(cache, hits)  # SET9
+    return article, cache, feed_locale, locale
+
+
+_CACHE_SQL = """
+pub AS (SELECT DISTINCT o_orderkey AS article_id, CAST(c_nationkey AS BIGINT) AS locale_id
+        FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F'),
+today AS (SELECT o_orderkey AS article_id, CAST(c_nationkey AS BIGINT) AS locale_id
+          FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderdate >= TIMESTAMP '2000-01-01')"""
+
+CACHE_LOCALE_SQL = f"""
+WITH {_CACHE_SQL},
+t AS (SELECT locale_id, count(*) AS total_articles FROM today GROUP BY locale_id),
+h AS (SELECT p.locale_id, count(*) AS cache_hits FROM pub p
+      WHERE EXISTS (SELECT 1 FROM today d WHERE d.article_id = p.article_id AND d.locale_id = p.locale_id)
+      GROUP BY p.locale_id)
+SELECT n_name AS locale, t.total_articles, coalesce(h.cache_hits, 0) AS cache_hits,
+       round(coalesce(h.cache_hits, 0) / t.total_articles * 100.0, 6) AS hit_pct
+FROM t LEFT JOIN h ON t.locale_id = h.locale_id JOIN nation ON n_nationkey = t.locale_id"""
+
+
+@register("cache_hit_locale", CACHE_LOCALE_SQL)
+def cache_hit_locale(spark: SparkSession, base: str) -> DataFrame:
+    """Cache records inserted for published articles (SET8) and incremented per
+    hit (SET9); per locale: records of articles created since the cut-off /
+    articles created since the cut-off in the locale's feeds * 100 (AGG9)."""
+    article, cache, feed_locale, locale = _cache_inputs(spark, base)
+    since = F.lit(CACHE_SINCE).cast("timestamp")
+    r = ST.cache_hit_percent(article, cache, since, feed_locale, locale)
+    return r.select("locale", "total_articles", "cache_hits", F.round("hit_pct", 6).alias("hit_pct"))
+
+
+CACHE_GLOBAL_SQL = f"""
+WITH {_CACHE_SQL},
+d AS (SELECT DISTINCT article_id FROM today)
+SELECT (SELECT count(*) FROM d) AS total_articles,
+       (SELECT count(*) FROM pub WHERE article_id IN (SELECT article_id FROM d)) AS cache_hits,
+       round((SELECT count(*) FROM pub WHERE article_id IN (SELECT article_id FROM d)) / (SELECT count(*) FROM d) * 100.0, 6) AS hit_pct"""
+
+
+@register("cache_hit_global", CACHE_GLOBAL_SQL)
+def cache_hit_global(spark: SparkSession, base: str) -> DataFrame:
+    """AGG10: the same ratio over all locales."""
+    article, cache, _fl, _loc = _cache_inputs(spark, base)
+    r = ST.cache_hit_percent(article, cache, F.lit(CACHE_SINCE).cast("timestamp"))
+    return r.select("total_articles", "cache_hits", F.round("hit_pct", 6).alias("hit_pct"))
+
+
+# --- run report, check, freshness, errors, high-water: AGG6-8, AGG13, SET11, TOP6 ----
+from quillfeed.operators import quality as QL  # noqa: E402
+
+
+def _feed_docs(spark, base):
+    e = read_table(spark, base, "events")
+    return e.select(
+        F.concat(F.lit("https://pub"), F.col("user_id").cast("string"), F.lit(".example.com/rss/"),
+                 F.date_format("ts", "yyyy-MM-dd")).alias("feed_url"),
+        F.lit(config.DEFAULT_MAX_ENTRIES).alias("max_entries"), "event_type", "event_id", "ts", "user_id", "value")
+
+
+RUN_REPORT_SQL = """
+SELECT 'https://pub' || CAST(user_id AS VARCHAR) || '.example.com/rss/' || strftime(ts, '%Y-%m-%d') AS feed_url,
+       count(*) AS size_after_get, least(count(*), 20) AS size_after_insert
+FROM events GROUP BY ALL"""
+
+
+@register("run_report", RUN_REPORT_SQL)
+def run_report_q(spark: SparkSession, base: str) -> DataFrame:
+    """AGG6: per feed document entries parsed and entries attempted (first 20)."""
+    return QL.run_report(_feed_docs(spark, base))
+
+
+REPORT_CHECK_SQL = f"""
+WITH r AS ({RUN_REPORT_SQL}),
+v AS (SELECT feed_url, size_after_get, size_after_insert, unnest([
+        CASE WHEN size_after_insert > size_after_get THEN 'inserted more than downloaded' END,
+        CASE WHEN size_after_get = 0 THEN 'no posts downloaded' END,
+        CASE WHEN size_after_insert = 0 THEN 'no posts inserted' END]) AS violation FROM r)
+SELECT * FROM v WHERE violation IS NOT NULL"""
+
+
+@register("report_check", REPORT_CHECK_SQL)
+def report_check(spark: SparkSession, base: str) -> DataFrame:
+    """AGG7: violations of the run report (empty = pass)."""
+    return QL.report_violations(QL.run_report(_feed_docs(spark, base)))
+
+
+FRESH_AS_OF = _dt.datetime(2024, 1, 31)
+FRESHNESS_SQL = """
+WITH f AS (SELECT 'feed.pub' || CAST(user_id AS VARCHAR) || '.json' AS file, max(ts) AS last_modified FROM events GROUP BY user_id),
+x AS (SELECT file, (epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(last_modified)) / 1e6 > 3 * 3600 AS expired FROM f),
+c AS (SELECT count(*) AS total, count(*) FILTER (WHERE expired) AS n_expired FROM x)
+SELECT file, expired, CASE WHEN abs(total - n_expired) >= floor(total * 0.8) THEN 'success' ELSE 'expired' END AS status
+FROM x, c"""
+
+
+@register("freshness_status", FRESHNESS_SQL)
+def freshness_status_q(spark: SparkSession, base: str) -> DataFrame:
+    """AGG8: per published file expired if older than 3 h (as of 2024-01-31),
+    overall success when fresh files >= floor(0.8 * total)."""
+    e = read_table(spark, base, "events")
+    files = e.groupBy("user_id").agg(F.max("ts").alias("last_modified")).select(
+        F.concat(F.lit("feed.pub"), F.col("user_id").cast("string"), F.lit(".json")).alias("file"), "last_modified")
+    return QL.freshness_status(files, files.select("file"), FRESH_AS_OF)
+
+
+ERRORS_SQL = """
+SELECT replace('pub' || CAST(user_id AS VARCHAR) || '.example.com', '.', '_') AS host_label,
+       CASE WHEN value < 50 THEN 'download' ELSE 'parse' END AS kind, count(*) AS n
+FROM events WHERE event_type = 'error' GROUP BY ALL"""
+
+
+@register("error_counters", ERRORS_SQL)
+def error_counters_q(spark: SparkSession, base: str) -> DataFrame:
+    """AGG13: failures per host label (dots -> underscores) and kind."""
+    d = _feed_docs(spark, base).where(F.col("event_type") == "error")
+    f = d.select("feed_url", F.when(F.col("value") < 50, F.lit("download")).otherwise(F.lit("parse")).alias("kind"))
+    return QL.error_counters(f)
+
+
+HWM_SPLIT = "2024-01-15 00:00:00"
+HWM_SQL = f"""
+WITH a AS (SELECT user_id AS feed_id, max(ts) AS t FROM events WHERE ts < TIMESTAMP '{HWM_SPLIT}' GROUP BY 1),
+b AS (SELECT user_id AS feed_id, max(ts) AS t FROM events WHERE ts >= TIMESTAMP '{HWM_SPLIT}' GROUP BY 1),
+j AS (SELECT coalesce(a.feed_id, b.feed_id) AS feed_id,
+             CASE WHEN b.t IS NOT NULL AND (a.t IS NULL OR b.t > a.t) THEN b.t ELSE a.t END AS t,
+             CASE WHEN b.t IS NOT NULL AND (a.t IS NULL OR b.t > a.t) THEN {AS_OF} ELSE TIMESTAMP '{HWM_SPLIT}' END AS run_at
+      FROM a FULL OUTER JOIN b ON a.feed_id = b.feed_id)
+SELECT feed_id, strftime(t, '%Y-%m-%d %H:%M:%S') AS last_build_time,
+       round((epoch_us(run_at) - epoch_us(t)) / 1e6, 3) AS last_build_timedelta
+FROM j"""
+
+
+@register("feed_high_water", HWM_SQL)
+def feed_high_water_q(spark: SparkSession, base: str) -> DataFrame:
+    """SET11: two runs of the per-feed high-water mark (build times before and
+    after Jan 15): newer builds replace the record and its lag, older ones are ignored."""
+    e = read_table(spark, base, "events").select(F.col("user_id").alias("feed_id"), F.col("ts").alias("last_build_time"))
+    split = F.lit(HWM_SPLIT).cast("timestamp_ntz")
+    first = ST.feed_high_water(None, e.where(F.col("last_build_time") < split), _dt.datetime(2024, 1, 15))
+    second = ST.feed_high_water(first, e.where(F.col("last_build_time") >= split), config.AS_OF)
+    return second.select("feed_id", format_utc(F.col("last_build_time")).alias("last_build_time"),
+                         F.round("last_build_timedelta", 3).alias("last_build_timedelta"))
+
+
+LATEST_BUILD_SQL = """
+SELECT user_id AS feed_id, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_build_time,
+       arg_max(event_id, ts) AS record_id
+FROM events GROUP BY user_id"""
+
+
+@register("latest_build", LATEST_BUILD_SQL)
+def latest_build_q(spark: SparkSession, base: str) -> DataFrame:
+    """TOP6: newest build record per feed from a record history."""
+    e = read_table(spark, base, "events").select(
+        F.col("user_id").alias("feed_id"), F.col("ts").alias("last_build_time"), F.col("event_id").alias("record_id"))
+    r = ST.latest_build(e)
+    return r.select("feed_id", format_utc(F.col("last_build_time")).alias("last_build_time"), "record_id")
