@@ -740,3 +740,52 @@ def page_links(spark: SparkSession, base: str) -> DataFrame:
     c = IC.page_candidates(p, with_links=True)
     return c.select("page_id", "class", F.col("class_rank").cast("int").alias("class_rank"),
                     F.col("pos").cast("long").alias("pos"), "url")
+
+
+# --- streaming: STR1, STR2, STR5 over a file stream of the events table ------------
+from quillfeed.streaming import incremental as STRM  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+
+def _event_stream(spark, base):
+    schema = read_table(spark, base, "events").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(base)
+
+
+STREAM_DAILY_SQL = """
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n
+FROM events GROUP BY ALL"""
+
+
+@register("stream_daily_counts", STREAM_DAILY_SQL)
+def stream_daily_counts(spark: SparkSession, base: str) -> DataFrame:
+    """STR5: tumbling UTC-day windows per event type, computed by a streaming
+    aggregation (complete mode, availableNow) over the events file stream."""
+    s = _event_stream(spark, base).withColumn("ts", F.col("ts").cast("timestamp"))
+    agg = STRM.daily_counts(s, "ts", ["event_type"])
+    out = STRM.shared_dir(spark, "daily")
+    STRM.run_to_parquet(agg, out + "/data", out + "/ckpt", mode="complete")
+    r = STRM.read_result(spark, out + "/data", "complete")
+    return r.select(format_utc(F.col("window.start")).alias("window_start"), "event_type", "n")
+
+
+STREAM_DEDUP_SQL = f"""
+SELECT DISTINCT sha256(url) AS url_hash FROM ({S.ARTICLES_SQL})
+WHERE publish_time >= TIMESTAMP '2024-02-01 01:00:00' - INTERVAL 60 DAY AND publish_time <= TIMESTAMP '2024-02-01 01:00:00'"""
+
+
+@register("stream_dedup", STREAM_DEDUP_SQL)
+def stream_dedup(spark: SparkSession, base: str) -> DataFrame:
+    """STR1 + STR2: articles from the events file stream, late/future ones
+    dropped by the 60-day/+1 h rule, repeats of a url_hash dropped within the
+    60-day watermark (append mode, availableNow)."""
+    e = _event_stream(spark, base)
+    a = e.select(
+        F.concat(F.lit("https://pub"), F.col("user_id").cast("string"), F.lit(".example.com/news/"), F.col("event_type")).alias("url"),
+        F.col("ts").cast("timestamp").alias("publish_time"),
+    ).withColumn("url_hash", U.url_hash(F.col("url")))
+    a = STRM.in_window(a, config.AS_OF)
+    d = STRM.dedup_within_watermark(a, key="url_hash")
+    out = STRM.shared_dir(spark, "dedup")
+    STRM.run_to_parquet(d.select("url_hash"), out + "/data", out + "/ckpt", mode="append")
+    return STRM.read_result(spark, out + "/data", "append", schema=T.StructType([T.StructField("url_hash", T.StringType())]))
