@@ -11,28 +11,50 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# --- fixed values: accepted layouts (tried in this order) -------------------
+# --- fixed values: accepted layouts and the shape that selects each ---------
 FORMATS = (
-    "d MMM yyyy HH:mm:ss Z",
-    "d MMM yyyy HH:mm:ss z",
-    "d MMM yyyy HH:mm Z",
-    "d MMM yyyy HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ssXXX",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd",
+    (r"^\d{1,2} [A-Za-z]{3} \d{4} \d{1,2}:\d{2}:\d{2} [+-]\d{4}$", "d MMM yyyy H:mm:ss Z"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4} \d{1,2}:\d{2}:\d{2} [A-Za-z]{3,4}$", "d MMM yyyy H:mm:ss z"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4} \d{1,2}:\d{2} [+-]\d{4}$", "d MMM yyyy H:mm Z"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4} \d{1,2}:\d{2}:\d{2}$", "d MMM yyyy H:mm:ss"),
+    (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(Z|[+-]\d{2}:\d{2})$", "yyyy-MM-dd'T'HH:mm:ssXXX"),
+    (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{1,6}(Z|[+-]\d{2}:\d{2})$", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"),
+    (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$", "yyyy-MM-dd'T'HH:mm:ss"),
+    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$", "yyyy-MM-dd HH:mm:ss"),
+    (r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"),
 )
 # ---------------------------------------------------------------------------
 
 
-def parse_feed_time(c: Column) -> Column:
-    """PRJ13: many layouts -> TimestampType (UTC session); NULL when none fits."""
+def normalize_time_text(c: Column) -> Column:
+    """Trim, drop a leading weekday, write GMT/UTC/UT as +0000, collapse blanks."""
     s = F.trim(c)
-    s = F.regexp_replace(s, r"^[A-Za-z]{3,9},?\s+", "")  # weekday
+    s = F.regexp_replace(s, r"^[A-Za-z]{3,9},?\s+", "")  # weekday ('E' cannot be parsed)
     s = F.regexp_replace(s, r"\s+(GMT|UTC|UT)$", " +0000")
-    s = F.regexp_replace(s, r"\s+", " ")
-    return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in FORMATS])
+    return F.regexp_replace(s, r"\s+", " ")
+
+
+def parse_normalized_time(s: Column) -> Column:
+    """Parse text already passed through ``normalize_time_text``: the shape picks
+    exactly one layout, so each value is parsed once (a failed attempt costs an
+    exception inside the parser; trying every layout in turn would pay it many
+    times). Pass a column reference so the generated code stays small."""
+    out = F.lit(None).cast("timestamp")
+    for shape, fmt in reversed(FORMATS):
+        val = s
+        if "SSSSSS" in fmt:  # right-pad fractional seconds to six digits
+            val = F.concat(
+                F.regexp_extract(s, r"^([^.]*)\.", 1), F.lit("."),
+                F.rpad(F.regexp_extract(s, r"\.(\d{1,6})", 1), 6, "0"),
+                F.regexp_extract(s, r"\.\d{1,6}(.*)$", 1),
+            )
+        out = F.when(s.rlike(shape), F.try_to_timestamp(val, F.lit(fmt))).otherwise(out)
+    return out
+
+
+def parse_feed_time(c: Column) -> Column:
+    """PRJ13: many layouts -> TimestampType (UTC session); NULL when none fits."""
+    return parse_normalized_time(normalize_time_text(c))
 
 
 def pick_publish_time(item_updated: Column, item_published: Column, feed_updated: Column, feed_published: Column) -> Column:

@@ -18,7 +18,7 @@ from quillfeed.functions import text as TX
 from quillfeed.functions import urls as U
 from quillfeed.functions.images import pick_image
 from quillfeed.functions.scoring import ts_literal
-from quillfeed.functions.timeparse import pick_publish_time
+from quillfeed.functions.timeparse import normalize_time_text, parse_normalized_time
 
 
 def _nz(c: Column) -> Column:
@@ -75,10 +75,10 @@ def entries_to_articles(
         a = a.where(~TX.contains_listed_word(F.col("title"), profanity))  # FLT2
     a = a.withColumn("link", pick_link(F.col("link"), F.col("url"))).where(F.col("link").isNotNull())  # PRJ11/FLT3
     a = a.where(F.length(U.url_path(F.col("link"))) >= min_path)  # FLT4
-    a = a.withColumn(
-        "publish_time",
-        pick_publish_time(F.col("updated"), F.col("published"), F.col("feed_updated"), F.col("feed_published")),
-    ).where(F.col("publish_time").isNotNull())  # PRJ12/PRJ13/FLT5
+    raw_time = F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in ("updated", "published", "feed_updated", "feed_published")])
+    a = a.withColumn("_time_text", normalize_time_text(raw_time))  # PRJ12: first non-empty source, no fall-through
+    a = a.withColumn("publish_time", parse_normalized_time(F.col("_time_text"))).drop("_time_text") \
+        .where(F.col("publish_time").isNotNull())  # PRJ13/FLT5
     a = a.where(in_time_window(F.col("publish_time"), F.col("content_type"), as_of, max_age_days))  # FLT6
     raw_img = pick_image(
         F.col("image"), F.col("urlToImage"), F.col("media_content"), F.col("media_thumbnail"),

@@ -5,7 +5,8 @@ one publisher holding a third of all articles that task sorts a third of the
 data. ``group_row_number(..., strategy="range")`` instead range-partitions on
 (key, order): a hot key is split over many contiguous partitions, each task
 numbers its slice locally, and a small (key, partition) count table supplies
-the offset of every slice. Everything stays in JVM expressions.
+the offset of every slice. Everything stays in JVM expressions; the numbered
+slices are checkpointed once so the count and the numbering read the same data.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillfeed.session import cut_lineage
+
 
 def _cols(cs):
     return [F.col(c) if isinstance(c, str) else c for c in cs]
@@ -47,6 +50,10 @@ def group_row_number(
         .withColumn("_qf_pid", F.spark_partition_id())
         .withColumn("_qf_mid", F.monotonically_increasing_id())
     )
+    # Both the slice counts and the numbered rows must see the same partition
+    # contents: materialise once into the shared checkpoint folder (reliable,
+    # survives executor loss; no recomputation with a re-sampled range).
+    ranged = cut_lineage(ranged)
     slices = ranged.groupBy(*keys, "_qf_pid").agg(
         F.min("_qf_mid").alias("_qf_m0"), F.count(F.lit(1)).alias("_qf_cnt")
     )
