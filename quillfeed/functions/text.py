@@ -62,8 +62,8 @@ def strip_tags(c: Column, drop_script_style: bool = True) -> Column:
 
 
 def unescape_entities(c: Column) -> Column:
-    """PRJ10 on the JVM: decode COMMON_ENTITIES in one left-to-right-equivalent
-    pass (``&amp;`` last so ``&amp;lt;`` becomes ``&lt;`` as in a single pass)."""
+    """PRJ10 on the JVM: decode COMMON_ENTITIES with the result of one
+    left-to-right pass (``&amp;`` last so ``&amp;lt;`` becomes ``&lt;``)."""
     x = c
     for ent, ch in COMMON_ENTITIES:
         x = F.replace(x, F.lit(ent), F.lit(ch))

@@ -18,7 +18,6 @@ FORMATS = (
     (r"^\d{1,2} [A-Za-z]{3} \d{4} \d{1,2}:\d{2} [+-]\d{4}$", "d MMM yyyy H:mm Z"),
     (r"^\d{1,2} [A-Za-z]{3} \d{4} \d{1,2}:\d{2}:\d{2}$", "d MMM yyyy H:mm:ss"),
     (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(Z|[+-]\d{2}:\d{2})$", "yyyy-MM-dd'T'HH:mm:ssXXX"),
-    (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{1,6}(Z|[+-]\d{2}:\d{2})$", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"),
     (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$", "yyyy-MM-dd'T'HH:mm:ss"),
     (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$", "yyyy-MM-dd HH:mm:ss"),
     (r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"),
@@ -27,28 +26,23 @@ FORMATS = (
 
 
 def normalize_time_text(c: Column) -> Column:
-    """Trim, drop a leading weekday, write GMT/UTC/UT as +0000, collapse blanks."""
-    s = F.trim(c)
-    s = F.regexp_replace(s, r"^[A-Za-z]{3,9},?\s+", "")  # weekday ('E' cannot be parsed)
+    """Trim, drop a leading weekday ('E' cannot be parsed), write GMT/UTC/UT as
+    +0000, drop sub-second digits (times are kept to the second), collapse blanks."""
+    s = F.regexp_replace(F.trim(c), r"^[A-Za-z]{3,9},?\s+", "")
     s = F.regexp_replace(s, r"\s+(GMT|UTC|UT)$", " +0000")
+    s = F.regexp_replace(s, r"(\d{2}:\d{2}:\d{2})\.\d+", "$1")
     return F.regexp_replace(s, r"\s+", " ")
 
 
 def parse_normalized_time(s: Column) -> Column:
-    """Parse text already passed through ``normalize_time_text``: the shape picks
+    """Parse text already passed through ``normalize_time_text``. The shape picks
     exactly one layout, so each value is parsed once (a failed attempt costs an
     exception inside the parser; trying every layout in turn would pay it many
-    times). Pass a column reference so the generated code stays small."""
+    times). Each branch parses with a literal layout so its formatter is built
+    once per task, not per row. Pass a column reference to keep code small."""
     out = F.lit(None).cast("timestamp")
     for shape, fmt in reversed(FORMATS):
-        val = s
-        if "SSSSSS" in fmt:  # right-pad fractional seconds to six digits
-            val = F.concat(
-                F.regexp_extract(s, r"^([^.]*)\.", 1), F.lit("."),
-                F.rpad(F.regexp_extract(s, r"\.(\d{1,6})", 1), 6, "0"),
-                F.regexp_extract(s, r"\.\d{1,6}(.*)$", 1),
-            )
-        out = F.when(s.rlike(shape), F.try_to_timestamp(val, F.lit(fmt))).otherwise(out)
+        out = F.when(s.rlike(shape), F.try_to_timestamp(s, F.lit(fmt))).otherwise(out)
     return out
 
 

@@ -111,11 +111,15 @@ def resolve_urls(articles: DataFrame, redirects: DataFrame | None = None, max_ho
     ``max_hops`` (unmatched links are already final, a failed hop drops the
     article), hash the resolved URL, then percent-encode its path.
 
-    Each hop is one equi join against the redirect table; the hop count is a
-    fixed bound, so the plan has a fixed number of joins."""
+    Each hop is one equi join against the redirect table (one row per source
+    URL); the hop count is a fixed bound, so the plan has a fixed number of joins."""
     a = articles.withColumn("_u", F.col("link")).withColumn("_ok", F.lit(True))
     if redirects is not None:
-        r = redirects.select(F.col("src").alias("_u"), F.col("dst").alias("_dst"), F.col("status").alias("_st"))
+        # one response per source URL (repeated fetches collapse to the lowest
+        # status, then the smallest target), so a hop never multiplies rows
+        one = redirects.groupBy("src").agg(
+            F.min_by(F.struct("dst", "status"), F.struct("status", "dst")).alias("_r"))
+        r = one.select(F.col("src").alias("_u"), F.col("_r.dst").alias("_dst"), F.col("_r.status").alias("_st"))
         for _ in range(max_hops):
             a = a.join(r, "_u", "left")
             failed = F.col("_st").isNotNull() & ~F.col("_st").between(200, 399)

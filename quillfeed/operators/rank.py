@@ -92,14 +92,13 @@ def normalize_popularity(df: DataFrame, col: str = "pop_score", out: str | None
     merges them into one global aggregate (partial per task, one tiny final
     merge) and inlines the two values - no join and no single-partition window.
     With ``group_cols`` (one run per locale) the bounds are one row per group,
-    joined back as a size-checked broadcast."""
+    joined back by an equi join; AQE turns it into a broadcast from the
+    measured size of the (tiny) bounds stage - no extra job to prove it."""
     out = out or col
     x = F.col(col)
     if group_cols:
-        from quillfeed.sources.lookups import small_side
-
         b = df.groupBy(*group_cols).agg(F.min(col).alias("_pop_min"), F.max(col).alias("_pop_max"))
-        df = df.join(small_side(b, "per-group bounds"), list(group_cols), "left")
+        df = df.join(b, list(group_cols), "left")
         lo, hi = F.col("_pop_min"), F.col("_pop_max")
     else:
         b = popularity_bounds(df, col)

@@ -789,3 +789,121 @@ def stream_dedup(spark: SparkSession, base: str) -> DataFrame:
     out = STRM.shared_dir(spark, "dedup")
     STRM.run_to_parquet(d.select("url_hash"), out + "/data", out + "/ckpt", mode="append")
     return STRM.read_result(spark, out + "/data", "append", schema=T.StructType([T.StructField("url_hash", T.StringType())]))
+
+
+# --- JOI3 + FLT7 + PRJ16/17: multi-hop URL resolution ---------------------------
+URL_RESOLVE_SQL = """
+SELECT l_orderkey, l_linenumber,
+       'https://shop.example.com/c/' || CAST(o_custkey AS VARCHAR) || '/o/' || CAST(o_orderkey AS VARCHAR) AS url,
+       sha256('https://shop.example.com/c/' || CAST(o_custkey AS VARCHAR) || '/o/' || CAST(o_orderkey AS VARCHAR)) AS url_hash
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+WHERE o_orderstatus <> 'P'"""
+
+
+@register("url_resolve", URL_RESOLVE_SQL)
+def url_resolve(spark: SparkSession, base: str) -> DataFrame:
+    """Short links followed through a redirect table (bounded hops, one equi
+    join each), failed hops dropped (FLT7), url_hash of the final URL (PRJ17),
+    final URL path re-encoded (PRJ16)."""
+    r = clean.resolve_urls(S.short_links(spark, base), S.redirect_table(spark, base), max_hops=3)
+    return r.select("l_orderkey", "l_linenumber", "url", "url_hash")
+
+
+# --- QRY8 chain over parsed entries -----------------------------------------------
+from quillfeed.plans import feed_build as FB  # noqa: E402
+
+LOCALE_FEEDS_SQL = """
+WITH e AS (SELECT *, date_trunc('second', ts) AS t FROM events),
+k AS (
+  SELECT event_id AS ord, user_id,
+         event_type || ' & more ' || CAST(event_id AS VARCHAR) AS title,
+         'https://pub' || CAST(user_id AS VARCHAR) || '.example.com/news/' || event_type || '/' || CAST(event_id AS VARCHAR) AS link,
+         t
+  FROM e
+  WHERE event_type IN ('view', 'click', 'purchase')
+    AND (user_id % 10 = 0
+         OR (t >= TIMESTAMP '2024-01-20 01:00:00' - INTERVAL 60 DAY AND t <= TIMESTAMP '2024-01-20 01:00:00'))),
+x AS (SELECT l.locale, k.* FROM k, (SELECT unnest(['en_US', 'de_DE']) AS locale) l),
+r AS (SELECT *, row_number() OVER (PARTITION BY locale, user_id ORDER BY t DESC, ord ASC) AS variety_rank,
+             (epoch_us(TIMESTAMP '2024-01-20 00:00:00') - epoch_us(t)) / 1000000.0 AS secs FROM x)
+SELECT locale, sha256(link) AS url_hash, title, strftime(t, '%Y-%m-%d %H:%M:%S') AS publish_time,
+       CAST(user_id AS VARCHAR) AS publisher_id, variety_rank,
+       printf('%.9e', CASE WHEN secs > 0 THEN ln(secs) ELSE 0.1 END * pow(2.0, variety_rank)) AS score,
+       1.0 AS pop_score
+FROM r"""
+
+
+@register("locale_feeds", LOCALE_FEEDS_SQL)
+def locale_feeds(spark: SparkSession, base: str) -> DataFrame:
+    """The per-locale feed build (QRY8) from parsed entries: JOI1 publishers x
+    locales, TOP1, cleaning (FLT1-6), URL hash, popularity default and per-locale
+    normalisation, scrub, then dedup/variety/score per locale in one job."""
+    b = FB.build_from_entries(S.feed_entries(spark, base), S.feed_publishers(spark, base), as_of=CLEAN_AS_OF)
+    return b.feed.select(
+        "locale", "url_hash", "title", format_utc(F.col("publish_time")).alias("publish_time"), "publisher_id",
+        # scores reach 2**k * ln(seconds); compare 10 significant digits
+        F.col("variety_rank"), F.format_string("%.9e", F.col("score")).alias("score"),
+        F.round("pop_score", 6).alias("pop_score"))
+
+
+# --- SNK4 / SRC8 over the source rows ---------------------------------------------
+FEED_MAP_SQL = f"""
+WITH p AS ({S.SOURCE_PAIRS_SQL})
+SELECT feed_url, arg_max(lang, (file, first_doc)) AS locale, arg_max(CAST(n_docs AS INTEGER), (file, first_doc)) AS rank,
+       arg_max('Source ' || source, (file, first_doc)) AS publisher_name
+FROM p GROUP BY feed_url"""
+
+
+@register("source_feed_map", FEED_MAP_SQL)
+def source_feed_map(spark: SparkSession, base: str) -> DataFrame:
+    """SNK4: feed_url -> publisher row; a feed listed again later wins (by file, row)."""
+    m = P.feed_source_map(_valid_sources(spark, base))
+    return m.select("feed_url", "locale", "rank", "publisher_name")
+
+
+DOMAINS_SQL = f"""
+WITH p AS ({S.SOURCE_PAIRS_SQL}) SELECT DISTINCT site_url AS domain FROM p"""
+
+
+@register("source_domains", DOMAINS_SQL)
+def source_domains(spark: SparkSession, base: str) -> DataFrame:
+    """SRC8 / AGG12: distinct domains over every source row."""
+    return P.distinct_domains(_valid_sources(spark, base))
+
+
+# --- FLT11-13, JOI14, PRJ27, PRJ28: image rules -----------------------------------------
+IMAGE_RULES_SQL = """
+WITH a AS (
+  SELECT o_orderkey, 'https://shop.example.com/o/' || CAST(o_orderkey AS VARCHAR) AS url,
+         CASE WHEN o_orderpriority = '5-LOW' THEN ''
+              WHEN o_orderpriority = '1-URGENT' THEN 'https://img.example.com/' || CAST(o_orderkey AS VARCHAR) || '.mp4'
+              ELSE 'https://img.example.com/' || CAST(o_orderkey AS VARCHAR) || '.jpg' END AS img,
+         o_orderpriority = '2-HIGH' AS og_images
+  FROM orders),
+m AS (SELECT a.img AS url, CAST(trunc(o_totalprice / 1000) AS INTEGER) AS width, CAST(trunc(o_totalprice / 2000) AS INTEGER) AS height,
+             CAST(trunc(o_totalprice * 5) AS BIGINT) AS bytes, o_orderstatus = 'F' AS cached
+      FROM a JOIN orders ON a.o_orderkey = orders.o_orderkey WHERE a.img <> '' AND o_orderstatus <> 'P'),
+p AS (SELECT 'https://shop.example.com/o/' || CAST(o_orderkey AS VARCHAR) AS url,
+             'https://og.example.com/' || CAST(o_orderkey AS VARCHAR) || '.png' AS og_image
+      FROM orders WHERE o_orderpriority IN ('5-LOW', '2-HIGH')),
+j AS (SELECT a.*, m.width, m.height, m.bytes, m.cached, p.og_image FROM a LEFT JOIN m ON m.url = a.img LEFT JOIN p ON p.url = a.url),
+s1 AS (SELECT *, img <> '' AS has,
+              (ends_with(img, '.mp4') OR width IS NULL OR height IS NULL OR (width < 400 AND height < 400)) AS unusable FROM j),
+s2 AS (SELECT *, has AND coalesce(bytes > 1000000, false) AS large,
+              CASE WHEN NOT has OR unusable THEN '' ELSE img END AS img1 FROM s1),
+s3 AS (SELECT *, CASE WHEN (img1 = '' OR og_images) AND coalesce(og_image, '') <> '' THEN og_image ELSE img1 END AS img2 FROM s2)
+SELECT o_orderkey,
+       CASE WHEN large AND NOT coalesce(cached, false) THEN '' ELSE img2 END AS img,
+       CASE WHEN large AND coalesce(cached, false) THEN 'https://cdn.example.invalid/cache/' || sha256(img2) || '.jpg.pad'
+            WHEN large THEN '' ELSE img2 END AS padded_img
+FROM s3"""
+
+
+@register("image_rules", IMAGE_RULES_SQL)
+def image_rules(spark: SparkSession, base: str) -> DataFrame:
+    """Image metadata rules in order: video suffix / unreadable / both sides <
+    400 blank the image (FLT11, FLT12); og:image fills an empty image or
+    replaces it for og publishers (JOI14); large images use the cached CDN
+    copy or are blanked (FLT13, PRJ27, PRJ28)."""
+    out = enrich.apply_image_rules(S.image_articles(spark, base), S.image_meta(spark, base), S.page_meta(spark, base))
+    return out.select("o_orderkey", "img", "padded_img")

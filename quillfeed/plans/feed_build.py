@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from quillfeed import config
 from quillfeed.operators import clean, enrich, quality, rank, store
 from quillfeed.sources import feeds
+from quillfeed.session import cut_lineage
 from quillfeed.sources.lookups import small_side
 
 PUBLISHER_COLUMNS = ("feed_url", "locale", "publisher_id", "publisher_name", "category", "site_url", "content_type",
@@ -54,18 +55,44 @@ def build_locale_feeds(
     profanity: tuple = (),
     cdn_base: str = "https://cdn.example.invalid/cache",
 ) -> FeedBuild:
-    pubs = small_side(publishers.select(*PUBLISHER_COLUMNS), "publishers")  # source lists: bounded, size-checked
     entries = feeds.parse_feeds(docs)
     failures = feeds.failed_documents(docs, entries)
+    return build_from_entries(entries, publishers, as_of, stored=stored, counters=counters, predictions=predictions,
+                              predict_locales=predict_locales, image_meta=image_meta, page_meta=page_meta,
+                              redirects=redirects, profanity=profanity, cdn_base=cdn_base, failures=failures)
+
 
+def build_from_entries(
+    entries: DataFrame,
+    publishers: DataFrame,
+    as_of: _dt.datetime,
+    stored: DataFrame | None = None,
+    counters: DataFrame | None = None,
+    predictions: DataFrame | None = None,
+    predict_locales: tuple = ("en_US",),
+    image_meta: DataFrame | None = None,
+    page_meta: DataFrame | None = None,
+    redirects: DataFrame | None = None,
+    profanity: tuple = (),
+    cdn_base: str = "https://cdn.example.invalid/cache",
+    failures: DataFrame | None = None,
+) -> FeedBuild:
+    """QRY8 from parsed entries (``feed_url``, ``pos`` and the SRC4 columns; an
+    ``ord`` column, when present, is the input order used to break time ties)."""
+    pubs = small_side(publishers.select(*PUBLISHER_COLUMNS), "publishers")  # source lists: bounded, size-checked
     items = entries.join(pubs, "feed_url")  # JOI1 (one row per entry x listed locale)
     attempted = feeds.first_entries(items)  # TOP1
     report = quality.run_report(items.select("feed_url", "locale", "max_entries"), group_cols=("locale",))
 
-    arts = clean.entries_to_articles(
-        attempted.withColumn("ord", F.xxhash64("feed_url", "pos")), as_of=as_of, profanity=profanity)
+    if "ord" not in attempted.columns:
+        attempted = attempted.withColumn("ord", F.xxhash64("feed_url", "pos"))
+    arts = clean.entries_to_articles(attempted, as_of=as_of, profanity=profanity)
     arts = clean.resolve_urls(arts, redirects)  # JOI3, PRJ16, PRJ17
     arts = store.with_article_key(arts)  # PRJ18
+    # The cleaned articles feed several branches (known/new split, per-locale
+    # popularity bounds, prediction locales): materialise them once in the
+    # shared checkpoint folder instead of re-running the cleaning per branch.
+    arts = cut_lineage(arts)
 
     if stored is not None:
         new, known_keys = store.split_known(arts, stored)  # JOI4 + FLT16
@@ -103,7 +130,9 @@ def build_locale_feeds(
     if known is not None:
         union = union.unionByName(known.select(*cols))  # SET1
     ranked = rank.rank_articles(union.drop("score"), as_of=as_of, group_cols=("locale",))
-    out = ranked.select(*FEED_COLUMNS, "article_key", "pos_ts", "pos_ord")
+    out = ranked.select(*FEED_COLUMNS, "article_key", "pos_ts", "pos_ord", "variety_rank")
+    if failures is None:
+        failures = entries.limit(0).select("feed_url").withColumn("kind", F.lit(""))
     return FeedBuild(feed=out, report=report, failures=failures, new_articles=new,
                      known=known if known is not None else new.limit(0))
 

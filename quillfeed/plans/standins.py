@@ -286,3 +286,94 @@ SELECT 'https://shop' || CAST(o_custkey AS VARCHAR) || '.example.com/orders/' ||
        o_orderkey AS ord,
        o_orderdate < TIMESTAMP '1998-01-01' AS stored
 FROM orders"""
+
+
+# --- parsed feed entries and their publishers (events) ------------------------
+def feed_entries(spark: SparkSession, base: str) -> DataFrame:
+    """Entry columns only (as SRC4 yields them), one feed per user."""
+    it = feed_items(spark, base)
+    cols = ("title", "link", "url", "updated", "published", "feed_updated", "feed_published", "description",
+            "image", "urlToImage", "media_content", "media_thumbnail", "summary", "content_html", "enclosures",
+            "item_category", "ord")
+    return it.select(
+        F.concat(F.col("site_url"), F.lit("/rss")).alias("feed_url"),
+        F.col("ord").alias("pos"),
+        F.col("summary").alias("summary_src"),
+        *cols,
+    ).drop("summary_src")
+
+
+FEED_LOCALES = ("en_US", "de_DE")
+
+
+def feed_publishers(spark: SparkSession, base: str) -> DataFrame:
+    """Publisher rows per (user feed, locale); every entry is attempted."""
+    e = read_table(spark, base, "events").select("user_id").distinct()
+    site = F.concat(F.lit("https://pub"), F.col("user_id").cast("string"), F.lit(".example.com"))
+    return e.select(
+        F.concat(site, F.lit("/rss")).alias("feed_url"),
+        F.explode(F.array(*[F.lit(x) for x in FEED_LOCALES])).alias("locale"),
+        F.col("user_id").cast("string").alias("publisher_id"),
+        F.concat(F.lit("Publisher "), F.col("user_id").cast("string")).alias("publisher_name"),
+        F.lit("News").alias("category"),
+        site.alias("site_url"),
+        F.when(F.col("user_id") % 10 == 0, F.lit("product")).otherwise(F.lit("article")).alias("content_type"),
+        F.lit("").alias("creative_instance_id"),
+        F.array(F.lit("Top News")).alias("channels"),
+        F.lit(2147483647).alias("max_entries"),
+        F.lit(False).alias("og_images"),
+    )
+
+
+# --- short links and their redirects (lineitem -> orders -> shop) -------------
+def short_links(spark: SparkSession, base: str) -> DataFrame:
+    li = read_table(spark, base, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", F.concat(
+        F.lit("https://t.example.com/li/"), F.col("l_orderkey").cast("string"), F.lit("/"),
+        F.col("l_linenumber").cast("string")).alias("link"))
+
+
+def redirect_table(spark: SparkSession, base: str) -> DataFrame:
+    """Redirect responses: line-item link -> order link (301), order link ->
+    shop page (301, or 404 for orders in status P). One row per source URL."""
+    li = read_table(spark, base, "lineitem")
+    o = read_table(spark, base, "orders")
+    hop1 = li.select(
+        F.concat(F.lit("https://t.example.com/li/"), F.col("l_orderkey").cast("string"), F.lit("/"),
+                 F.col("l_linenumber").cast("string")).alias("src"),
+        F.concat(F.lit("https://t.example.com/o/"), F.col("l_orderkey").cast("string")).alias("dst"),
+        F.lit(301).alias("status"))
+    hop2 = o.select(
+        F.concat(F.lit("https://t.example.com/o/"), F.col("o_orderkey").cast("string")).alias("src"),
+        F.concat(F.lit("https://shop.example.com/c/"), F.col("o_custkey").cast("string"), F.lit("/o/"),
+                 F.col("o_orderkey").cast("string")).alias("dst"),
+        F.when(F.col("o_orderstatus") == "P", F.lit(404)).otherwise(F.lit(301)).alias("status"))
+    return hop1.unionByName(hop2)
+
+
+# --- image metadata (orders) --------------------------------------------------
+def image_articles(spark: SparkSession, base: str) -> DataFrame:
+    o = read_table(spark, base, "orders")
+    img = (F.when(F.col("o_orderpriority") == "5-LOW", F.lit(""))
+           .when(F.col("o_orderpriority") == "1-URGENT",
+                 F.concat(F.lit("https://img.example.com/"), F.col("o_orderkey").cast("string"), F.lit(".mp4")))
+           .otherwise(F.concat(F.lit("https://img.example.com/"), F.col("o_orderkey").cast("string"), F.lit(".jpg"))))
+    return o.select("o_orderkey", F.concat(F.lit("https://shop.example.com/o/"), F.col("o_orderkey").cast("string")).alias("url"),
+                    img.alias("img"), (F.col("o_orderpriority") == "2-HIGH").alias("og_images"))
+
+
+def image_meta(spark: SparkSession, base: str) -> DataFrame:
+    a = image_articles(spark, base).where(F.col("img") != "")
+    o = read_table(spark, base, "orders").where(F.col("o_orderstatus") != "P")
+    return a.join(o, "o_orderkey").select(
+        F.col("img").alias("url"),
+        (F.col("o_totalprice") / 1000).cast("int").alias("width"),
+        (F.col("o_totalprice") / 2000).cast("int").alias("height"),
+        (F.col("o_totalprice") * 5).cast("long").alias("bytes"),
+        (F.col("o_orderstatus") == "F").alias("cached"))
+
+
+def page_meta(spark: SparkSession, base: str) -> DataFrame:
+    o = read_table(spark, base, "orders").where(F.col("o_orderpriority").isin("5-LOW", "2-HIGH"))
+    return o.select(F.concat(F.lit("https://shop.example.com/o/"), F.col("o_orderkey").cast("string")).alias("url"),
+                    F.concat(F.lit("https://og.example.com/"), F.col("o_orderkey").cast("string"), F.lit(".png")).alias("og_image"))
