@@ -23,7 +23,7 @@ def widest(arr: Column, width_field: str = "width") -> Column:
 
     return F.aggregate(
         arr,
-        F.element_at(arr, 1),
+        F.try_element_at(arr, F.lit(1)),
         lambda acc, x: F.when(w(x) > w(acc), x).otherwise(acc),
     )
 

@@ -76,7 +76,7 @@ def parse_rss(docs: DataFrame) -> DataFrame:
         _media(F.col("i.`media:thumbnail`")).alias("media_thumbnail"),
         F.transform(F.col("i.enclosure"), lambda x: F.struct(x["_url"].alias("href"), x["_type"].alias("type"),
                                                              x["_length"].alias("length"))).alias("enclosures"),
-        F.element_at(F.col("i.category"), 1).alias("item_category"),
+        F.try_element_at(F.col("i.category"), F.lit(1)).alias("item_category"),
     )
 
 
@@ -89,7 +89,7 @@ def parse_atom(docs: DataFrame) -> DataFrame:
     return e.select(
         "feed_url", "pos",
         F.col("i.title").alias("title"),
-        F.coalesce(F.element_at(alt, 1)["_href"], F.element_at(F.col("i.link"), 1)["_href"]).alias("link"),
+        F.coalesce(F.try_element_at(alt, F.lit(1))["_href"], F.try_element_at(F.col("i.link"), F.lit(1))["_href"]).alias("link"),
         F.lit(None).cast("string").alias("url"),
         F.col("i.updated").alias("updated"),
         F.col("i.published").alias("published"),
@@ -102,13 +102,13 @@ def parse_atom(docs: DataFrame) -> DataFrame:
         _media(F.col("i.`media:content`")).alias("media_content"),
         _media(F.col("i.`media:thumbnail`")).alias("media_thumbnail"),
         F.lit(None).cast("array<struct<href:string,type:string,length:string>>").alias("enclosures"),
-        F.element_at(F.col("i.category"), 1)["_term"].alias("item_category"),
+        F.try_element_at(F.col("i.category"), F.lit(1))["_term"].alias("item_category"),
     )
 
 
 def parse_feeds(docs: DataFrame) -> DataFrame:
     """SRC4 for a mixed table: the root element picks the RSS or Atom reader."""
-    kind = F.when(F.col("content").rlike(r"(?s)^\s*(<\?xml[^>]*>\s*)?(<!--.*?-->\s*)*<rss\b"), F.lit("rss")) \
+    kind = F.when(F.col("content").rlike(r"(?s)^\s*(<\?[^>]*>\s*|<!--.*?-->\s*|<!DOCTYPE[^>]*>\s*)*<rss\b"), F.lit("rss")) \
         .when(F.col("content").rlike(r"(?s)<feed\b"), F.lit("atom"))
     tagged = docs.withColumn("_kind", kind)
     rss = parse_rss(tagged.where(F.col("_kind") == "rss").drop("_kind"))

@@ -23,6 +23,14 @@ from quillfeed.session import ensure_checkpoint_dir
 from quillfeed.sources import feeds
 
 
+BINARY_FILE_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType()),
+    T.StructField("modificationTime", T.TimestampType()),
+    T.StructField("length", T.LongType()),
+    T.StructField("content", T.BinaryType()),
+])
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root for one stream."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
@@ -32,7 +40,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 def feed_file_stream(spark: SparkSession, path: str) -> DataFrame:
     """STR6: new feed documents dropped into ``path`` -> (feed_url, content).
     Oversize files are dropped by their listed length before decoding (FLT14)."""
-    s = spark.readStream.format("binaryFile").load(path)
+    s = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).load(path)
     s = s.where(F.col("length") <= config.MAX_FEED_BYTES)
     return s.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("feed_url"),
                     F.decode("content", "UTF-8").alias("content"))
@@ -87,18 +95,28 @@ def upsert_batches(incoming: DataFrame, table_dir: str, feed: DataFrame, as_of:
     return w.start()
 
 
-def run_to_parquet(df: DataFrame, out_dir: str, checkpoint: str, mode: str = "append") -> None:
+def run_to_parquet(df: DataFrame, out_dir: str, checkpoint: str, mode: str = "append", keys: list[str] | None = None) -> None:
     """Drive a stream to completion (``availableNow``) into parquet via
-    ``foreachBatch``; complete/update modes rewrite the result per batch."""
+    ``foreachBatch``. append: batches are appended. complete: each batch is the
+    whole result. update: each batch holds only changed rows, merged by
+    ``keys`` into the previous result (anti join + union) as ``v=<batch_id>``.
+    A re-run of a failed batch rewrites its own folder (idempotent)."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         if mode == "append":
             batch.write.mode("append").parquet(out_dir)
-        else:
-            batch.write.mode("overwrite").parquet(f"{out_dir}/v={batch_id}")
-            batch.sparkSession.createDataFrame([(f"{out_dir}/v={batch_id}",)], "p string") \
-                .coalesce(1).write.mode("overwrite").text(f"{out_dir}/_LATEST")
-
+            return
+        nxt = batch
+        if mode == "update" and batch_id > 0:
+            prev = spark.read.parquet(f"{out_dir}/v={batch_id - 1}")
+            nxt = prev.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
+        nxt.write.mode("overwrite").parquet(f"{out_dir}/v={batch_id}")
+        spark.createDataFrame([(f"{out_dir}/v={batch_id}",)], "p string") \
+            .coalesce(1).write.mode("overwrite").text(f"{out_dir}/_LATEST")
+
+    if mode == "update" and not keys:
+        raise ValueError("update mode needs the key columns")
     q = df.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", checkpoint) \
         .trigger(availableNow=True).start()
     q.awaitTermination()
