@@ -47,8 +47,13 @@ def parse_normalized_time(s: Column) -> Column:
 
 
 def parse_feed_time(c: Column) -> Column:
-    """PRJ13: many layouts -> TimestampType (UTC session); NULL when none fits."""
-    return parse_normalized_time(normalize_time_text(c))
+    """PRJ13: many layouts -> TimestampType (UTC session); NULL when none fits.
+
+    The normalised text is bound once (a one-element ``transform``) and the
+    layout branches refer to the bound value, so the text expression is not
+    copied into every branch - nor into every predicate a filter push-down
+    inlines it into - which keeps whole-stage code within the 64 KB limit."""
+    return F.transform(F.array(normalize_time_text(c)), parse_normalized_time)[0]
 
 
 def pick_publish_time(item_updated: Column, item_published: Column, feed_updated: Column, feed_published: Column) -> Column:

@@ -18,7 +18,7 @@ from quillfeed.functions import text as TX
 from quillfeed.functions import urls as U
 from quillfeed.functions.images import pick_image
 from quillfeed.functions.scoring import ts_literal
-from quillfeed.functions.timeparse import normalize_time_text, parse_normalized_time
+from quillfeed.functions.timeparse import parse_feed_time
 
 
 def _nz(c: Column) -> Column:
@@ -54,6 +54,22 @@ def in_time_window(ts: Column, content_type: Column, as_of: _dt.datetime, max_ag
     return F.coalesce(content_type == "product", F.lit(False)) | ((t >= lo) & (t <= hi))
 
 
+def time_window_keep(ts: Column, content_type: Column, as_of: _dt.datetime, max_age_days: int = config.MAX_AGE_DAYS,
+                     slack_hours: int = config.FUTURE_SLACK_HOURS) -> Column:
+    """FLT5 + FLT6 as one predicate that reads the time once:
+    |t - mid| <= half-width of the window (inclusive), any parsed time for
+    products, NULL (dropped) when the time did not parse."""
+    hi = as_of + _dt.timedelta(hours=slack_hours)
+    lo = hi - _dt.timedelta(days=max_age_days)
+    epoch = _dt.datetime(1970, 1, 1)
+    lo_us = (lo - epoch) // _dt.timedelta(microseconds=1)
+    hi_us = (hi - epoch) // _dt.timedelta(microseconds=1)
+    mid2 = lo_us + hi_us  # compare 2*t with lo+hi to stay in integers
+    half2 = hi_us - lo_us
+    limit = F.when(F.coalesce(content_type == "product", F.lit(False)), F.lit(4_000_000_000_000_000_000)).otherwise(F.lit(half2))
+    return F.abs(F.unix_micros(ts.cast("timestamp")) * 2 - F.lit(mid2)) <= limit
+
+
 def entries_to_articles(
     items: DataFrame,
     as_of: _dt.datetime,
@@ -76,10 +92,8 @@ def entries_to_articles(
     a = a.withColumn("link", pick_link(F.col("link"), F.col("url"))).where(F.col("link").isNotNull())  # PRJ11/FLT3
     a = a.where(F.length(U.url_path(F.col("link"))) >= min_path)  # FLT4
     raw_time = F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in ("updated", "published", "feed_updated", "feed_published")])
-    a = a.withColumn("_time_text", normalize_time_text(raw_time))  # PRJ12: first non-empty source, no fall-through
-    a = a.withColumn("publish_time", parse_normalized_time(F.col("_time_text"))).drop("_time_text") \
-        .where(F.col("publish_time").isNotNull())  # PRJ13/FLT5
-    a = a.where(in_time_window(F.col("publish_time"), F.col("content_type"), as_of, max_age_days))  # FLT6
+    a = a.withColumn("publish_time", parse_feed_time(raw_time))  # PRJ12 (first non-empty, no fall-through) + PRJ13
+    a = a.where(time_window_keep(F.col("publish_time"), F.col("content_type"), as_of, max_age_days))  # FLT5 + FLT6
     raw_img = pick_image(
         F.col("image"), F.col("urlToImage"), F.col("media_content"), F.col("media_thumbnail"),
         F.col("summary"), F.col("content_html"),

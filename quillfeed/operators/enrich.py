@@ -115,14 +115,16 @@ def classification_channels(
     floor: float = config.CLASSIFICATION_FLOOR,
 ) -> DataFrame:
     """FLT10 + JOI8 + SET3: categories at or above the floor, trimmed, mapped to
-    channels, de-duplicated per article (sorted for a stable order). Articles whose
-    categories all fall out get an empty array."""
-    kept = classes.where(F.col("confidence") >= floor).select(key, F.trim(F.col("name")).alias("category"))
-    hits = kept.join(mapping, "category").groupBy(key).agg(F.sort_array(F.collect_set("channel")).alias("ext_channels"))
-    keys = classes.select(key).distinct()
-    return keys.join(hits, key, "left").withColumn(
-        "ext_channels", F.coalesce(F.col("ext_channels"), F.array().cast("array<string>"))
-    )
+    channels, de-duplicated per article (sorted for a stable order). Articles
+    whose categories all fall out get an empty array.
+
+    One pass: classes left-join the mapping (small, AQE broadcasts it by its
+    measured size) and ``collect_set`` keeps only surviving channels (NULLs are
+    skipped), partially aggregated per task before the shuffle on the key."""
+    c = classes.select(key, F.trim(F.col("name")).alias("category"), "confidence")
+    j = c.join(mapping.select("category", "channel"), "category", "left")
+    kept = F.when(F.col("confidence") >= floor, F.col("channel"))
+    return j.groupBy(key).agg(F.sort_array(F.collect_set(kept)).alias("ext_channels"))
 
 
 def external_channels(

@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from quillfeed.functions.scoring import seconds_between, ts_literal
 from quillfeed.functions.urls import article_key as _article_key
+from quillfeed.session import cut_lineage
 
 
 def surrogate_id(*cols) -> Column:
@@ -64,6 +65,8 @@ def normalize_publishers(pubs: DataFrame, existing: dict[str, DataFrame] | None
     empty rank stored as the column default 0; bridge rows are distinct."""
     ex = existing or {}
     now = ts_literal(as_of) if as_of else F.current_timestamp()
+    # six tables derive from the same (small) nested frame: materialise it once
+    pubs = cut_lineage(pubs)
 
     p = first_writer(pubs, ["site_url"], ["ord"]).select(
         surrogate_id("site_url").alias("id"),
