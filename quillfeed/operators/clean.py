@@ -86,7 +86,12 @@ def entries_to_articles(
     publisher_name, channels, creative_instance_id.
     """
     a = items.where(F.length(F.col("title")) > 0)  # FLT1
-    a = a.withColumn("title", TX.title_text(F.col("title")))  # PRJ9 + PRJ10 (decoded twice)
+    # PRJ9 + PRJ10, titles decoded twice; each step only touches values that
+    # contain markup or an entity (a step is a no-op on the others)
+    t = F.col("title")
+    a = a.withColumn("title", F.when(F.instr(t, "<") > 0, TX.strip_tags(t)).otherwise(t))
+    a = a.withColumn("title", F.when(F.instr(t, "&") > 0, TX.unescape_entities(t)).otherwise(t))
+    a = a.withColumn("title", F.when(F.instr(t, "&") > 0, TX.unescape_entities(t)).otherwise(t))
     if profanity:
         a = a.where(~TX.contains_listed_word(F.col("title"), profanity))  # FLT2
     a = a.withColumn("link", pick_link(F.col("link"), F.col("url"))).where(F.col("link").isNotNull())  # PRJ11/FLT3
@@ -108,7 +113,9 @@ def entries_to_articles(
         "publish_time",
         img.alias("img"),
         F.col("category"),
-        F.when(_nz(F.col("description")).isNotNull(), TX.html_to_text(F.col("description"))).otherwise(F.lit("")).alias("description"),
+        F.when(_nz(F.col("description")).isNull(), F.lit(""))
+        .when(F.instr(F.col("description"), "<") + F.instr(F.col("description"), "&") > 0, TX.html_to_text(F.col("description")))
+        .otherwise(F.col("description")).alias("description"),
         F.col("content_type"),
         F.when(F.col("content_type") == "audio", F.col("enclosures")).alias("enclosures"),  # PRJ26
         F.when(F.col("content_type") == "product", F.col("item_category")).alias("offers_category"),
@@ -151,9 +158,14 @@ def resolve_urls(articles: DataFrame, redirects: DataFrame | None = None, max_ho
 
 
 def scrub_strings(df: DataFrame, skip=("url", "url_hash", "img", "padded_img", "publisher_id")) -> DataFrame:
-    """PRJ8 over every string column in one projection (never fails a row)."""
+    """PRJ8 over every string column in one projection (never fails a row).
+    Values without ``<`` or ``&`` cannot change, so the regexes only run on
+    values that contain one of them."""
+    def scrub(c):
+        return F.when(F.instr(c, "<") + F.instr(c, "&") > 0, TX.scrub_html(c)).otherwise(c)
+
     return df.select(*[
-        TX.scrub_html(F.col(f.name)).alias(f.name)
+        scrub(F.col(f.name)).alias(f.name)
         if f.dataType.simpleString() == "string" and f.name not in skip else F.col(f.name)
         for f in df.schema.fields
     ])
