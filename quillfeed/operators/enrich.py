@@ -91,6 +91,12 @@ def apply_prediction(
 
 
 # --- taxonomy channels (SRC7, JOI7, JOI8, FLT10, SET3, QRY7) -------------------
+def default_taxonomy_rules(spark) -> DataFrame:
+    """The default (channel, pattern) rule table (``config.TAXONOMY_RULES``)."""
+    rows = [(ch, pat) for ch, pats in config.TAXONOMY_RULES.items() for pat in pats]
+    return spark.createDataFrame(rows, "channel string, pattern string")
+
+
 def expand_taxonomy(taxonomy: DataFrame, rules: DataFrame) -> DataFrame:
     """JOI7: (category, channel) pairs. ``prefix*`` rules match every taxonomy
     line starting with the prefix, plain rules map their exact text, ``~`` rules

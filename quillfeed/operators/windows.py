@@ -41,11 +41,12 @@ def group_row_number(
     if strategy != "range":
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = [F.col(k) for k in keys] + order_cols
+    # Without an explicit count AQE may coalesce the range partitions; it only
+    # merges neighbours, so every partition is still one contiguous range.
+    repart = df.repartitionByRange(num_partitions, *sort_cols) if num_partitions else df.repartitionByRange(*sort_cols)
     ranged = (
-        df.repartitionByRange(n, *sort_cols)
+        repart
         .sortWithinPartitions(*sort_cols)
         .withColumn("_qf_pid", F.spark_partition_id())
         .withColumn("_qf_mid", F.monotonically_increasing_id())
