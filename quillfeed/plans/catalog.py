@@ -907,3 +907,40 @@ def image_rules(spark: SparkSession, base: str) -> DataFrame:
     copy or are blanked (FLT13, PRJ27, PRJ28)."""
     out = enrich.apply_image_rules(S.image_articles(spark, base), S.image_meta(spark, base), S.page_meta(spark, base))
     return out.select("o_orderkey", "img", "padded_img")
+
+
+# --- QRY7: external channels with gate and augment channels ---------------------
+EXT_CHANNELS_SQL = f"""
+WITH tax AS (SELECT DISTINCT trim(value) AS category FROM ({S.TAXONOMY_SQL}) WHERE trim(value) <> ''),
+rules AS ({S.TAXONOMY_RULES_SQL}),
+r AS (SELECT * FROM rules WHERE NOT starts_with(pattern, '~')),
+m AS (
+  SELECT DISTINCT category, channel FROM (
+    SELECT tax.category, r.channel FROM tax JOIN r ON ends_with(r.pattern, '*')
+         AND starts_with(tax.category, substr(r.pattern, 1, length(r.pattern) - 1))
+    UNION ALL
+    SELECT pattern AS category, channel FROM r WHERE NOT ends_with(pattern, '*'))),
+c AS ({S.CLASSIFICATIONS_SQL}),
+h AS (SELECT c.article_key, m.channel FROM c JOIN m ON trim(c.name) = m.category WHERE c.confidence >= {config.CLASSIFICATION_FLOOR}),
+g AS (SELECT article_key, list_sort(list_distinct(list(channel))) AS found FROM h GROUP BY article_key),
+a AS ({S.ORDER_CHANNEL_ARTICLES_SQL}),
+j AS (SELECT a.*, coalesce(g.found, []) AS found,
+             list_has_any(a.channels, ['Fun']) OR length(coalesce(a.description, '') || coalesce(a.title, '')) < {config.MIN_TEXT_LEN} AS gated
+      FROM a LEFT JOIN g ON a.article_key = g.article_key)
+SELECT article_key,
+       CASE WHEN gated THEN ''
+            ELSE array_to_string(list_concat(found, list_filter(channels,
+                 lambda x, i: list_contains(['Crypto', 'Culture', 'Top News', 'Top Sources'], x)
+                              AND list_position(channels, x) = i)), '|') END AS ext_channels
+FROM j"""
+
+
+@register("external_channels", EXT_CHANNELS_SQL)
+def external_channels_q(spark: SparkSession, base: str) -> DataFrame:
+    """QRY7: classifier categories mapped through the taxonomy rules (JOI7,
+    JOI8, FLT10, SET3); default-channel or short articles get no external
+    channels; otherwise the article's augment channels follow the found ones."""
+    mapping = enrich.expand_taxonomy(S.taxonomy_lines(spark, base), S.taxonomy_rules(spark, base))
+    ext = enrich.classification_channels(S.classifications(spark, base), mapping)
+    out = enrich.external_channels(S.order_channel_articles(spark, base), ext)
+    return out.select("article_key", F.array_join("ext_channels", "|").alias("ext_channels"))

@@ -377,3 +377,26 @@ def page_meta(spark: SparkSession, base: str) -> DataFrame:
     o = read_table(spark, base, "orders").where(F.col("o_orderpriority").isin("5-LOW", "2-HIGH"))
     return o.select(F.concat(F.lit("https://shop.example.com/o/"), F.col("o_orderkey").cast("string")).alias("url"),
                     F.concat(F.lit("https://og.example.com/"), F.col("o_orderkey").cast("string"), F.lit(".png")).alias("og_image"))
+
+
+# --- articles for external classification (orders) ---------------------------
+def order_channel_articles(spark: SparkSession, base: str) -> DataFrame:
+    o = read_table(spark, base, "orders")
+    ch = (F.when(F.col("o_orderpriority") == "1-URGENT", F.array(F.lit("Top News"), F.lit("World")))
+          .when(F.col("o_orderpriority") == "2-HIGH", F.array(F.lit("Fun")))
+          .when(F.col("o_orderpriority") == "3-MEDIUM", F.array(F.lit("Culture"), F.lit("Politics"), F.lit("Culture")))
+          .otherwise(F.array(F.lit("Business"))))
+    return o.select(F.col("o_orderkey").cast("string").alias("article_key"),
+                    F.concat(F.col("o_orderpriority"), F.lit(" order number "), F.col("o_orderkey").cast("string")).alias("title"),
+                    F.col("o_orderstatus").alias("description"), ch.alias("channels"))
+
+
+ORDER_CHANNEL_ARTICLES_SQL = """
+SELECT CAST(o_orderkey AS VARCHAR) AS article_key,
+       o_orderpriority || ' order number ' || CAST(o_orderkey AS VARCHAR) AS title,
+       o_orderstatus AS description,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN ['Top News', 'World']
+            WHEN o_orderpriority = '2-HIGH' THEN ['Fun']
+            WHEN o_orderpriority = '3-MEDIUM' THEN ['Culture', 'Politics', 'Culture']
+            ELSE ['Business'] END AS channels
+FROM orders"""
