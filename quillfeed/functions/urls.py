@@ -67,8 +67,20 @@ def quote_path(path: Column) -> Column:
     return F.array_join(F.transform(F.split(path, "/", -1), quote_segment), "/")
 
 
+SAFE_PATH_RE = r"^[A-Za-z0-9_.~/-]*$"
+
+
 def reencode_url(u: Column) -> Column:
-    """PRJ16: URL with its path percent-encoded and the other parts kept."""
+    """PRJ16: URL with its path percent-encoded and the other parts kept.
+
+    A path made only of characters ``quote`` leaves alone re-encodes to
+    itself; such URLs (the usual case) are returned as they are, and only the
+    rest is split and reassembled."""
+    unchanged = url_path(u).rlike(SAFE_PATH_RE) & ~u.rlike(r"(\?#|[?#]$)")
+    return F.when(unchanged, u).otherwise(_reencode_url(u))
+
+
+def _reencode_url(u: Column) -> Column:
     scheme = F.regexp_extract(u, URL_RE, 2)
     netloc = url_netloc(u)
     q = url_query(u)
