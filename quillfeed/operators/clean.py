@@ -19,6 +19,7 @@ from quillfeed.functions import urls as U
 from quillfeed.functions.images import pick_image
 from quillfeed.functions.scoring import ts_literal
 from quillfeed.functions.timeparse import parse_feed_time
+from quillfeed.session import cut_lineage
 
 
 def _nz(c: Column) -> Column:
@@ -128,32 +129,39 @@ def entries_to_articles(
 
 
 def resolve_urls(articles: DataFrame, redirects: DataFrame | None = None, max_hops: int = 5) -> DataFrame:
-    """JOI3 + PRJ16 + PRJ17: follow ``redirects(src, dst, status)`` up to
-    ``max_hops`` (unmatched links are already final, a failed hop drops the
-    article), hash the resolved URL, then percent-encode its path.
-
-    Each hop is one equi join against the redirect table (one row per source
-    URL); the hop count is a fixed bound, so the plan has a fixed number of joins."""
-    a = articles.withColumn("_u", F.col("link")).withColumn("_ok", F.lit(True))
-    if redirects is not None:
-        # one response per source URL (repeated fetches collapse to the lowest
-        # status, then the smallest target), so a hop never multiplies rows
+    """JOI3 + FLT7 + PRJ16 + PRJ17: follow ``redirects(src, dst, status)`` up to
+    ``max_hops``; a link with no redirect row is final, a failed hop (status
+    outside 200-399) drops the article. Then hash the resolved URL and
+    percent-encode its path.
+
+    The redirect table is reduced to one response per source URL (repeated
+    fetches collapse to the lowest status, then the smallest target) and, when
+    several hops are followed, materialised once. Each hop is one equi join of
+    the links that are still moving; finished links leave the loop, so later
+    hops shuffle only the remaining chains."""
+    a = articles.withColumn("_u", F.col("link"))
+    if redirects is not None and max_hops > 0:
         one = redirects.groupBy("src").agg(
             F.min_by(F.struct("dst", "status"), F.struct("status", "dst")).alias("_r"))
         r = one.select(F.col("src").alias("_u"), F.col("_r.dst").alias("_dst"), F.col("_r.status").alias("_st"))
+        if max_hops > 1:
+            r = cut_lineage(r)
+        done = []
+        moving = a
         for _ in range(max_hops):
-            a = a.join(r, "_u", "left")
-            failed = F.col("_st").isNotNull() & ~F.col("_st").between(200, 399)
-            a = (
-                a.withColumn("_ok", F.col("_ok") & ~failed)
-                .withColumn("_u", F.when(F.col("_dst").isNotNull() & ~failed, F.col("_dst")).otherwise(F.col("_u")))
-                .drop("_dst", "_st")
-            )
-        a = a.where(F.col("_ok"))
+            j = moving.join(r, "_u", "left")
+            ok = F.coalesce(F.col("_st").between(200, 399), F.lit(False))  # a failed hop drops the link (FLT7)
+            final = F.col("_st").isNull() | (ok & F.col("_dst").isNull())  # no redirect (or no target): final
+            done.append(j.where(final).drop("_dst", "_st"))
+            moving = j.where(ok & F.col("_dst").isNotNull()).withColumn("_u", F.col("_dst")).drop("_dst", "_st")
+        done.append(moving)  # hop limit reached: stop following
+        a = done[0]
+        for d in done[1:]:
+            a = a.unionByName(d)
     return (
         a.withColumn("url_hash", U.url_hash(F.col("_u")))
         .withColumn("url", U.reencode_url(F.col("_u")))
-        .drop("_u", "_ok", "link")
+        .drop("_u", "link")
     )
 
 

@@ -255,6 +255,35 @@ def attach_article_channels(articles: DataFrame, t: dict[str, DataFrame], locale
         "channels", F.coalesce(F.col("channels"), F.array().cast("array<string>")))
 
 
+ARTICLE_RECORD = ("title", "publish_time", "img", "category", "description", "content_type", "publisher_id",
+                  "publisher_name", "channels", "creative_instance_id", "url", "url_hash", "pop_score",
+                  "padded_img", "score")
+
+
+def _article_records(found: DataFrame, t: dict[str, DataFrame], locale: str | None) -> DataFrame:
+    feed = t["feed"].select(F.col("id").alias("feed_id"), F.col("url_hash").alias("publisher_id"),
+                            F.col("publisher_id").alias("_pub"))
+    pub = t["publisher"].select(F.col("id").alias("_pub"), F.col("name").alias("publisher_name"))
+    a = found.drop("publisher_id").join(feed, "feed_id", "left").join(pub, "_pub", "left")  # JOI11
+    a = attach_article_channels(a, t, locale)  # JOI10 (+ AGG4)
+    return a.select("article_key", *ARTICLE_RECORD)
+
+
+def stored_articles(article: DataFrame, keys: DataFrame, t: dict[str, DataFrame], locale: str) -> DataFrame:
+    """QRY3 for a set of looked-up keys: stored rows with a non-empty image
+    (JOI4 + FLT16) returned as feed records, publisher via the feed (JOI11),
+    channels of the feed in ``locale`` (JOI10)."""
+    usable = article.where(F.coalesce(F.col("img"), F.lit("")) != "")
+    found = usable.join(keys.select("article_key").distinct(), "article_key", "left_semi")
+    return _article_records(found, t, locale)
+
+
+def remaining_with_channels(article: DataFrame, published_keys: DataFrame, t: dict[str, DataFrame]) -> DataFrame:
+    """QRY4: stored articles not published this run (JOI12), with channels of
+    their feed across all locales."""
+    return _article_records(remaining_articles(article, published_keys), t, None)
+
+
 def article_with_external(articles: DataFrame, external: DataFrame) -> DataFrame:
     """QRY5 + JOI13: first classification row per article, left joined (T12:
     an article without one keeps NULL external columns instead of failing)."""

@@ -19,7 +19,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillfeed import config
 from quillfeed.operators import clean, enrich, quality, rank, store
 from quillfeed.sources import feeds
 from quillfeed.session import cut_lineage
@@ -136,6 +135,3 @@ def build_from_entries(
     return FeedBuild(feed=out, report=report, failures=failures, new_articles=new,
                      known=known if known is not None else new.limit(0))
 
-
-def default_settings() -> dict:
-    return {"as_of": config.AS_OF}

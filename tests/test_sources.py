@@ -101,3 +101,36 @@ def test_upsert_idempotent(spark):
     assert c2.count() == 3
     c3 = ST.increment_cache_hits(c2, spark.createDataFrame([(1, 1), (1, 1), (9, 9)], "article_id long, locale_id long"))
     assert {(r[0], r[2]) for r in c3.collect()} == {(1, 2), (2, 0), (3, 0)}
+
+
+def test_qry3_qry4_records_and_reruns(spark):
+    import datetime as dt
+
+    tmp = _fixture()
+    raw = read_source_csvs(spark, os.path.join(tmp, "sources.*_*.csv"))
+    b = build_sources(raw, read_favicons(spark, os.path.join(tmp, "favicons.json")),
+                      read_covers(spark, os.path.join(tmp, "nope.json")))
+    t = load_store(b)
+    alpha_pid = hashlib.sha256(b"https://www.alpha.example.com/rss").hexdigest()
+    inc = spark.createDataFrame(
+        [("k1", "t1", None, "https://i/1.jpg", "https://i/1.jpg", "c", "d", "article", "", "https://a/1", "h1", 1.0, 0.0, alpha_pid, 1),
+         ("k2", "t2", None, "", "", "c", "d", "article", "", "https://a/2", "h2", 2.0, 0.0, alpha_pid, 2)],
+        "article_key string, title string, publish_time timestamp, img string, padded_img string, category string, "
+        "description string, content_type string, creative_instance_id string, url string, url_hash string, "
+        "pop_score double, score double, publisher_id string, ord long")
+    when = dt.datetime(2024, 1, 1)
+    art = ST.upsert_articles(None, inc, t["feed"], when)
+    # re-running the same upsert at the same time changes nothing
+    again = ST.upsert_articles(art, inc, t["feed"], when)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, art.collect()))
+    keys = spark.createDataFrame([("k1",), ("k2",), ("k9",)], "article_key string")
+    q3 = {r["article_key"]: r for r in ST.stored_articles(art, keys, t, "es_ES").collect()}
+    assert set(q3) == {"k1"}  # k2 has no image (FLT16), k9 is unknown
+    assert q3["k1"]["publisher_name"] == "Alpha News" and q3["k1"]["channels"] == ["Deportes"]
+    assert q3["k1"]["publisher_id"] == alpha_pid
+    q4 = {r["article_key"]: r["channels"] for r in ST.remaining_with_channels(art, keys.limit(1), t).collect()}
+    assert q4 == {"k2": ["Deportes", "Top News", "World News"]}
+    # cache records: inserting the same keys twice changes nothing
+    recs = spark.createDataFrame([(1, 1), (2, 1)], "article_id long, locale_id long")
+    c1 = ST.insert_cache_records(None, recs)
+    assert sorted(map(tuple, ST.insert_cache_records(c1, recs).collect())) == sorted(map(tuple, c1.collect()))
