@@ -47,6 +47,15 @@ def _nz(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+def _web_url(u: Column) -> Column:
+    """http(s) URL whose host is a dotted name ending in a 2-63 letter top-level
+    domain, or an IPv4 address (what a web-URL validator accepts)."""
+    host = U.url_host(u)
+    named = host.rlike(r"^([A-Za-z0-9_-]+\.)+[A-Za-z]{2,63}\.?$")
+    ipv4 = host.rlike(r"^\d{1,3}(\.\d{1,3}){3}$")
+    return U.is_http_url(u) & F.coalesce(named | ipv4, F.lit(False))
+
+
 def _split_list(c: Column) -> Column:
     """PRJ6: ';' separated, items trimmed; empty -> []."""
     return F.when(_nz(c).isNull(), F.array().cast("array<string>")).otherwise(
@@ -61,12 +70,15 @@ def type_source_rows(raw: DataFrame) -> DataFrame:
     site, feed = _raw(raw, "Domain"), _raw(raw, "Feed")
     title, dest = _raw(raw, "Title"), _raw(raw, "Destination Domains")
     orig = _raw(raw, "Original_Feed")
+    score, rank = _nz(_raw(raw, "Score")), _nz(_raw(raw, "Rank"))
     errors = F.filter(
         F.array(
             F.when(_nz(title).isNull(), F.lit("Title: must contain a value")),
             F.when(_nz(dest).isNull(), F.lit("Destination Domains: must contain a value")),
-            F.when(~U.is_http_url(site), F.lit("Domain: invalid or missing URL")),
-            F.when(~U.is_http_url(feed), F.lit("Feed: invalid or missing URL")),
+            F.when(~_web_url(site), F.lit("Domain: invalid or missing URL")),
+            F.when(~_web_url(feed), F.lit("Feed: invalid or missing URL")),
+            F.when(score.isNotNull() & score.try_cast("double").isNull(), F.lit("Score: not a valid number")),
+            F.when(rank.isNotNull() & rank.try_cast("int").isNull(), F.lit("Rank: not a valid integer")),
         ),
         lambda e: e.isNotNull(),
     )
@@ -78,7 +90,7 @@ def type_source_rows(raw: DataFrame) -> DataFrame:
         site.alias("site_url"),
         feed.alias("feed_url"),
         F.coalesce(_nz(_raw(raw, "Score")).try_cast("double"), F.lit(0.0)).alias("score"),  # PRJ4
-        F.split(dest, ";").alias("destination_domains"),
+        F.transform(F.split(dest, ";"), lambda x: F.trim(x)).alias("destination_domains"),  # PRJ6
         _nz(orig).alias("original_feed"),
         F.coalesce(_raw(raw, "OG-Images") == "On", F.lit(False)).alias("og_images"),  # PRJ3
         F.lit(config.DEFAULT_MAX_ENTRIES).alias("max_entries"),  # PRJ4

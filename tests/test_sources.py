@@ -134,3 +134,23 @@ def test_qry3_qry4_records_and_reruns(spark):
     recs = spark.createDataFrame([(1, 1), (2, 1)], "article_id long, locale_id long")
     c1 = ST.insert_cache_records(None, recs)
     assert sorted(map(tuple, ST.insert_cache_records(c1, recs).collect())) == sorted(map(tuple, c1.collect()))
+
+
+def test_validation_rules(spark):
+    from quillfeed.operators import publishers as P
+
+    cols = ["Domain", "Feed", "Title", "Destination Domains", "Score", "Rank", "locale", "file", "row_no"]
+    rows = [
+        ("https://www.ok.example.com", "https://www.ok.example.com/rss", "Ok", " a.com ; b.com", "1.5", "2", "x", "f", 1),
+        ("https://localhost", "https://localhost/rss", "NoTld", "a.com", "", "", "x", "f", 2),
+        ("https://10.0.0.1", "https://10.0.0.1/rss", "Ip", "a.com", "", "", "x", "f", 3),
+        ("https://www.s.example.com", "https://www.s.example.com/rss", "BadScore", "a.com", "high", "", "x", "f", 4),
+        ("https://www.r.example.com", "https://www.r.example.com/rss", "BadRank", "a.com", "", "first", "x", "f", 5),
+    ]
+    raw = spark.createDataFrame(rows, ",".join(f"`{c}` string" if c != "row_no" else "row_no long" for c in cols))
+    good, bad = P.split_valid(P.type_source_rows(raw))
+    g = {r["publisher_name"]: r for r in good.collect()}
+    assert set(g) == {"Ok", "Ip"}
+    assert g["Ok"]["destination_domains"] == ["a.com", "b.com"] and g["Ok"]["score"] == 1.5 and g["Ok"]["rank"] == 2
+    errs = {r["row_no"]: list(r["errors"]) for r in bad.collect()}
+    assert set(errs) == {2, 4, 5} and any("Score" in e for e in errs[4]) and any("Rank" in e for e in errs[5])
