@@ -32,9 +32,9 @@ def build_sources(raw: DataFrame, favicons: DataFrame, covers: DataFrame) -> Sou
     # the cleaned site url; both are the trimmed Domain value here.
     enriched = P.attach_lookups(good, favicons, covers)
     nested = P.nest_locales(enriched).orderBy("publisher_name", "publisher_id")
-    feed_map = enriched.groupBy("locale", "feed_url").agg(
-        F.max_by(F.struct(*[c for c in enriched.columns if c not in ("locale", "feed_url")]),
-                 F.struct("file", "row_no")).alias("_r")).select("locale", "feed_url", "_r.*")
+    keep = [c for c in P.FEED_INCLUDE if c in enriched.columns and c != "feed_url"]
+    feed_map = enriched.groupBy("locale", "feed_url").agg(  # SNK4 per locale: last row wins
+        F.max_by(F.struct(*keep), F.struct("file", "row_no")).alias("_r")).select("locale", "feed_url", "_r.*")
     lst = enriched.select("locale", *P.SOURCES_INCLUDE).orderBy("locale", "publisher_name")
     return SourcesBuild(rows=enriched, quarantine=bad,
                         global_sources=nested.select(*[c for c in P.GLOBAL_INCLUDE if c in nested.columns]),

@@ -154,3 +154,13 @@ def test_validation_rules(spark):
     assert g["Ok"]["destination_domains"] == ["a.com", "b.com"] and g["Ok"]["score"] == 1.5 and g["Ok"]["rank"] == 2
     errs = {r["row_no"]: list(r["errors"]) for r in bad.collect()}
     assert set(errs) == {2, 4, 5} and any("Score" in e for e in errs[4]) and any("Rank" in e for e in errs[5])
+
+
+def test_feed_map_projection(spark):
+    tmp = _fixture()
+    raw = read_source_csvs(spark, os.path.join(tmp, "sources.*_*.csv"))
+    b = build_sources(raw, read_favicons(spark, os.path.join(tmp, "favicons.json")), read_covers(spark, os.path.join(tmp, "x.json")))
+    cols = set(b.feed_map.columns)
+    assert {"locale", "feed_url", "publisher_id", "channels", "max_entries", "og_images", "site_url"} <= cols
+    assert "enabled" not in cols and "publisher_domain" not in cols
+    assert b.feed_map.count() == 3
