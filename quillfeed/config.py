@@ -33,6 +33,7 @@ VIDEO_EXTENSIONS = (
     ".mp4", ".avi", ".mov", ".wmv", ".flv", ".mkv", ".webm", ".mpg", ".mpeg",
     ".3gp", ".ogg", ".ogv", ".rm", ".swf", ".vob",
 )
+PROFANITY_CUSTOM_WORDS = ("vibrators", "hedonistic")  # added to the (external) word list
 COLOR_FADE = 0.12
 ICON_MIN_SIDE = 50
 MONOCHROME_STD = 85

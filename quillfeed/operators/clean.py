@@ -82,9 +82,10 @@ def entries_to_articles(
 
     Expected item columns: title, link, url, updated, published, feed_updated,
     feed_published, description, image, urlToImage, media_content,
-    media_thumbnail, summary, content_html, enclosures, item_category; and
-    publisher columns: site_url, category, content_type, publisher_id,
-    publisher_name, channels, creative_instance_id.
+    media_thumbnail, summary, content_html, enclosures, item_category, plus the
+    two publisher attributes the rules read: content_type (FLT6, PRJ26) and
+    site_url (PRJ19). Other publisher columns present (category, ids, names,
+    channels, locale, ...) pass through unchanged.
     """
     a = items.where(F.length(F.col("title")) > 0)  # FLT1
     # PRJ9 + PRJ10, titles decoded twice; each step only touches values that
@@ -108,23 +109,21 @@ def entries_to_articles(
         (raw_img != "") & (U.url_netloc(raw_img) == ""), U.resolve_against(F.col("site_url"), raw_img)
     ).otherwise(raw_img)  # PRJ19 (join against the site when there is no host)
     img = F.when((raw_img != "") & (F.length(U.url_path(raw_img)) < 4), F.lit("")).otherwise(resolved)
+    passthrough = [c for c in ("category", "publisher_id", "publisher_name", "channels", "creative_instance_id",
+                               "ord", "pos", "locale", "feed_url", "site_url", "og_images", "max_entries")
+                   if c in items.columns]
     return a.select(
         "title",
         "link",
         "publish_time",
         img.alias("img"),
-        F.col("category"),
         F.when(_nz(F.col("description")).isNull(), F.lit(""))
         .when(F.instr(F.col("description"), "<") + F.instr(F.col("description"), "&") > 0, TX.html_to_text(F.col("description")))
         .otherwise(F.col("description")).alias("description"),
         F.col("content_type"),
         F.when(F.col("content_type") == "audio", F.col("enclosures")).alias("enclosures"),  # PRJ26
         F.when(F.col("content_type") == "product", F.col("item_category")).alias("offers_category"),
-        "publisher_id",
-        "publisher_name",
-        "channels",
-        "creative_instance_id",
-        *[c for c in ("ord", "locale", "feed_url", "og_images") if c in items.columns],
+        *passthrough,
     )
 
 

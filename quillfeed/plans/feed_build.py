@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillfeed import config
 from quillfeed.operators import clean, enrich, quality, rank, store
 from quillfeed.sources import feeds
 from quillfeed.session import cut_lineage
@@ -51,7 +52,7 @@ def build_locale_feeds(
     image_meta: DataFrame | None = None,
     page_meta: DataFrame | None = None,
     redirects: DataFrame | None = None,
-    profanity: tuple = (),
+    profanity: tuple = config.PROFANITY_CUSTOM_WORDS,
     cdn_base: str = "https://cdn.example.invalid/cache",
 ) -> FeedBuild:
     entries = feeds.parse_feeds(docs)
@@ -72,26 +73,37 @@ def build_from_entries(
     image_meta: DataFrame | None = None,
     page_meta: DataFrame | None = None,
     redirects: DataFrame | None = None,
-    profanity: tuple = (),
+    profanity: tuple = config.PROFANITY_CUSTOM_WORDS,
     cdn_base: str = "https://cdn.example.invalid/cache",
     failures: DataFrame | None = None,
 ) -> FeedBuild:
     """QRY8 from parsed entries (``feed_url``, ``pos`` and the SRC4 columns; an
     ``ord`` column, when present, is the input order used to break time ties)."""
     pubs = small_side(publishers.select(*PUBLISHER_COLUMNS), "publishers")  # source lists: bounded, size-checked
-    items = entries.join(pubs, "feed_url")  # JOI1 (one row per entry x listed locale)
-    attempted = feeds.first_entries(items)  # TOP1
-    report = quality.run_report(items.select("feed_url", "locale", "max_entries"), group_cols=("locale",))
-
-    if "ord" not in attempted.columns:
-        attempted = attempted.withColumn("ord", F.xxhash64("feed_url", "pos"))
-    arts = clean.entries_to_articles(attempted, as_of=as_of, profanity=profanity)
+    report = quality.run_report(  # AGG6 per (feed, locale)
+        entries.select("feed_url").join(pubs.select("feed_url", "locale", "max_entries"), "feed_url"),
+        group_cols=("locale",))
+
+    # Cleaning reads only the entry plus content_type and site_url of its
+    # publisher row, so each entry is cleaned, resolved and keyed once per
+    # distinct (feed, content_type, site_url) - not once per listed locale.
+    ck = F.xxhash64("content_type", "site_url")  # null-safe key of the attributes cleaning reads
+    clean_keys = pubs.groupBy("feed_url", "content_type", "site_url").agg(
+        F.max(F.coalesce("max_entries", F.lit(config.DEFAULT_MAX_ENTRIES))).alias("_first_n"))
+    pre = entries.join(clean_keys, "feed_url").where(F.col("pos") < F.col("_first_n")).drop("_first_n")
+    if "ord" not in pre.columns:
+        pre = pre.withColumn("ord", F.xxhash64("feed_url", "pos"))
+    arts = clean.entries_to_articles(pre, as_of=as_of, profanity=profanity)
     arts = clean.resolve_urls(arts, redirects)  # JOI3, PRJ16, PRJ17
     arts = store.with_article_key(arts)  # PRJ18
     # The cleaned articles feed several branches (known/new split, per-locale
     # popularity bounds, prediction locales): materialise them once in the
     # shared checkpoint folder instead of re-running the cleaning per branch.
     arts = cut_lineage(arts)
+    # JOI1: every listed locale of the feed, then TOP1 with that row's max_entries
+    locale_rows = pubs.withColumn("_ck", ck).drop("content_type", "site_url")
+    arts = arts.withColumn("_ck", ck).join(locale_rows, ["feed_url", "_ck"]).drop("_ck")
+    arts = feeds.first_entries(arts).drop("pos", "max_entries")
 
     if stored is not None:
         new, known_keys = store.split_known(arts, stored)  # JOI4 + FLT16
