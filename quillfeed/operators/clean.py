@@ -77,6 +77,7 @@ def entries_to_articles(
     profanity=(),
     min_path: int = config.MIN_LINK_PATH,
     max_age_days: int = config.MAX_AGE_DAYS,
+    time_filter: bool = True,
 ) -> DataFrame:
     """Map feed items (with publisher columns) to articles, dropping invalid ones.
 
@@ -100,7 +101,8 @@ def entries_to_articles(
     a = a.where(F.length(U.url_path(F.col("link"))) >= min_path)  # FLT4
     raw_time = F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in ("updated", "published", "feed_updated", "feed_published")])
     a = a.withColumn("publish_time", parse_feed_time(raw_time))  # PRJ12 (first non-empty, no fall-through) + PRJ13
-    a = a.where(time_window_keep(F.col("publish_time"), F.col("content_type"), as_of, max_age_days))  # FLT5 + FLT6
+    if time_filter:  # FLT5 + FLT6 (a caller that materialises the rows first applies it afterwards)
+        a = a.where(time_window_keep(F.col("publish_time"), F.col("content_type"), as_of, max_age_days))
     raw_img = pick_image(
         F.col("image"), F.col("urlToImage"), F.col("media_content"), F.col("media_thumbnail"),
         F.col("summary"), F.col("content_html"),

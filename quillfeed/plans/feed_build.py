@@ -93,13 +93,16 @@ def build_from_entries(
     pre = entries.join(clean_keys, "feed_url").where(F.col("pos") < F.col("_first_n")).drop("_first_n")
     if "ord" not in pre.columns:
         pre = pre.withColumn("ord", F.xxhash64("feed_url", "pos"))
-    arts = clean.entries_to_articles(pre, as_of=as_of, profanity=profanity)
+    arts = clean.entries_to_articles(pre, as_of=as_of, profanity=profanity, time_filter=False)
     arts = clean.resolve_urls(arts, redirects)  # JOI3, PRJ16, PRJ17
     arts = store.with_article_key(arts)  # PRJ18
     # The cleaned articles feed several branches (known/new split, per-locale
     # popularity bounds, prediction locales): materialise them once in the
     # shared checkpoint folder instead of re-running the cleaning per branch.
+    # The time window (FLT5/FLT6) then filters the stored column, so the date
+    # parse runs once per entry rather than once more inside the filter.
     arts = cut_lineage(arts)
+    arts = arts.where(clean.time_window_keep(F.col("publish_time"), F.col("content_type"), as_of))
     # JOI1: every listed locale of the feed, then TOP1 with that row's max_entries
     locale_rows = pubs.withColumn("_ck", ck).drop("content_type", "site_url")
     arts = arts.withColumn("_ck", ck).join(locale_rows, ["feed_url", "_ck"]).drop("_ck")
