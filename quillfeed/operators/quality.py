@@ -47,8 +47,8 @@ def report_passes(report: DataFrame) -> bool:
 
 
 def file_freshness(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """SRC10: last-modified time of each published file from the file source's
-    ``_metadata`` column (one row per file, no content scan beyond one record)."""
+    """SRC10: last-modified time of each published file, from the ``binaryFile``
+    listing columns (path, modificationTime); the file content is not read."""
     df = spark.read.format("binaryFile").load(paths).select(
         F.col("path").alias("file"), F.col("modificationTime").alias("last_modified"))
     return df

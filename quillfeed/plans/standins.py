@@ -400,3 +400,19 @@ SELECT CAST(o_orderkey AS VARCHAR) AS article_key,
             WHEN o_orderpriority = '3-MEDIUM' THEN ['Culture', 'Politics', 'Culture']
             ELSE ['Business'] END AS channels
 FROM orders"""
+
+
+# --- raw RSS documents: one small document per event ---------------------------
+def feed_documents(spark: SparkSession, base: str) -> DataFrame:
+    """(feed_url, content) rows: each event becomes an RSS 2.0 document with
+    one item (title, link, HTML description escaped as XML text, pubDate in the
+    layout its event type selects), fetched for the user's feed URL."""
+    it = feed_items(spark, base)
+    xml = F.concat(
+        F.lit('<?xml version="1.0" encoding="UTF-8"?><rss version="2.0"><channel><title>'),
+        F.col("publisher_name"), F.lit("</title><link>"), F.col("site_url"), F.lit("</link><item><title>"),
+        F.col("title"), F.lit("</title><link>"), F.col("link"), F.lit("</link><description>"),
+        F.replace(F.replace(F.col("description"), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")),
+        F.lit("</description><pubDate>"), F.col("updated"), F.lit("</pubDate></item></channel></rss>"),
+    )
+    return it.select(F.concat(F.col("site_url"), F.lit("/rss")).alias("feed_url"), xml.alias("content"))
