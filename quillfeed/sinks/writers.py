@@ -65,3 +65,13 @@ def read_current(spark, base: str, fmt: str = "parquet") -> DataFrame:
     """Read the snapshot ``_CURRENT`` points to."""
     target = spark.read.text(f"{base.rstrip('/')}/_CURRENT").first()[0]
     return spark.read.format(fmt).load(target)
+
+
+def save_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, mode: str = "overwrite") -> DataFrame:
+    """Save a store table bucketed (and sorted) by its key, e.g. the article
+    table by ``article_key``. Joins between tables bucketed the same way on the
+    key - the upsert's full outer join, the known/new split - then read
+    matching buckets side by side instead of shuffling the large table each
+    run. Returns the catalog table."""
+    df.write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    return df.sparkSession.table(table)

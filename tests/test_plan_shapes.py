@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from conftest import SF
 from quillfeed.plans import catalog
 from quillfeed.plans import standins as S
@@ -36,3 +38,14 @@ def test_scans_are_pruned(spark):
     p = _plan(catalog.global_sources(spark, SF))
     scans = [line for line in p.split("\n") if "Scan parquet" in line or "FileScan" in line]
     assert scans and all("text#" not in line for line in scans)
+
+
+def test_bucketed_store_tables_join_without_shuffle(spark):
+    from quillfeed.sinks.writers import save_bucketed
+
+    a = spark.range(0, 2000).select(F.sha2(F.col("id").cast("string"), 256).alias("article_key"), F.col("id").alias("v"))
+    old = save_bucketed(a, "qf_test_articles_a", ["article_key"], 8)
+    new = save_bucketed(a.where(F.col("v") % 2 == 0), "qf_test_articles_b", ["article_key"], 8)
+    j = old.join(new.withColumnRenamed("v", "w"), "article_key", "full_outer")
+    assert j.count() == 2000
+    assert "Exchange" not in j._jdf.queryExecution().executedPlan().toString()
