@@ -453,8 +453,8 @@ def _keyed(df):
     return ST.with_article_key(df.withColumn("url_hash", U.url_hash(F.col("url"))).withColumn("padded_img", F.col("img")))
 
 
-def _stored_articles(spark, base):
-    feeds = S.customer_feeds(spark, base)
+def _stored_articles(spark, base, feeds=None):
+    feeds = feeds if feeds is not None else S.customer_feeds(spark, base)
     return ST.upsert_articles(None, _keyed(S.order_articles(spark, base, incoming=False)), feeds, STORE_AS_OF_1)
 
 
@@ -959,3 +959,60 @@ def xml_feeds(spark: SparkSession, base: str) -> DataFrame:
         "locale", "url_hash", "title", format_utc(F.col("publish_time")).alias("publish_time"), "publisher_id",
         F.col("variety_rank"), F.format_string("%.9e", F.col("score")).alias("score"),
         F.round("pop_score", 6).alias("pop_score"))
+
+
+# --- QRY3 / QRY4 over the shop store ----------------------------------------------
+QRY3_LOCALE = "NATION_3"
+
+
+def _shop_store(spark, base):
+    from quillfeed.sources.lookups import COVER_VALUE
+    from pyspark.sql import types as T
+
+    good, _bad = P.split_valid(P.type_source_rows(S.customer_source_rows(spark, base)))
+    fav = spark.createDataFrame([], "domain string, favicon_url string")
+    cov = spark.createDataFrame([], T.StructType([T.StructField("domain", T.StringType())] + COVER_VALUE.fields))
+    nested = P.nest_locales(P.attach_lookups(good, fav, cov)).withColumn("ord", F.struct("publisher_name", "publisher_id"))
+    return ST.normalize_publishers(nested, as_of=config.AS_OF)
+
+
+_SHOP_SQL = f"""
+WITH {_KEYED_ORDERS_SQL},
+shop AS (SELECT c_custkey, c_mktsegment, n_name FROM customer JOIN nation ON CAST(c_nationkey AS INTEGER) = CAST(n_nationkey AS INTEGER))"""
+
+QRY3_SQL = f"""{_SHOP_SQL},
+keys AS (SELECT DISTINCT article_key FROM i)
+SELECT s.article_key, s.title, s.img, 'Shop ' || CAST(s.feed_id AS VARCHAR) AS publisher_name,
+       sha256('https://shop' || CAST(s.feed_id AS VARCHAR) || '.example.com/rss') AS publisher_id,
+       CASE WHEN shop.n_name = '{QRY3_LOCALE}' THEN shop.c_mktsegment ELSE '' END AS channels
+FROM s JOIN shop ON shop.c_custkey = s.feed_id
+WHERE s.img <> '' AND s.article_key IN (SELECT article_key FROM keys)"""
+
+
+@register("stored_articles", QRY3_SQL)
+def stored_articles_q(spark: SparkSession, base: str) -> DataFrame:
+    """QRY3: incoming keys looked up in the stored articles (JOI4, FLT16),
+    returned as feed records with the publisher reached through the feed
+    (JOI11) and the feed's channels in one locale (JOI10, AGG4); store tables
+    loaded from per-customer source rows (SET4-6)."""
+    t = _shop_store(spark, base)
+    keys = _keyed(S.order_articles(spark, base, incoming=True)).select("article_key")
+    r = ST.stored_articles(_stored_articles(spark, base, t["feed"]), keys, t, QRY3_LOCALE)
+    return r.select("article_key", "title", "img", "publisher_name", "publisher_id",
+                    F.array_join("channels", "|").alias("channels"))
+
+
+QRY4_SQL = f"""{_SHOP_SQL}
+SELECT s.article_key, s.title, 'Shop ' || CAST(s.feed_id AS VARCHAR) AS publisher_name, shop.c_mktsegment AS channels
+FROM s JOIN shop ON shop.c_custkey = s.feed_id
+WHERE s.article_key NOT IN (SELECT article_key FROM i)"""
+
+
+@register("remaining_with_channels", QRY4_SQL)
+def remaining_with_channels_q(spark: SparkSession, base: str) -> DataFrame:
+    """QRY4: stored articles not published this run (JOI12) with their feed's
+    channels across all locales and the publisher through the feed."""
+    t = _shop_store(spark, base)
+    published = _keyed(S.order_articles(spark, base, incoming=True)).select("article_key")
+    r = ST.remaining_with_channels(_stored_articles(spark, base, t["feed"]), published, t)
+    return r.select("article_key", "title", "publisher_name", F.array_join("channels", "|").alias("channels"))

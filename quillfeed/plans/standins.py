@@ -416,3 +416,31 @@ def feed_documents(spark: SparkSession, base: str) -> DataFrame:
         F.lit("</description><pubDate>"), F.col("updated"), F.lit("</pubDate></item></channel></rss>"),
     )
     return it.select(F.concat(F.col("site_url"), F.lit("/rss")).alias("feed_url"), xml.alias("content"))
+
+
+# --- publisher CSV rows for the order shops: one row per customer -------------
+# locale = the customer's nation, channel = its market segment; the feed URL is
+# the one the order articles carry as publisher.
+def customer_source_rows(spark: SparkSession, base: str) -> DataFrame:
+    c = read_table(spark, base, "customer")
+    n = read_table(spark, base, "nation").select(F.col("n_nationkey").cast("int").alias("c_nationkey"), "n_name")
+    j = c.withColumn("c_nationkey", F.col("c_nationkey").cast("int")).join(n, "c_nationkey")
+    site = F.concat(F.lit("https://www.shop"), F.col("c_custkey").cast("string"), F.lit(".example.com"))
+    return j.select(
+        site.alias("Domain"),
+        F.concat(F.lit("https://shop"), F.col("c_custkey").cast("string"), F.lit(".example.com/rss")).alias("Feed"),
+        F.concat(F.lit("Shop "), F.col("c_custkey").cast("string")).alias("Title"),
+        F.lit("Shop").alias("Category"),
+        F.lit("Enabled").alias("Status"),
+        F.lit("").alias("Score"),
+        F.lit("").alias("OG-Images"),
+        F.lit("article").alias("Content Type"),
+        F.lit("").alias("Creative Instance ID"),
+        F.concat(F.lit("shop"), F.col("c_custkey").cast("string"), F.lit(".example.com")).alias("Destination Domains"),
+        F.col("c_mktsegment").alias("Channels"),
+        F.lit("").alias("Rank"),
+        F.lit("").alias("Original_Feed"),
+        F.col("n_name").alias("locale"),
+        F.concat(F.lit("sources."), F.col("n_name"), F.lit(".csv")).alias("file"),
+        F.col("c_custkey").alias("row_no"),
+    )

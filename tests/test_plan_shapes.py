@@ -44,8 +44,11 @@ def test_bucketed_store_tables_join_without_shuffle(spark):
     from quillfeed.sinks.writers import save_bucketed
 
     a = spark.range(0, 2000).select(F.sha2(F.col("id").cast("string"), 256).alias("article_key"), F.col("id").alias("v"))
-    old = save_bucketed(a, "qf_test_articles_a", ["article_key"], 8)
-    new = save_bucketed(a.where(F.col("v") % 2 == 0), "qf_test_articles_b", ["article_key"], 8)
+    import uuid
+
+    tag = uuid.uuid4().hex[:8]  # the in-memory catalog forgets tables between sessions; their folders stay
+    old = save_bucketed(a, f"qf_test_articles_a_{tag}", ["article_key"], 8)
+    new = save_bucketed(a.where(F.col("v") % 2 == 0), f"qf_test_articles_b_{tag}", ["article_key"], 8)
     j = old.join(new.withColumnRenamed("v", "w"), "article_key", "full_outer")
     assert j.count() == 2000
     assert "Exchange" not in j._jdf.queryExecution().executedPlan().toString()
