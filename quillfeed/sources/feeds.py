@@ -106,14 +106,64 @@ def parse_atom(docs: DataFrame) -> DataFrame:
     )
 
 
+ROOT_RSS_RE = r"(?s)^\s*(<\?[^>]*>\s*|<!--.*?-->\s*|<!DOCTYPE[^>]*>\s*)*<rss\b"
+ROOT_ATOM_RE = r"(?s)<feed\b"
+
+
+def _rss_entry(i):
+    return F.struct(
+        i["title"].alias("title"), i["link"].alias("link"), F.lit(None).cast("string").alias("url"),
+        i["dc:date"].alias("updated"), i["pubDate"].alias("published"),
+        i["description"].alias("description"), i["description"].alias("summary"),
+        i["content:encoded"].alias("content_html"),
+        _media(i["media:content"]).alias("media_content"), _media(i["media:thumbnail"]).alias("media_thumbnail"),
+        F.transform(i["enclosure"], lambda x: F.struct(x["_url"].alias("href"), x["_type"].alias("type"),
+                                                       x["_length"].alias("length"))).alias("enclosures"),
+        F.try_element_at(i["category"], F.lit(1)).alias("item_category"),
+    )
+
+
+def _atom_entry(i):
+    alt = F.filter(i["link"], lambda l: F.coalesce(l["_rel"], F.lit("alternate")) == "alternate")
+    return F.struct(
+        i["title"].alias("title"),
+        F.coalesce(F.try_element_at(alt, F.lit(1))["_href"], F.try_element_at(i["link"], F.lit(1))["_href"]).alias("link"),
+        F.lit(None).cast("string").alias("url"),
+        i["updated"].alias("updated"), i["published"].alias("published"),
+        i["summary"].alias("description"), i["summary"].alias("summary"), i["content"].alias("content_html"),
+        _media(i["media:content"]).alias("media_content"), _media(i["media:thumbnail"]).alias("media_thumbnail"),
+        F.lit(None).cast("array<struct<href:string,type:string,length:string>>").alias("enclosures"),
+        F.try_element_at(i["category"], F.lit(1))["_term"].alias("item_category"),
+    )
+
+
 def parse_feeds(docs: DataFrame) -> DataFrame:
-    """SRC4 for a mixed table: the root element picks the RSS or Atom reader."""
-    kind = F.when(F.col("content").rlike(r"(?s)^\s*(<\?[^>]*>\s*|<!--.*?-->\s*|<!DOCTYPE[^>]*>\s*)*<rss\b"), F.lit("rss")) \
-        .when(F.col("content").rlike(r"(?s)<feed\b"), F.lit("atom"))
-    tagged = docs.withColumn("_kind", kind)
-    rss = parse_rss(tagged.where(F.col("_kind") == "rss").drop("_kind"))
-    atom = parse_atom(tagged.where(F.col("_kind") == "atom").drop("_kind"))
-    return rss.unionByName(atom)
+    """SRC4 for a mixed table in one pass: the root element picks the RSS or
+    Atom schema for each document, both are mapped to one entry shape, and a
+    single ``posexplode`` yields the entries with their document positions.
+    Documents that fail to parse or carry no entry produce no rows (FLT8)."""
+    d = docs.where(F.length("content") <= config.MAX_FEED_BYTES).select(
+        "feed_url", "content",
+        F.when(F.col("content").rlike(ROOT_RSS_RE), F.lit("rss"))
+        .when(F.col("content").rlike(ROOT_ATOM_RE), F.lit("atom")).alias("_kind"))
+    p = d.select(
+        "feed_url",
+        F.when(F.col("_kind") == "rss", F.from_xml("content", RSS_SCHEMA, {"rowTag": "rss", "mode": "PERMISSIVE"})).alias("r"),
+        F.when(F.col("_kind") == "atom", F.from_xml("content", ATOM_SCHEMA, {"rowTag": "feed", "mode": "PERMISSIVE"})).alias("a"),
+    )
+    e = p.select(
+        "feed_url",
+        F.coalesce(F.col("r.channel.lastBuildDate"), F.col("a.updated")).alias("feed_updated"),
+        F.coalesce(F.col("r.channel.pubDate"), F.col("a.published")).alias("feed_published"),
+        F.posexplode(F.coalesce(F.transform(F.col("r.channel.item"), _rss_entry),
+                                F.transform(F.col("a.entry"), _atom_entry))).alias("pos", "i"),
+    )
+    return e.select(
+        "feed_url", "pos", "i.title", "i.link", "i.url", "i.updated", "i.published", "feed_updated", "feed_published",
+        "i.description", "i.summary", "i.content_html",
+        F.lit(None).cast("string").alias("image"), F.lit(None).cast("string").alias("urlToImage"),
+        "i.media_content", "i.media_thumbnail", "i.enclosures", "i.item_category",
+    )
 
 
 def failed_documents(docs: DataFrame, entries: DataFrame) -> DataFrame:
