@@ -19,19 +19,41 @@ from pyspark.sql import types as T
 LOCALE_RE = r"sources\.(.*)\.csv$"
 
 
-def _header(path: str) -> tuple[str, ...]:
-    with open(path, encoding="utf-8") as f:
-        import csv
+def _parse_header(line: str) -> tuple[str, ...]:
+    import csv
 
-        return tuple(next(csv.reader(f)))
+    return tuple(next(csv.reader([line])))
+
+
+def _list_and_headers(spark: SparkSession, pattern: str) -> list[tuple[str, tuple[str, ...]]]:
+    """(path, header) for every file matching ``pattern``. Only file names and
+    one header line per file reach the driver. Local paths use the standard
+    library; URIs (hdfs://, s3a://, ...) go through the Hadoop FileSystem API."""
+    if "://" not in pattern:
+        out = []
+        for p in sorted(glob.glob(pattern)):
+            with open(p, encoding="utf-8") as f:
+                out.append((p, _parse_header(f.readline().rstrip("\r\n"))))
+        return out
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    gpath = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = gpath.getFileSystem(conf)
+    out = []
+    for st in sorted(fs.globStatus(gpath) or [], key=lambda x: x.getPath().toString()):
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(st.getPath()), "UTF-8"))
+        try:
+            out.append((st.getPath().toString(), _parse_header(reader.readLine() or "")))
+        finally:
+            reader.close()
+    return out
 
 
 def read_source_csvs(spark: SparkSession, pattern: str) -> DataFrame:
-    """Read every file matching ``pattern`` (local or mounted path)."""
-    files = sorted(glob.glob(pattern))
+    """Read every file matching ``pattern`` (local path or any Hadoop URI)."""
     groups: dict[tuple[str, ...], list[str]] = {}
-    for p in files:
-        groups.setdefault(_header(p), []).append(p)
+    for p, header in _list_and_headers(spark, pattern):
+        groups.setdefault(header, []).append(p)
     out = None
     for header, paths in groups.items():
         schema = T.StructType([T.StructField(h, T.StringType()) for h in header])

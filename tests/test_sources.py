@@ -164,3 +164,15 @@ def test_feed_map_projection(spark):
     assert {"locale", "feed_url", "publisher_id", "channels", "max_entries", "og_images", "site_url"} <= cols
     assert "enabled" not in cols and "publisher_domain" not in cols
     assert b.feed_map.count() == 3
+
+
+def test_csv_listing_through_hadoop_fs(spark):
+    from quillfeed.sources.publisher_csv import _list_and_headers
+
+    tmp = _fixture()
+    local = _list_and_headers(spark, os.path.join(tmp, "sources.*_*.csv"))
+    remote = _list_and_headers(spark, "file://" + os.path.join(tmp, "sources.*_*.csv"))
+    assert [h for _, h in local] == [h for _, h in remote] and len(local) == 2
+    assert "Creative ID" in local[1][1] and "Creative Instance ID" in local[0][1]
+    df = read_source_csvs(spark, "file://" + os.path.join(tmp, "sources.*_*.csv"))
+    assert df.count() == 5 and {r["locale"] for r in df.select("locale").collect()} == {"en_GB", "es_ES"}
