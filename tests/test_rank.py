@@ -81,3 +81,19 @@ def test_normalize_popularity_bounds(spark):
     assert out[-1] == 100.0 and out[0] == 1.0
     same = spark.createDataFrame([(3.0,), (3.0,)], "pop_score double")
     assert [r[0] for r in rank.normalize_popularity(same).collect()] == [1.0, 1.0]
+
+
+def test_rank_with_locales_and_hot_publisher(spark):
+    # a third of the articles belong to one publisher, in two locales
+    base = spark.range(0, 3000).select(
+        F.sha2((F.col("id") % 1000).cast("string"), 256).alias("url_hash"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 17).cast("string")).alias("publisher_id"),
+        (F.lit(1704067200) + F.col("id") * 37 % 86400).cast("timestamp").alias("publish_time"),
+        F.col("id").alias("ord"),
+    )
+    two = base.withColumn("locale", F.lit("en_US")).unionByName(base.withColumn("locale", F.lit("de_DE")))
+    a = rank.rank_articles(two, as_of=AS_OF, strategy="range", group_cols=("locale",), sort=False)
+    b = rank.rank_articles(two, as_of=AS_OF, strategy="window", group_cols=("locale",), sort=False)
+    cols = ["locale", "url_hash", "variety_rank", "pos_ord"]
+    assert sorted(map(tuple, a.select(*cols).collect())) == sorted(map(tuple, b.select(*cols).collect()))
+    assert a.select("locale", "url_hash").distinct().count() == a.count() == 2000
