@@ -35,6 +35,30 @@ def get_session(master: str | None = None, app: str = "quillfeed", shuffle_parti
     return spark
 
 
+def scale_settings(input_bytes: int, target_partition_bytes: int = 256 << 20, max_partitions: int = 200_000) -> dict:
+    """Session settings sized from the input volume of a run.
+
+    Shuffle partitions are chosen so each holds about ``target_partition_bytes``
+    of input; the range numbering of WIN1 and the final sort use this count
+    (AQE can merge range partitions but never split them). File splits are
+    512 MB so a 100 TB scan is ~200k tasks. AQE skew handling stays on for
+    joins on hot keys."""
+    parts = max(200, min(max_partitions, -(-int(input_bytes) // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(512 << 20),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict) -> None:
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset
     (tests, local runs) fall back to a fresh local scratch folder."""

@@ -52,3 +52,13 @@ def test_bucketed_store_tables_join_without_shuffle(spark):
     j = old.join(new.withColumnRenamed("v", "w"), "article_key", "full_outer")
     assert j.count() == 2000
     assert "Exchange" not in j._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scale_settings():
+    from quillfeed.session import scale_settings
+
+    small = scale_settings(10 << 20)
+    big = scale_settings(100 << 40)  # 100 TB
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert big["spark.sql.shuffle.partitions"] == "200000"
+    assert scale_settings(1 << 40)["spark.sql.shuffle.partitions"] == "4096"  # 1 TB / 256 MB
