@@ -9,7 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def get_session(master: str | None = None, app: str = "quillfeed", shuffle_partitions: int | None = None) -> SparkSession:
+def get_session(master: str | None = None, app: str = "quillfeed", shuffle_partitions: int | None = None,
+                extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session tuned for the plans in this package.
 
     On a cluster the master, memory and ``spark.checkpoint.dir`` come from the
@@ -29,6 +30,8 @@ def get_session(master: str | None = None, app: str = "quillfeed", shuffle_parti
     )
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for k, v in (extra or {}).items():
+        b = b.config(k, v)
     spark = b.getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
