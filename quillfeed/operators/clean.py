@@ -19,7 +19,7 @@ from quillfeed.functions import urls as U
 from quillfeed.functions.images import pick_image
 from quillfeed.functions.scoring import ts_literal
 from quillfeed.functions.timeparse import parse_feed_time
-from quillfeed.session import cut_lineage
+from quillfeed.session import cut_lineage, spread_if_narrow
 
 
 def _nz(c: Column) -> Column:
@@ -88,7 +88,7 @@ def entries_to_articles(
     site_url (PRJ19). Other publisher columns present (category, ids, names,
     channels, locale, ...) pass through unchanged.
     """
-    a = items.where(F.length(F.col("title")) > 0)  # FLT1
+    a = spread_if_narrow(items).where(F.length(F.col("title")) > 0)  # FLT1 (heavy per-row work follows)
     # PRJ9 + PRJ10, titles decoded twice; each step only touches values that
     # contain markup or an entity (a step is a no-op on the others)
     t = F.col("title")

@@ -17,6 +17,7 @@ from quillfeed.functions.timeparse import format_utc
 from quillfeed.functions.urls import url_hash
 from quillfeed.operators import enrich, rank
 from quillfeed.plans import standins as S
+from quillfeed.session import spread_if_narrow
 
 AS_OF = config.AS_OF_SQL
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -273,7 +274,7 @@ def html_clean(spark: SparkSession, base: str) -> DataFrame:
     PRJ10), title decoded twice, first link target (PRJ24 pattern on <a href>)."""
     from quillfeed.functions.images import A_HREF_ATTR_RE, first_tag_attr
 
-    p = read_table(spark, base, "pages")
+    p = spread_if_narrow(read_table(spark, base, "pages"))  # whole-page regexes per row
     txt = TX.html_to_text(F.col("html"))
     scrubbed = TX.scrub_html(F.col("html"))
     return p.select(
