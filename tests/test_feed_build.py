@@ -21,7 +21,8 @@ PUB_SCHEMA = ("feed_url string, locale string, publisher_id string, publisher_na
 
 
 def _docs(spark):
-    rss = open(os.path.join(HERE, "data", "sample.rss")).read()
+    with open(os.path.join(HERE, "data", "sample.rss")) as fh:
+        rss = fh.read()
     return spark.createDataFrame([(FEED, rss), ("https://broken.example.com/rss", "<rss><chan")],
                                  "feed_url string, content string")
 
@@ -85,6 +86,9 @@ def test_write_locale_feeds(spark):
     out = tempfile.mkdtemp(prefix="qf-feed-")
     write_locale_feeds(b.feed, out + "/feed")
     files = [f for f in os.listdir(out + "/feed/locale=en_US") if f.endswith(".json")]
-    lines = [json.loads(x) for f in sorted(files) for x in open(out + "/feed/locale=en_US/" + f)]
+    lines = []
+    for f in sorted(files):
+        with open(out + "/feed/locale=en_US/" + f) as fh:
+            lines.extend(json.loads(x) for x in fh)
     assert [x["title"] for x in lines] == ["Tide tables & storms", "Ferry schedule changes"]
     assert lines[0]["publish_time"] == "2024-01-30 12:30:00"

@@ -21,7 +21,11 @@ def test_json_sink_nulls_infinity(spark):
         .withColumn("ts", F.lit("2024-01-30 12:30:00").cast("timestamp"))
     out = tempfile.mkdtemp(prefix="qf-json-") + "/o"
     write_sorted_json(df, out, ["id"])
-    lines = [json.loads(x) for f in sorted(os.listdir(out)) if f.endswith(".json") for x in open(os.path.join(out, f))]
+    lines = []
+    for f in sorted(os.listdir(out)):
+        if f.endswith(".json"):
+            with open(os.path.join(out, f)) as fh:
+                lines.extend(json.loads(x) for x in fh)
     assert lines == [{"id": 1, "ts": "2024-01-30 12:30:00"}, {"id": 2, "score": 3.5, "ts": "2024-01-30 12:30:00"}]
     assert json_safe(df).schema["ts"].dataType.simpleString() == "string"
 
@@ -128,9 +132,11 @@ def test_streaming_upsert_and_high_water(spark):
 
 def test_feed_file_stream(spark):
     d = tempfile.mkdtemp(prefix="qf-drop-")
-    rss = open(os.path.join(HERE, "data", "sample.rss")).read()
-    open(os.path.join(d, "harbor.xml"), "w").write(rss)
-    open(os.path.join(d, "broken.xml"), "w").write("<rss><chan")
+    with open(os.path.join(HERE, "data", "sample.rss")) as fh:
+        rss = fh.read()
+    for name, body in (("harbor.xml", rss), ("broken.xml", "<rss><chan")):
+        with open(os.path.join(d, name), "w") as fh:
+            fh.write(body)
     entries = STRM.stream_entries(STRM.feed_file_stream(spark, d))
     out = STRM.shared_dir(spark, "test-drop")
     STRM.run_to_parquet(entries.select("feed_url", "pos", "title"), out + "/data", out + "/ckpt")
