@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as _dt
-import math
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,6 +74,3 @@ def error_counters(failures: DataFrame, url_col: str = "feed_url", kind_col: str
     return failures.groupBy(host_label(F.col(url_col)).alias("host_label"), F.col(kind_col).alias("kind")) \
         .agg(F.count(F.lit(1)).alias("n"))
 
-
-def expiry_floor(total: int, fraction: float = config.FRESHNESS_FRACTION) -> int:
-    return math.floor(total * fraction)
