@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillfeed.llm import bpe, licenses, packing, quality, topk, toxicity, url_filter
+from quillfeed.llm import bpe, licenses, line_dedup, ngram_join, packing, quality, topk, toxicity, url_filter, wrapper
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -165,3 +165,43 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5"""
 def op9_exact_top_k(spark: SparkSession, base: str) -> DataFrame:
     """The five best inner products of every 50th vector against all others."""
     return topk.top_k(table(spark, base, "embeddings"))
+
+
+@register("op7_main_text")
+def op7_main_text(spark: SparkSession, base: str) -> DataFrame:
+    """Main text of every page by its host's induced wrapper."""
+    return wrapper.extract_main_text(table(spark, base, "pages"))
+
+
+@register("op1_line_dedup")
+def op1_line_dedup(spark: SparkSession, base: str) -> DataFrame:
+    """Lines of templates that recur across documents dropped from all but the first."""
+    kept = line_dedup.dedup_lines(table(spark, base, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.length("text").cast("long").alias("n_chars_kept"),
+                       F.sha2("text", 256).alias("text_sha256"))
+
+
+OP8_SQL = """
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(len(w) - 2), lambda i: w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])) END AS g FROM t),
+x AS (SELECT doc_id, len(g) AS n, unnest(g) AS sh FROM s),
+rare AS (SELECT doc_id, n, sh, row_number() OVER (PARTITION BY doc_id ORDER BY f, sh) AS k
+         FROM (SELECT *, count(*) OVER (PARTITION BY sh) AS f FROM x)),
+pre AS (SELECT doc_id, n, sh FROM rare WHERE k <= n - ceil(0.9 * n) + 1.000001),
+c AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM pre a JOIN pre b ON a.sh = b.sh AND a.doc_id < b.doc_id
+      AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)),
+l AS (SELECT a, b FROM c JOIN s p ON p.doc_id = a JOIN s q ON q.doc_id = b
+      WHERE 100 * len(list_intersect(p.g, q.g)) >= 90 * (len(p.g) + len(q.g) - len(list_intersect(p.g, q.g)))),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r(doc_id, reach) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.reach = e.a)
+SELECT s.doc_id, len(s.g) AS n_shingles, min(r.reach) AS component_id FROM s JOIN r ON s.doc_id = r.doc_id GROUP BY s.doc_id, len(s.g)"""
+
+
+@register("op8_ngram_jaccard", OP8_SQL)
+def op8_ngram_jaccard(spark: SparkSession, base: str) -> DataFrame:
+    """Components of documents that share 90 % of their 3-word shingles."""
+    return ngram_join.near_duplicates(table(spark, base, "documents"))
