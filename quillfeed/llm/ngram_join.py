@@ -18,7 +18,8 @@ the coordinate minima of two points bounds the overlap of their sets.
 4. What is still in different components meets in the R-tree of its block: members
    are packed by size into leaves with the largest counts of their points; only
    leaves, then points, whose bound reaches the needed overlap are taken. All
-   pairs that survive are verified. A large block is cut into tiles: the members
+   pairs that survive are verified, first by a second, finer count vector with
+   about as many groups as the set has members. A large block is cut into tiles: the members
    of the hub's component stay in one tile each, the others visit every tile.
 
 Verification fetches sets only of documents in surviving pairs, found by a
@@ -55,7 +56,7 @@ TILE = 2_048
 LEAF = 32
 SMALL = 24  # blocks up to this many members are compared directly
 BLOOM_WORDS = 1 << 17  # 64-bit words: 1 MB
-SET_SCHEMA = "doc_id long, n int, cls long, prefix array<long>, counts array<int>"
+SET_SCHEMA = "doc_id long, n int, cls long, prefix array<long>, counts array<int>, fine binary"
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
 _TABLE = bytes.maketrans(_UPPER, _LOWER)
@@ -108,6 +109,24 @@ def needed(a, b, percent: int = PERCENT):
     return -(-percent * (a + b) // (100 + percent))
 
 
+def fine_counts(hashes: np.ndarray) -> bytes:
+    """Counts over about as many groups as the set has members, a byte each;
+    empty if one does not fit a byte."""
+    groups = 1 << max(5, (len(hashes) - 1).bit_length() - 1)
+    counts = np.bincount((hashes & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b""
+
+
+def fine_overlap(a: bytes, b: bytes) -> int | None:
+    """Bound of the overlap by the summed minima of two fine count vectors (the
+    longer one folded to the shorter one's groups); None if one is missing."""
+    if not a or not b:
+        return None
+    x, y = (np.frombuffer(v, np.uint8).astype(np.int64) for v in (a, b))
+    g = min(len(x), len(y))
+    return int(np.minimum(x.reshape(-1, g).sum(axis=0), y.reshape(-1, g).sum(axis=0)).sum())
+
+
 def document_sets(docs: DataFrame, frequent: np.ndarray, size: int, percent: int) -> DataFrame:
     """Per row: size of the set, its class, prefix and group counts."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)  # at most FREQUENT_MOST longs
@@ -115,7 +134,7 @@ def document_sets(docs: DataFrame, frequent: np.ndarray, size: int, percent: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, often = Shingler(size), shared.value
         for batch in batches:
-            n, cls, prefix, counts = [], [], [], []
+            n, cls, prefix, counts, fine = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 h = shingles(text)
                 n.append(len(h))
@@ -123,7 +142,9 @@ def document_sets(docs: DataFrame, frequent: np.ndarray, size: int, percent: int
                     cls.append(None)
                     prefix.append([])
                     counts.append([])
+                    fine.append(b"")
                     continue
+                fine.append(fine_counts(h))
                 cls.append(class_of(h))
                 counts.append(np.bincount((h % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype(np.int32))
                 p = prefix_length(len(h), percent)
@@ -135,7 +156,8 @@ def document_sets(docs: DataFrame, frequent: np.ndarray, size: int, percent: int
                 prefix.append(h[:p].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int32()), pa.array(cls, pa.int64()), pa.array(prefix, pa.list_(pa.int64())),
-                 pa.array(counts, pa.list_(pa.int32()))], names=["doc_id", "n", "cls", "prefix", "counts"])
+                 pa.array(counts, pa.list_(pa.int32())), pa.array(fine, pa.binary())],
+                names=["doc_id", "n", "cls", "prefix", "counts", "fine"])
 
     return docs.mapInArrow(run, SET_SCHEMA)
 
@@ -189,8 +211,26 @@ def _mask(h):
     return reduce(lambda a, b: a.bitwiseOR(b), bits)
 
 
+def finely_bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose bound by the fine count vectors reaches the needed overlap."""
+    point = classes.select("cls", "n", "fine")
+    both = pairs.join(point.toDF("a", "na", "fa"), "a").join(point.toDF("b", "nb", "fb"), "b").select("a", "b", "na", "nb", "fa", "fb")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for na, nb, fa, fb in zip(*(batch.column(i).to_pylist() for i in range(2, 6))):
+                most = fine_overlap(fa, fb)
+                keep.append(most is None or most >= needed(na, nb, percent))
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    return both.mapInArrow(run, "a long, b long")
+
+
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of ``pairs`` that are linked, checked on the real sets."""
+    """The pairs (a, b) of ``pairs`` that are linked: first by the fine count
+    vectors' bound, then on the real sets."""
+    pairs = cut_lineage(finely_bounded(pairs, classes, percent))
     ids = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     wanted = cut_lineage(ids.join(classes.select("cls", "rep"), "cls"))
     sets = cut_lineage(fetch_sets(docs, wanted, size).join(wanted.select("cls"), "cls", "left_semi"))
@@ -339,7 +379,7 @@ def link_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> t
     linked = rows.where("doc_id is not null and cls is not null")
     reps = linked.groupBy("cls").agg(F.min("doc_id").alias("rep"))
     classes = cut_lineage(linked.join(reps.withColumnRenamed("cls", "__cls"), (F.col("cls") == F.col("__cls")) & (F.col("doc_id") == F.col("rep")))
-                          .select("cls", "rep", "n", "prefix", "counts"))
+                          .select("cls", "rep", "n", "prefix", "counts", "fine"))
     listed = classes.select(F.explode("prefix").alias("key"), "cls")
     shared = cut_lineage(listed.groupBy("key").agg(F.min("cls").alias("hub"), F.max("cls").alias("far")).where("hub < far"))
     members = cut_lineage(listed.join(shared, "key"))
