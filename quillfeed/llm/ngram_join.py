@@ -9,8 +9,8 @@ the coordinate minima of two points bounds the overlap of their sets.
    ``n - ceil(t * n) + 1`` n-grams in any fixed order (the prefix filter). Each
    class is listed under these n-grams; classes under the same one are a block.
    Frequent n-grams come last in the order, so they seldom head a block; which
-   ones are frequent is taken from a bounded sample and changes only the size of
-   the blocks, never the links.
+   ones are frequent is taken from a sample (one document in SAMPLE_EVERY, a list of
+   bounded length) and changes only the size of the blocks, never the links.
 3. Two rounds compare each block's members with one hub of the block. A pair
    whose bound reaches the needed overlap is verified on the real sets, and links
    are joined into components. A group of near copies becomes a star of links,
@@ -20,7 +20,8 @@ the coordinate minima of two points bounds the overlap of their sets.
    leaves, then points, whose bound reaches the needed overlap are taken. All
    pairs that survive are verified, first by a second, finer count vector with
    about as many groups as the set has members. A large block is cut into tiles: the members
-   of the hub's component stay in one tile each, the others visit every tile.
+   of the hub's component stay in one tile each, the others visit every tile. A
+   pair that shares several blocks is taken in the one its first n-grams name.
 
 Verification fetches sets only of documents in surviving pairs, found by a
 Bloom filter of fixed size in front of the text scan. Nothing is capped: every
@@ -49,9 +50,10 @@ from quillfeed.session import cut_lineage
 SIZE = 3
 PERCENT = 90
 GROUPS = 32
-SAMPLE_DOCS = 4_096  # documents, about, that tell which n-grams are frequent
-FREQUENT = 4  # sampled documents that hold a frequent n-gram
-FREQUENT_MOST = 200_000  # n-grams in the broadcast list
+SAMPLE_EVERY = 16  # one document in so many, about, tells which n-grams are frequent
+FREQUENT = 3  # sampled documents that hold a frequent n-gram
+FREQUENT_MOST = 1_000_000  # n-grams in the broadcast list
+HEADS = 4  # first n-grams of a prefix that decide which block owns a pair
 TILE = 2_048
 LEAF = 32
 SMALL = 24  # blocks up to this many members are compared directly
@@ -163,10 +165,8 @@ def document_sets(docs: DataFrame, frequent: np.ndarray, size: int, percent: int
 
 
 def frequent_ngrams(docs: DataFrame, size: int) -> np.ndarray:
-    """Sorted hashes of n-grams that many of about SAMPLE_DOCS documents hold; at
-    most FREQUENT_MOST of them. Only the order of prefixes depends on them."""
-    n = docs.count()
-    every = max(1, n // SAMPLE_DOCS)
+    """Sorted hashes of n-grams that FREQUENT or more of the sampled documents hold,
+    at most FREQUENT_MOST of them. Only the order of prefixes depends on them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(size)
@@ -174,10 +174,10 @@ def frequent_ngrams(docs: DataFrame, size: int) -> np.ndarray:
             for text in batch.column(0).to_pylist():
                 yield pa.RecordBatch.from_arrays([pa.array(shingles(text).view(np.int64))], names=["h"])
 
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select("text")
+    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE_EVERY)) == 0).select("text")
     counted = sample.mapInArrow(run, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FREQUENT)
     top = counted.orderBy(F.col("n").desc(), "h").limit(FREQUENT_MOST).select("h")
-    return np.sort(np.array([r.h for r in top.collect()], dtype=np.int64).view(np.uint64))
+    return np.sort(top.toArrow().column("h").to_numpy().astype(np.int64).view(np.uint64))
 
 
 # -- verification ----------------------------------------------------------------
@@ -275,7 +275,16 @@ def hub_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame
     return both.where(bound_ok(percent)).select("a", "b")
 
 
-def tree_pairs(ids, comps, sizes, counts, asks, percent: int = PERCENT) -> list[tuple[np.ndarray, np.ndarray]]:
+def owned(key, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether block ``key`` is the one that takes the pairs of rows with these
+    heads: the smallest head that both have is the owner, and without one every
+    block that they share takes the pair."""
+    common = (a[:, :, None] == b[:, None, :]).any(axis=2)
+    owner = np.where(common, a, np.iinfo(np.int64).max).min(axis=1)
+    return ~common.any(axis=1) | (owner == key)
+
+
+def tree_pairs(ids, comps, sizes, counts, asks, heads, key, percent: int = PERCENT) -> list[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows of one block tile in different components that the R-tree's
     bounds allow. ``asks`` marks the rows that search (the others are only found)."""
     order = np.argsort(sizes, kind="stable")
@@ -303,6 +312,7 @@ def tree_pairs(ids, comps, sizes, counts, asks, percent: int = PERCENT) -> list[
                 x = x[(comps[x] != comps[q]) & (~asks[x] | (ids[x] > ids[q]))]
                 if len(x):
                     x = x[fits(q, sizes[x], sizes[x], counts[x])]
+                    x = x[owned(key, heads[x], heads[[q]].repeat(len(x), axis=0))]
                     out.append((np.full(len(x), q), x))
     return out
 
@@ -318,8 +328,10 @@ def block_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, perce
     home = F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int")
     spread = open_.withColumn("home", home).withColumn(
         "tile", F.explode(F.when(F.col("asks"), F.sequence(F.lit(0), F.col("tiles") - 1)).otherwise(F.array("home"))))
-    full = spread.join(classes.select("cls", "n", "counts"), "cls").select(
-        "key", "tile", "cls", "comp", "n", "counts", "asks", (F.col("tile") == F.col("home")).alias("here"))
+    heads = [F.coalesce(F.get("prefix", F.lit(i)), F.get("prefix", F.lit(0))).alias(f"h{i}") for i in range(HEADS)]
+    full = spread.join(classes.select("cls", "n", "counts", *heads), "cls").select(
+        "key", "tile", "cls", "comp", "n", "counts", "asks", (F.col("tile") == F.col("home")).alias("here"),
+        *[f"h{i}" for i in range(HEADS)])
     dealt = full.repartition("key", "tile").sortWithinPartitions("key", "tile", "cls")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -342,6 +354,7 @@ def block_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, perce
         ids, comps, sizes = frame["cls"].to_numpy(), frame["comp"].to_numpy(), frame["n"].to_numpy().astype(np.int64)
         counts = np.stack(frame["counts"].to_list()).astype(np.int64)
         asks, here = frame["asks"].to_numpy(), frame["here"].to_numpy()
+        heads = frame[[f"h{i}" for i in range(HEADS)]].to_numpy()
         edges = np.flatnonzero((key[1:] != key[:-1]) | (tile[1:] != tile[:-1])) + 1
         starts, ends = np.array([0, *edges]), np.array([*edges, len(frame)])
         small = ends - starts <= SMALL
@@ -356,11 +369,13 @@ def block_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, perce
             big, less = np.maximum(sizes[i], sizes[j]), np.minimum(sizes[i], sizes[j])
             ok = 100 * less >= percent * big
             i, j = i[ok], j[ok]
+            ok = owned(key[i], heads[i], heads[j])
+            i, j = i[ok], j[ok]
             ok = (100 + percent) * np.minimum(counts[i], counts[j]).sum(axis=1) >= percent * (sizes[i] + sizes[j])
             found.append((ids[i[ok]], ids[j[ok]]))
         for a, b in zip(starts[~small], ends[~small]):
             s = slice(a, b)
-            for i, j in tree_pairs(ids[s], comps[s], sizes[s], counts[s], asks[s], percent):
+            for i, j in tree_pairs(ids[s], comps[s], sizes[s], counts[s], asks[s], heads[s], key[a], percent):
                 ok = here[s][i] | here[s][j]
                 found.append((ids[s][i[ok]], ids[s][j[ok]]))
         if not found:
