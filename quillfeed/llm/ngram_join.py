@@ -49,16 +49,16 @@ from quillfeed.session import cut_lineage
 
 SIZE = 3
 PERCENT = 90
-GROUPS = 32
+GROUPS = 128
 SAMPLE_EVERY = 16  # one document in so many, about, tells which n-grams are frequent
 FREQUENT = 3  # sampled documents that hold a frequent n-gram
 FREQUENT_MOST = 1_000_000  # n-grams in the broadcast list
-HEADS = 4  # first n-grams of a prefix that decide which block owns a pair
+HEADS = 6  # smallest block keys of a class that decide which block owns a pair
 TILE = 2_048
 LEAF = 32
 SMALL = 24  # blocks up to this many members are compared directly
 BLOOM_WORDS = 1 << 17  # 64-bit words: 1 MB
-SET_SCHEMA = "doc_id long, n int, cls long, prefix array<long>, counts array<int>, fine binary"
+SET_SCHEMA = "doc_id long, n int, cls long, prefix array<long>, counts binary, fine binary"
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
 _TABLE = bytes.maketrans(_UPPER, _LOWER)
@@ -111,12 +111,23 @@ def needed(a, b, percent: int = PERCENT):
     return -(-percent * (a + b) // (100 + percent))
 
 
+def group_counts(hashes: np.ndarray, groups: int) -> bytes:
+    """Counts over ``groups`` groups, in the narrowest type that holds them."""
+    counts = np.bincount((hashes & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+    return counts.astype(np.uint8 if counts.max() < 1 << 8 else np.uint16 if counts.max() < 1 << 16 else np.uint32).tobytes()
+
+
 def fine_counts(hashes: np.ndarray) -> bytes:
     """Counts over about as many groups as the set has members, a byte each;
     empty if one does not fit a byte."""
     groups = 1 << max(5, (len(hashes) - 1).bit_length() - 1)
-    counts = np.bincount((hashes & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
-    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b""
+    counts = group_counts(hashes, groups)
+    return counts if len(counts) == groups else b""
+
+
+def read_counts(data: bytes) -> np.ndarray:
+    """The GROUPS counts written by :func:`group_counts`."""
+    return np.frombuffer(data, f"<u{len(data) // GROUPS}").astype(np.int64)
 
 
 def fine_overlap(a: bytes, b: bytes) -> int | None:
@@ -129,6 +140,10 @@ def fine_overlap(a: bytes, b: bytes) -> int | None:
     return int(np.minimum(x.reshape(-1, g).sum(axis=0), y.reshape(-1, g).sum(axis=0)).sum())
 
 
+def coarse_overlap(a: bytes, b: bytes) -> int:
+    return int(np.minimum(read_counts(a), read_counts(b)).sum())
+
+
 def document_sets(docs: DataFrame, frequent: np.ndarray, size: int, percent: int) -> DataFrame:
     """Per row: size of the set, its class, prefix and group counts."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)  # at most FREQUENT_MOST longs
@@ -143,12 +158,12 @@ def document_sets(docs: DataFrame, frequent: np.ndarray, size: int, percent: int
                 if not len(h):
                     cls.append(None)
                     prefix.append([])
-                    counts.append([])
+                    counts.append(b"")
                     fine.append(b"")
                     continue
                 fine.append(fine_counts(h))
                 cls.append(class_of(h))
-                counts.append(np.bincount((h % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype(np.int32))
+                counts.append(group_counts(h, GROUPS))
                 p = prefix_length(len(h), percent)
                 if len(often):
                     at = np.searchsorted(often, h)
@@ -158,7 +173,7 @@ def document_sets(docs: DataFrame, frequent: np.ndarray, size: int, percent: int
                 prefix.append(h[:p].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int32()), pa.array(cls, pa.int64()), pa.array(prefix, pa.list_(pa.int64())),
-                 pa.array(counts, pa.list_(pa.int32())), pa.array(fine, pa.binary())],
+                 pa.array(counts, pa.binary()), pa.array(fine, pa.binary())],
                 names=["doc_id", "n", "cls", "prefix", "counts", "fine"])
 
     return docs.mapInArrow(run, SET_SCHEMA)
@@ -211,16 +226,21 @@ def _mask(h):
     return reduce(lambda a, b: a.bitwiseOR(b), bits)
 
 
-def finely_bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose bound by the fine count vectors reaches the needed overlap."""
-    point = classes.select("cls", "n", "fine")
+def bounded(pairs: DataFrame, classes: DataFrame, percent: int, vector: str) -> DataFrame:
+    """The pairs whose sizes, and whose bound by the count vectors in column
+    ``vector`` (counts or fine), allow the needed overlap."""
+    point = classes.select("cls", "n", vector)
+    overlap = fine_overlap if vector == "fine" else coarse_overlap
     both = pairs.join(point.toDF("a", "na", "fa"), "a").join(point.toDF("b", "nb", "fb"), "b").select("a", "b", "na", "nb", "fa", "fb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for na, nb, fa, fb in zip(*(batch.column(i).to_pylist() for i in range(2, 6))):
-                most = fine_overlap(fa, fb)
+                if 100 * min(na, nb) < percent * max(na, nb):
+                    keep.append(False)
+                    continue
+                most = overlap(fa, fb)
                 keep.append(most is None or most >= needed(na, nb, percent))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
@@ -230,7 +250,7 @@ def finely_bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFr
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) of ``pairs`` that are linked: first by the fine count
     vectors' bound, then on the real sets."""
-    pairs = cut_lineage(finely_bounded(pairs, classes, percent))
+    pairs = cut_lineage(bounded(pairs, classes, percent, "fine"))
     ids = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     wanted = cut_lineage(ids.join(classes.select("cls", "rep"), "cls"))
     sets = cut_lineage(fetch_sets(docs, wanted, size).join(wanted.select("cls"), "cls", "left_semi"))
@@ -260,19 +280,10 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 # -- blocks --------------------------------------------------------------------------
-def bound_ok(percent: int):
-    overlap = F.aggregate(F.zip_with("ca", "cb", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
-    sizes = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    return sizes & ((100 + percent) * overlap >= percent * (F.col("na") + F.col("nb")))
-
-
 def hub_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs (hub, member) of ``members`` (cls, hub) that the bounds allow."""
     pairs = members.where("cls <> hub").select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
-    point = classes.select("cls", "n", "counts")
-    left = pairs.join(point.toDF("a", "na", "ca"), "a")
-    both = left.join(point.toDF("b", "nb", "cb"), "b")
-    return both.where(bound_ok(percent)).select("a", "b")
+    return bounded(pairs, classes, percent, "counts")
 
 
 def owned(key, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -328,8 +339,10 @@ def block_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, perce
     home = F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int")
     spread = open_.withColumn("home", home).withColumn(
         "tile", F.explode(F.when(F.col("asks"), F.sequence(F.lit(0), F.col("tiles") - 1)).otherwise(F.array("home"))))
-    heads = [F.coalesce(F.get("prefix", F.lit(i)), F.get("prefix", F.lit(0))).alias(f"h{i}") for i in range(HEADS)]
-    full = spread.join(classes.select("cls", "n", "counts", *heads), "cls").select(
+    keys = members.groupBy("cls").agg(F.array_sort(F.collect_set("key")).alias("k"))  # at most the class's prefix
+    heads = [F.coalesce(F.get("k", F.lit(i)), F.get("k", F.lit(0))).alias(f"h{i}") for i in range(HEADS)]
+    points = cut_lineage(classes.select("cls", "n", "counts").join(keys, "cls").select("cls", "n", "counts", *heads))
+    full = spread.join(points, "cls").select(
         "key", "tile", "cls", "comp", "n", "counts", "asks", (F.col("tile") == F.col("home")).alias("here"),
         *[f"h{i}" for i in range(HEADS)])
     dealt = full.repartition("key", "tile").sortWithinPartitions("key", "tile", "cls")
@@ -352,7 +365,7 @@ def block_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, perce
             return empty
         key, tile = frame["key"].to_numpy(), frame["tile"].to_numpy()
         ids, comps, sizes = frame["cls"].to_numpy(), frame["comp"].to_numpy(), frame["n"].to_numpy().astype(np.int64)
-        counts = np.stack(frame["counts"].to_list()).astype(np.int64)
+        counts = np.stack([read_counts(c) for c in frame["counts"]])
         asks, here = frame["asks"].to_numpy(), frame["here"].to_numpy()
         heads = frame[[f"h{i}" for i in range(HEADS)]].to_numpy()
         edges = np.flatnonzero((key[1:] != key[:-1]) | (tile[1:] != tile[:-1])) + 1
@@ -430,3 +443,18 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -
     found = rows.where("cls is not null and doc_id is not null").join(by_class, "cls").select("doc_id", "n", "component_id")
     return found.unionByName(plain).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
 
+
+
+def filter_documents(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with all columns, one document (the smallest doc_id) of each
+    component. Rows that share a doc_id count as one document, of which the row
+    with the smallest text stays; rows with a null doc_id all stay."""
+    found = near_duplicates(docs, size, percent)
+    stays = cut_lineage(found.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct())
+    names = [f"`{c}`" for c in docs.columns]
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    whole = F.struct("text", *[F.col(f"`{c}`") for c in others]).alias("__row")
+    kept = docs.join(stays, F.col("doc_id").cast("long") == F.col("__id"), "left_semi").select("doc_id", whole)
+    kept = kept.groupBy("doc_id").agg(F.min("__row").alias("__row"))
+    kept = kept.select("doc_id", "__row.text", *[F.col(f"__row.`{c}`") for c in others]).select(*names)
+    return kept.unionByName(docs.where("doc_id is null").select(*names))
