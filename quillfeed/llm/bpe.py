@@ -25,12 +25,13 @@ import base64
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-CACHE_PIECES = 400_000
+CACHE_PIECES = 600_000
 BATCH_BYTES = 64  # pieces up to this long are encoded together
 NONE = np.iinfo(np.int64).max  # rank of a position that starts no pair
 ENCODED_SCHEMA = "doc_id long, ids array<int>, decoded binary"
@@ -46,11 +47,14 @@ class ByteBpe:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.split = regex.compile(pattern).findall
-        self.bytes_of = {v: k for k, v in self.ranks.items()}
+        self.bytes_of: list[bytes] = [b""] * (max(self.ranks.values()) + 1)
+        for token, rank in self.ranks.items():
+            self.bytes_of[rank] = token
+        self.decimal = [str(i) for i in range(len(self.bytes_of))]
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int64)
         # Every way to put a token together from two tokens: (left, right) -> token.
         keys, out = [], []
-        width = self.width = max(self.bytes_of) + 1
+        width = self.width = len(self.bytes_of)
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
                 left, right = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
@@ -189,27 +193,18 @@ class ByteBpe:
         return tuple(t for t in token if t >= 0)
 
     # -- texts -------------------------------------------------------------------
-    def encode_texts(self, texts: list[str]) -> Iterator[list[tuple[int, ...]]]:
-        """Per text, the ids of its pieces in order."""
-        split, cache = self.split, self.cache
-        for text in texts:
-            pieces = split(text)
-            new = {p for p in pieces if p not in cache}
-            if new:
-                if len(cache) + len(new) > CACHE_PIECES:
-                    cache.clear()
-                    new = set(pieces)
-                self._learn(new)
-            yield [cache[p] for p in pieces]
-
-    def learn_pieces(self, texts: list[str]) -> None:
-        """Encode the unknown pieces of several texts in one go."""
-        cache, new = self.cache, set()
-        for text in texts:
-            new.update(p for p in self.split(text) if p not in cache)
-        if len(cache) + len(new) > CACHE_PIECES:
-            cache.clear()
-        self._learn(new)
+    def encode_texts(self, texts: list[str]) -> Iterator[list[int]]:
+        """The ids of each text. The unknown pieces of all texts are encoded in one go."""
+        cache = self.cache
+        pieces = [self.split(text) for text in texts]
+        new = {p for doc in pieces for p in doc if p not in cache}
+        if new:
+            if len(cache) + len(new) > CACHE_PIECES:
+                cache.clear()
+                new = {p for doc in pieces for p in doc}
+            self._learn(new)
+        for doc in pieces:
+            yield list(chain.from_iterable(map(cache.__getitem__, doc)))
 
     def _learn(self, pieces) -> None:
         cache, ranks, short, keys = self.cache, self.ranks, [], []
@@ -227,8 +222,7 @@ class ByteBpe:
             cache.update(zip(keys[a:a + 8192], self.encode_short(short[a:a + 8192])))
 
     def decode(self, ids) -> bytes:
-        table = self.bytes_of
-        return b"".join([table[i] for i in ids])
+        return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
 @lru_cache(maxsize=4)
@@ -256,7 +250,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for batch in batches:
             start = 0
             for texts in _chunks([t or "" for t in batch.column(1).to_pylist()]):
-                ids = [[i for piece in doc for i in piece] for doc in _encoded(bpe, texts)]
+                ids = list(bpe.encode_texts(texts))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, len(texts)), pa.array(ids, pa.list_(pa.int32())),
                      pa.array([bpe.decode(x) for x in ids], pa.binary())], names=["doc_id", "ids", "decoded"])
@@ -265,12 +259,6 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, ENCODED_SCHEMA)
 
 
-def _encoded(bpe: ByteBpe, texts: list[str]) -> Iterator[list[tuple[int, ...]]]:
-    if sum(map(len, texts)) < 4_000_000:
-        bpe.learn_pieces(texts)
-    return bpe.encode_texts(texts)
-
-
 def digest_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Encode and decode as :func:`encode_documents`, but only digests of the ids
     and of the decoded bytes leave the Python worker."""
@@ -280,10 +268,9 @@ def digest_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for batch in batches:
             n, id_sha, text_sha = [], [], []
             for texts in _chunks([t or "" for t in batch.column(1).to_pylist()]):
-                for doc in _encoded(bpe, texts):
-                    ids = [i for piece in doc for i in piece]
+                for ids in bpe.encode_texts(texts):
                     n.append(len(ids))
-                    id_sha.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+                    id_sha.append(hashlib.sha256(",".join(map(bpe.decimal.__getitem__, ids)).encode()).hexdigest())
                     text_sha.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(id_sha, pa.string()),
