@@ -143,6 +143,16 @@ def window_means(values: np.ndarray, window: int) -> np.ndarray:
     return np.add.reduceat(values, np.arange(0, len(values), window)) / window
 
 
+def _by_word(words: list[str], part: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
+    """All words' buckets, word after word, and how many each word has."""
+    flat, counts = [], []
+    for a in range(0, len(words), part):
+        number, bucket = ngram_buckets(words[a:a + part])
+        flat.append(bucket[np.argsort(number, kind="stable")].astype(np.int32))
+        counts.append(np.bincount(number))
+    return np.concatenate(flat), np.concatenate(counts)
+
+
 def train(texts: list[str], labels: list[int], epochs: int = 10, batch: int = 64, rate: float = 0.08,
           decay: float = 1e-6, seed: int = 7) -> Model:
     """Fit bucket vectors and softmax jointly on whole documents."""
@@ -151,14 +161,13 @@ def train(texts: list[str], labels: list[int], epochs: int = 10, batch: int = 64
         share = min(max(float(y.mean()) if len(y) else 0.0, 1e-6), 1 - 1e-6)
         return Model(np.zeros((1, 2), np.float32), float(np.log(share / (1 - share))))
     vocabulary: dict[str, int] = {}
-    docs = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words_of(t or "")], dtype=np.int64) for t in texts]
+    docs = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words_of(t or "")], dtype=np.int32) for t in texts]
     if not vocabulary:
         return train([], [])
-    number, flat = ngram_buckets(list(vocabulary))
-    flat = flat[np.argsort(number, kind="stable")].astype(np.int32)
-    counts = np.bincount(number)
+    del texts
+    flat, counts = _by_word(list(vocabulary))
     first = np.cumsum(counts) - counts
-    del number, vocabulary
+    del vocabulary
     seen_in = np.zeros(BUCKETS, dtype=np.int64)  # documents per bucket
     for d in docs:
         t = np.unique(d)
@@ -284,9 +293,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_docs: int
         if total > max_chars:
             break
         upto = r.at
-    rows = sorted((r.doc_id, r.text or "") for r in texts.where(F.col("at") <= upto).collect())
+    rows = texts.where(F.col("at") <= upto).select("doc_id", "text").toArrow().sort_by("doc_id")
     texts.unpersist()
-    return train([t for _, t in rows], [wanted[i] for i, _ in rows])
+    return train(rows.column("text").to_pylist(), [wanted[i] for i in rows.column("doc_id").to_pylist()])
 
 
 def scored(score, texts: pa.Array) -> list[float]:
