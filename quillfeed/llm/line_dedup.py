@@ -40,7 +40,7 @@ from quillfeed.session import cut_lineage
 
 DEPTH = 3
 SEGMENTS = 8
-SIMILAR = 0.75
+SIMILAR = 0.8
 MIN_TOKENS = 4
 PART = 512
 _DIGIT = re.compile(rb"[0-9]")

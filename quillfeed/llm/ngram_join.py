@@ -328,13 +328,14 @@ def tree_pairs(ids, comps, sizes, counts, asks, heads, key, percent: int = PERCE
     return out
 
 
-def block_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def block_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, percent: int, tile: int = TILE,
+                small_block: int = SMALL) -> DataFrame:
     """All pairs of one block in different components that the bounds allow."""
     placed = members.select("key", "cls", "hub").join(labels, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     hubs = labels.select(F.col("cls").alias("hub"), F.col("comp").alias("hub_comp"))
     placed = cut_lineage(placed.join(hubs, "hub", "left").withColumn("hub_comp", F.coalesce("hub_comp", "hub")))
     stats = cut_lineage(placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("rows"))
-                        .where("lo <> hi").select("key", F.ceil(F.col("rows") / TILE).cast("int").alias("tiles")))
+                        .where("lo <> hi").select("key", F.ceil(F.col("rows") / tile).cast("int").alias("tiles")))
     open_ = placed.join(stats, "key").select("key", "cls", "comp", "tiles", (F.col("comp") != F.col("hub_comp")).alias("asks"))
     home = F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int")
     spread = open_.withColumn("home", home).withColumn(
@@ -363,14 +364,14 @@ def block_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, perce
         empty = pd.DataFrame({"a": [], "b": []}, dtype="int64")
         if len(frame) < 2:
             return empty
-        key, tile = frame["key"].to_numpy(), frame["tile"].to_numpy()
+        key, part = frame["key"].to_numpy(), frame["tile"].to_numpy()
         ids, comps, sizes = frame["cls"].to_numpy(), frame["comp"].to_numpy(), frame["n"].to_numpy().astype(np.int64)
         counts = np.stack([read_counts(c) for c in frame["counts"]])
         asks, here = frame["asks"].to_numpy(), frame["here"].to_numpy()
         heads = frame[[f"h{i}" for i in range(HEADS)]].to_numpy()
-        edges = np.flatnonzero((key[1:] != key[:-1]) | (tile[1:] != tile[:-1])) + 1
+        edges = np.flatnonzero((key[1:] != key[:-1]) | (part[1:] != part[:-1])) + 1
         starts, ends = np.array([0, *edges]), np.array([*edges, len(frame)])
-        small = ends - starts <= SMALL
+        small = ends - starts <= small_block
         group = np.repeat(np.arange(len(starts)), ends - starts)
         found = []
         # All small blocks at once: each row against the row `shift` places on.
@@ -400,7 +401,7 @@ def block_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, perce
 
 
 # -- the join --------------------------------------------------------------------------
-def link_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
+def link_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, tile: int = TILE, small_block: int = SMALL) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(row sets: doc_id, n, cls), (classes) and (labels: cls, comp) of ``docs`` (doc_id, text)."""
     docs = docs.selectExpr("cast(doc_id as long) doc_id", "text")
     rows = cut_lineage(document_sets(docs, frequent_ngrams(docs, size), size, percent))
@@ -425,15 +426,16 @@ def link_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> t
     links = cut_lineage(links.unionByName(verify(pairs, classes, docs, size, percent)))
     labels = components(links)
 
-    pairs = cut_lineage(block_pairs(members, classes, labels, percent))
+    pairs = cut_lineage(block_pairs(members, classes, labels, percent, tile, small_block))
     links = links.unionByName(verify(pairs, classes, docs, size, percent))
     return rows.select("doc_id", "n", "cls"), classes, components(links)
 
 
-def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, tile: int = TILE,
+                    small_block: int = SMALL) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable by links)
     of each row of ``docs`` (doc_id, text)."""
-    rows, classes, labels = link_classes(docs, size, percent)
+    rows, classes, labels = link_classes(docs, size, percent, tile, small_block)
     named = classes.groupBy("cls").agg(F.min("rep").alias("rep")).join(labels, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     named = cut_lineage(named)
     smallest = named.groupBy("comp").agg(F.min("rep").alias("component_id"))

@@ -191,7 +191,7 @@ def pack_documents(docs: DataFrame, path: str, end_id: int = 1, sequence: int =
                         names=["grp", "doc_id", "ids", "width"])
                     rows, size, start = [], 0, at
 
-    def one_group(key, part: pd.DataFrame) -> pd.DataFrame:
+    def one_group(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["doc_id", "ids"], na_position="first", kind="stable")
         docs_ids = [np.frombuffer(b, dtype=f"<u{w}") for b, w in zip(part["ids"], part["width"])]
         names = [None if pd.isna(x) else int(x) for x in part["doc_id"]]

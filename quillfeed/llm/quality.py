@@ -180,7 +180,8 @@ def filter_documents(docs: DataFrame, rules: Rules = DEFAULT_RULES, text_col: st
             cols = list(batch.columns)
             cols[at] = pa.array(texts, batch.schema.field(at).type)
             if chars_at is not None:
-                cols[chars_at] = pa.array([len(t) for t in texts], batch.schema.field(chars_at).type)
+                counts = [len(v[10]) if v[8] else c for v, c in zip((v for v in verdicts if v[6]), cols[chars_at].to_pylist())]
+                cols[chars_at] = pa.array(counts, batch.schema.field(chars_at).type)
             yield pa.RecordBatch.from_arrays(cols, schema=batch.schema)
 
     return docs.mapInArrow(run, docs.schema)

@@ -72,8 +72,8 @@ def _kind(m: np.ndarray) -> str:
     return "<i2" if most < 2 ** 15 else "<i4" if most < 2 ** 31 else "<f8"
 
 
-def units(rows: DataFrame, size: int, block: int = BLOCK) -> DataFrame:
-    """One row per unit of about ``size`` neighbouring ids, see UNIT_SCHEMA;
+def units(rows: DataFrame, block: int) -> DataFrame:
+    """One row per unit of ``rows`` (unit, vec_id, v), see UNIT_SCHEMA;
     ``top`` and ``low`` have a line per block."""
 
     def build(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
@@ -119,7 +119,7 @@ def bounds(q: np.ndarray, top: np.ndarray, low: np.ndarray) -> np.ndarray:
 
 
 def search(q_ids: np.ndarray, q: np.ndarray, floor: np.ndarray, ids: np.ndarray, d: np.ndarray, top: np.ndarray,
-           low: np.ndarray, k: int, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+           low: np.ndarray, k: int, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Query number, id and score of candidates that may be among the k best of
     their query: ``floor`` has the k-th score known so far (LOW: none)."""
     q, d, top, low = _same_width(q, d, top, low)
@@ -158,13 +158,13 @@ def search(q_ids: np.ndarray, q: np.ndarray, floor: np.ndarray, ids: np.ndarray,
     return i[keep], ids_[keep], s[keep]
 
 
-def top_k(vectors: DataFrame, k: int = 5, query_every: int = 50) -> DataFrame:
+def top_k(vectors: DataFrame, k: int = 5, query_every: int = 50, unit: int = UNIT, block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score of the k best candidates of every row whose
     vec_id is divisible by ``query_every``."""
     rows = cut_lineage(quantised(vectors))
-    docs = cut_lineage(units(numbered(rows, UNIT), UNIT))
+    docs = cut_lineage(units(numbered(rows, unit), block))
     queries = numbered(rows.where(F.col("vec_id") % query_every == 0), QUERY_BLOCK)
-    asked = cut_lineage(units(queries, QUERY_BLOCK).select(
+    asked = cut_lineage(units(queries, block).select(
         F.col("unit").alias("q_unit"), F.col("n").alias("q_n"), F.col("dim").alias("q_dim"), F.col("kind").alias("q_kind"),
         F.col("ids").alias("q_ids"), F.col("data").alias("q_data")))
 
@@ -172,7 +172,7 @@ def top_k(vectors: DataFrame, k: int = 5, query_every: int = 50) -> DataFrame:
         return np.frombuffer(r.q_ids, "<i8"), _matrix(r.q_data, r.q_kind, r.q_n, r.q_dim)
 
     def summary_of(r) -> tuple[np.ndarray, np.ndarray]:
-        n = -(-r.n // BLOCK)
+        n = -(-r.n // block)
         return _matrix(r.top, "<f8", n, r.dim), _matrix(r.low, "<f8", n, r.dim)
 
     def unit_bounds(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -196,7 +196,7 @@ def top_k(vectors: DataFrame, k: int = 5, query_every: int = 50) -> DataFrame:
                 if not len(mine):
                     continue
                 i, vec, s = search(ids[mine], q[mine], floor[by][at[mine]], np.frombuffer(r.ids, "<i8"),
-                                   _matrix(r.data, r.kind, r.n, r.dim), *summary_of(r), k)
+                                   _matrix(r.data, r.kind, r.n, r.dim), *summary_of(r), k, block)
                 yield pd.DataFrame({"query_id": ids[mine][i], "vec_id": vec, "score": s})
 
     # Query blocks times units: the stated query set against all rows, in blocks.
