@@ -42,7 +42,8 @@ DEPTH = 3
 SEGMENTS = 8
 SIMILAR = 0.8
 MIN_TOKENS = 4
-PART = 512
+PART = 256
+SLICE = 1_000  # texts turned into Python objects at a time
 _DIGIT = re.compile(rb"[0-9]")
 _SEGS = [f"s{i}" for i in range(SEGMENTS)]
 LINE_SCHEMA = "doc_id long, key long, leaf long, n int, " + ", ".join(f"{s} int" for s in _SEGS)
@@ -83,7 +84,7 @@ def document_lines(docs: DataFrame) -> DataFrame:
     """A row per document and distinct masked line, see LINE_SCHEMA."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(a, SLICE) for b in batches for a in range(0, b.num_rows, SLICE)):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 mine = {}

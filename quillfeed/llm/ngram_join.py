@@ -63,7 +63,8 @@ _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
 _TABLE = bytes.maketrans(_UPPER, _LOWER)
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
+SLICE = 500  # texts turned into Python objects at a time
 
 
 class Shingler:
@@ -150,7 +151,7 @@ def document_sets(docs: DataFrame, frequent: np.ndarray, size: int, percent: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, often = Shingler(size), shared.value
-        for batch in batches:
+        for batch in (b.slice(a, SLICE) for b in batches for a in range(0, b.num_rows, SLICE)):
             n, cls, prefix, counts, fine = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 h = shingles(text)
