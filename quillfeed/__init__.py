@@ -10,6 +10,4 @@ Sub-packages:
 * ``streaming`` - Structured Streaming forms of the incremental steps
 """
 
-from quillfeed.config import Settings
 
-__all__ = ["Settings"]

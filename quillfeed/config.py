@@ -45,29 +45,6 @@ AS_OF = _dt.datetime(2024, 2, 1, 0, 0, 0)
 AS_OF_SQL = "TIMESTAMP '2024-02-01 00:00:00'"
 
 
-@dataclass(frozen=True)
-class Settings:
-    """Run parameters; every threshold is a keyword so plans can be re-aimed."""
-
-    as_of: _dt.datetime = AS_OF
-    pop_cutoff: float = POP_SCORE_CUTOFF
-    pop_exponent: float = POP_SCORE_EXPONENT
-    pop_range: float = POP_SCORE_RANGE
-    default_channels: tuple = PRED_DEFAULT_CHANNELS
-    augment_channels: tuple = PRED_AUGMENT_CHANNELS
-    excluded_channels: tuple = PRED_EXCLUDED_CHANNELS
-    confidence_threshold: float = PRED_CONFIDENCE_THRESHOLD
-    min_text_len: int = MIN_TEXT_LEN
-    min_link_path: int = MIN_LINK_PATH
-    max_age_days: int = MAX_AGE_DAYS
-    future_slack_hours: int = FUTURE_SLACK_HOURS
-    max_entries: int = DEFAULT_MAX_ENTRIES
-    min_image_size: int = MIN_IMAGE_SIZE
-    large_image_bytes: int = LARGE_IMAGE_BYTES
-    cdn_base: str = "https://cdn.example.invalid/cache"
-    profanity: tuple = field(default_factory=tuple)
-
-
 # --- fixed values: channel -> external taxonomy rules ------------------------
 # "prefix*" matches every taxonomy line starting with the prefix, a plain entry
 # is an exact category, "~X" entries are skipped.

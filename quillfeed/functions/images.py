@@ -19,7 +19,7 @@ def widest(arr: Column, width_field: str = "width") -> Column:
     empty or NULL array."""
 
     def w(e):
-        return F.coalesce(e[width_field].cast("int"), F.lit(0))
+        return F.coalesce(e[width_field].try_cast("int"), F.lit(0))  # a bad width counts as none
 
     return F.aggregate(
         arr,

@@ -28,12 +28,12 @@ COMMON_ENTITIES = (
 # ---------------------------------------------------------------------------
 
 COMMENT_RE = r"(?s)<!--.*?-->"
-TAG_RE = r"<[^>]*>"
+TAG_RE = r"<[a-zA-Z/!][^>]*>"  # a bare "<" is text
 _OPEN = "\ue000"
 _CLOSE = "\ue001"
 _ALLOWED_ALT = "|".join(ALLOWED_TAGS)
-# <a ... href="x" ...> keeps its href; every other allowed tag keeps its name only.
-A_HREF_RE = r'(?i)<a\s[^>]*?href\s*=\s*"([^"]*)"[^>]*>'
+# <a ... href="x" ...> keeps an http, https, mailto or relative href; every other allowed tag keeps its name only.
+A_HREF_RE = r"""(?i)<a\s[^>]*?href\s*=\s*["']((?:https?:|mailto:)[^"'>]*|[^"':>]*)["'][^>]*>"""
 ALLOWED_TAG_RE = r"(?i)<(/?)(" + _ALLOWED_ALT + r")(\s[^>]*)?>"
 SCRIPT_STYLE_RE = r"(?is)<(script|style)\b[^>]*>.*?</(script|style)\s*>"
 

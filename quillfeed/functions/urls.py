@@ -47,8 +47,8 @@ def url_hash(u: Column) -> Column:
 
 
 def article_key(url_hash_col: Column, title: Column) -> Column:
-    """PRJ18: url_hash followed by sha256 of the trimmed title."""
-    return F.concat(url_hash_col, F.sha2(F.trim(title), 256))
+    """PRJ18: url_hash followed by sha256 of the title without outer white space."""
+    return F.concat(url_hash_col, F.sha2(F.regexp_replace(title, r"(?U)^\s+|\s+$", ""), 256))
 
 
 def quote_segment(seg: Column) -> Column:

@@ -19,23 +19,13 @@ from quillfeed.functions import urls as U
 from quillfeed.functions.images import pick_image
 from quillfeed.functions.scoring import ts_literal
 from quillfeed.functions.timeparse import parse_feed_time
-from quillfeed.session import cut_lineage, spread_if_narrow
+from quillfeed.session import cut_lineage
 
 
 def _nz(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
-def drop_untitled(df: DataFrame, col: str = "title") -> DataFrame:
-    """FLT1: title missing or empty."""
-    return df.where(F.length(F.col(col)) > 0)
-
-
-def drop_listed_words(df: DataFrame, words, col: str = "title") -> DataFrame:
-    """FLT2: lower-cased text containing a listed word (whole-word match)."""
-    return df.where(~TX.contains_listed_word(F.col(col), words))
-
-
 def pick_link(link: Column, url: Column) -> Column:
     """PRJ11: link, else url, else NULL (FLT3 drops NULL)."""
     return F.coalesce(_nz(link), _nz(url))
@@ -88,7 +78,7 @@ def entries_to_articles(
     site_url (PRJ19). Other publisher columns present (category, ids, names,
     channels, locale, ...) pass through unchanged.
     """
-    a = spread_if_narrow(items).where(F.length(F.col("title")) > 0)  # FLT1 (heavy per-row work follows)
+    a = items.where(F.length(F.col("title")) > 0)  # FLT1
     # PRJ9 + PRJ10, titles decoded twice; each step only touches values that
     # contain markup or an entity (a step is a no-op on the others)
     t = F.col("title")
@@ -129,36 +119,42 @@ def entries_to_articles(
     )
 
 
-def resolve_urls(articles: DataFrame, redirects: DataFrame | None = None, max_hops: int = 5) -> DataFrame:
-    """JOI3 + FLT7 + PRJ16 + PRJ17: follow ``redirects(src, dst, status)`` up to
-    ``max_hops``; a link with no redirect row is final, a failed hop (status
-    outside 200-399) drops the article. Then hash the resolved URL and
-    percent-encode its path.
-
-    The redirect table is reduced to one response per source URL (repeated
-    fetches collapse to the lowest status, then the smallest target) and, when
-    several hops are followed, materialised once. Each hop is one equi join of
-    the links that are still moving; finished links leave the loop, so later
-    hops shuffle only the remaining chains."""
+def close_redirects(redirects: DataFrame) -> DataFrame:
+    """(src, final) of every URL of ``redirects(src, dst, status)``: the end of its
+    chain, null where the chain meets a failed response (status outside 200-399)
+    or runs in a circle.
+
+    Repeated fetches of a URL collapse to the lowest status, then the smallest
+    target. Pointer jumping doubles the distance each row has gone, so a chain of
+    n hops is closed after about log2(n) joins; when a round closes no further
+    row, what is left are circles and chains into them."""
+    one = redirects.groupBy("src").agg(F.min_by(F.struct("dst", "status"), F.struct("status", "dst")).alias("_r"))
+    ok = F.coalesce(F.col("_r.status").between(200, 399), F.lit(False))
+    t = cut_lineage(one.select(
+        "src", F.when(ok, F.coalesce("_r.dst", "src")).alias("to"), (~ok | F.col("_r.dst").isNull()).alias("closed")))
+    left = None
+    while True:
+        step = t.select(F.col("src").alias("to"), F.col("to").alias("_next"), F.col("closed").alias("_end"))
+        open_ = t.where("not closed").join(step, "to", "left").select(
+            "src", F.when(F.col("_end").isNull(), F.col("to")).otherwise(F.col("_next")).alias("to"),
+            F.coalesce("_end", F.lit(True)).alias("closed"))
+        t = cut_lineage(t.where("closed").unionByName(open_))
+        now = t.where("not closed").count()
+        if not now or now == left:
+            return t.select("src", F.when(F.col("closed"), F.col("to")).alias("final"))
+        left = now
+
+
+def resolve_urls(articles: DataFrame, redirects: DataFrame | None = None) -> DataFrame:
+    """JOI3 + FLT7 + PRJ16 + PRJ17: each link becomes the end of its redirect chain
+    (a link without a redirect row is final); links whose chain fails or is
+    circular are dropped. Then hash the resolved URL and percent-encode its path.
+    The links are joined once, with the closed redirect table."""
     a = articles.withColumn("_u", F.col("link"))
-    if redirects is not None and max_hops > 0:
-        one = redirects.groupBy("src").agg(
-            F.min_by(F.struct("dst", "status"), F.struct("status", "dst")).alias("_r"))
-        r = one.select(F.col("src").alias("_u"), F.col("_r.dst").alias("_dst"), F.col("_r.status").alias("_st"))
-        if max_hops > 1:
-            r = cut_lineage(r)
-        done = []
-        moving = a
-        for _ in range(max_hops):
-            j = moving.join(r, "_u", "left")
-            ok = F.coalesce(F.col("_st").between(200, 399), F.lit(False))  # a failed hop drops the link (FLT7)
-            final = F.col("_st").isNull() | (ok & F.col("_dst").isNull())  # no redirect (or no target): final
-            done.append(j.where(final).drop("_dst", "_st"))
-            moving = j.where(ok & F.col("_dst").isNotNull()).withColumn("_u", F.col("_dst")).drop("_dst", "_st")
-        done.append(moving)  # hop limit reached: stop following
-        a = done[0]
-        for d in done[1:]:
-            a = a.unionByName(d)
+    if redirects is not None:
+        closed = close_redirects(redirects).select(F.col("src").alias("_u"), "final", F.lit(True).alias("_moved"))
+        a = a.join(closed, "_u", "left").where("_moved is null or final is not null")
+        a = a.withColumn("_u", F.coalesce("final", "_u")).drop("final", "_moved")
     return (
         a.withColumn("url_hash", U.url_hash(F.col("_u")))
         .withColumn("url", U.reencode_url(F.col("_u")))

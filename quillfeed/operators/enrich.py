@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from quillfeed import config
 from quillfeed.functions.images import cdn_url, is_large_image, is_small_image, is_video_url
 from quillfeed.functions.scoring import dampen_popularity
-from quillfeed.sources.lookups import small_side
 
 
 # --- popularity (AGG1, JOI5, PRJ29) -------------------------------------------
@@ -100,17 +99,16 @@ def default_taxonomy_rules(spark) -> DataFrame:
 def expand_taxonomy(taxonomy: DataFrame, rules: DataFrame) -> DataFrame:
     """JOI7: (category, channel) pairs. ``prefix*`` rules match every taxonomy
     line starting with the prefix, plain rules map their exact text, ``~`` rules
-    are skipped. Rules are a small, size-checked broadcast side of a
-    nested-loop join; the taxonomy streams."""
+    are skipped. Each category is listed under all its prefixes, so both kinds of
+    rule are equality joins."""
     cat = taxonomy.select(F.trim(F.col("value")).alias("category")).where(F.col("category") != "").distinct()
     r = rules.select("channel", "pattern").where(~F.startswith(F.col("pattern"), F.lit("~")))
     prefix = r.where(F.endswith(F.col("pattern"), F.lit("*"))).select(
         "channel", F.expr("substring(pattern, 1, length(pattern) - 1)").alias("prefix")
     )
     exact = r.where(~F.endswith(F.col("pattern"), F.lit("*"))).select(F.col("pattern").alias("category"), "channel")
-    by_prefix = cat.join(small_side(prefix, "taxonomy prefix rules"), F.startswith(F.col("category"), F.col("prefix"))).select(
-        "category", "channel"
-    )
+    starts = F.transform(F.sequence(F.lit(0), F.length("category")), lambda n: F.substring(F.col("category"), F.lit(1), n))
+    by_prefix = cat.withColumn("prefix", F.explode(starts)).join(prefix, "prefix").select("category", "channel")
     return by_prefix.unionByName(exact).distinct()
 
 

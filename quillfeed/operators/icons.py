@@ -110,9 +110,6 @@ def cover_choice(service: DataFrame, icons: DataFrame, logos: DataFrame, metas:
     return first_by_source(allc).select("domain", F.col("url").alias("cover_url"), "source_rank")
 
 
-FAVICON_SOURCES = ("service", "icon", "shortcut icon", "apple-touch-icon", "default")
-
-
 def favicon_choice(service: DataFrame, page_icons: DataFrame, domains: DataFrame) -> DataFrame:
     """TOP5 (documented intent, T10): icon service > link rel=icon > shortcut
     icon > apple-touch-icon > ``/favicon.ico``; resolved against the domain and

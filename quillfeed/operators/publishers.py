@@ -28,11 +28,11 @@ HEADER_ALIASES = {
 }
 # Keys written by the per-locale build (feed_source map) and the sources list.
 FEED_INCLUDE = ("category", "publisher_name", "content_type", "publisher_domain", "publisher_id", "max_entries",
-                "og_images", "creative_instance_id", "feed_url", "site_url", "destination_domains", "channels")
+                "og_images", "creative_instance_id", "channels", "feed_url", "site_url", "destination_domains")
 SOURCES_INCLUDE = ("enabled", "publisher_name", "category", "site_url", "feed_url", "favicon_url", "cover_url",
-                   "background_color", "score", "destination_domains", "channels", "rank", "publisher_id")
+                   "background_color", "score", "channels", "rank", "publisher_id", "destination_domains")
 GLOBAL_INCLUDE = ("enabled", "publisher_name", "category", "site_url", "feed_url", "favicon_url", "cover_url",
-                  "background_color", "score", "destination_domains", "publisher_id", "locales")
+                  "background_color", "score", "destination_domains", "locales", "publisher_id")
 # ---------------------------------------------------------------------------
 
 

@@ -347,9 +347,9 @@ def insert_external_classes(existing: DataFrame | None, incoming: DataFrame, art
 
 # --- SET11 / TOP6 feed high-water mark -----------------------------------------
 def latest_build(records: DataFrame, key: str = "feed_id", ts: str = "last_build_time") -> DataFrame:
-    """TOP6: newest record per feed."""
+    """TOP6: newest record per feed; equal times go to the largest other columns."""
     payload = [c for c in records.columns if c != key]
-    return records.groupBy(key).agg(F.max_by(F.struct(*payload), F.col(ts)).alias("_r")).select(key, "_r.*")
+    return records.groupBy(key).agg(F.max_by(F.struct(*payload), F.struct(ts, *[c for c in payload if c != ts])).alias("_r")).select(key, "_r.*")
 
 
 def feed_high_water(existing: DataFrame | None, builds: DataFrame, as_of: _dt.datetime) -> DataFrame:
@@ -368,7 +368,3 @@ def feed_high_water(existing: DataFrame | None, builds: DataFrame, as_of: _dt.da
         F.when(take, F.col("n.last_build_time")).otherwise(F.col("o.last_build_time")).alias("last_build_time"),
         F.when(take, F.col("n.last_build_timedelta")).otherwise(F.col("o.last_build_timedelta")).alias("last_build_timedelta"),
     )
-
-
-def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)

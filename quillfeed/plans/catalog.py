@@ -17,7 +17,6 @@ from quillfeed.functions.timeparse import format_utc
 from quillfeed.functions.urls import url_hash
 from quillfeed.operators import enrich, rank
 from quillfeed.plans import standins as S
-from quillfeed.session import spread_if_narrow
 
 AS_OF = config.AS_OF_SQL
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -274,7 +273,7 @@ def html_clean(spark: SparkSession, base: str) -> DataFrame:
     PRJ10), title decoded twice, first link target (PRJ24 pattern on <a href>)."""
     from quillfeed.functions.images import A_HREF_ATTR_RE, first_tag_attr
 
-    p = spread_if_narrow(read_table(spark, base, "pages"))  # whole-page regexes per row
+    p = read_table(spark, base, "pages")  # whole-page regexes per row
     txt = TX.html_to_text(F.col("html"))
     scrubbed = TX.scrub_html(F.col("html"))
     return p.select(
@@ -695,7 +694,7 @@ def feed_high_water_q(spark: SparkSession, base: str) -> DataFrame:
 
 LATEST_BUILD_SQL = """
 SELECT user_id AS feed_id, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_build_time,
-       arg_max(event_id, ts) AS record_id
+       arg_max(event_id, (ts, event_id)) AS record_id
 FROM events GROUP BY user_id"""
 
 
@@ -803,10 +802,10 @@ WHERE o_orderstatus <> 'P'"""
 
 @register("url_resolve", URL_RESOLVE_SQL)
 def url_resolve(spark: SparkSession, base: str) -> DataFrame:
-    """Short links followed through a redirect table (bounded hops, one equi
-    join each), failed hops dropped (FLT7), url_hash of the final URL (PRJ17),
+    """Short links followed to the end of their redirect chains (the table is
+    closed first, then joined once), failed and circular ones dropped (FLT7), url_hash of the final URL (PRJ17),
     final URL path re-encoded (PRJ16)."""
-    r = clean.resolve_urls(S.short_links(spark, base), S.redirect_table(spark, base), max_hops=3)
+    r = clean.resolve_urls(S.short_links(spark, base), S.redirect_table(spark, base))
     return r.select("l_orderkey", "l_linenumber", "url", "url_hash")
 
 
@@ -953,8 +952,8 @@ def xml_feeds(spark: SparkSession, base: str) -> DataFrame:
     """The per-locale feed build from raw RSS documents: from_xml parse with
     positions (SRC4, FLT8), then the same chain as ``locale_feeds`` (JOI1,
     TOP1, cleaning, URL hash, per-locale popularity, scrub, dedup, variety,
-    score). Time ties inside a publisher are broken by a hash of (feed,
-    position); the test data has none at the checked scale."""
+    score). Time ties inside a publisher are broken by the documents' order and
+    the position in the document."""
     b = FB.build_locale_feeds(S.feed_documents(spark, base), S.feed_publishers(spark, base), as_of=CLEAN_AS_OF)
     return b.feed.select(
         "locale", "url_hash", "title", format_utc(F.col("publish_time")).alias("publish_time"), "publisher_id",

@@ -22,8 +22,7 @@ from pyspark.sql import functions as F
 from quillfeed import config
 from quillfeed.operators import clean, enrich, quality, rank, store
 from quillfeed.sources import feeds
-from quillfeed.session import cut_lineage, spread_if_narrow
-from quillfeed.sources.lookups import small_side
+from quillfeed.session import cut_lineage
 
 PUBLISHER_COLUMNS = ("feed_url", "locale", "publisher_id", "publisher_name", "category", "site_url", "content_type",
                      "creative_instance_id", "channels", "max_entries", "og_images")
@@ -55,7 +54,7 @@ def build_locale_feeds(
     profanity: tuple = config.PROFANITY_CUSTOM_WORDS,
     cdn_base: str = "https://cdn.example.invalid/cache",
 ) -> FeedBuild:
-    entries = feeds.parse_feeds(spread_if_narrow(docs))  # parsing is heavy per document
+    entries = feeds.parse_feeds(docs)
     failures = feeds.failed_documents(docs, entries)
     return build_from_entries(entries, publishers, as_of, stored=stored, counters=counters, predictions=predictions,
                               predict_locales=predict_locales, image_meta=image_meta, page_meta=page_meta,
@@ -79,7 +78,7 @@ def build_from_entries(
 ) -> FeedBuild:
     """QRY8 from parsed entries (``feed_url``, ``pos`` and the SRC4 columns; an
     ``ord`` column, when present, is the input order used to break time ties)."""
-    pubs = small_side(publishers.select(*PUBLISHER_COLUMNS), "publishers")  # source lists: bounded, size-checked
+    pubs = publishers.select(*PUBLISHER_COLUMNS)
     report = quality.run_report(  # AGG6 per (feed, locale)
         entries.select("feed_url").join(pubs.select("feed_url", "locale", "max_entries"), "feed_url"),
         group_cols=("locale",))
@@ -90,10 +89,8 @@ def build_from_entries(
     ck = F.xxhash64("content_type", "site_url")  # null-safe key of the attributes cleaning reads
     clean_keys = pubs.groupBy("feed_url", "content_type", "site_url").agg(
         F.max(F.coalesce("max_entries", F.lit(config.DEFAULT_MAX_ENTRIES))).alias("_first_n"))
-    # at most one row per publisher row (size-checked above): broadcast, so the
-    # entries keep their partitioning and a hot feed is never shuffled together
-    pre = entries.join(F.broadcast(clean_keys), "feed_url").where(F.col("pos") < F.col("_first_n")).drop("_first_n")
-    pre = spread_if_narrow(pre)  # cleaning is heavy per entry
+    # at most one row per publisher row; Spark picks the join by its real size
+    pre = entries.join(clean_keys, "feed_url").where(F.col("pos") < F.col("_first_n")).drop("_first_n")
     if "ord" not in pre.columns:
         pre = pre.withColumn("ord", F.xxhash64("feed_url", "pos"))
     arts = clean.entries_to_articles(pre, as_of=as_of, profanity=profanity, time_filter=False)

@@ -415,7 +415,7 @@ def feed_documents(spark: SparkSession, base: str) -> DataFrame:
         F.replace(F.replace(F.col("description"), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")),
         F.lit("</description><pubDate>"), F.col("updated"), F.lit("</pubDate></item></channel></rss>"),
     )
-    return it.select(F.concat(F.col("site_url"), F.lit("/rss")).alias("feed_url"), xml.alias("content"))
+    return it.select(F.concat(F.col("site_url"), F.lit("/rss")).alias("feed_url"), xml.alias("content"), F.col("ord").alias("doc_ord"))
 
 
 # --- publisher CSV rows for the order shops: one row per customer -------------

@@ -57,21 +57,6 @@ def scale_settings(input_bytes: int, target_partition_bytes: int = 256 << 20, ma
     }
 
 
-def apply_settings(spark: SparkSession, settings: dict) -> None:
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-
-
-def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster's cores only when it arrives in
-    fewer partitions than that (e.g. one large unsplittable file) and heavy
-    per-row work follows (XML parsing, entry cleaning). Inputs that already
-    have enough partitions - the normal case at scale - pass through with no
-    shuffle. Reading the partition count plans the query but runs no job."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's shared ``spark.checkpoint.dir``. Only a local master may
     leave it unset (tests); it then gets a fresh scratch folder. On a cluster a

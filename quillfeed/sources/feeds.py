@@ -51,61 +51,6 @@ def _media(c):
     return F.transform(c, lambda m: F.struct(m["_url"].alias("url"), m["_width"].alias("width")))
 
 
-def parse_rss(docs: DataFrame) -> DataFrame:
-    """RSS 2.0 documents -> entries. Documents that fail to parse or carry no
-    item produce no rows (FLT8)."""
-    p = docs.where(F.length("content") <= config.MAX_FEED_BYTES).select(
-        "feed_url", F.from_xml("content", RSS_SCHEMA, {"rowTag": "rss", "mode": "PERMISSIVE"}).alias("d"))
-    e = p.select("feed_url", F.col("d.channel.pubDate").alias("feed_published"),
-                 F.col("d.channel.lastBuildDate").alias("feed_updated"),
-                 F.posexplode(F.col("d.channel.item")).alias("pos", "i"))
-    return e.select(
-        "feed_url", "pos",
-        F.col("i.title").alias("title"),
-        F.col("i.link").alias("link"),
-        F.lit(None).cast("string").alias("url"),
-        F.col("i.`dc:date`").alias("updated"),
-        F.col("i.pubDate").alias("published"),
-        "feed_updated", "feed_published",
-        F.col("i.description").alias("description"),
-        F.col("i.description").alias("summary"),
-        F.col("i.`content:encoded`").alias("content_html"),
-        F.lit(None).cast("string").alias("image"),
-        F.lit(None).cast("string").alias("urlToImage"),
-        _media(F.col("i.`media:content`")).alias("media_content"),
-        _media(F.col("i.`media:thumbnail`")).alias("media_thumbnail"),
-        F.transform(F.col("i.enclosure"), lambda x: F.struct(x["_url"].alias("href"), x["_type"].alias("type"),
-                                                             x["_length"].alias("length"))).alias("enclosures"),
-        F.try_element_at(F.col("i.category"), F.lit(1)).alias("item_category"),
-    )
-
-
-def parse_atom(docs: DataFrame) -> DataFrame:
-    """Atom documents -> entries (link = rel=alternate href, else the first)."""
-    p = docs.select("feed_url", F.from_xml("content", ATOM_SCHEMA, {"rowTag": "feed", "mode": "PERMISSIVE"}).alias("d"))
-    e = p.select("feed_url", F.col("d.updated").alias("feed_updated"), F.col("d.published").alias("feed_published"),
-                 F.posexplode(F.col("d.entry")).alias("pos", "i"))
-    alt = F.filter(F.col("i.link"), lambda l: F.coalesce(l["_rel"], F.lit("alternate")) == "alternate")
-    return e.select(
-        "feed_url", "pos",
-        F.col("i.title").alias("title"),
-        F.coalesce(F.try_element_at(alt, F.lit(1))["_href"], F.try_element_at(F.col("i.link"), F.lit(1))["_href"]).alias("link"),
-        F.lit(None).cast("string").alias("url"),
-        F.col("i.updated").alias("updated"),
-        F.col("i.published").alias("published"),
-        "feed_updated", "feed_published",
-        F.col("i.summary").alias("description"),
-        F.col("i.summary").alias("summary"),
-        F.col("i.content").alias("content_html"),
-        F.lit(None).cast("string").alias("image"),
-        F.lit(None).cast("string").alias("urlToImage"),
-        _media(F.col("i.`media:content`")).alias("media_content"),
-        _media(F.col("i.`media:thumbnail`")).alias("media_thumbnail"),
-        F.lit(None).cast("array<struct<href:string,type:string,length:string>>").alias("enclosures"),
-        F.try_element_at(F.col("i.category"), F.lit(1))["_term"].alias("item_category"),
-    )
-
-
 ROOT_RSS_RE = r"(?s)^\s*(<\?[^>]*>\s*|<!--.*?-->\s*|<!DOCTYPE[^>]*>\s*)*<rss\b"
 ROOT_ATOM_RE = r"(?s)<feed\b"
 
@@ -141,18 +86,23 @@ def parse_feeds(docs: DataFrame) -> DataFrame:
     """SRC4 for a mixed table in one pass: the root element picks the RSS or
     Atom schema for each document, both are mapped to one entry shape, and a
     single ``posexplode`` yields the entries with their document positions.
-    Documents that fail to parse or carry no entry produce no rows (FLT8)."""
-    d = docs.where(F.length("content") <= config.MAX_FEED_BYTES).select(
-        "feed_url", "content",
+    Documents that fail to parse or carry no entry produce no rows (FLT8).
+
+    ``ord`` puts the documents in order, then the positions in each. The order comes from the documents'
+    ``doc_ord`` column; without one a hash of the content stands for it."""
+    room = 1 << 20  # positions in a document; its bytes are limited to ten times that
+    doc = F.col("doc_ord").cast("long") if "doc_ord" in docs.columns else F.shiftright(F.xxhash64("feed_url", "content"), 20)
+    d = docs.where(F.octet_length("content") <= config.MAX_FEED_BYTES).select(
+        "feed_url", "content", (doc * room).alias("doc_ord"),
         F.when(F.col("content").rlike(ROOT_RSS_RE), F.lit("rss"))
         .when(F.col("content").rlike(ROOT_ATOM_RE), F.lit("atom")).alias("_kind"))
     p = d.select(
-        "feed_url",
+        "feed_url", "doc_ord",
         F.when(F.col("_kind") == "rss", F.from_xml("content", RSS_SCHEMA, {"rowTag": "rss", "mode": "PERMISSIVE"})).alias("r"),
         F.when(F.col("_kind") == "atom", F.from_xml("content", ATOM_SCHEMA, {"rowTag": "feed", "mode": "PERMISSIVE"})).alias("a"),
     )
     e = p.select(
-        "feed_url",
+        "feed_url", "doc_ord",
         F.coalesce(F.col("r.channel.lastBuildDate"), F.col("a.updated")).alias("feed_updated"),
         F.coalesce(F.col("r.channel.pubDate"), F.col("a.published")).alias("feed_published"),
         F.posexplode(F.coalesce(F.transform(F.col("r.channel.item"), _rss_entry),
@@ -163,6 +113,7 @@ def parse_feeds(docs: DataFrame) -> DataFrame:
         "i.description", "i.summary", "i.content_html",
         F.lit(None).cast("string").alias("image"), F.lit(None).cast("string").alias("urlToImage"),
         "i.media_content", "i.media_thumbnail", "i.enclosures", "i.item_category",
+        (F.col("doc_ord") + F.col("pos")).alias("ord"),
     )
 
 

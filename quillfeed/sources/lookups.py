@@ -13,17 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def small_side(df: DataFrame, what: str = "join side", max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after proving it is small: count at most ``max_rows + 1``
-    rows (the limit stops the scan early). Above the bound the frame is returned
-    un-hinted and Spark plans a shuffle join instead."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def read_json_map(spark: SparkSession, path: str, value_type: T.DataType, key_name: str = "key") -> DataFrame:
     """Read one JSON object file ``{key: value, ...}`` as rows (key_name, value fields).
 

@@ -75,10 +75,3 @@ def read_source_csvs(spark: SparkSession, pattern: str) -> DataFrame:
 def read_locale_csv(spark: SparkSession, path: str) -> DataFrame:
     """SRC1: one locale's list."""
     return read_source_csvs(spark, path)
-
-
-def locale_of(path: str) -> str:
-    import re
-
-    m = re.search(LOCALE_RE, os.path.basename(path))
-    return m.group(1) if m else ""

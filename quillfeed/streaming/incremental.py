@@ -97,7 +97,7 @@ def upsert_batches(incoming: DataFrame, table_dir: str, feed: DataFrame, as_of:
 
 def run_to_parquet(df: DataFrame, out_dir: str, checkpoint: str, mode: str = "append", keys: list[str] | None = None) -> None:
     """Drive a stream to completion (``availableNow``) into parquet via
-    ``foreachBatch``. append: batches are appended. complete: each batch is the
+    ``foreachBatch``. append: each batch is a folder ``batch=<id>`` of its own. complete: each batch is the
     whole result. update: each batch holds only changed rows, merged by
     ``keys`` into the previous result (anti join + union) as ``v=<batch_id>``.
     A re-run of a failed batch rewrites its own folder (idempotent)."""
@@ -105,7 +105,7 @@ def run_to_parquet(df: DataFrame, out_dir: str, checkpoint: str, mode: str = "ap
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if mode == "append":
-            batch.write.mode("append").parquet(out_dir)
+            batch.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
             return
         nxt = batch
         if mode == "update" and batch_id > 0:
@@ -117,6 +117,8 @@ def run_to_parquet(df: DataFrame, out_dir: str, checkpoint: str, mode: str = "ap
 
     if mode == "update" and not keys:
         raise ValueError("update mode needs the key columns")
+    folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(out_dir)
+    folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).mkdirs(folder)  # a run without batches is an empty result
     q = df.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", checkpoint) \
         .trigger(availableNow=True).start()
     q.awaitTermination()
@@ -124,14 +126,8 @@ def run_to_parquet(df: DataFrame, out_dir: str, checkpoint: str, mode: str = "ap
 
 def read_result(spark: SparkSession, out_dir: str, mode: str, schema: T.StructType | None = None) -> DataFrame:
     if mode == "append":
-        try:
-            return spark.read.parquet(out_dir)
-        except Exception:  # no batch produced any row
-            return spark.createDataFrame([], schema) if schema is not None else spark.createDataFrame([], "x string")
+        found = spark.read.schema(schema) if schema is not None else spark.read
+        df = found.parquet(out_dir)  # a missing folder is an error, not an empty result
+        return df.drop("batch")
     latest = spark.read.text(f"{out_dir}/_LATEST").first()[0]
     return spark.read.parquet(latest)
-
-
-def report_stream(entries: DataFrame) -> DataFrame:
-    """AGG6 over a stream of parsed entries (complete mode)."""
-    return quality.run_report(entries.withColumn("max_entries", F.lit(config.DEFAULT_MAX_ENTRIES)))

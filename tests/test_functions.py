@@ -113,14 +113,15 @@ def test_redirect_chains(spark):
     from quillfeed.operators.clean import resolve_urls
 
     links = spark.createDataFrame([(1, "https://s/a"), (2, "https://s/b"), (3, "https://s/c"), (4, "https://x/final"),
-                                   (5, "https://s/loop")], "id int, link string")
+                                   (5, "https://s/loop"), (6, "https://t/0")], "id int, link string")
     red = spark.createDataFrame([
         ("https://s/a", "https://s/a2", 301), ("https://s/a2", "https://t/a%20b c", 302),  # two hops
         ("https://s/b", "https://t/gone", 404),  # failed hop -> dropped
         ("https://s/c", "https://t/c", 301), ("https://s/c", "https://t/c", 301),  # repeated fetch
-        ("https://s/loop", "https://s/loop", 301),  # cycle stops at the hop limit
+        ("https://s/loop", "https://s/loop", 301),  # a circle is dropped
+        *[(f"https://t/{i}", f"https://t/{i + 1}", 301) for i in range(12)],  # twelve hops
     ], "src string, dst string, status int")
-    got = {r["id"]: (r["url"], r["url_hash"]) for r in resolve_urls(links, red, max_hops=4).collect()}
-    assert set(got) == {1, 3, 4, 5}
+    got = {r["id"]: (r["url"], r["url_hash"]) for r in resolve_urls(links, red).collect()}
+    assert set(got) == {1, 3, 4, 6}
     assert got[1] == ("https://t/a%2520b%20c", hashlib.sha256(b"https://t/a%20b c").hexdigest())
-    assert got[3][0] == "https://t/c" and got[4][0] == "https://x/final" and got[5][0] == "https://s/loop"
+    assert got[3][0] == "https://t/c" and got[4][0] == "https://x/final" and got[6][0] == "https://t/12"

@@ -62,13 +62,3 @@ def test_scale_settings():
     assert small["spark.sql.shuffle.partitions"] == "200"
     assert big["spark.sql.shuffle.partitions"] == "200000"
     assert scale_settings(1 << 40)["spark.sql.shuffle.partitions"] == "4096"  # 1 TB / 256 MB
-
-
-def test_spread_if_narrow(spark):
-    from quillfeed.session import spread_if_narrow
-
-    narrow = spark.range(0, 100, numPartitions=1)
-    wide = spark.range(0, 100, numPartitions=16)
-    assert spread_if_narrow(narrow, 4).rdd.getNumPartitions() == 4
-    assert spread_if_narrow(wide, 4) is wide  # enough partitions: untouched, no shuffle
-    assert sorted(r[0] for r in spread_if_narrow(narrow, 4).collect()) == list(range(100))
