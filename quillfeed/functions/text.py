@@ -5,26 +5,16 @@ so it stays inside whole-stage codegen. Patterns use only constructs that
 both Java regex and RE2 accept, so the same text can be checked in DuckDB.
 """
 
-
-
+import json
 import re
+from html.entities import html5 as HTML_ENTITIES
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # --- fixed values -----------------------------------------------------------
 # Tags the scrubber keeps (the HTML sanitiser's public default allow-list).
 ALLOWED_TAGS = ("a", "abbr", "acronym", "b", "blockquote", "code", "em", "i", "li", "ol", "strong", "ul")
-# Named entities decoded on the JVM path, in natural order; "&amp;" is applied last.
-COMMON_ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&apos;", "'"),
-    ("&nbsp;", " "), ("&copy;", "©"), ("&reg;", "®"), ("&trade;", "™"),
-    ("&middot;", "·"), ("&hellip;", "…"), ("&mdash;", "—"), ("&ndash;", "–"),
-    ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"),
-    ("&laquo;", "«"), ("&raquo;", "»"), ("&euro;", "€"), ("&pound;", "£"),
-    ("&deg;", "°"), ("&times;", "×"), ("&bull;", "•"),
-)
 # ---------------------------------------------------------------------------
 
 COMMENT_RE = r"(?s)<!--.*?-->"
@@ -61,13 +51,44 @@ def strip_tags(c: Column, drop_script_style: bool = True) -> Column:
     return F.regexp_replace(x, TAG_RE, "")
 
 
+# Pieces of a text: a character reference, a run without "&", or a lone "&".
+REFERENCE_PIECE_RE = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]{1,31});?|[^&]+|&"
+_LEGACY = sorted((n for n in HTML_ENTITIES if not n.endswith(";")), key=lambda n: (-len(n), n))
+LEGACY_PREFIX_RE = "^&(?:" + "|".join(_LEGACY) + ")"  # names that HTML accepts without a semicolon
+COMMON_NAMES = ("amp;", "lt;", "gt;", "quot;", "apos;", "nbsp;")  # a map is searched from its start
+ENTITY_JSON = json.dumps({"&" + n: HTML_ENTITIES[n] for n in dict.fromkeys((*COMMON_NAMES, *HTML_ENTITIES))})
+CONTROL_CODES = tuple(bytes([c]).decode("cp1252", "ignore") or chr(c) for c in range(128, 160))
+
+
+def _decode_reference(piece: Column) -> Column:
+    """One piece of REFERENCE_PIECE_RE: a named reference through the HTML entity
+    table of the standard library, a numeric one by its code point (0, surrogates
+    and values beyond Unicode give U+FFFD; 128 to 159 mean Windows-1252; other
+    control codes go); other pieces as they are."""
+    table = F.from_json(F.lit(ENTITY_JSON), "map<string,string>")  # folded to a literal map by the optimizer
+    digits = F.regexp_extract(piece, r"^&#([0-9]+)", 1)
+    code = F.when(digits != "", digits).otherwise(F.conv(F.regexp_extract(piece, r"^&#[xX]([0-9a-fA-F]+)", 1), 16, 10)).try_cast("int")
+    good = F.coalesce((code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF), F.lit(False))
+    char = F.decode(F.unhex(F.lpad(F.hex(F.when(good, code).otherwise(0xFFFD).cast("long")), 8, "0")), "UTF-32")
+    numeric = (F.when(code.between(128, 159), F.element_at(F.array(*[F.lit(c) for c in CONTROL_CODES]), F.greatest(F.least(code, F.lit(159)), F.lit(128)) - 127))
+               .when(code.between(1, 8) | (code == 11) | code.between(14, 31) | (code == 127), F.lit(""))
+               .otherwise(char))
+    prefix = F.regexp_extract(piece, LEGACY_PREFIX_RE, 0)
+    named = F.coalesce(F.try_element_at(table, piece),
+                       F.concat(F.try_element_at(table, prefix), F.substring(piece, F.length(prefix) + 1, F.length(piece))), piece)
+    return (F.when(~piece.startswith("&") | (F.length(piece) < 3), piece)
+            .when(piece.startswith("&#"), F.when(piece.rlike("^&#[0-9xX]"), numeric).otherwise(piece)).otherwise(named))
+
+
 def unescape_entities(c: Column) -> Column:
-    """PRJ10 on the JVM: decode COMMON_ENTITIES with the result of one
-    left-to-right pass (``&amp;`` last so ``&amp;lt;`` becomes ``&lt;``)."""
-    x = c
-    for ent, ch in COMMON_ENTITIES:
-        x = F.replace(x, F.lit(ent), F.lit(ch))
-    return F.replace(x, F.lit("&amp;"), F.lit("&"))
+    """PRJ10 on the JVM: every character reference decoded in one left-to-right
+    pass, so ``&amp;lt;`` becomes ``&lt;``. Values without a reference are returned
+    as they are. The value is bound once (a one-element ``transform``)."""
+    def decode(v: Column) -> Column:
+        pieces = F.regexp_extract_all(v, F.lit(REFERENCE_PIECE_RE), 0)
+        return F.when(v.rlike("&[#A-Za-z]"), F.array_join(F.transform(pieces, _decode_reference), "")).otherwise(v)
+
+    return F.transform(F.array(c), decode)[0]
 
 
 def html_to_text(c: Column) -> Column:
@@ -80,29 +101,6 @@ def title_text(c: Column) -> Column:
     return unescape_entities(html_to_text(c))
 
 
-def unescape_entities_full(c: Column) -> Column:
-    """PRJ10 with the complete HTML5 entity table and numeric references.
-
-    Arrow-batched pandas UDF around the standard library's ``html.unescape``;
-    use only where text may hold entities outside COMMON_ENTITIES."""
-    return _unescape_udf(c)
-
-
-def _make_unescape_udf():
-    import html
-
-    import pandas as pd
-
-    @F.pandas_udf(T.StringType())
-    def _unescape(s: pd.Series) -> pd.Series:
-        return s.map(lambda v: html.unescape(v) if isinstance(v, str) else v)
-
-    return _unescape
-
-
-_unescape_udf = _make_unescape_udf()
-
-
 def word_pattern(words) -> str:
     """FLT2: one case-insensitive whole-word alternation for a word list."""
     alts = "|".join(re.escape(w.lower()) for w in sorted(set(words), key=lambda w: (-len(w), w)) if w)

@@ -18,6 +18,17 @@ FORMATS = (
     (r"^\d{1,2} [A-Za-z]{3} \d{4} \d{1,2}:\d{2} [+-]\d{4}$", "d MMM yyyy H:mm Z"),
     (r"^\d{1,2} [A-Za-z]{3} \d{4} \d{1,2}:\d{2}:\d{2}$", "d MMM yyyy H:mm:ss"),
     (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(Z|[+-]\d{2}:\d{2})$", "yyyy-MM-dd'T'HH:mm:ssXXX"),
+    (r"^\d{1,2} [A-Za-z]{4,9} \d{4} \d{1,2}:\d{2}:\d{2} [+-]\d{4}$", "d MMMM yyyy H:mm:ss Z"),
+    (r"^\d{1,2} [A-Za-z]{4,9} \d{4} \d{1,2}:\d{2}:\d{2}$", "d MMMM yyyy H:mm:ss"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{2} \d{1,2}:\d{2}:\d{2} [+-]\d{4}$", "d MMM yy H:mm:ss Z"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
+    (r"^[A-Za-z]{3} \d{1,2}, \d{4} \d{1,2}:\d{2}:\d{2} [+-]\d{4}$", "MMM d, yyyy H:mm:ss Z"),
+    (r"^[A-Za-z]{3} \d{1,2}, \d{4} \d{1,2}:\d{2}:\d{2}$", "MMM d, yyyy H:mm:ss"),
+    (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
+    (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}[+-]\d{4}$", "yyyy-MM-dd'T'HH:mm:ssZ"),
+    (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(Z|[+-]\d{2}:\d{2})$", "yyyy-MM-dd'T'HH:mmXXX"),
+    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2} [+-]\d{4}$", "yyyy-MM-dd HH:mm:ss Z"),
+    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(Z|[+-]\d{2}:\d{2})$", "yyyy-MM-dd HH:mm:ssXXX"),
     (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$", "yyyy-MM-dd'T'HH:mm:ss"),
     (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$", "yyyy-MM-dd HH:mm:ss"),
     (r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"),
@@ -28,7 +39,7 @@ FORMATS = (
 def normalize_time_text(c: Column) -> Column:
     """Trim, drop a leading weekday ('E' cannot be parsed), write GMT/UTC/UT as
     +0000, drop sub-second digits (times are kept to the second), collapse blanks."""
-    s = F.regexp_replace(F.trim(c), r"^[A-Za-z]{3,9},?\s+", "")
+    s = F.regexp_replace(F.trim(c), r"^(?i)(mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+", "")
     s = F.regexp_replace(s, r"\s+(GMT|UTC|UT)$", " +0000")
     s = F.regexp_replace(s, r"(\d{2}:\d{2}:\d{2})\.\d+", "$1")
     return F.regexp_replace(s, r"\s+", " ")

@@ -117,25 +117,43 @@ def host_label(u: Column) -> Column:
     return F.replace(url_host(u), F.lit("."), F.lit("_"))
 
 
+DOT_SEGMENT_RE = r"/\.{1,2}(/|$)"
+
+
+def remove_dot_segments(path: Column) -> Column:
+    """Absolute path without ``.`` and ``..`` segments; ``..`` at the root is dropped."""
+    parts = F.slice(F.split(path, "/"), 2, F.size(F.split(path, "/")))
+    parts = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(parts, F.array(F.lit("")))).otherwise(parts)
+    kept = F.aggregate(
+        parts, F.array().cast("array<string>"),
+        lambda acc, x: F.when(x == ".", acc)
+        .when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
+        .otherwise(F.concat(acc, F.array(x))))
+    return F.concat(F.lit("/"), F.array_join(kept, "/"))
+
+
 def resolve_against(base: Column, ref: Column) -> Column:
-    """PRJ19: resolve a reference with no host against a site URL.
-
-    Handles protocol-relative (``//h/p``), absolute-path (``/p``) and relative
-    (``p``) references; absolute URLs and empty strings pass through."""
-    b_scheme = F.regexp_extract(base, URL_RE, 2)
-    b_netloc = url_netloc(base)
-    b_path = url_path(base)
-    b_dir = F.regexp_extract(b_path, r"^(.*/)", 1)
-    has_host = url_netloc(ref) != ""
+    """PRJ19: resolve a reference against a site URL (RFC 3986, section 5).
+
+    References with a scheme of their own (``data:`` included) and empty strings
+    pass through; ``//h/p`` takes the scheme, ``/p`` the host, ``p`` the folder of
+    the base, ``?q`` its path and ``#f`` its path and query. ``.`` and ``..``
+    segments of a resolved path are removed. Both values are bound once (a
+    one-element ``transform``), so their expressions are not copied."""
+    return F.transform(F.array(F.struct(base.alias("base"), ref.alias("ref"))), lambda x: _resolve(x["base"], x["ref"]))[0]
+
+
+def _resolve(base: Column, ref: Column) -> Column:
+    site = F.regexp_extract(base, r"^([^:/?#]+://[^/?#]*)", 1)
+    path = F.regexp_extract(ref, r"^([^?#]*)", 1)
+    rest = F.regexp_extract(ref, r"^[^?#]*(.*)$", 1)
+    folder = F.regexp_extract(url_path(base), r"^(.*/)", 1)
+    merged = F.when(path.startswith("/"), path).otherwise(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), path))
+    merged = F.when(merged.rlike(DOT_SEGMENT_RE), remove_dot_segments(merged)).otherwise(merged)
     return (
-        F.when(ref.isNull() | (ref == ""), ref)
-        .when(has_host & F.startswith(ref, F.lit("//")), F.concat(b_scheme, F.lit(":"), ref))
-        .when(has_host, ref)
-        .when(F.startswith(ref, F.lit("/")), F.concat(b_scheme, F.lit("://"), b_netloc, ref))
-        .otherwise(
-            F.concat(
-                b_scheme, F.lit("://"), b_netloc,
-                F.when(b_dir == "", F.lit("/")).otherwise(b_dir), ref,
-            )
-        )
+        F.when(ref.isNull() | (ref == "") | ref.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), ref)
+        .when(ref.startswith("//"), F.concat(F.regexp_extract(base, r"^([^:/?#]+:)", 1), ref))
+        .when(ref.startswith("?"), F.concat(site, url_path(base), rest))
+        .when(ref.startswith("#"), F.concat(F.regexp_extract(base, r"^([^#]*)", 1), ref))
+        .otherwise(F.concat(site, merged, rest))
     )

@@ -79,12 +79,10 @@ def entries_to_articles(
     channels, locale, ...) pass through unchanged.
     """
     a = items.where(F.length(F.col("title")) > 0)  # FLT1
-    # PRJ9 + PRJ10, titles decoded twice; each step only touches values that
-    # contain markup or an entity (a step is a no-op on the others)
+    # PRJ9 + PRJ10, titles decoded twice; plain values are left alone
     t = F.col("title")
-    a = a.withColumn("title", F.when(F.instr(t, "<") > 0, TX.strip_tags(t)).otherwise(t))
-    a = a.withColumn("title", F.when(F.instr(t, "&") > 0, TX.unescape_entities(t)).otherwise(t))
-    a = a.withColumn("title", F.when(F.instr(t, "&") > 0, TX.unescape_entities(t)).otherwise(t))
+    marked = F.instr(t, "<") + F.instr(t, "&") > 0
+    a = a.withColumn("title", F.when(marked, TX.title_text(t)).otherwise(t))
     if profanity:
         a = a.where(~TX.contains_listed_word(F.col("title"), profanity))  # FLT2
     a = a.withColumn("link", pick_link(F.col("link"), F.col("url"))).where(F.col("link").isNotNull())  # PRJ11/FLT3

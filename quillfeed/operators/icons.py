@@ -16,59 +16,61 @@ from quillfeed import config
 from quillfeed.functions import urls as U
 from quillfeed.functions.colors import color_length, rgb_hex
 
-LINK_TAG_RE = r"(?is)<link\b[^>]*>"
-META_TAG_RE = r"(?is)<meta\b[^>]*>"
-A_TAG_RE = r"(?is)<a\b[^>]*>"
+TAG_RE = r"(?is)<(?:link|meta|a)\b[^>]*>"
 
 
 def _attr(tag, name: str):
     return F.regexp_extract(tag, r"""(?is)\b""" + name + r"""\s*=\s*["']([^"']*)["']""", 1)
 
 
-# --- fixed values: candidate classes in preference order ----------------------
-# 0 manifest, 1 apple-touch-icon / icon links, 2 open-graph style metas.
+# --- fixed values: candidate classes, in the order the candidates are listed ---
+LINK_RELS = ("manifest", "apple-touch-icon", "icon", "shortcut icon")
 META_PROPERTIES = ("og:image", "og:image:url", "twitter:image", "image")
+CLASSES = (*LINK_RELS, *META_PROPERTIES, "link")
 # ---------------------------------------------------------------------------
+CLASS_ROOM = 1 << 32  # positions in a page, below the class in ``pos``
 
 
 def page_candidates(pages: DataFrame, key: str = "page_id", url_col: str = "url", with_links: bool = False) -> DataFrame:
-    """JOI15: page HTML -> (key, class, class_rank, pos, url) rows.
+    """JOI15: page HTML -> (key, class, class_rank, pos, url, page_url) rows, one scan of the HTML.
 
     ``<link rel=manifest>`` (rank 0), ``<link rel=apple-touch-icon|icon>``
-    (rank 1, apple first as the reference collects them), ``<meta
-    property=og:image|og:image:url|twitter:image|image content>`` (rank 2).
-    ``with_links`` adds ``<a href>`` targets as class "link" (rank 3), for pages
-    that carry no icon markup. Relative references are resolved against the
-    page URL (PRJ19). ``regexp_extract_all`` + ``posexplode``: linear in the
-    page size, one output row per tag."""
-    links = pages.select(key, url_col, F.posexplode(F.regexp_extract_all("html", F.lit(LINK_TAG_RE), 0)).alias("pos", "tag"))
-    rel = F.lower(F.trim(_attr(F.col("tag"), "rel")))
-    links = links.select(
-        key, url_col, "pos",
-        F.when(rel == "manifest", F.lit("manifest")).when(rel == "apple-touch-icon", F.lit("apple-touch-icon"))
-        .when(rel == "icon", F.lit("icon")).when(rel == "shortcut icon", F.lit("shortcut icon")).alias("class"),
-        _attr(F.col("tag"), "href").alias("href"),
-    )
-    metas = pages.select(key, url_col, F.posexplode(F.regexp_extract_all("html", F.lit(META_TAG_RE), 0)).alias("pos", "tag"))
-    prop = F.lower(F.coalesce(F.nullif(_attr(F.col("tag"), "property"), F.lit("")), _attr(F.col("tag"), "name")))
-    metas = metas.select(
-        key, url_col, (F.col("pos") + F.lit(1_000_000)).alias("pos"),
-        F.when(prop.isin(*META_PROPERTIES), prop).alias("class"),
-        _attr(F.col("tag"), "content").alias("href"),
-    )
-    out = links.unionByName(metas)
+    (rank 1), ``<meta property=og:image|og:image:url|twitter:image|image
+    content>`` (rank 2). ``shortcut icon`` links, which only the favicon choice
+    takes, and with ``with_links`` the ``<a href>`` targets (class "link") have
+    rank 3. ``pos`` orders a page's rows by class as listed in ``CLASSES``, then by
+    place in the page. References are resolved against the page URL (PRJ19)."""
+    tag = F.col("tag")
+    tags = pages.select(key, F.col(url_col).alias("page_url"),
+                        F.posexplode(F.regexp_extract_all("html", F.lit(TAG_RE), 0)).alias("place", "tag"))
+    rel, prop = F.lower(F.trim(_attr(tag, "rel"))), F.lower(_attr(tag, "property"))
+    kind = F.lower(F.regexp_extract(tag, r"^<([A-Za-z]+)", 1))
+    cls = F.when((kind == "link") & rel.isin(*LINK_RELS), rel).when((kind == "meta") & prop.isin(*META_PROPERTIES), prop)
     if with_links:
-        anchors = pages.select(key, url_col, F.posexplode(F.regexp_extract_all("html", F.lit(A_TAG_RE), 0)).alias("pos", "tag"))
-        anchors = anchors.select(key, url_col, (F.col("pos") + F.lit(2_000_000)).alias("pos"),
-                                 F.lit("link").alias("class"), _attr(F.col("tag"), "href").alias("href"))
-        out = out.unionByName(anchors)
-    rank = (F.when(F.col("class") == "manifest", 0)
-            .when(F.col("class").isin("apple-touch-icon", "icon", "shortcut icon"), 1)
-            .when(F.col("class") == "link", 3).otherwise(2))
-    return out.where(F.col("class").isNotNull() & (F.col("href") != "")).select(
-        key, "class", rank.alias("class_rank"), "pos",
-        U.resolve_against(F.col(url_col), F.col("href")).alias("url"),
-    )
+        cls = cls.when(kind == "a", F.lit("link"))
+    rows = tags.select(key, "page_url", "place", cls.alias("class"),
+                       F.when(kind == "meta", _attr(tag, "content")).otherwise(_attr(tag, "href")).alias("href"))
+    listed = F.array_position(F.array(*[F.lit(c) for c in CLASSES]), F.col("class")) - 1
+    rank = (F.when(F.col("class") == "manifest", 0).when(F.col("class").isin("apple-touch-icon", "icon"), 1)
+            .when(F.col("class").isin(*META_PROPERTIES), 2).otherwise(3))
+    return rows.where(F.col("class").isNotNull() & (F.col("href") != "")).select(
+        key, "class", rank.alias("class_rank"), (listed * CLASS_ROOM + F.col("place")).alias("pos"),
+        U.resolve_against(F.col("page_url"), F.col("href")).alias("url"), "page_url")
+
+
+def manifest_icons(cands: DataFrame, manifests: DataFrame, key: str = "page_id") -> DataFrame:
+    """Candidates whose manifest rows are replaced by the icons inside: the page's
+    first manifest is looked up in ``manifests(url, content)`` and each
+    ``icons[].src`` becomes a row, resolved against the page URL. A manifest
+    that is missing or no JSON gives none."""
+    first = cands.where(F.col("class") == "manifest").groupBy(key).agg(
+        F.min_by(F.struct("url", "page_url"), F.col("pos")).alias("_m")).select(key, "_m.*")
+    icons = F.from_json("content", "icons array<struct<src:string>>")["icons"]
+    rows = first.join(manifests.select("url", "content"), "url").select(
+        key, "page_url", F.posexplode(icons).alias("place", "icon")).where(F.coalesce(F.col("icon.src"), F.lit("")) != "")
+    rows = rows.select(key, F.lit("manifest").alias("class"), F.lit(0).alias("class_rank"), F.col("place").cast("long").alias("pos"),
+                       U.resolve_against(F.col("page_url"), F.col("icon.src")).alias("url"), "page_url")
+    return cands.where(F.col("class") != "manifest").unionByName(rows)
 
 
 def valid_icons(cands: DataFrame, min_side: int = config.ICON_MIN_SIDE) -> DataFrame:
@@ -99,12 +101,16 @@ def first_by_source(cands: DataFrame, key: str = "domain", rank_col: str = "sour
 
 def cover_choice(service: DataFrame, icons: DataFrame, logos: DataFrame, metas: DataFrame,
                  min_side: int = config.ICON_MIN_SIDE) -> DataFrame:
-    """TOP4: icon service 256 then 128 (each >= min_side on a side) > best page
-    icon > logo service > page metadata image > NULL, per domain."""
-    svc = service.where((F.col("width") >= min_side) & (F.col("height") >= min_side)).select(
-        "domain", F.when(F.col("size") == 256, 0).otherwise(1).alias("source_rank"), F.lit(0).alias("ord"), "url")
+    """TOP4: icon service > best page icon > logo service > page metadata image
+    > NULL, per domain. The service counts only where its 128 icon is readable and
+    its 256 icon, the one taken, has a side of ``min_side``; a logo needs one too."""
+    big = (F.col("width") >= min_side) | (F.col("height") >= min_side)
+    svc = service.groupBy("domain").agg(
+        F.max(F.when((F.col("size") == 256) & big, F.col("url"))).alias("url"),
+        F.bool_or((F.col("size") == 128) & F.col("width").isNotNull() & F.col("height").isNotNull()).alias("_readable"),
+    ).where("_readable").select("domain", F.lit(0).alias("source_rank"), F.lit(0).alias("ord"), "url")
     best = best_icon(valid_icons(icons)).select("domain", F.lit(2).alias("source_rank"), F.lit(0).alias("ord"), "url")
-    logo = logos.select("domain", F.lit(3).alias("source_rank"), F.lit(0).alias("ord"), "url")
+    logo = logos.where(big).select("domain", F.lit(3).alias("source_rank"), F.lit(0).alias("ord"), "url")
     meta = metas.select("domain", F.lit(4).alias("source_rank"), "ord", "url")
     allc = svc.unionByName(best).unionByName(logo).unionByName(meta).where(F.col("url").isNotNull())
     return first_by_source(allc).select("domain", F.col("url").alias("cover_url"), "source_rank")

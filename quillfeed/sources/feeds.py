@@ -1,4 +1,4 @@
-"""SRC4: RSS 2.0 / Atom documents -> one row per entry (FLT8, FLT14, TOP1 positions).
+"""SRC4: RSS 2.0, RSS 1.0 and Atom documents -> one row per entry (FLT8, FLT14, TOP1 positions).
 
 Documents arrive as a table ``(feed_url, content)`` (a file drop read with
 ``binaryFile``/``wholetext``, or a table of fetched bodies). ``from_xml``
@@ -15,20 +15,23 @@ from pyspark.sql import functions as F
 from quillfeed import config
 
 _MEDIA = "array<struct<_url:string,_width:string,_height:string>>"
-RSS_SCHEMA = (
-    "channel struct<title:string, link:string, pubDate:string, lastBuildDate:string, "
-    "item:array<struct<title:string, link:string, description:string, pubDate:string, "
-    "`dc:date`:string, guid:string, category:array<string>, "
-    f"`media:content`:{_MEDIA}, `media:thumbnail`:{_MEDIA}, "
+_MEDIA_FIELDS = (f"`media:content`:{_MEDIA}, `media:thumbnail`:{_MEDIA}, "
+                 f"`media:group`:struct<`media:content`:{_MEDIA}, `media:thumbnail`:{_MEDIA}>")
+_ITEM = (
+    "array<struct<title:string, link:string, description:string, pubDate:string, "
+    "`dc:date`:string, guid:struct<_VALUE:string,_isPermaLink:string>, category:array<string>, "
+    f"{_MEDIA_FIELDS}, "
     "enclosure:array<struct<_url:string,_type:string,_length:string>>, "
-    "`content:encoded`:string>>>"
+    "`content:encoded`:string>>"
 )
+RSS_SCHEMA = f"channel struct<title:string, link:string, pubDate:string, lastBuildDate:string, item:{_ITEM}>"
+RDF_SCHEMA = f"channel struct<title:string, link:string, `dc:date`:string>, item {_ITEM}"  # RSS 1.0: items beside the channel
 ATOM_SCHEMA = (
     "title string, updated string, published string, "
     "entry array<struct<title:string, link:array<struct<_href:string,_rel:string>>, "
     "updated:string, published:string, summary:string, content:string, "
     "category:array<struct<_term:string>>, "
-    f"`media:content`:{_MEDIA}, `media:thumbnail`:{_MEDIA}>>"
+    f"{_MEDIA_FIELDS}>>"
 )
 
 ENTRY_COLUMNS = ("feed_url", "pos", "title", "link", "url", "updated", "published", "feed_updated", "feed_published",
@@ -47,21 +50,31 @@ def read_feed_files(spark: SparkSession, path: str, url_from_name: bool = True)
     return df.select(key.alias("feed_url"), F.decode(F.col("content"), "UTF-8").alias("content"), "length")
 
 
-def _media(c):
-    return F.transform(c, lambda m: F.struct(m["_url"].alias("url"), m["_width"].alias("width")))
+def _media(i, name: str):
+    """An entry's own media elements, then those inside its ``media:group``; NULL when it has none."""
+    own, grouped = i[name], i["media:group"][name]
+    both = F.when(own.isNull(), grouped).when(grouped.isNull(), own).otherwise(F.concat(own, grouped))
+    return F.transform(both, lambda m: F.struct(m["_url"].alias("url"), m["_width"].alias("width")))
+
+
+def _rss_link(i):
+    """The link, or the guid unless it is marked as no permalink."""
+    guid = F.when(F.coalesce(F.lower(F.trim(i["guid"]["_isPermaLink"])), F.lit("true")) != "false", F.trim(i["guid"]["_VALUE"]))
+    return F.coalesce(F.nullif(i["link"], F.lit("")), F.nullif(guid, F.lit("")))
 
 
 ROOT_RSS_RE = r"(?s)^\s*(<\?[^>]*>\s*|<!--.*?-->\s*|<!DOCTYPE[^>]*>\s*)*<rss\b"
+ROOT_RDF_RE = ROOT_RSS_RE.replace("<rss", "<rdf:RDF")
 ROOT_ATOM_RE = r"(?s)<feed\b"
 
 
 def _rss_entry(i):
     return F.struct(
-        i["title"].alias("title"), i["link"].alias("link"), F.lit(None).cast("string").alias("url"),
+        i["title"].alias("title"), _rss_link(i).alias("link"), F.lit(None).cast("string").alias("url"),
         i["dc:date"].alias("updated"), i["pubDate"].alias("published"),
         i["description"].alias("description"), i["description"].alias("summary"),
         i["content:encoded"].alias("content_html"),
-        _media(i["media:content"]).alias("media_content"), _media(i["media:thumbnail"]).alias("media_thumbnail"),
+        _media(i, "media:content").alias("media_content"), _media(i, "media:thumbnail").alias("media_thumbnail"),
         F.transform(i["enclosure"], lambda x: F.struct(x["_url"].alias("href"), x["_type"].alias("type"),
                                                        x["_length"].alias("length"))).alias("enclosures"),
         F.try_element_at(i["category"], F.lit(1)).alias("item_category"),
@@ -76,15 +89,15 @@ def _atom_entry(i):
         F.lit(None).cast("string").alias("url"),
         i["updated"].alias("updated"), i["published"].alias("published"),
         i["summary"].alias("description"), i["summary"].alias("summary"), i["content"].alias("content_html"),
-        _media(i["media:content"]).alias("media_content"), _media(i["media:thumbnail"]).alias("media_thumbnail"),
+        _media(i, "media:content").alias("media_content"), _media(i, "media:thumbnail").alias("media_thumbnail"),
         F.lit(None).cast("array<struct<href:string,type:string,length:string>>").alias("enclosures"),
         F.try_element_at(i["category"], F.lit(1))["_term"].alias("item_category"),
     )
 
 
 def parse_feeds(docs: DataFrame) -> DataFrame:
-    """SRC4 for a mixed table in one pass: the root element picks the RSS or
-    Atom schema for each document, both are mapped to one entry shape, and a
+    """SRC4 for a mixed table in one pass: the root element picks the RSS 2.0,
+    RSS 1.0 or Atom schema for each document, all are mapped to one entry shape, and a
     single ``posexplode`` yields the entries with their document positions.
     Documents that fail to parse or carry no entry produce no rows (FLT8).
 
@@ -95,17 +108,19 @@ def parse_feeds(docs: DataFrame) -> DataFrame:
     d = docs.where(F.octet_length("content") <= config.MAX_FEED_BYTES).select(
         "feed_url", "content", (doc * room).alias("doc_ord"),
         F.when(F.col("content").rlike(ROOT_RSS_RE), F.lit("rss"))
+        .when(F.col("content").rlike(ROOT_RDF_RE), F.lit("rdf"))
         .when(F.col("content").rlike(ROOT_ATOM_RE), F.lit("atom")).alias("_kind"))
     p = d.select(
         "feed_url", "doc_ord",
         F.when(F.col("_kind") == "rss", F.from_xml("content", RSS_SCHEMA, {"rowTag": "rss", "mode": "PERMISSIVE"})).alias("r"),
+        F.when(F.col("_kind") == "rdf", F.from_xml("content", RDF_SCHEMA, {"rowTag": "rdf:RDF", "mode": "PERMISSIVE"})).alias("d"),
         F.when(F.col("_kind") == "atom", F.from_xml("content", ATOM_SCHEMA, {"rowTag": "feed", "mode": "PERMISSIVE"})).alias("a"),
     )
     e = p.select(
         "feed_url", "doc_ord",
-        F.coalesce(F.col("r.channel.lastBuildDate"), F.col("a.updated")).alias("feed_updated"),
+        F.coalesce(F.col("r.channel.lastBuildDate"), F.col("d.channel.`dc:date`"), F.col("a.updated")).alias("feed_updated"),
         F.coalesce(F.col("r.channel.pubDate"), F.col("a.published")).alias("feed_published"),
-        F.posexplode(F.coalesce(F.transform(F.col("r.channel.item"), _rss_entry),
+        F.posexplode(F.coalesce(F.transform(F.coalesce(F.col("r.channel.item"), F.col("d.item")), _rss_entry),
                                 F.transform(F.col("a.entry"), _atom_entry))).alias("pos", "i"),
     )
     return e.select(

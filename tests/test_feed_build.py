@@ -92,3 +92,20 @@ def test_write_locale_feeds(spark):
             lines.extend(json.loads(x) for x in fh)
     assert [x["title"] for x in lines] == ["Tide tables & storms", "Ferry schedule changes"]
     assert lines[0]["publish_time"] == "2024-01-30 12:30:00"
+
+
+def test_guid_links_grouped_media_and_rss_1(spark):
+    from quillfeed.sources import feeds
+
+    rss = ('<?xml version="1.0"?><rss version="2.0" xmlns:media="m"><channel><title>t</title>'
+           '<item><title>A</title><guid>https://x/1</guid><media:group><media:content url="https://i/1.png" width="10"/></media:group></item>'
+           '<item><title>B</title><guid isPermaLink="false">https://x/2</guid></item>'
+           '<item><title>C</title><link>https://x/c</link><guid>https://x/3</guid><media:content url="https://i/3.png"/></item>'
+           '</channel></rss>')
+    rdf = ('<?xml version="1.0"?><rdf:RDF xmlns:rdf="r"><channel><title>t</title></channel>'
+           '<item><title>E</title><link>https://y/1</link><dc:date>2020-11-12T00:29:41Z</dc:date></item></rdf:RDF>')
+    docs = spark.createDataFrame([("f1", rss, 1), ("f2", rdf, 2)], "feed_url string, content string, doc_ord long")
+    got = [(r["title"], r["link"], r["updated"], [m["url"] for m in r["media_content"] or []])
+           for r in feeds.parse_feeds(docs).orderBy("ord").collect()]
+    assert got == [("A", "https://x/1", None, ["https://i/1.png"]), ("B", None, None, []),
+                   ("C", "https://x/c", None, ["https://i/3.png"]), ("E", "https://y/1", "2020-11-12T00:29:41Z", [])]

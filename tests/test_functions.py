@@ -31,9 +31,10 @@ def test_html_to_text_and_titles(spark):
 
 
 def test_full_unescape_matches_stdlib(spark):
-    vals = ["&eacute;t&eacute; &#8364; &#x1F600; &notanentity; &amp;lt;"]
+    vals = ["&eacute;t&eacute; &#8364; &#x1F600; &notanentity; &amp;lt;", "it&#8217;s caf&eacute;", "&amp", "&ampx; &notit; &notin;",
+            "&#128;&#129;&#0;&#xD800;&#99999999999;&#1;", "a & b &c; &", "&nosuch; &Aacute &#;&#x;", "&copy2020 &lt&gt", "plain"]
     df = spark.createDataFrame([(v,) for v in vals], "s string")
-    assert [r[0] for r in df.select(TX.unescape_entities_full(F.col("s"))).collect()] == [html.unescape(v) for v in vals]
+    assert [r[0] for r in df.select(TX.unescape_entities(F.col("s"))).collect()] == [html.unescape(v) for v in vals]
 
 
 def test_word_filter(spark):
@@ -125,3 +126,20 @@ def test_redirect_chains(spark):
     assert set(got) == {1, 3, 4, 6}
     assert got[1] == ("https://t/a%2520b%20c", hashlib.sha256(b"https://t/a%20b c").hexdigest())
     assert got[3][0] == "https://t/c" and got[4][0] == "https://x/final" and got[6][0] == "https://t/12"
+
+
+def test_references_resolve_like_urljoin(spark):
+    refs = ["../i.png", "./a", "?q=1", "#f", "data:image/png;base64,AA", "//c.d/x", "/z", "p/q?x=/../y", "..", "../../../x/./y/..",
+            "mailto:a@b", "http://o.org/a", "a/../b", ".", "x#y", "/a/../b"]
+    rows = [(b, r) for b in ("https://h.org/a/b/c.html?u=1#z", "https://h.org", "https://h.org/") for r in refs]
+    df = spark.createDataFrame(rows, "b string, r string").select("b", "r", U.resolve_against(F.col("b"), F.col("r")).alias("o"))
+    assert [r["o"] for r in df.collect()] == [urljoin(b, r) for b, r in rows]
+
+
+def test_looser_date_layouts(spark):
+    from quillfeed.functions.timeparse import parse_feed_time
+
+    vals = ["2020-11-12T00:29:41+0000", "12 November 2020 00:29:41 +0000", "12 Nov 20 00:29:41 +0000", "2020-11-12 00:29:41 +0000",
+            "Nov 12, 2020 00:29:41", "Thursday, 12 November 2020 00:29:41", "2020-11-12 01:29:41+01:00", "Thu, 12 Nov 2020 00:29:41 GMT"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string").select(parse_feed_time(F.col("s")).cast("string").alias("t"))
+    assert [r["t"] for r in df.collect()] == ["2020-11-12 00:29:41"] * len(vals)

@@ -28,14 +28,34 @@ def test_best_icon_class_order_size_and_ties(spark):
 
 def test_page_candidates(spark):
     html = ('<html><head><link rel="icon" href="/fav.png"><link rel="manifest" href="m.json">'
-            '<meta property="og:image" content="//cdn.x.org/og.jpg"><meta name="twitter:image" content="https://t/i.png">'
+            '<meta property="og:image" content="//cdn.x.org/og.jpg"><meta name="twitter:image" content="https://t/no.png">'
+            '<meta property="twitter:image" content="https://t/i.png"><link rel="apple-touch-icon" href="../t.png">'
             '</head><body><a href="/a">a</a></body></html>')
     p = spark.createDataFrame([(1, "https://x.org/en/page.html", html)], "page_id long, url string, html string")
     got = sorted((r["class"], r["url"]) for r in icons.page_candidates(p).collect())
-    assert got == [("icon", "https://x.org/fav.png"), ("manifest", "https://x.org/en/m.json"),
+    assert got == [("apple-touch-icon", "https://x.org/t.png"), ("icon", "https://x.org/fav.png"), ("manifest", "https://x.org/en/m.json"),
                    ("og:image", "https://cdn.x.org/og.jpg"), ("twitter:image", "https://t/i.png")]
 
 
+def test_candidates_listed_by_class_then_place(spark):
+    html = '<link rel="icon" href="/1.png"><link rel="apple-touch-icon" href="/2.png"><link rel="icon" href="/3.png">'
+    p = spark.createDataFrame([(1, "https://x.org/", html)], "page_id long, url string, html string")
+    got = [r["url"] for r in icons.page_candidates(p).orderBy("pos").collect()]
+    assert got == ["https://x.org/2.png", "https://x.org/1.png", "https://x.org/3.png"]
+
+
+def test_manifest_icons(spark):
+    html = '<link rel="manifest" href="m.json"><link rel="manifest" href="other.json"><link rel="icon" href="/i.png">'
+    p = spark.createDataFrame([(1, "https://x.org/en/", html), (2, "https://y.org/", html)], "page_id long, url string, html string")
+    m = spark.createDataFrame([("https://x.org/en/m.json", '{"icons": [{"src": "a.png"}, {"sizes": "1x1"}, {"src": "/b.png"}]}'),
+                               ("https://x.org/en/other.json", '{"icons": [{"src": "no.png"}]}'),
+                               ("https://y.org/m.json", "not json")], "url string, content string")
+    got = icons.manifest_icons(icons.page_candidates(p), m).orderBy("page_id", "pos").select("page_id", "class", "url").collect()
+    assert [tuple(r) for r in got] == [
+        (1, "manifest", "https://x.org/en/a.png"), (1, "manifest", "https://x.org/b.png"), (1, "icon", "https://x.org/i.png"),
+        (2, "icon", "https://y.org/i.png")]
+
+
 def test_favicon_and_cover_fallbacks(spark):
     svc = spark.createDataFrame([("b.example.com", "https://icons/b.png")], "domain string, url string")
     page = spark.createDataFrame([("a.example.com", "shortcut icon", 0, "/s.ico"), ("a.example.com", "apple-touch-icon", 1, "/t.png")],
@@ -44,13 +64,17 @@ def test_favicon_and_cover_fallbacks(spark):
     fav = {r["domain"]: r["favicon_url"] for r in icons.favicon_choice(svc, page, doms).collect()}
     assert fav == {"a.example.com": "https://www.a.example.com/s.ico", "b.example.com": "https://icons/b.png",
                    "c.example.com": "https://www.c.example.com/favicon.ico"}
-    service = spark.createDataFrame([("a", 256, "https://s/a256.png", 40, 40), ("a", 128, "https://s/a128.png", 128, 128)],
+    service = spark.createDataFrame([
+        ("a", 256, "https://s/a256.png", 256, 40), ("a", 128, "https://s/a128.png", 20, 20),
+        ("b", 256, "https://s/b256.png", 40, 40), ("b", 128, "https://s/b128.png", 128, 128),
+        ("c", 256, "https://s/c256.png", 256, 256), ("c", 128, "https://s/c128.png", None, None)],
                                     "domain string, size int, url string, width int, height int")
     ic = spark.createDataFrame([("b", "icon", 1, 0, "https://b/i.png", 64, 64, False)], CAND)
-    logos = spark.createDataFrame([("c", "https://logo/c.png")], "domain string, url string")
+    logos = spark.createDataFrame([("c", "https://logo/c.png", 40, 64), ("d", "https://logo/d.png", 40, 40)],
+                                  "domain string, url string, width int, height int")
     metas = spark.createDataFrame([("c", 0, "https://c/og.png"), ("d", 0, "https://d/og.png")], "domain string, ord int, url string")
     cov = {r["domain"]: r["cover_url"] for r in icons.cover_choice(service, ic, logos, metas).collect()}
-    assert cov == {"a": "https://s/a128.png", "b": "https://b/i.png", "c": "https://logo/c.png", "d": "https://d/og.png"}
+    assert cov == {"a": "https://s/a256.png", "b": "https://b/i.png", "c": "https://logo/c.png", "d": "https://d/og.png"}
 
 
 def _py_background(px, w, h):

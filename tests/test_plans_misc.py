@@ -20,9 +20,10 @@ def test_icons_plan(spark):
     sizes = spark.createDataFrame([("https://www.a.example.com/touch.png", 180, 180, False),
                                    ("https://www.a.example.com/fav.ico", 32, 32, False)],
                                   "url string, width int, height int, all_white boolean")
-    svc = spark.createDataFrame([("b.example.com", 256, "https://icons/b256.png", 256, 256)],
+    svc = spark.createDataFrame([("b.example.com", 256, "https://icons/b256.png", 256, 256),
+                                 ("b.example.com", 128, "https://icons/b128.png", 128, 128)],
                                 "domain string, size int, url string, width int, height int")
-    logos = spark.createDataFrame([], "domain string, url string")
+    logos = spark.createDataFrame([], "domain string, url string, width int, height int")
     px = [("https://www.a.example.com/touch.png", x, y, 10, 20, 30, 255) for x in range(3) for y in range(3)]
     pixels = spark.createDataFrame(px, "image_url string, x int, y int, r int, g int, b int, a int")
     b = build_icons(pages, sizes, svc, logos, pixels)
