@@ -1027,3 +1027,36 @@ def remaining_with_channels_q(spark: SparkSession, base: str) -> DataFrame:
     published = _keyed(S.order_articles(spark, base, incoming=True)).select("article_key")
     r = ST.remaining_with_channels(_stored_articles(spark, base, t["feed"]), published, t)
     return r.select("article_key", "title", "publisher_name", F.array_join("channels", "|").alias("channels"))
+
+
+# --- FLT15 and AGG7 over rows that break their rules --------------------------------
+QUARANTINE_SQL = """
+SELECT 'sources.' || n_name || '.csv' AS file, c_custkey AS row_no,
+       CASE c_mktsegment WHEN 'BUILDING' THEN 'Title: must contain a value'
+            WHEN 'AUTOMOBILE' THEN 'Feed: invalid or missing URL'
+            WHEN 'MACHINERY' THEN 'Rank: not a valid integer'
+            ELSE 'Destination Domains: must contain a value|Score: not a valid number' END AS errors
+FROM customer JOIN nation ON CAST(c_nationkey AS INTEGER) = CAST(n_nationkey AS INTEGER)
+WHERE c_mktsegment IN ('BUILDING', 'AUTOMOBILE', 'MACHINERY', 'HOUSEHOLD')"""
+
+
+@register("quarantined_sources", QUARANTINE_SQL)
+def quarantined_sources(spark: SparkSession, base: str) -> DataFrame:
+    """FLT15: source rows that fail validation, with every failed rule."""
+    _good, bad = P.split_valid(P.type_source_rows(S.flawed_source_rows(spark, base)))
+    return bad.select("file", "row_no", F.array_join("errors", "|").alias("errors"))
+
+
+BROKEN_REPORT_SQL = """
+WITH r AS (SELECT 'https://pub' || CAST(user_id AS VARCHAR) || '.example.com/rss' AS feed_url,
+                  count(*) FILTER (event_type = 'view') AS size_after_get,
+                  count(*) FILTER (event_type = 'click') AS size_after_insert FROM events GROUP BY user_id)
+SELECT *, 'inserted more than downloaded' AS violation FROM r WHERE size_after_insert > size_after_get
+UNION ALL SELECT *, 'no posts downloaded' FROM r WHERE size_after_get = 0
+UNION ALL SELECT *, 'no posts inserted' FROM r WHERE size_after_insert = 0"""
+
+
+@register("report_violations", BROKEN_REPORT_SQL)
+def report_violations_q(spark: SparkSession, base: str) -> DataFrame:
+    """AGG7 on a report that breaks its rules: one row per feed and broken rule."""
+    return QL.report_violations(S.uneven_report(spark, base))

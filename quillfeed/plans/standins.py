@@ -444,3 +444,30 @@ def customer_source_rows(spark: SparkSession, base: str) -> DataFrame:
         F.concat(F.lit("sources."), F.col("n_name"), F.lit(".csv")).alias("file"),
         F.col("c_custkey").alias("row_no"),
     )
+
+
+def flawed_source_rows(spark: SparkSession, base: str) -> DataFrame:
+    """``customer_source_rows`` with one kind of mistake per market segment: no
+    title, a feed that is no web address, a rank in words, or both a score in
+    words and no destination domain. One segment stays right."""
+    r = customer_source_rows(spark, base)
+    seg = F.col("Channels")
+    return r.select(
+        *[c for c in r.columns if c not in ("Title", "Feed", "Rank", "Score", "Destination Domains")],
+        F.when(seg == "BUILDING", F.lit("")).otherwise(F.col("Title")).alias("Title"),
+        F.when(seg == "AUTOMOBILE", F.replace(F.col("Feed"), F.lit("https:"), F.lit("ftp:"))).otherwise(F.col("Feed")).alias("Feed"),
+        F.when(seg == "MACHINERY", F.lit("first")).otherwise(F.col("Rank")).alias("Rank"),
+        F.when(seg == "HOUSEHOLD", F.lit("high")).otherwise(F.col("Score")).alias("Score"),
+        F.when(seg == "HOUSEHOLD", F.lit("")).otherwise(F.col("Destination Domains")).alias("Destination Domains"),
+    )
+
+
+def uneven_report(spark: SparkSession, base: str) -> DataFrame:
+    """A run report per user feed whose entries parsed are its views and whose
+    entries inserted are its clicks, so each rule of the report check can break."""
+    e = read_table(spark, base, "events")
+    return e.groupBy("user_id").agg(
+        F.count_if(F.col("event_type") == "view").alias("size_after_get"),
+        F.count_if(F.col("event_type") == "click").alias("size_after_insert"),
+    ).select(F.concat(F.lit("https://pub"), F.col("user_id").cast("string"), F.lit(".example.com/rss")).alias("feed_url"),
+             "size_after_get", "size_after_insert")
