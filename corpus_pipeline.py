@@ -22,6 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from quillfeed.llm import line_dedup, ngram_join, packing, quality, toxicity
 from quillfeed.session import cut_lineage
 
+#: Near duplicates share NEAR_PERCENT % of their shingles of NEAR_WORDS words.
+NEAR_WORDS = 5
+NEAR_PERCENT = 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.filter_documents(docs)
@@ -37,7 +41,7 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return ngram_join.filter_documents(docs)
+    return ngram_join.filter_documents(docs, size=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -286,3 +286,22 @@ def test_pipeline_stages_keep_columns_and_take_effect(spark):
     assert all(d == c for d, _, c in components)  # one document of each group
     pieces = corpus_pipeline.STAGES[4][1](spark, out, base)
     assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == {i for i, _ in left}
+
+
+def test_pipeline_near_duplicates_are_five_words_at_80_percent(spark):
+    import corpus_pipeline
+
+    rng = random.Random(4)
+    docs = []
+    for k in range(8):
+        words = [f"w{k}x{i}" for i in range(100)]
+        docs.append((10 * k, " ".join(words)))
+        for j in range(1, 4):
+            for at in rng.sample(range(100), j):
+                words[at] = f"new{k}x{j}x{at}"
+            docs.append((10 * k + j, " ".join(words)))
+    frame = spark.createDataFrame(docs, DOCS)
+    near = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"]
+    want = sorted(d for d, _, c in brute_components(docs, 5, 80) if d == c)
+    assert want != sorted(d for d, _, c in brute_components(docs) if d == c)
+    assert sorted(r.doc_id for r in near(spark, frame, "").collect()) == want
