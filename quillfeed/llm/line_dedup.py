@@ -3,17 +3,18 @@
 Every line is placed in a tree of fixed depth: by its number of tokens, then by
 its first ``DEPTH`` tokens; tokens with a digit are variable and stand as
 ``<*>``. In a leaf, lines that agree in at least ``SIMILAR`` of their segments
-share one template, whose other segments become variable. (A line of up to
+share a template, whose other segments are variable. (A line of up to
 ``SEGMENTS`` tokens has one token a segment; a longer line is cut into that many
 runs of tokens, each kept as a hash, so a line takes the same room whatever its
-length.) A template that occurs in more than one document recurs: its lines
-stay in the document with the smallest doc_id and are dropped from all others.
+length.) A line that shares a template with a line of a document with a smaller
+doc_id recurs and is dropped; the others stay.
 
 Scale: lines are first reduced to distinct masked lines (partial aggregation),
-so a hot line is one row. A leaf with many distinct lines is split by hash into
-parts of at most about ``PART`` lines; each part finds its templates on its own,
-and equal templates of different parts are one, because a template is named by
-its leaf and its fixed segments. The join that brings the decisions back to the
+so a hot line is one row. A line is listed under each of its templates, that is
+under its leaf and its segments with every allowed set of variable ones left out,
+with its smallest and largest doc_id, which are aggregated per template. So lines
+that agree always meet, no two lines are compared, and a leaf of any size is
+spread over all tasks. The join that brings the decisions back to the
 documents can be split at a hot line (adaptive skew join). Texts are shuffled
 once, by doc_id.
 
@@ -26,11 +27,13 @@ table gives an empty table.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -42,12 +45,13 @@ DEPTH = 3
 SEGMENTS = 8
 SIMILAR = 0.8
 MIN_TOKENS = 4
-PART = 256
+LONGEST = (DEPTH + 1) * SEGMENTS  # from here on no segment lies inside the leading tokens
 SLICE = 1_000  # texts turned into Python objects at a time
 _DIGIT = re.compile(rb"[0-9]")
 _SEGS = [f"s{i}" for i in range(SEGMENTS)]
 LINE_SCHEMA = "doc_id long, key long, leaf long, n int, " + ", ".join(f"{s} int" for s in _SEGS)
 DROPPED = "__dropped_keys"
+_M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def masked_tokens(line: bytes) -> list[bytes]:
@@ -102,77 +106,95 @@ def document_lines(docs: DataFrame) -> DataFrame:
     return usable.mapInArrow(run, LINE_SCHEMA)
 
 
+def variable_segments(n: int) -> int:
+    """How many segments of a line of ``n`` tokens may differ within a template."""
+    m = min(n, SEGMENTS)
+    return m - math.ceil(SIMILAR * m)
+
+
+@lru_cache(maxsize=None)
+def left_out(n: int) -> list[tuple[int, ...]]:
+    """The sets of segments that templates of lines of ``n`` tokens leave out;
+    segments inside the leading tokens are the same in a whole leaf and stay."""
+    m = min(n, SEGMENTS)
+    free = [i for i in range(m) if (i + 1) * n // m > DEPTH]
+    return list(combinations(free, min(variable_segments(n), len(free))))
+
+
+def template_keys(leaf: np.ndarray, n: int, segments: np.ndarray) -> np.ndarray:
+    """The templates of each line (a row of ``segments``): one per set of segments
+    left out. Two lines of a leaf agree in the needed segments if and only if they
+    share one. From LONGEST tokens on, all lengths leave out the same sets."""
+    place = np.arange(1, SEGMENTS + 1, dtype=np.uint64) * _M1
+    mixed = _mix(segments.astype(np.int64).view(np.uint64) + place)
+    total = leaf.astype(np.int64).view(np.uint64) + mixed.sum(axis=1, dtype=np.uint64)
+    keys = [_mix(total - mixed[:, list(out)].sum(axis=1, dtype=np.uint64) + np.uint64(((k + 1) * int(_M2)) % (1 << 64)))
+            for k, out in enumerate(left_out(min(n, LONGEST)))]
+    return np.stack(keys, axis=1).view(np.int64)
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * _M2
+    x = (x ^ (x >> np.uint64(29))) * _M1
+    return x ^ (x >> np.uint64(32))
+
+
 def cluster(leaf: int, segments: np.ndarray) -> list[tuple[int, list[int]]]:
-    """(template name, line numbers) of the templates of two or more lines in one
-    part of a leaf; ``segments`` has a row per line, in a fixed order."""
+    """(smallest shared template, line numbers) of the groups of two or more lines
+    of a leaf that templates join; ``segments`` has a row per line."""
     m = int((segments[0] != 0).sum())
-    lines = segments[:, :m].astype(np.int64)
-    templates = np.zeros((0, m), dtype=np.int64)  # 1 << 40 marks a variable segment
-    members: list[list[int]] = []
-    for i, line in enumerate(lines):
-        if len(members):
-            same = (templates[:len(members)] == line).sum(axis=1)
-            at = int(same.argmax())
-            if same[at] >= SIMILAR * m:
-                members[at].append(i)
-                templates[at][templates[at] != line] = 1 << 40
-                continue
-        if len(members) == len(templates):
-            templates = np.concatenate([templates, np.zeros((max(8, len(templates)), m), dtype=np.int64)])
-        templates[len(members)] = line
-        members.append([i])
-    return [(xxhash.xxh3_64_intdigest(templates[t].tobytes(), seed=leaf & 0xFFFFFFFF) - (1 << 63), mine)
-            for t, mine in enumerate(members) if len(mine) > 1]
-
-
-def leaf_templates(lines: DataFrame, part: int = PART) -> DataFrame:
-    """key, template, lo, hi of the distinct lines that share a template with
-    another one; ``lines`` has key, leaf, lo, hi and the segments."""
+    keys = template_keys(np.full(len(segments), leaf), m, segments)
+    root = list(range(len(segments)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    first: dict[int, int] = {}
+    shared: dict[int, set[int]] = {}
+    for i, row in enumerate(keys.tolist()):
+        for key in row:
+            if key in first:
+                root[find(i)] = find(first[key])
+                shared.setdefault(first[key], set()).add(key)
+            first.setdefault(key, i)
+    groups: dict[int, list[int]] = {}
+    for i in range(len(segments)):
+        groups.setdefault(find(i), []).append(i)
+    return [(min(k for i in mine for k in shared.get(i, ())), mine) for mine in groups.values() if len(mine) > 1]
+
+
+def leaf_templates(lines: DataFrame) -> DataFrame:
+    """key, template, lo, hi: a row per template of each distinct line whose leaf
+    has another one; ``lines`` has key, leaf, n, lo, hi and the segments."""
     sizes = cut_lineage(lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
-    placed = lines.join(sizes, "leaf").withColumn("part", F.pmod("key", F.ceil(F.col("size") / part)))
-    placed = placed.select("leaf", "part", "key", "lo", "hi", *_SEGS)
-    dealt = placed.repartition("leaf", "part").sortWithinPartitions("leaf", "part", "key")
-
-    def groups(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Whole (leaf, part) groups, as many at a time as a batch brings."""
-        rest = None
-        for frame in frames:
-            frame = pd.concat([rest, frame], ignore_index=True) if rest is not None else frame
-            if frame.empty:
-                continue
-            last = (frame["leaf"] == frame["leaf"].iat[-1]) & (frame["part"] == frame["part"].iat[-1])
-            yield frame[~last]
-            rest = frame[last]
-        if rest is not None:
-            yield rest
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in groups(frames):
-            if frame.empty:
-                continue
-            leaf, sub = frame["leaf"].to_numpy(), frame["part"].to_numpy()
-            segs, keys = frame[_SEGS].to_numpy(), frame["key"].to_numpy()
-            lo, hi = frame["lo"].to_numpy(), frame["hi"].to_numpy()
-            edges = np.flatnonzero((leaf[1:] != leaf[:-1]) | (sub[1:] != sub[:-1])) + 1
-            rows = []
-            for a, b in zip([0, *edges], [*edges, len(frame)]):
-                if b - a > 1:
-                    for name, mine in cluster(int(leaf[a]), segs[a:b]):
-                        rows.extend((keys[a + i], name, lo[a + i], hi[a + i]) for i in mine)
-            yield pd.DataFrame(rows, columns=["key", "template", "lo", "hi"]).astype("int64")
+    placed = cut_lineage(lines.join(sizes, "leaf").select("leaf", "key", "lo", "hi", "n", *_SEGS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(a, SLICE) for b in batches for a in range(0, b.num_rows, SLICE)):
+            leaf, key, lo, hi, n, *segs = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            length, segs = np.minimum(n, LONGEST), np.stack(segs, axis=1)
+            for x in np.unique(length):
+                at = length == x
+                keys = template_keys(leaf[at], int(x), segs[at])
+                each = keys.shape[1]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.int64()) for c in (key[at].repeat(each), keys.ravel(), lo[at].repeat(each), hi[at].repeat(each))],
+                    names=["key", "template", "lo", "hi"])
 
-    return dealt.mapInPandas(run, "key long, template long, lo long, hi long")
+    return placed.mapInArrow(run, "key long, template long, lo long, hi long")
 
 
 def recurring_lines(lines: DataFrame) -> DataFrame:
     """key and ``keeper`` (the document that keeps the line) of all masked lines
-    whose template occurs in more than one document."""
+    that have a template which occurs in more than one document."""
     distinct = cut_lineage(lines.groupBy("key").agg(
-        F.max("leaf").alias("leaf"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
+        F.max("leaf").alias("leaf"), F.max("n").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
         *[F.max(s).alias(s) for s in _SEGS]))
-    alike = cut_lineage(leaf_templates(distinct))
+    alike = leaf_templates(distinct)
     spread = cut_lineage(alike.groupBy("template").agg(F.min("lo").alias("keeper"), F.max("hi").alias("hi")).where("keeper < hi"))
-    by_template = alike.join(spread.select("template", "keeper"), "template").select("key", "keeper")
+    by_template = alike.select("key", "template").join(spread.select("template", "keeper"), "template").select("key", "keeper")
     by_line = distinct.where("lo < hi").select("key", F.col("lo").alias("keeper"))
     return by_line.unionByName(by_template).groupBy("key").agg(F.min("keeper").alias("keeper"))
 

@@ -66,6 +66,32 @@ def test_cluster_joins_similar_lines_of_a_leaf():
     assert line_dedup.cluster(1, rows[[0, 2]]) == []
 
 
+def brute_templates(lines):
+    """Numbers of the lines (number = doc_id) of one leaf that agree in enough
+    segments with a line of a smaller number."""
+    segs = np.array([line_dedup.segments_of(x.encode().split()) for x in lines])
+    n = len(lines[0].split())
+    need = min(n, line_dedup.SEGMENTS) - line_dedup.variable_segments(n)
+    return [i for i in range(1, len(segs)) if ((segs[:i] == segs[i]) & (segs[i] != 0)).sum(axis=1).max() >= need]
+
+
+def test_line_dedup_large_leaf_matches_brute_force(spark):
+    rng = random.Random(8)
+    for n in (8, 40):
+        lines = []
+        for k in range(1500):
+            words = [f"{rng.choice('abcdefgh')}{rng.choice('xyz')}q"[:3] for _ in range(n - 3)]
+            lines.append(" ".join(["server", "log", "entry", *words]))
+            if k % 5 == 0:
+                words[rng.randrange(n - 3)] = "other"
+                lines.append(" ".join(["server", "log", "entry", *words]))
+        rng.shuffle(lines)
+        want = brute_templates(lines)
+        assert 200 < len(want) < len(lines)
+        rows = line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(lines)), DOCS)).collect()
+        assert sorted(r.doc_id for r in rows if r.n_dropped) == want
+
+
 # -- URL filter --------------------------------------------------------------------
 def test_url_filter_rules_and_exact_listing(spark):
     urls = [None, "", "no scheme", "http://A.example.ORG/es/x", "http://example.org/en/12", "http://b.com/fr/1", "http://b.com/de/1",
