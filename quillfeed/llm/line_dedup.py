@@ -6,7 +6,11 @@ its first ``DEPTH`` tokens; tokens with a digit are variable and stand as
 share a template, whose other segments are variable. (A line of up to
 ``SEGMENTS`` tokens has one token a segment; a longer line is cut into that many
 runs of tokens, each kept as a hash, so a line takes the same room whatever its
-length.) A line that shares a template with a line of a document with a smaller
+length. One changed token changes a whole run, so lines of ``RUNS_FROM`` tokens
+or more need ``SIMILAR_RUNS`` of their segments; that is at least about this
+share of their tokens. Lines of that length that differ in more runs do not share
+a template, even if few of their tokens differ.) Lines of fewer than
+``MIN_TOKENS`` tokens are too short for the tree and recur only as they are. A line that shares a template with a line of a document with a smaller
 doc_id recurs and is dropped; the others stay.
 
 Scale: lines are first reduced to distinct masked lines (partial aggregation),
@@ -19,7 +23,7 @@ documents can be split at a hot line (adaptive skew join). Texts are shuffled
 once, by doc_id.
 
 Defined results: null text is empty; lines of fewer than ``MIN_TOKENS`` tokens
-stay (they are too short for the tree); rows with the same doc_id are one
+and ``MIN_CHARS`` characters stay; rows with the same doc_id are one
 document; rows with a null doc_id take no part and stay whole; a row whose text
 is emptied keeps its row, with empty text; extra columns are kept; an empty
 table gives an empty table.
@@ -43,8 +47,11 @@ from quillfeed.session import cut_lineage
 
 DEPTH = 3
 SEGMENTS = 8
-SIMILAR = 0.8
+SIMILAR = 0.8  # share of the segments, where a segment is about one token
+SIMILAR_RUNS = 0.5  # where a segment is a run of tokens, which one changed token changes
+RUNS_FROM = 2 * SEGMENTS  # tokens from which all segments are runs
 MIN_TOKENS = 4
+MIN_CHARS = 10  # shorter lines of fewer than MIN_TOKENS tokens stay
 LONGEST = (DEPTH + 1) * SEGMENTS  # from here on no segment lies inside the leading tokens
 SLICE = 1_000  # texts turned into Python objects at a time
 _DIGIT = re.compile(rb"[0-9]")
@@ -64,6 +71,16 @@ def masked_tokens(line: bytes) -> list[bytes]:
     return masked if 2 * masked.count(b"<*>") <= len(masked) else tokens
 
 
+def compared_tokens(line: bytes) -> list[bytes] | None:
+    """The tokens by which a line is compared: masked ones, and those of a line too
+    short for the tree as they are; None if the line takes no part."""
+    tokens = masked_tokens(line)
+    if len(tokens) >= MIN_TOKENS:
+        return tokens
+    tokens = line.split()
+    return tokens if len(b" ".join(tokens).decode("utf-8", "surrogatepass")) >= MIN_CHARS else None
+
+
 def line_key(tokens: list[bytes]) -> int:
     return xxhash.xxh3_64_intdigest(b" ".join(tokens)) - (1 << 63)
 
@@ -93,8 +110,8 @@ def document_lines(docs: DataFrame) -> DataFrame:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 mine = {}
                 for line in text_lines(text):
-                    tokens = masked_tokens(line)
-                    if len(tokens) >= MIN_TOKENS:
+                    tokens = compared_tokens(line)
+                    if tokens is not None:
                         mine[line_key(tokens)] = tokens
                 rows.extend((doc_id, key, leaf_of(t), len(t), *segments_of(t)) for key, t in mine.items())
             cols = list(zip(*rows)) if rows else [()] * (4 + SEGMENTS)
@@ -109,7 +126,7 @@ def document_lines(docs: DataFrame) -> DataFrame:
 def variable_segments(n: int) -> int:
     """How many segments of a line of ``n`` tokens may differ within a template."""
     m = min(n, SEGMENTS)
-    return m - math.ceil(SIMILAR * m)
+    return m - math.ceil((SIMILAR_RUNS if n >= RUNS_FROM else SIMILAR) * m)
 
 
 @lru_cache(maxsize=None)
@@ -215,8 +232,8 @@ def strip_text(text: str | None, keys) -> tuple[str, int, int]:
         return text or "", len(lines), 0
     drop, kept = set(keys), []
     for line in lines:
-        tokens = masked_tokens(line)
-        if len(tokens) < MIN_TOKENS or line_key(tokens) not in drop:
+        tokens = compared_tokens(line)
+        if tokens is None or line_key(tokens) not in drop:
             kept.append(line)
     return b"\n".join(kept).decode("utf-8", "surrogatepass"), len(lines), len(lines) - len(kept)
 

@@ -66,6 +66,25 @@ def test_cluster_joins_similar_lines_of_a_leaf():
     assert line_dedup.cluster(1, rows[[0, 2]]) == []
 
 
+def test_line_dedup_several_fields_and_short_lines(spark):
+    long = [f"t{i}" for i in range(200)]
+    long = ["some", "long", "line", *("".join(chr(97 + int(c)) for c in x[1:]) + "w" for x in long)]
+    other = [*long]
+    other[50], other[150] = "changed", "words"
+    text = "today a user {} logged in from the {} office by way of the {} gate and stayed there"
+    groups = [
+        [text.format("alice", "paris", "north"), text.format("bob", "london", "south")],
+        [" ".join(long), " ".join(other)],
+        ["All rights reserved.", "All  rights reserved."],
+    ]
+    apart = [["today a user alice was sent home again early and then nobody saw them for a long time"],
+             ["Chapter 12 ends", "Chapter 13 ends"], ["Yes.", "Yes."]]
+    docs = [(2 * k + i, x) for k, pair in enumerate(groups + apart[1:]) for i, x in enumerate(pair)]
+    docs += [(100, apart[0][0])]
+    got = {r.doc_id: r.n_dropped for r in line_dedup.dedup_lines(spark.createDataFrame(docs, DOCS)).collect()}
+    assert sorted(i for i, n in got.items() if n) == [1, 3, 5]
+
+
 def brute_templates(lines):
     """Numbers of the lines (number = doc_id) of one leaf that agree in enough
     segments with a line of a smaller number."""
