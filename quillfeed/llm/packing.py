@@ -25,6 +25,7 @@ an empty table gives no pieces.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from functools import lru_cache
 
@@ -138,33 +139,46 @@ def _byte_of_char() -> dict[str, int]:
 
 @lru_cache(maxsize=2)
 def encoder(path: str):
-    """encode(text) -> ids of the vocabulary file at ``path``.
+    """encode(text) -> ids of the vocabulary file at ``path``, and the largest id.
 
     A byte-level BPE file whose merges come in the order of their ids is the
     same thing as a rank table, and is run by the faster rank encoder; any other
-    file is run as it is."""
+    file, and a text that spells one of the file's added tokens, is run as it is."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     model, pre = spec["model"], spec.get("pre_tokenizer") or {}
     merges = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
     vocab = model["vocab"]
     ids = [vocab.get(a + b, -1) for a, b in merges]
-    special = {t["content"] for t in spec.get("added_tokens", [])}
+    largest = max([*vocab.values(), *(t["id"] for t in spec.get("added_tokens", []))])
+    added = [t["content"] for t in spec.get("added_tokens", [])]
+    whole = lru_cache(maxsize=1)(lambda: _file_tokenizer(path))  # read where a text needs it
+
+    def as_file(text: str) -> list[int]:
+        return whole().encode(text, add_special_tokens=False).ids
+
     if (pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and not spec.get("normalizer")
             and all(a < b for a, b in zip([-1, *ids], ids))):
         import public_tokenizers
         import tiktoken
 
         byte_of = _byte_of_char()
-        ranks = {bytes(byte_of[c] for c in token): i for token, i in vocab.items() if token not in special}
+        ranks = {bytes(byte_of[c] for c in token): i for token, i in vocab.items() if token not in added}
         plain = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                   special_tokens={})
-        return plain.encode_ordinary, max(vocab.values())
+        spelt = re.compile("|".join(map(re.escape, added))) if added else None
+
+        def encode(text: str) -> list[int]:
+            return as_file(text) if spelt and spelt.search(text) else plain.encode_ordinary(text)
+
+        return encode, largest
+    return as_file, largest
+
+
+def _file_tokenizer(path: str):
     from tokenizers import Tokenizer
 
-    whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
-    return (lambda text: whole.encode(text, add_special_tokens=False).ids), max(vocab.values())
+    return Tokenizer.from_file(path)
 
 
 def pack_documents(docs: DataFrame, path: str, end_id: int = 1, sequence: int = SEQUENCE,

@@ -308,6 +308,24 @@ def test_pack_documents_gives_the_tokenizers_ids(spark):
     assert packing.pack_documents(spark.createDataFrame([], DOCS), path).count() == 0
 
 
+def test_encoder_gives_added_tokens_their_own_ids(tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    path = P.path("byte_bpe_50k.json")
+    spec = json.load(open(path, encoding="utf-8"))
+    spec["normalizer"] = {"type": "NFC"}  # such a file is not run as a rank table
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(spec), encoding="utf-8")
+    texts = [f"end {t['content']} more{t['content']}" for t in spec["added_tokens"]] + ["no such <| text |>", ""]
+    for file in (path, str(other)):
+        encode, _ = packing.encoder(file)
+        whole = Tokenizer.from_file(file)
+        assert [encode(t) for t in texts] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert 50256 in packing.encoder(path)[0]("end <|endoftext|> more")
+
+
 # -- the pipeline ----------------------------------------------------------------------
 def test_pipeline_stages_keep_columns_and_take_effect(spark):
     import corpus_pipeline
