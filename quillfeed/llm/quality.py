@@ -33,12 +33,15 @@ _SHOUT = re.compile(r"[!?]{2,}")
 _PUNCT = re.compile(r"[.,;:!?…。，、！？؟।]")
 _WORD = re.compile(r"[^ \t-\r]+")
 
-# Phrases of page furniture; a short line that holds one is boilerplate.
+# Phrases of page furniture; a short line that is little else is boilerplate.
 BOILERPLATE = (
     "accept cookies", "all rights reserved", "click here", "cookie policy", "enable javascript",
     "follow us on", "log in to", "privacy policy", "read more", "share this", "sign up for",
     "skip to content", "subscribe to our", "terms of service", "terms of use", "we use cookies",
 )
+# Those that also stand inside ordinary sentences.
+_RUNNING = frozenset(["log in to", "read more", "share this", "sign up for"])
+_BOILERPLATE = re.compile(r"(?<!\w)(?:" + "|".join(BOILERPLATE) + r")(?!\w)")
 
 
 @dataclass(frozen=True)
@@ -51,6 +54,8 @@ class Rules:
     min_separators: int = 2
     unpunctuated_words: int = 30  # a line this long without any punctuation is no prose
     boilerplate_words: int = 25  # boilerplate phrases count in lines up to this long
+    boilerplate_share: float = 0.5  # of a line's words; its phrases alone make it boilerplate
+    own_words: int = 5  # so many words besides the phrases count as a sentence of the line's own
     max_lost: float = 0.5  # reject a document that loses a larger share of its words
     window: int = 5
     min_words: int = 10
@@ -87,11 +92,24 @@ def line_failure(line: str, rules: Rules = DEFAULT_RULES) -> str | None:
         return "punctuation"
     if n <= rules.boilerplate_words:
         low = line.lower()
-        if any(p in low for p in BOILERPLATE):
+        if any(p in low for p in BOILERPLATE) and _is_boilerplate(low, n, rules):
             return "boilerplate"
     return None
 
 
+def _is_boilerplate(low: str, n: int, rules: Rules) -> bool:
+    """Whether a lower-case line of ``n`` words is little but boilerplate phrases:
+    they are most of its words, or leave no sentence of its own. A phrase that also
+    stands in ordinary sentences counts for the latter only where it begins the line."""
+    found = list(_BOILERPLATE.finditer(low))
+    phrase = sum(len(m.group().split()) for m in found)
+    if not found or phrase >= rules.boilerplate_share * n:
+        return bool(found)
+    if n - phrase >= rules.own_words:
+        return False
+    return any(m.group() not in _RUNNING or not low[:m.start()].strip() for m in found)
+
+
 def repeated_window_words(words: list, size: int) -> int:
     """Words covered by a window of ``size`` consecutive words that occurs twice
     or more in ``words`` (all occurrences count, the first included)."""

@@ -105,6 +105,17 @@ def test_quality_removes_lines_first_and_then_judges_the_loss():
     assert quality.line_failure("") is None and quality.line_failure(prose) is None
 
 
+def test_quality_boilerplate_needs_whole_words_and_most_of_the_line():
+    for line in ("The virus spread more slowly.", "Children who read more books do better.", "They read more books now.",
+                 "The parliament debated the new privacy policy of the government on Monday."):
+        assert quality.line_failure(line) is None
+    clean = "In the second year the virus spread more slowly than many of the doctors had feared."
+    assert quality.judge_text(clean)[6] and quality.judge_text(clean)[10] == clean
+    for line in ("Read more", "Read more about us", "\u00a9 2020 Example. All rights reserved.", "Click here to sign up for our newsletter",
+                 "Privacy Policy / Terms of Use"):
+        assert quality.line_failure(line) == "boilerplate"
+
+
 def test_quality_filter_keeps_columns(spark):
     docs = spark.createDataFrame([(1, None, "a", 0), (2, "one two three four five six seven eight nine ten.", "b", 50)],
                                  "doc_id long, text string, kept string, n_chars long")
