@@ -13,7 +13,8 @@ the text that stands directly in every node.
 3. Every page is aligned to its host's wrapper again. Its text is taken from the
    content region: the ``article`` or ``main`` element with the most text, and
    without one the whole body; elements that are page furniture by their tag or
-   class are left out, and so are template nodes. A page whose region would lose
+   class are left out (a class word does not count where the element holds a
+   ``main`` element or most of the page's text), and so are template nodes. A page whose region would lose
    all its text as template (a host of copies of one page) keeps it.
 
 Statistics cover all pages; only skeletons and hashes take part in steps 1 and
@@ -61,6 +62,11 @@ FURNITURE_WORDS = frozenset(
     " newsletter notice notification notifications pager pagination popup promo promoted promotion recommended related"
     " replies respond share sharing sidebar signup social sponsor sponsored subscribe subscription tags toolbar widget"
     " widgets".split())
+#: What follows one of these in a name says something about an element, not what it is (no-sidebar).
+ABOUT_WORDS = frozenset(["no", "has", "with", "without"])
+#: Class words that stay furniture however much text they hold: readers' comments and layers over the page.
+NEVER_TEXT = frozenset(
+    "comment comments commentlist consent cookie cookies disqus gdpr hidden modal popup replies respond".split())
 HEADER_WORDS = frozenset(["header", "topbar"])  # furniture outside the content region
 P_CLOSERS = BLOCKS - {"body", "html", "head", "caption", "tbody", "td", "tfoot", "th", "thead", "tr"}
 CLOSED_BY = {  # an open element of the key ends where one of these begins
@@ -167,7 +173,11 @@ def _class_words(attributes: str) -> frozenset:
         elif name == "role":
             words.add({"complementary": "sidebar", "contentinfo": "footer", "banner": "banner"}.get(value.lower(), value.lower()))
         elif name in ("class", "id"):
-            words.update(w.lower() for w in _WORDS.findall(value) if not w.isdigit())
+            for name_words in ([w.lower() for w in _WORDS.findall(v) if not w.isdigit()] for v in value.split()):
+                cut = next((k for k, w in enumerate(name_words) if w in ABOUT_WORDS), len(name_words))
+                words.update(name_words[:cut])
+                if cut < len(name_words):
+                    words.add("-".join(name_words[cut:]))
     return frozenset(words)
 
 
@@ -283,31 +293,57 @@ def main_blocks(page: Page, node_of: list[int] | None = None, template: frozense
     n = len(page.tags)
     parents, tags, words = page.parents, page.tags, page.words
     region = [False] * n
-    out = [False] * n  # page furniture
     for i in range(1, n):
-        p = parents[i]
-        region[i] = region[p] or tags[i] in ("article", "main") or "main" in words[i] and "role" in words[i]
-        top = tags[i] in ("article", "main", "body", "html")
-        out[i] = (out[p] or tags[i] in FURNITURE or (not top and bool(words[i] & FURNITURE_WORDS))
-                  or (not region[i] and not top and (tags[i] == "header" or bool(words[i] & HEADER_WORDS))))
-    size: dict[int, int] = {}
-    for element, text in page.blocks:
-        if not out[element]:
-            at = element
-            while at > 0:
-                if tags[at] in ("article", "main"):
-                    size[at] = size.get(at, 0) + len(text)
-                at = parents[at]
-    root = 0
-    if size:
-        # The innermost region that has the most text (an article inside main, not a teaser beside it).
-        most = max(size.values())
-        root = max((e for e, s in size.items() if 2 * s > most and tags[e] == "article"), key=lambda e: size[e], default=None) \
-            or max(size, key=lambda e: (size[e], e))
-    inside = [i == root for i in range(n)]
-    for i in range(1, n):
-        inside[i] = inside[i] or inside[parents[i]]
-    blocks = [(e, t) for e, t in page.blocks if inside[e] and not out[e]]
+        region[i] = region[parents[i]] or tags[i] in ("article", "main") or "main" in words[i] and "role" in words[i]
+
+    def content(text_of: frozenset) -> list[tuple[int, str]]:
+        """The region's blocks; elements in ``text_of`` are no furniture by class."""
+        out = [False] * n  # page furniture
+        for i in range(1, n):
+            top = tags[i] in ("article", "main", "body", "html") or i in text_of
+            out[i] = (out[parents[i]] or tags[i] in FURNITURE or (not top and bool(words[i] & FURNITURE_WORDS))
+                      or (not region[i] and not top and (tags[i] == "header" or bool(words[i] & HEADER_WORDS))))
+        size: dict[int, int] = {}
+        for element, text in page.blocks:
+            if not out[element]:
+                at = element
+                while at > 0:
+                    if tags[at] in ("article", "main"):
+                        size[at] = size.get(at, 0) + len(text)
+                    at = parents[at]
+        root = 0
+        if size:
+            # The innermost region that has the most text (an article inside main, not a teaser beside it).
+            most = max(size.values())
+            root = max((e for e, s in size.items() if 2 * s > most and tags[e] == "article"), key=lambda e: size[e], default=None) \
+                or max(size, key=lambda e: (size[e], e))
+        inside = [i == root for i in range(n)]
+        for i in range(1, n):
+            inside[i] = inside[i] or inside[parents[i]]
+        return [(e, t) for e, t in page.blocks if inside[e] and not out[e]]
+
+    blocks = content(frozenset())
+    # An element named like furniture that holds a main element or most of the page's text is none.
+    named = [i for i in range(1, n) if words[i] & (FURNITURE_WORDS | HEADER_WORDS) and not words[i] & NEVER_TEXT
+             and tags[i] not in FURNITURE and tags[i] != "header"]
+    if named:
+        never = [False] * n
+        for i in range(1, n):
+            never[i] = never[parents[i]] or tags[i] in FURNITURE or bool(words[i] & NEVER_TEXT)
+        held = [0] * n
+        for element, text in page.blocks:
+            if not never[element]:
+                held[element] += len(text)
+        for i in range(n - 1, 0, -1):
+            held[parents[i]] += held[i]
+        around = set()  # of a main element, whatever its share
+        for i in (i for i in range(1, n) if tags[i] == "main" and not never[i]):
+            while i > 0 and i not in around:
+                around.add(i)
+                i = parents[i]
+        wide = frozenset(i for i in named if i in around or 2 * held[i] > held[0])
+        if wide:
+            blocks = content(wide) or blocks
     if template and node_of is not None:
         kept = [(e, t) for e, t in blocks if node_of[e] not in template]
         blocks = kept or blocks

@@ -142,6 +142,19 @@ def test_extract_page_drops_furniture_and_keeps_the_article():
     assert wrapper.extract_page("plain words") == "plain words"
 
 
+def test_extract_page_keeps_text_in_wrappers_named_like_furniture():
+    article = "<article><p>The text of the article, with some words.</p></article>"
+    body = "<p>The text of the article, with some words.</p>"
+    for inner in (article, body):
+        for wrap in ('class="content no-sidebar"', 'id="page" class="has-banner"', 'class="post tags-on"', 'class="withComments page"'):
+            page = f'<body><header>Site</header><div {wrap}>{inner}<div class="banner">Buy</div></div><footer>f</footer></body>'
+            assert wrapper.extract_page(page) == "The text of the article, with some words."
+    page = f'<body><div class="tags-on"><main>{body}</main></div><div>{"A list of links. " * 20}</div></body>'
+    assert wrapper.extract_page(page) == "The text of the article, with some words."
+    page = f'<body>{body}<div class="comments"><p>{"A long comment. " * 20}</p></div><div class="sidebar">Links</div></body>'
+    assert wrapper.extract_page(page) == "The text of the article, with some words."
+
+
 def test_simple_tree_matching_equals_brute_force():
     def best(a, b):
         if a[0] != b[0]:
