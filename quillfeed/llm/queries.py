@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillfeed.llm import bpe, licenses, line_dedup, ngram_join, packing, quality, topk, toxicity, url_filter, wrapper
+from quillfeed.llm import (
+    alignment,
+    bpe,
+    exact_dedup,
+    licenses,
+    line_dedup,
+    ngram_join,
+    packing,
+    prefix_trie,
+    quality,
+    topk,
+    toxicity,
+    url_filter,
+    wrapper,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -205,3 +219,66 @@ SELECT s.doc_id, len(s.g) AS n_shingles, min(r.reach) AS component_id FROM s JOI
 def op8_ngram_jaccard(spark: SparkSession, base: str) -> DataFrame:
     """Components of documents that share 90 % of their 3-word shingles."""
     return ngram_join.near_duplicates(table(spark, base, "documents"))
+
+
+OP11_SQL = r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(conv_id::VARCHAR)), lambda i: ascii(substr(conv_id::VARCHAR, i + 1, 1))::BIGINT)),
+           lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+  SELECT c.conv_id, t.k, t.role, t.text FROM c JOIN t ON t.conv_id = c.base WHERE t.k <= c.h
+  UNION ALL SELECT c.conv_id, t.k + c.h, t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id WHERE t.k > c.h),
+s AS (
+  SELECT c.conv_id, coalesce(list({'role': r.role, 'text': r.text} ORDER BY r.k) FILTER (r.k IS NOT NULL), []) AS seq
+  FROM c LEFT JOIN r ON r.conv_id = c.conv_id GROUP BY c.conv_id),
+p AS (SELECT conv_id, seq, unnest(range(len(seq) + 1)) AS depth FROM s),
+n AS (
+  SELECT depth, seq[1:depth] AS prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+         string_agg(CASE WHEN len(seq) = depth THEN conv_id::VARCHAR END, ',' ORDER BY conv_id) AS ends
+  FROM p GROUP BY depth, prefix),
+k AS (SELECT depth - 1 AS depth, prefix[1:depth - 1] AS prefix, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+v AS (
+  SELECT n.depth, n.prefix, coalesce(k.n_children, 0) AS n_children,
+         CASE WHEN n.depth = 0 THEN 0 ELSE (n.n_convs - 1) * len(regexp_extract_all(n.prefix[n.depth].text, '[^\x20\x09-\x0D]+')) END AS saving
+  FROM n LEFT JOIN k ON k.depth = n.depth AND k.prefix = n.prefix),
+a AS (SELECT up AS depth, prefix[1:up] AS prefix, n_children, saving FROM (SELECT *, unnest(range(depth + 1)) AS up FROM v)),
+w AS (SELECT depth, prefix, count(*) FILTER (n_children = 0) AS n_leaves, sum(saving)::BIGINT AS saved_tokens FROM a GROUP BY depth, prefix)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, v.n_children, w.n_leaves, w.saved_tokens,
+       sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM n JOIN v ON v.depth = n.depth AND v.prefix = n.prefix JOIN w ON w.depth = n.depth AND w.prefix = n.prefix
+LEFT JOIN n u ON u.depth = n.depth - 1 AND u.prefix = n.prefix[1:n.depth - 1]"""
+
+
+@register("op11_conversation_trie", OP11_SQL)
+def op11_conversation_trie(spark: SparkSession, base: str) -> DataFrame:
+    """Every node of the prefix trie of all rebuilt conversations."""
+    return prefix_trie.conversation_trie(table(spark, base, "conversations"))
+
+
+OP12_SQL = r"""
+WITH n AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents),
+g AS (
+  SELECT doc_id, t, first_value(doc_id) OVER (PARTITION BY t ORDER BY n DESC, doc_id) AS keep_id,
+         count(*) OVER (PARTITION BY t) AS group_size FROM n)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM g"""
+
+
+@register("op12_exact_dedup", OP12_SQL)
+def op12_exact_dedup(spark: SparkSession, base: str) -> DataFrame:
+    """Groups of documents with equal texts by the names of their blocks."""
+    found = exact_dedup.dedup_documents(table(spark, base, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@register("op13_token_alignment")
+def op13_token_alignment(spark: SparkSession, base: str) -> DataFrame:
+    """Groups and links between the tokens of two vocabularies in every whole text."""
+    return alignment.align_documents(table(spark, base, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                     public_tokenizers.path("piece_bpe_32k.model"))
