@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -46,7 +47,7 @@ SLICE = 1_000_000  # bytes of text whose matrices are multiplied at once
 CHUNK = 8_000_000  # bytes of text in a chunk
 CHUNK_DOCS = 20_000  # documents in a chunk at most
 LINKS_OUT = 200_000  # links handed back at once
-SHIFT = 32  # an id pair's key: A id << SHIFT | B id
+SHIFT = 20  # an id pair's key: A id << SHIFT | B id
 NUMBERS = ["n_a", "n_b", "n_groups", "n_links", "n_group_links"]
 CHUNK_SCHEMA = ("chunk long, doc_id array<long>, " + ", ".join(f"{c} array<long>" for c in NUMBERS)
                 + ", groups_sha256 array<string>, pairs binary, start binary, pair binary, links binary")
@@ -66,7 +67,7 @@ class Csr:
         """Row i holds the ``lengths[i]`` columns that follow those of row i - 1."""
         indptr = np.concatenate([[0], np.cumsum(lengths)])
         n = int(indptr[-1])
-        return cls(indptr, np.arange(n), np.ones(n, np.int32), n)
+        return cls(indptr, np.arange(n, dtype=np.int32), np.ones(n, np.int32), n)
 
     @classmethod
     def labels(cls, label: np.ndarray, columns: int) -> Csr:
@@ -76,12 +77,17 @@ class Csr:
 
     def rows(self) -> np.ndarray:
         """The row of each value."""
-        return np.repeat(np.arange(len(self.indptr) - 1), np.diff(self.indptr))
+        return np.repeat(np.arange(len(self.indptr) - 1, dtype=np.int32), np.diff(self.indptr))
 
     def transpose(self) -> Csr:
-        order = np.argsort(self.indices, kind="stable")
+        rows = self.rows()
+        if (self.indices[1:] < self.indices[:-1]).any():
+            order = np.argsort(self.indices, kind="stable")
+            rows, data = rows[order], self.data[order]
+        else:
+            data = self.data
         indptr = np.concatenate([[0], np.cumsum(np.bincount(self.indices, minlength=self.columns))])
-        return Csr(indptr, self.rows()[order], self.data[order], len(self.indptr) - 1)
+        return Csr(indptr, rows, data, len(self.indptr) - 1)
 
     def row_sizes(self, other: Csr) -> np.ndarray:
         """Symbolic phase of ``self @ other``: for each row the values that Gustavson's
@@ -98,15 +104,15 @@ class Csr:
         """``self @ other``: each value in row i scales the row of ``other`` that its
         column names, and equal columns of row i are added up."""
         sizes = np.diff(other.indptr)[self.indices]
-        total = int(sizes.sum())
-        row = np.repeat(self.rows(), sizes)
-        at = np.arange(total) + np.repeat(other.indptr[self.indices] - (np.cumsum(sizes) - sizes), sizes)
-        column, value = other.indices[at], np.repeat(self.data, sizes) * other.data[at]
-        key = row * np.int64(max(1, other.columns)) + column
-        if total and (key[1:] < key[:-1]).any():
-            order = np.argsort(key, kind="stable")
-            key, row, column, value = key[order], row[order], column[order], value[order]
-        new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if total else np.empty(0, np.int64)
+        row, at, value = self.rows(), other.indptr[self.indices], self.data
+        if (sizes != 1).any():
+            row, value = np.repeat(row, sizes), np.repeat(value, sizes)
+            at = np.arange(len(row)) + np.repeat(at - (np.cumsum(sizes) - sizes), sizes)
+        column, value = other.indices[at], value * other.data[at]
+        if ((row[1:] == row[:-1]) & (column[1:] < column[:-1])).any():
+            order = np.lexsort((column, row))
+            row, column, value = row[order], column[order], value[order]
+        new = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (column[1:] != column[:-1]))[:len(row)])
         row, column = row[new], column[new]
         value = np.add.reduceat(value, new) if len(new) else value[:0]
         n = len(self.indptr) - 1
@@ -114,10 +120,23 @@ class Csr:
         return Csr(indptr, column, value, other.columns)
 
 
+class Vocabulary:
+    """The bytes of every id: id i has ``length[i]`` bytes from ``flat[start[i]]`` on."""
+
+    def __init__(self, spelt: list[bytes]):
+        self.length = np.array([len(x) for x in spelt], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.flat = np.frombuffer(b"".join(spelt), np.uint8)
+
+    def spell(self, ids: np.ndarray, tokens: Csr) -> np.ndarray:
+        """The bytes of ``ids``, whose token-byte matrix is ``tokens``."""
+        return self.flat[np.arange(len(tokens.indices)) + np.repeat(self.start[ids] - tokens.indptr[:-1], np.diff(tokens.indptr))]
+
+
 @lru_cache(maxsize=2)
 def byte_level(path: str):
-    """encode(text) -> ids of the byte-level file at ``path`` with added tokens as
-    plain text, and the bytes of each id. The merges of such a file come in the
+    """encode(text) -> array of ids of the byte-level file at ``path`` with added
+    tokens as plain text, and its vocabulary. The merges of such a file come in the
     order of their ids, so the rank encoder gives the same ids."""
     import public_tokenizers
     import tiktoken
@@ -133,12 +152,16 @@ def byte_level(path: str):
     spelt = {i: bytes(byte_of[c] for c in token) for token, i in vocab.items() if token not in added}
     coder = tiktoken.Encoding("alignment", pat_str=public_tokenizers.PATTERN,
                               mergeable_ranks={b: i for i, b in spelt.items()}, special_tokens={})
-    return coder.encode_ordinary, [spelt.get(i, b"") for i in range(max(spelt) + 1)]
+
+    def encode(text: str) -> np.ndarray:
+        return coder.encode_to_numpy(text, disallowed_special=())
+
+    return encode, Vocabulary([spelt.get(i, b"") for i in range(max(spelt) + 1)])
 
 
 @lru_cache(maxsize=2)
 def pieces(path: str):
-    """encode(texts) -> lists of ids of the sentencepiece model, and the bytes of each id."""
+    """encode(texts) -> arrays of ids of the sentencepiece model, and its vocabulary."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -147,36 +170,41 @@ def pieces(path: str):
         piece = model.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace("▁", " ").encode()
 
-    return lambda texts: model.encode(texts, num_threads=1), [spelt(i) for i in range(model.get_piece_size())]
+    def encode(texts: list[str]) -> list[np.ndarray]:
+        return [np.frombuffer(array("I", ids), np.uint32) for ids in model.encode(texts, num_threads=1)]
+
+    return encode, Vocabulary([spelt(i) for i in range(model.get_piece_size())])
 
 
 class Slice:
     """The tokens of some texts, end to end, and the links between them."""
 
     def __init__(self, texts: list[str | None], path_a: str, path_b: str):
-        encode_a, bytes_a = byte_level(path_a)
-        encode_b, bytes_b = pieces(path_b)
-        ids_a, ids_b = [], []
-        for text, b in zip(texts, encode_b([t or "" for t in texts])):
-            a = encode_a(" " + text) if text else []
-            data = (" " + text).encode() if text else b""
-            if not text or b"".join(map(bytes_a.__getitem__, a)) != data or b"".join(map(bytes_b.__getitem__, b)) != data:
-                a, b = [], []
-            ids_a.append(a)
-            ids_b.append(b)
-        self.n_a, self.n_b = (np.array([len(x) for x in y], np.int64) for y in (ids_a, ids_b))
-        self.a, self.b = (np.fromiter((i for x in y for i in x), np.int64, int(n.sum())) for y, n in
-                          ((ids_a, self.n_a), (ids_b, self.n_b)))
+        encode_a, words_a = byte_level(path_a)
+        encode_b, words_b = pieces(path_b)
+        texts = [t or "" for t in texts]
+        none = np.empty(0, np.int64)
+        sides = [[encode_a(" " + t) if t else none for t in texts], encode_b(texts)]
+        data = [(" " + t).encode() if t else b"" for t in texts]
+        n_bytes = np.array([len(d) for d in data], np.int64)
+        right = np.ones(len(texts), bool)
+        for ids, words in zip(sides, (words_a, words_b)):
+            right &= _spells(ids, words, data, n_bytes)
+        for side in sides:
+            side[:] = [ids if r else none for ids, r in zip(side, right.tolist())]
+        self.n_a, self.n_b = (np.array([len(x) for x in y], np.int64) for y in sides)
+        self.a, self.b = (np.concatenate([none, *y]).astype(np.int64) for y in sides)
         self.doc_a, self.doc_b = (np.repeat(np.arange(len(texts)), n) for n in (self.n_a, self.n_b))
-        length_a, length_b = (np.array([len(x) for x in y], np.int64) for y in (bytes_a, bytes_b))
-        self.bytes_a, self.bytes_b = Csr.runs(length_a[self.a]), Csr.runs(length_b[self.b])
+        self.bytes_a, self.bytes_b = Csr.runs(words_a.length[self.a]), Csr.runs(words_b.length[self.b])
         # Offsets where both end cut the bytes into groups.
         ends_a, ends_b = self.bytes_a.indptr[1:], self.bytes_b.indptr[1:]
-        cuts = np.intersect1d(ends_a, ends_b)
-        self.group_a, self.group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
+        end_a, end_b = np.zeros((2, len(self.bytes_a.indices) + 1), bool)
+        end_a[ends_a], end_b[ends_b] = True, True
+        self.last_a, self.last_b = end_b[ends_a], end_a[ends_b]  # tokens that close a group
+        self.group_a, self.group_b = (np.cumsum(x) - x for x in (self.last_a, self.last_b))
+        cuts = np.flatnonzero(self.last_a)
         self.groups_a, self.groups_b = Csr.labels(self.group_a, len(cuts)), Csr.labels(self.group_b, len(cuts))
-        self.n_groups = np.bincount(self.doc_a[np.searchsorted(ends_a, cuts)], minlength=len(texts)) if len(cuts) else np.zeros(
-            len(texts), np.int64)
+        self.n_groups = np.bincount(self.doc_a[cuts], minlength=len(texts))
 
     def overlaps(self) -> Csr:
         """A tokens x B tokens: the bytes they share."""
@@ -200,30 +228,41 @@ class Slice:
 
     def spelt_groups(self) -> list[str]:
         """Per text the hash of its groups' ids, ``a,a|b;a|b,b``."""
-        comma_a, bar, comma_b, semicolon = (_spelt(c) for c in ",|,;")
-        last_a = np.append(self.group_a[1:] != self.group_a[:-1], True)[:len(self.a)]
-        last_b = np.append(self.group_b[1:] != self.group_b[:-1], True)[:len(self.b)]
-        before = np.searchsorted(self.group_b, self.group_a, "left")  # B tokens in earlier groups
-        after = np.searchsorted(self.group_a, self.group_b, "right")  # A tokens up to this group
-        words = np.empty(len(self.a) + len(self.b), object)
-        words[np.arange(len(self.a)) + before] = [(bar if e else comma_a)[i] for i, e in zip(self.a.tolist(), last_a.tolist())]
-        words[np.arange(len(self.b)) + after] = [(semicolon if e else comma_b)[i] for i, e in zip(self.b.tolist(), last_b.tolist())]
+        before = np.append(0, np.flatnonzero(self.last_b) + 1)[self.group_a]  # B tokens in earlier groups
+        after = np.append(np.flatnonzero(self.last_a) + 1, 0)[self.group_b]  # A tokens up to this group
+        size = max(self.a.max(initial=0), self.b.max(initial=0)) + 1
+        spelt = _numerals(1 << int(size).bit_length())
+        words = np.empty(len(self.a) + len(self.b), np.int64)
+        words[np.arange(len(self.a)) + before] = self.a * 3 + self.last_a  # "," or "|"
+        words[np.arange(len(self.b)) + after] = self.b * 3 + 2 * self.last_b  # "," or ";"
+        words = spelt[words]
         out, at = [], 0
         for n in (self.n_a + self.n_b).tolist():
-            out.append(hashlib.sha256(b"".join(words[at:at + n])[:-1]).hexdigest() if n else "")
+            out.append(hashlib.sha256(b"".join(words[at:at + n].tolist())[:-1]).hexdigest() if n else "")
             at += n
         return out
 
 
-class _spelt(dict):
-    """Decimal digits of an id and a sign, kept for the next time."""
-
-    def __init__(self, sign: str):
-        self.sign = sign
-
-    def __missing__(self, i: int) -> bytes:
-        self[i] = f"{i}{self.sign}".encode()
-        return self[i]
+@lru_cache(maxsize=2)
+def _numerals(n: int) -> np.ndarray:
+    """The digits of 0 .. n-1 with ``,``, ``|`` and ``;`` behind each."""
+    out = np.empty(3 * n, object)
+    out[:] = [f"{i}{sign}".encode() for i in range(n) for sign in ",|;"]
+    return out
+
+
+def _spells(ids: list[np.ndarray], words: Vocabulary, data: list[bytes], n_bytes: np.ndarray) -> np.ndarray:
+    """For each text whether its tokens' bytes, end to end, are its own."""
+    flat = np.concatenate([np.empty(0, np.int64), *ids]).astype(np.int64)
+    tokens = Csr.runs(words.length[flat])
+    upto = tokens.indptr[np.cumsum([len(x) for x in ids])] if ids else n_bytes
+    right = np.diff(upto, prepend=0) == n_bytes
+    if right.all():  # the usual case: equal lengths throughout
+        wrong = np.flatnonzero(words.spell(flat, tokens) != np.frombuffer(b"".join(data), np.uint8))
+        right[np.searchsorted(upto, wrong, "right")] = False
+        return right
+    return np.array([r and len(x) == 0 or r and words.spell(f := x.astype(np.int64), Csr.runs(words.length[f])).tobytes() == d
+                     for r, x, d in zip(right, ids, data)])
 
 
 def _sliced(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[list, list, int]]:
@@ -268,11 +307,10 @@ def _chunks(path_a: str, path_b: str):
             s = Slice(texts, path_a, path_b)
             overlap = s.overlaps()
             a = overlap.rows()
-            key, doc = (s.a[a] << SHIFT) | s.b[overlap.indices], s.doc_a[a]
             # Links per document and id pair.
-            order = np.lexsort((key, doc))
-            key, doc = key[order], doc[order]
-            new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])])) if len(key) else order
+            both = np.sort((s.doc_a[a] << 2 * SHIFT) | (s.a[a] << SHIFT) | s.b[overlap.indices])
+            new = np.flatnonzero(np.append(True, both[1:] != both[:-1])[:len(both)])
+            key, doc = both & ((1 << 2 * SHIFT) - 1), both >> 2 * SHIFT
             keys.append(key[new])
             at.append(doc[new] + len(docs))
             links.append(np.diff(np.append(new, len(key))))
