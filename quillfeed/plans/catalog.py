@@ -7,8 +7,6 @@ written as strings so both engines produce comparable values.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,20 +15,9 @@ from quillfeed.functions.timeparse import format_utc
 from quillfeed.functions.urls import url_hash
 from quillfeed.operators import enrich, rank
 from quillfeed.plans import standins as S
+from quillfeed.plans.registry import ORACLE, QUERIES, register
 
 AS_OF = config.AS_OF_SQL
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-
-    return deco
 
 
 def _hashed_articles(spark, base):
@@ -763,23 +750,6 @@ def _event_stream(spark, base):
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(base)
 
 
-STREAM_DAILY_SQL = """
-SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n
-FROM events GROUP BY ALL"""
-
-
-@register("stream_daily_counts", STREAM_DAILY_SQL)
-def stream_daily_counts(spark: SparkSession, base: str) -> DataFrame:
-    """STR5: tumbling UTC-day windows per event type, computed by a streaming
-    aggregation (complete mode, availableNow) over the events file stream."""
-    s = _event_stream(spark, base).withColumn("ts", F.col("ts").cast("timestamp"))
-    agg = STRM.daily_counts(s, "ts", ["event_type"])
-    out = STRM.shared_dir(spark, "daily")
-    STRM.run_to_parquet(agg, out + "/data", out + "/ckpt", mode="complete")
-    r = STRM.read_result(spark, out + "/data", "complete")
-    return r.select(format_utc(F.col("window.start")).alias("window_start"), "event_type", "n")
-
-
 STREAM_DEDUP_SQL = f"""
 SELECT DISTINCT sha256(url) AS url_hash FROM ({S.ARTICLES_SQL})
 WHERE publish_time >= TIMESTAMP '2024-02-01 01:00:00' - INTERVAL 60 DAY AND publish_time <= TIMESTAMP '2024-02-01 01:00:00'"""
@@ -1060,3 +1030,7 @@ UNION ALL SELECT *, 'no posts inserted' FROM r WHERE size_after_insert = 0"""
 def report_violations_q(spark: SparkSession, base: str) -> DataFrame:
     """AGG7 on a report that breaks its rules: one row per feed and broken rule."""
     return QL.report_violations(S.uneven_report(spark, base))
+
+
+# Further queries, by subject; each module registers its own.
+from quillfeed.plans import stream_queries  # noqa: E402, F401

@@ -54,8 +54,9 @@ def build_locale_feeds(
     profanity: tuple = config.PROFANITY_CUSTOM_WORDS,
     cdn_base: str = "https://cdn.example.invalid/cache",
 ) -> FeedBuild:
-    entries = feeds.parse_feeds(docs)
-    failures = feeds.failed_documents(docs, entries)
+    # Entries and failures come from one parse, written once.
+    parsed = cut_lineage(feeds.parse_documents(docs))
+    entries, failures = feeds.entries_of(parsed), feeds.failures_of(parsed)
     return build_from_entries(entries, publishers, as_of, stored=stored, counters=counters, predictions=predictions,
                               predict_locales=predict_locales, image_meta=image_meta, page_meta=page_meta,
                               redirects=redirects, profanity=profanity, cdn_base=cdn_base, failures=failures)

@@ -42,12 +42,12 @@ ENTRY_COLUMNS = ("feed_url", "pos", "title", "link", "url", "updated", "publishe
 def read_feed_files(spark: SparkSession, path: str, url_from_name: bool = True) -> DataFrame:
     """STR6/SRC4 input: a folder of downloaded feed documents -> (feed_url, content, length).
 
-    The file length comes from the file listing, so oversize documents (FLT14)
-    are dropped before their content is decoded."""
+    The length comes from the file listing; the content of an oversize document
+    (FLT14) is not decoded, and ``parse_documents`` reports it."""
     df = spark.read.format("binaryFile").load(path)
-    df = df.where(F.col("length") <= config.MAX_FEED_BYTES)
     key = F.regexp_extract(F.col("path"), r"([^/]+)$", 1) if url_from_name else F.col("path")
-    return df.select(key.alias("feed_url"), F.decode(F.col("content"), "UTF-8").alias("content"), "length")
+    content = F.when(F.col("length") <= config.MAX_FEED_BYTES, F.decode(F.col("content"), "UTF-8"))
+    return df.select(key.alias("feed_url"), content.alias("content"), "length")
 
 
 def _media(i, name: str):
@@ -95,47 +95,77 @@ def _atom_entry(i):
     )
 
 
-def parse_feeds(docs: DataFrame) -> DataFrame:
-    """SRC4 for a mixed table in one pass: the root element picks the RSS 2.0,
-    RSS 1.0 or Atom schema for each document, all are mapped to one entry shape, and a
-    single ``posexplode`` yields the entries with their document positions.
-    Documents that fail to parse or carry no entry produce no rows (FLT8).
+OVERSIZE, EMPTY, UNPARSABLE, NO_ENTRIES = "oversize", "empty", "unparsable", "no_entries"  # kinds of failures
+ROOM = 1 << 20  # positions in a document; its bytes are limited to ten times that
 
-    ``ord`` puts the documents in order, then the positions in each. The order comes from the documents'
-    ``doc_ord`` column; without one a hash of the content stands for it."""
-    room = 1 << 20  # positions in a document; its bytes are limited to ten times that
+
+def parse_documents(docs: DataFrame, max_bytes: int = config.MAX_FEED_BYTES) -> DataFrame:
+    """SRC4 for a mixed table in one pass, one row per document: the root element
+    picks the RSS 2.0, RSS 1.0 or Atom schema, and all are mapped to one entry shape
+    in ``entries``. ``kind`` says why a document has none, and is NULL for the others:
+
+    * ``oversize``: more than ``max_bytes`` bytes, by the ``length`` column where there is one (FLT14)
+    * ``empty``: nothing but white space, or NULL
+    * ``unparsable``: another root element, or XML that is broken anywhere (FLT8)
+    * ``no_entries``: well formed, but without an entry (FLT8)
+
+    ``doc_ord`` puts the documents in order; without such a column a hash of the
+    content stands for it."""
     doc = F.col("doc_ord").cast("long") if "doc_ord" in docs.columns else F.shiftright(F.xxhash64("feed_url", "content"), 20)
-    d = docs.where(F.octet_length("content") <= config.MAX_FEED_BYTES).select(
-        "feed_url", "content", (doc * room).alias("doc_ord"),
-        F.when(F.col("content").rlike(ROOT_RSS_RE), F.lit("rss"))
-        .when(F.col("content").rlike(ROOT_RDF_RE), F.lit("rdf"))
-        .when(F.col("content").rlike(ROOT_ATOM_RE), F.lit("atom")).alias("_kind"))
-    p = d.select(
-        "feed_url", "doc_ord",
-        F.when(F.col("_kind") == "rss", F.from_xml("content", RSS_SCHEMA, {"rowTag": "rss", "mode": "PERMISSIVE"})).alias("r"),
-        F.when(F.col("_kind") == "rdf", F.from_xml("content", RDF_SCHEMA, {"rowTag": "rdf:RDF", "mode": "PERMISSIVE"})).alias("d"),
-        F.when(F.col("_kind") == "atom", F.from_xml("content", ATOM_SCHEMA, {"rowTag": "feed", "mode": "PERMISSIVE"})).alias("a"),
-    )
-    e = p.select(
-        "feed_url", "doc_ord",
+    length = F.col("length") if "length" in docs.columns else F.octet_length("content")
+    d = docs.select(
+        "feed_url", doc.alias("doc_ord"), F.coalesce(length > max_bytes, F.lit(False)).alias("_big"), "content")
+    content = F.when(~F.col("_big"), F.col("content"))
+    root = (F.when(content.rlike(ROOT_RSS_RE), F.lit("rss")).when(content.rlike(ROOT_RDF_RE), F.lit("rdf"))
+            .when(content.rlike(ROOT_ATOM_RE), F.lit("atom")))
+    d = d.select("feed_url", "doc_ord", "_big", content.alias("content"), root.alias("_kind"))
+
+    def parsed(kind: str, schema: str, tag: str):
+        found = F.from_xml("content", f"{schema}, _broken string", {"rowTag": tag, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
+        return F.when(F.col("_kind") == kind, found)
+
+    p = d.select("feed_url", "doc_ord", "_big", "_kind", F.length(F.trim(F.regexp_replace("content", r"^\s+", ""))).alias("_n"),
+                 parsed("rss", RSS_SCHEMA, "rss").alias("r"), parsed("rdf", RDF_SCHEMA, "rdf:RDF").alias("d"),
+                 parsed("atom", ATOM_SCHEMA, "feed").alias("a"))
+    entries = F.coalesce(F.transform(F.coalesce(F.col("r.channel.item"), F.col("d.item")), _rss_entry),
+                         F.transform(F.col("a.entry"), _atom_entry))
+    broken = F.coalesce("r._broken", "d._broken", "a._broken").isNotNull()
+    none = F.coalesce(F.size(entries), F.lit(0)) <= 0
+    kind = (F.when(F.col("_big"), F.lit(OVERSIZE)).when(F.coalesce(F.col("_n"), F.lit(0)) == 0, F.lit(EMPTY))
+            .when(F.col("_kind").isNull() | broken & none, F.lit(UNPARSABLE)).when(none, F.lit(NO_ENTRIES)))
+    return p.select(
+        "feed_url", "doc_ord", kind.alias("kind"),
         F.coalesce(F.col("r.channel.lastBuildDate"), F.col("d.channel.`dc:date`"), F.col("a.updated")).alias("feed_updated"),
-        F.coalesce(F.col("r.channel.pubDate"), F.col("a.published")).alias("feed_published"),
-        F.posexplode(F.coalesce(F.transform(F.coalesce(F.col("r.channel.item"), F.col("d.item")), _rss_entry),
-                                F.transform(F.col("a.entry"), _atom_entry))).alias("pos", "i"),
-    )
+        F.coalesce(F.col("r.channel.pubDate"), F.col("a.published")).alias("feed_published"), entries.alias("entries"))
+
+
+def entries_of(parsed: DataFrame) -> DataFrame:
+    """One row per entry of parsed documents, with its position in the document
+    (TOP1) and ``ord``, which puts the documents in order, then the positions."""
+    e = parsed.where("kind is null").select("feed_url", "doc_ord", "feed_updated", "feed_published", F.posexplode("entries").alias("pos", "i"))
     return e.select(
         "feed_url", "pos", "i.title", "i.link", "i.url", "i.updated", "i.published", "feed_updated", "feed_published",
         "i.description", "i.summary", "i.content_html",
         F.lit(None).cast("string").alias("image"), F.lit(None).cast("string").alias("urlToImage"),
         "i.media_content", "i.media_thumbnail", "i.enclosures", "i.item_category",
-        (F.col("doc_ord") + F.col("pos")).alias("ord"),
+        (F.col("doc_ord") * ROOM + F.col("pos")).alias("ord"),
     )
 
 
-def failed_documents(docs: DataFrame, entries: DataFrame) -> DataFrame:
-    """FLT8 side output: documents with no parsed entry (bad XML or 0 items)."""
-    return docs.select("feed_url").join(entries.select("feed_url").distinct(), "feed_url", "left_anti") \
-        .withColumn("kind", F.lit("empty_or_unparsable"))
+def failures_of(parsed: DataFrame) -> DataFrame:
+    """FLT8 + FLT14: one row per document without entries, with its kind, also where
+    the same feed has a good document."""
+    return parsed.where("kind is not null").select("feed_url", "doc_ord", "kind")
+
+
+def parse_feeds(docs: DataFrame, max_bytes: int = config.MAX_FEED_BYTES) -> DataFrame:
+    """Entries of all documents; those that fail to parse or hold no entry give none (FLT8)."""
+    return entries_of(parse_documents(docs, max_bytes))
+
+
+def failed_documents(docs: DataFrame, max_bytes: int = config.MAX_FEED_BYTES) -> DataFrame:
+    """FLT8 side output: one row per document without entries."""
+    return failures_of(parse_documents(docs, max_bytes))
 
 
 def first_entries(entries: DataFrame, max_entries_col: str = "max_entries") -> DataFrame:

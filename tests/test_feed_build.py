@@ -37,7 +37,7 @@ def test_parse_positions_and_failures(spark):
     docs = _docs(spark)
     e = feeds.parse_feeds(docs)
     assert [r["pos"] for r in e.orderBy("pos").collect()] == [0, 1, 2, 3, 4]
-    assert [r["feed_url"] for r in feeds.failed_documents(docs, e).collect()] == ["https://broken.example.com/rss"]
+    assert [r["feed_url"] for r in feeds.failed_documents(docs).collect()] == ["https://broken.example.com/rss"]
 
 
 def test_build_locale_feeds(spark):

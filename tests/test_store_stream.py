@@ -12,6 +12,7 @@ from quillfeed.operators import enrich, quality, store
 from quillfeed.sinks.writers import json_safe, publish_snapshot, read_current, write_sorted_json
 from quillfeed.sources.lookups import read_report
 from quillfeed.streaming import incremental as STRM
+from quillfeed.streaming import keyed_store
 
 HERE = os.path.dirname(os.path.abspath(__file__))
 
@@ -109,7 +110,7 @@ def test_streaming_upsert_and_high_water(spark):
     spark.createDataFrame(rows2, schema).write.parquet(src + "/b1")
     q = STRM.upsert_batches(stream, out + "/table", feed, dt.datetime(2024, 2, 2), out + "/ckpt")
     q.awaitTermination()
-    t = spark.read.parquet(out + "/table/v=1")
+    t = keyed_store.read(spark, out + "/table")
     got = {r["article_key"]: (r["img"], r["description"], r["pop_score"], r["feed_id"]) for r in t.collect()}
     assert got == {"k1": ("i1", "d2", 5.0, 7), "k2": ("i2", "d", 2.0, 7)}
 
