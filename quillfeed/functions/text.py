@@ -1,8 +1,7 @@
 """HTML/text column expressions (PRJ8 scrub, PRJ9 to-text, PRJ10 unescape, FLT2 word filter).
 
-Everything here is a JVM-side ``Column`` expression (regexp_replace / replace),
-so it stays inside whole-stage codegen. Patterns use only constructs that
-both Java regex and RE2 accept, so the same text can be checked in DuckDB.
+Everything here is a JVM-side ``Column`` expression: no Python worker, and no
+character is looked at row by row outside the regex engine.
 """
 
 import json
@@ -19,28 +18,74 @@ ALLOWED_TAGS = ("a", "abbr", "acronym", "b", "blockquote", "code", "em", "i", "l
 
 COMMENT_RE = r"(?s)<!--.*?-->"
 TAG_RE = r"<[a-zA-Z/!][^>]*>"  # a bare "<" is text
-_OPEN = "\ue000"
-_CLOSE = "\ue001"
-_ALLOWED_ALT = "|".join(ALLOWED_TAGS)
-# <a ... href="x" ...> keeps an http, https, mailto or relative href; every other allowed tag keeps its name only.
-A_HREF_RE = r"""(?i)<a\s[^>]*?href\s*=\s*["']((?:https?:|mailto:)[^"'>]*|[^"':>]*)["'][^>]*>"""
-ALLOWED_TAG_RE = r"(?i)<(/?)(" + _ALLOWED_ALT + r")(\s[^>]*)?>"
+# Attributes that stay, by tag (the sanitiser's public defaults), and the schemes a link may have.
+ALLOWED_ATTRIBUTES = {"a": ("href", "title"), "abbr": ("title",), "acronym": ("title",)}
+LINK_SCHEMES = ("http", "https", "mailto")
+# Pieces of marked-up text: a comment, a tag (quoted attribute values may hold ">"), any other "<...>", a text, a lone
+# "<". The count limits the depth of the matcher's stack; a tag with more quoted values ends at its first ">".
+MARKUP_PIECE_RE = (r"""(?s)<!--.*?(?:-->|\z)|</?[a-zA-Z](?:[^"'<>]++|"[^"]*+"|'[^']*+'){0,200}+>|<[a-zA-Z/!?][^>]*+>|[^<]++|<""")
+ATTRIBUTE_RE = r"""(?s)([^\s"'<>/=]+)(?:\s*=\s*("[^"]*+"|'[^']*+'|[^\s"'>]++))?"""
 SCRIPT_STYLE_RE = r"(?is)<(script|style)\b[^>]*>.*?</(script|style)\s*>"
 
 
+def _bind(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _attribute(found: Column, name: str) -> Column:
+    """`` name="value"`` of the first attribute of that name, its quotes escaped; empty without one."""
+    def written(raw: Column) -> Column:
+        bare = F.when(raw.rlike("""^["']"""), F.substring(raw, 2, F.length(raw) - 2)).otherwise(raw)
+        text = F.concat(F.lit(f' {name}="'), F.replace(F.replace(bare, F.lit('"'), F.lit("&quot;")), F.lit("<"), F.lit("&lt;")), F.lit('"'))
+        if name == "href":
+            scheme = F.lower(F.regexp_extract(F.regexp_replace(raw, r"[\x00-\x20\"']+", ""), r"^([^:/?#]*):", 1))
+            text = F.when((scheme == "") | scheme.isin(*LINK_SCHEMES), text)
+        return F.coalesce(text, F.lit(""))
+
+    mine = F.filter(found, lambda x: x.startswith(f"{name}="))
+    return _bind(F.substring(F.try_element_at(mine, F.lit(1)), len(name) + 2, 1 << 30), written)
+
+
+def _scrubbed_tag(piece: Column, name: Column) -> Column:
+    """An allowed tag with its allowed attributes in the order of their names."""
+    def kept(found: Column) -> Column:
+        parts = []
+        for attribute in sorted({x for names in ALLOWED_ATTRIBUTES.values() for x in names}):
+            tags = [t for t, names in ALLOWED_ATTRIBUTES.items() if attribute in names]
+            parts.append(F.when(name.isin(*tags), _attribute(found, attribute)).otherwise(""))
+        return F.concat(F.lit("<"), name, *parts, F.lit(">"))
+
+    # What follows the tag's name, as attributes in turn: a name inside a quoted value is none.
+    found = F.transform(F.regexp_extract_all(F.regexp_replace(piece, r"^<[a-zA-Z][^\s/>]*", ""), F.lit(ATTRIBUTE_RE), 0),
+                        lambda x: F.concat(F.lower(F.regexp_extract(x, ATTRIBUTE_RE, 1)), F.lit("="), F.regexp_extract(x, ATTRIBUTE_RE, 2)))
+    return (F.when(~name.isin(*ALLOWED_TAGS), "")
+            .when(piece.startswith("</"), F.concat(F.lit("</"), name, F.lit(">")))
+            .when(name.isin(*ALLOWED_ATTRIBUTES) & piece.contains("="), _bind(found, kept))
+            .otherwise(F.concat(F.lit("<"), name, F.lit(">"))))
+
+
+def _scrubbed_piece(piece: Column) -> Column:
+    """One piece of MARKUP_PIECE_RE: text with its angle brackets escaped, an allowed tag, else nothing."""
+    text = F.replace(F.replace(piece, F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    name = F.lower(F.regexp_extract(piece, r"^</?([a-zA-Z][^\s/>]*)", 1))
+    return F.when(~piece.startswith("<") | (F.length(piece) == 1), text).otherwise(_bind(name, lambda n: _scrubbed_tag(piece, n)))
+
+
 def scrub_html(c: Column) -> Column:
-    """PRJ8: drop comments and every tag outside ALLOWED_TAGS but keep the
-    inner text (script text included), then turn ``&amp;`` back into ``&``.
+    """PRJ8: drop comments and every tag outside ALLOWED_TAGS but keep the inner text
+    (script text included), then turn ``&amp;`` back into ``&``.
 
-    Allowed tags are shielded with private-use marks, all other tags removed,
-    then the marks restored. Attributes of allowed tags are dropped except the
-    ``href`` of ``<a>``. NULL stays NULL (never fails a row)."""
-    x = F.regexp_replace(c, COMMENT_RE, "")
-    x = F.regexp_replace(x, A_HREF_RE, _OPEN + 'a href="$1"' + _CLOSE)
-    x = F.regexp_replace(x, ALLOWED_TAG_RE, _OPEN + "$1$2" + _CLOSE)
-    x = F.regexp_replace(x, TAG_RE, "")
-    x = F.regexp_replace(F.regexp_replace(x, _OPEN, "<"), _CLOSE, ">")
-    return F.replace(x, F.lit("&amp;"), F.lit("&"))
+    The value is cut into pieces once, so a ``>`` inside a quoted attribute does not
+    end its tag. Allowed tags keep ALLOWED_ATTRIBUTES (a link only with an allowed
+    scheme, or none); angle brackets that are no tag are escaped. Tags are not
+    balanced. NULL stays NULL (never fails a row)."""
+    def scrub(v: Column) -> Column:
+        pieces = F.regexp_extract_all(v, F.lit(MARKUP_PIECE_RE), 0)
+        marked = F.when(v.rlike("[<>]"), F.array_join(F.transform(pieces, _scrubbed_piece), "")).otherwise(v)
+        return F.replace(marked, F.lit("&amp;"), F.lit("&"))
+
+    return _bind(c, scrub)
 
 
 def strip_tags(c: Column, drop_script_style: bool = True) -> Column:
@@ -55,8 +100,13 @@ def strip_tags(c: Column, drop_script_style: bool = True) -> Column:
 REFERENCE_PIECE_RE = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]{1,31});?|[^&]+|&"
 _LEGACY = sorted((n for n in HTML_ENTITIES if not n.endswith(";")), key=lambda n: (-len(n), n))
 LEGACY_PREFIX_RE = "^&(?:" + "|".join(_LEGACY) + ")"  # names that HTML accepts without a semicolon
-COMMON_NAMES = ("amp;", "lt;", "gt;", "quot;", "apos;", "nbsp;")  # a map is searched from its start
-ENTITY_JSON = json.dumps({"&" + n: HTML_ENTITIES[n] for n in dict.fromkeys((*COMMON_NAMES, *HTML_ENTITIES))})
+# Usual references; a value that holds no other is decoded by plain replacements, "&amp;" last.
+COMMON_NAMES = ("lt;", "gt;", "quot;", "apos;", "nbsp;", "hellip;", "mdash;", "ndash;", "lsquo;", "rsquo;", "ldquo;", "rdquo;", "middot;")
+COMMON_REFERENCES = {"&" + n: HTML_ENTITIES[n] for n in COMMON_NAMES} | {"&#39;": "'", "&#x27;": "'", "&#34;": '"'}
+UNCOMMON_RE = "&(?!(?:amp;|" + "|".join(r[1:] for r in COMMON_REFERENCES) + "))[#A-Za-z]"
+# The whole table by first letter: a map is searched from its start, so it should be short.
+ENTITY_JSON = json.dumps({letter: {"&" + n: HTML_ENTITIES[n] for n in HTML_ENTITIES if n[0] == letter}
+                          for letter in sorted({n[0] for n in HTML_ENTITIES})})
 CONTROL_CODES = tuple(bytes([c]).decode("cp1252", "ignore") or chr(c) for c in range(128, 160))
 
 
@@ -65,7 +115,8 @@ def _decode_reference(piece: Column) -> Column:
     table of the standard library, a numeric one by its code point (0, surrogates
     and values beyond Unicode give U+FFFD; 128 to 159 mean Windows-1252; other
     control codes go); other pieces as they are."""
-    table = F.from_json(F.lit(ENTITY_JSON), "map<string,string>")  # folded to a literal map by the optimizer
+    tables = F.from_json(F.lit(ENTITY_JSON), "map<string,map<string,string>>")  # folded to a literal map by the optimizer
+    table = F.try_element_at(tables, F.substring(piece, 2, 1))
     digits = F.regexp_extract(piece, r"^&#([0-9]+)", 1)
     code = F.when(digits != "", digits).otherwise(F.conv(F.regexp_extract(piece, r"^&#[xX]([0-9a-fA-F]+)", 1), 16, 10)).try_cast("int")
     good = F.coalesce((code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF), F.lit(False))
@@ -86,9 +137,14 @@ def unescape_entities(c: Column) -> Column:
     as they are. The value is bound once (a one-element ``transform``)."""
     def decode(v: Column) -> Column:
         pieces = F.regexp_extract_all(v, F.lit(REFERENCE_PIECE_RE), 0)
-        return F.when(v.rlike("&[#A-Za-z]"), F.array_join(F.transform(pieces, _decode_reference), "")).otherwise(v)
+        usual = v
+        for reference, char in COMMON_REFERENCES.items():
+            usual = F.replace(usual, F.lit(reference), F.lit(char))
+        usual = F.replace(usual, F.lit("&amp;"), F.lit("&"))
+        return (F.when(v.rlike(UNCOMMON_RE), F.array_join(F.transform(pieces, _decode_reference), ""))
+                .when(F.instr(v, "&") > 0, usual).otherwise(v))
 
-    return F.transform(F.array(c), decode)[0]
+    return _bind(c, decode)
 
 
 def html_to_text(c: Column) -> Column:
@@ -101,6 +157,14 @@ def title_text(c: Column) -> Column:
     return unescape_entities(html_to_text(c))
 
 
+WORD_RE = r"[a-z0-9_]+"  # words of a lower-cased text
+
+
+def words_of(c: Column) -> Column:
+    """The words of the lower-cased text, in order."""
+    return F.regexp_extract_all(F.lower(c), F.lit(WORD_RE), 0)
+
+
 def word_pattern(words) -> str:
     """FLT2: one case-insensitive whole-word alternation for a word list."""
     alts = "|".join(re.escape(w.lower()) for w in sorted(set(words), key=lambda w: (-len(w), w)) if w)

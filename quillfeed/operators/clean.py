@@ -61,6 +61,50 @@ def time_window_keep(ts: Column, content_type: Column, as_of: _dt.datetime, max_
     return F.abs(F.unix_micros(ts.cast("timestamp")) * 2 - F.lit(mid2)) <= limit
 
 
+BROADCAST_WORDS = 200_000  # entries of a word list, some 10 MB
+
+
+def raw_time() -> Column:
+    """PRJ12: the first date of an entry that is not empty (no fall-through)."""
+    return F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in ("updated", "published", "feed_updated", "feed_published")])
+
+
+def rejected_times(items: DataFrame) -> DataFrame:
+    """PRJ13 side output: per feed and date text that no layout fits, the number of
+    entries lost to it (FLT5); a NULL text counts the entries without any date."""
+    r = items.select("feed_url", raw_time().alias("raw"))
+    return r.where(parse_feed_time(F.col("raw")).isNull()).groupBy("feed_url", "raw").agg(F.count(F.lit(1)).alias("n"))
+
+
+def flag_listed_words(rows: DataFrame, key: str, text: str, words: DataFrame) -> DataFrame:
+    """FLT2 with a list of any size: per row of ``rows`` (one per ``key``) that holds a
+    listed word or phrase, the number of different ones and the first by name.
+
+    ``words(word)`` is cut into words like the texts; a phrase matches where its words
+    follow one another. Each text is cut once; its distinct words, and its word
+    sequences of the lengths that phrases of the list have, meet the list in one
+    equality join: the list is broadcast up to BROADCAST_WORDS entries, by its
+    count, and sorted and merged beyond. The texts' side never is, however small
+    Spark takes it to be before its words are dealt out."""
+    listed = words.select(F.array_join(TX.words_of(F.col("word")), " ").alias("entry")).where("entry <> ''").distinct()
+    listed = cut_lineage(listed.withColumn("size", F.size(F.split("entry", " "))))
+    counts = {r["size"]: r["count"] for r in listed.groupBy("size").count().collect()}  # by the words of a phrase
+    sizes = sorted(counts)
+    small = sum(counts.values()) <= BROADCAST_WORDS
+    listed = F.broadcast(listed.select("entry")) if small else listed.select("entry").hint("merge")
+    cut = rows.select(F.col(key).alias("_key"), TX.words_of(F.col(text)).alias("w"))
+
+    def grams(w: Column, n: int) -> Column:
+        if n == 1:
+            return F.array_distinct(w)
+        starts = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - (n - 1))).otherwise(F.array().cast("array<int>"))
+        return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(w, i, n), " ")))
+
+    every = F.flatten(F.array(*[grams(F.col("w"), n) for n in sizes])) if sizes else F.array().cast("array<string>")
+    hits = cut.select("_key", F.explode(every).alias("entry")).join(listed, "entry")
+    return hits.groupBy(F.col("_key").alias(key)).agg(F.count(F.lit(1)).alias("n_listed"), F.min("entry").alias("first_listed"))
+
+
 def entries_to_articles(
     items: DataFrame,
     as_of: _dt.datetime,
@@ -87,8 +131,7 @@ def entries_to_articles(
         a = a.where(~TX.contains_listed_word(F.col("title"), profanity))  # FLT2
     a = a.withColumn("link", pick_link(F.col("link"), F.col("url"))).where(F.col("link").isNotNull())  # PRJ11/FLT3
     a = a.where(F.length(U.url_path(F.col("link"))) >= min_path)  # FLT4
-    raw_time = F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in ("updated", "published", "feed_updated", "feed_published")])
-    a = a.withColumn("publish_time", parse_feed_time(raw_time))  # PRJ12 (first non-empty, no fall-through) + PRJ13
+    a = a.withColumn("publish_time", parse_feed_time(raw_time()))  # PRJ12 (first non-empty, no fall-through) + PRJ13
     if time_filter:  # FLT5 + FLT6 (a caller that materialises the rows first applies it afterwards)
         a = a.where(time_window_keep(F.col("publish_time"), F.col("content_type"), as_of, max_age_days))
     raw_img = pick_image(

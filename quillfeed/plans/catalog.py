@@ -245,13 +245,16 @@ def _sql_strip(x: str) -> str:
 
 
 def _sql_scrub(x: str) -> str:
-    o, c = TX._OPEN, TX._CLOSE
-    x = f"regexp_replace({x}, {_sql_str(TX.COMMENT_RE)}, '', 'g')"
-    x = f"regexp_replace({x}, {_sql_str(TX.A_HREF_RE)}, {_sql_str(o + 'a href=\"' + chr(92) + '1\"' + c)}, 'g')"
-    x = f"regexp_replace({x}, {_sql_str(TX.ALLOWED_TAG_RE)}, {_sql_str(o + chr(92) + '1' + chr(92) + '2' + c)}, 'g')"
-    x = f"regexp_replace({x}, {_sql_str(TX.TAG_RE)}, '', 'g')"
-    x = f"replace(replace({x}, {_sql_str(o)}, '<'), {_sql_str(c)}, '>')"
-    return f"replace({x}, '&amp;', '&')"
+    """Scrubbing for the pages' markup, whose attributes hold no ">" and no titles:
+    allowed tags are put out of the way, the others removed, brackets escaped."""
+    o, c = "\ue000", "\ue001"
+    allowed = "|".join(TX.ALLOWED_TAGS)
+    x = f"regexp_replace({x}, '(?s)<!--.*?-->', '', 'g')"
+    x = rf"""regexp_replace({x}, '(?i)<a\s[^>]*?href\s*=\s*"((?:https?:|mailto:)[^">]*|[^":>]*)"[^>]*>', '{o}a href="\1"{c}', 'g')"""
+    x = rf"regexp_replace({x}, '(?i)<(/?)({allowed})(\s[^>]*)?>', '{o}\1\2{c}', 'g')"
+    x = f"regexp_replace({x}, '<[a-zA-Z/!][^>]*>', '', 'g')"
+    x = f"replace(replace({x}, '<', '&lt;'), '>', '&gt;')"
+    return f"replace(replace(replace({x}, '{o}', '<'), '{c}', '>'), '&amp;', '&')"
 
 
 TITLE_RE = r"(?is)<title[^>]*>(.*?)</title>"
@@ -271,14 +274,13 @@ def html_clean(spark: SparkSession, base: str) -> DataFrame:
     PRJ10), title decoded twice, first link target (PRJ24 pattern on <a href>)."""
     from quillfeed.functions.images import A_HREF_ATTR_RE, first_tag_attr
 
-    p = read_table(spark, base, "pages")  # whole-page regexes per row
-    txt = TX.html_to_text(F.col("html"))
-    scrubbed = TX.scrub_html(F.col("html"))
+    p = read_table(spark, base, "pages").select(
+        "page_id", "html", TX.html_to_text(F.col("html")).alias("txt"), TX.scrub_html(F.col("html")).alias("scrubbed"))
     return p.select(
         "page_id",
         TX.title_text(F.regexp_extract("html", TITLE_RE, 1)).alias("title_text"),
-        F.length(txt).cast("long").alias("text_len"), F.sha2(txt, 256).alias("text_sha"),
-        F.length(scrubbed).cast("long").alias("scrub_len"), F.sha2(scrubbed, 256).alias("scrub_sha"),
+        F.length("txt").cast("long").alias("text_len"), F.sha2("txt", 256).alias("text_sha"),
+        F.length("scrubbed").cast("long").alias("scrub_len"), F.sha2("scrubbed", 256).alias("scrub_sha"),
         first_tag_attr(F.col("html"), A_HREF_ATTR_RE).alias("first_link"),
     )
 
@@ -1034,3 +1036,4 @@ def report_violations_q(spark: SparkSession, base: str) -> DataFrame:
 
 # Further queries, by subject; each module registers its own.
 from quillfeed.plans import stream_queries  # noqa: E402, F401
+from quillfeed.plans import text_queries  # noqa: E402, F401
