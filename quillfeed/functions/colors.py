@@ -1,4 +1,4 @@
-"""Colour expressions (PRJ34 fade, hex formatting, colour length)."""
+"""Colour expressions (PRJ34 fade, hex formatting)."""
 
 from __future__ import annotations
 
@@ -31,6 +31,3 @@ def rgb_hex(r: Column, g: Column, b: Column) -> Column:
     """``#rrggbb`` lower-case, as the edge-colour helper writes it."""
     return F.concat(F.lit("#"), _hex2(r, False), _hex2(g, False), _hex2(b, False))
 
-
-def color_length(r: Column, g: Column, b: Column) -> Column:
-    return F.sqrt(r * r + g * g + b * b)

@@ -1037,3 +1037,4 @@ def report_violations_q(spark: SparkSession, base: str) -> DataFrame:
 # Further queries, by subject; each module registers its own.
 from quillfeed.plans import stream_queries  # noqa: E402, F401
 from quillfeed.plans import text_queries  # noqa: E402, F401
+from quillfeed.plans import media_queries  # noqa: E402, F401

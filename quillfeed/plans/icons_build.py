@@ -39,7 +39,7 @@ def build_icons(pages: DataFrame, icon_sizes: DataFrame, service_icons: DataFram
     svc = service_icons.select("domain", "size", "url", "width", "height")
     covers = icons.cover_choice(svc, sized.where(F.col("class_rank") <= 2), logos, metas)
     bg = icons.background_color(pixels.withColumnRenamed("image_url", "image_id")) \
-        .withColumnRenamed("image_id", "cover_url")
+        .select(F.col("image_id").alias("cover_url"), "background_color")
     covers = covers.join(bg, "cover_url", "left")
     if fade:
         covers = covers.withColumn("background_color", fade_to_brighter(F.col("background_color")))
