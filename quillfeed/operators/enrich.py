@@ -72,8 +72,9 @@ def apply_prediction(
     excluded_channels=config.PRED_EXCLUDED_CHANNELS,
     threshold: float = config.PRED_CONFIDENCE_THRESHOLD,
     min_text_len: int = config.MIN_TEXT_LEN,
+    only: Column | None = None,
 ) -> DataFrame:
-    """JOI6 + FLT9 + PRJ31: keep channels unless the gate passes and the best
+    """JOI6 + FLT9 + PRJ31, for all articles or those where ``only`` holds: keep channels unless the gate passes and the best
     prediction is confident and not excluded; then the prediction replaces the
     channels, keeping (after it) the article's augment channels in article order."""
     j = articles.join(top, key, "left")
@@ -84,6 +85,8 @@ def apply_prediction(
         | F.col("pred_name").isin(*excluded_channels)
         | (F.col("pred_confidence") < threshold)
     )
+    if only is not None:
+        keep = ~only | keep
     aug = F.array_intersect(ch, _arr(augment_channels))
     new = F.concat(F.array(F.col("pred_name")), aug)
     return j.withColumn("channels", F.when(keep, ch).otherwise(new))

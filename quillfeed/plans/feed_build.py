@@ -29,6 +29,8 @@ PUBLISHER_COLUMNS = ("feed_url", "locale", "publisher_id", "publisher_name", "ca
 FEED_COLUMNS = ("locale", "title", "publish_time", "img", "padded_img", "category", "description", "content_type",
                 "publisher_id", "publisher_name", "channels", "creative_instance_id", "url", "url_hash", "pop_score",
                 "score")
+STORED_COLUMNS = ("title", "publish_time", "img", "padded_img", "category", "description", "content_type", "creative_instance_id",
+                  "url", "url_hash", "pop_score", "score")
 
 
 @dataclass
@@ -110,11 +112,12 @@ def build_from_entries(
     arts = feeds.first_entries(arts).drop("pos", "max_entries")
 
     if stored is not None:
-        new, known_keys = store.split_known(arts, stored)  # JOI4 + FLT16
-        known = known_keys.select("locale", "article_key", "publisher_id", "publisher_name", "channels", "ord").join(
-            stored.select("article_key", "title", "publish_time", "img", "padded_img", "category", "description",
-                          "content_type", "creative_instance_id", "url", "url_hash", "pop_score", "score"),
-            "article_key")
+        # JOI4 + FLT16 as one left join: a row with a usable stored article is known and
+        # carries it. Written once, as both branches read it.
+        both = cut_lineage(store.with_stored(arts, stored, STORED_COLUMNS))
+        new = both.where("_stored is null").drop("_stored")
+        known = both.where("_stored is not null").select(
+            "locale", "article_key", "publisher_id", "publisher_name", "channels", "ord", "_stored.*")
     else:
         new, known = arts, None
 
@@ -128,8 +131,7 @@ def build_from_entries(
     if predictions is not None:  # JOI6 + FLT9 + PRJ31, only for the listed locales
         top = enrich.top_prediction(predictions)
         listed = F.coalesce(F.col("locale").isin(*predict_locales), F.lit(False))
-        asked = enrich.apply_prediction(new.where(listed), top).drop("pred_name", "pred_confidence")
-        new = asked.unionByName(new.where(~listed))
+        new = enrich.apply_prediction(new, top, only=listed).drop("pred_name", "pred_confidence")
 
     if image_meta is not None:
         new = enrich.apply_image_rules(new, image_meta, page_meta, cdn_base=cdn_base)
