@@ -1039,3 +1039,4 @@ from quillfeed.plans import stream_queries  # noqa: E402, F401
 from quillfeed.plans import text_queries  # noqa: E402, F401
 from quillfeed.plans import media_queries  # noqa: E402, F401
 from quillfeed.plans import feed_queries  # noqa: E402, F401
+from quillfeed.plans import publish_queries  # noqa: E402, F401

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillfeed.functions.timeparse import format_utc
+from quillfeed.operators.windows import group_row_number
 
 
 def json_safe(df: DataFrame) -> DataFrame:
@@ -55,12 +56,38 @@ def publish_snapshot(df: DataFrame, base: str, fmt: str = "parquet", stamp: str
     stamp = stamp or _dt.datetime.utcnow().strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
     target = f"{base.rstrip('/')}/snap={stamp}"
     df.write.mode("errorifexists").format(fmt).save(target)
-    spark = df.sparkSession
-    spark.createDataFrame([(target,)], "path string").coalesce(1).write.mode("overwrite").text(
-        f"{base.rstrip('/')}/_CURRENT")
+    point_to(df.sparkSession, base, target)
     return target
 
 
+def publish_locale_feeds(feed: DataFrame, base: str, stamp: str, order=("pos_ts", "pos_ord")) -> str:
+    """SNK1 + SNK2 + SNK10: every locale's ordered feed as the snapshot ``stamp``, then the pointer."""
+    target = f"{base.rstrip('/')}/snap={stamp}"
+    write_locale_feeds(feed, target, order)
+    point_to(feed.sparkSession, base, target)
+    return target
+
+
+def point_to(spark, base: str, target: str) -> None:
+    """Make ``target`` the current snapshot of ``base``: one small file, put in place by its name."""
+    pointer = f"{base.rstrip('/')}/_CURRENT"
+    spark.createDataFrame([(target,)], "path string").coalesce(1).write.mode("overwrite").text(pointer)
+
+
+def read_lines(spark, path: str) -> DataFrame:
+    """The lines of a published JSON-lines folder with their ``line`` number from 0, in
+    the order of the part files, per locale where there are locale folders. Files are
+    numbered in ranges, so a locale of any size is read by many tasks."""
+    rows = spark.read.option("basePath", path).text(path)
+    keys = ["locale"] if "locale" in rows.columns else []
+    if not keys:
+        rows = rows.withColumn("locale", F.lit(""))
+    rows = rows.withColumn("_file", F.col("_metadata.file_name")).withColumn("_start", F.col("_metadata.file_block_start"))
+    rows = rows.withColumn("_at", F.monotonically_increasing_id())
+    out = group_row_number(rows, ["locale"], ["_file", "_start", "_at"], out="line").withColumn("line", F.col("line") - 1)
+    return out.select(*keys, "line", "value")
+
+
 def read_current(spark, base: str, fmt: str = "parquet") -> DataFrame:
     """Read the snapshot ``_CURRENT`` points to."""
     target = spark.read.text(f"{base.rstrip('/')}/_CURRENT").first()[0]

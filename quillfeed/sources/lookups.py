@@ -71,13 +71,25 @@ def read_feed_sources(spark: SparkSession, path: str) -> DataFrame:
     return read_json_map(spark, path, FEED_SOURCE_VALUE, key_name="feed_key")
 
 
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
 def read_favicons(spark: SparkSession, path: str) -> DataFrame:
-    """SRC6: domain -> favicon_url; empty frame when the file is missing."""
+    """SRC6: domain -> favicon_url; empty frame when the file is missing. A folder is
+    read as JSON lines, one row per domain (as SNK7 writes them), by many tasks."""
+    if _is_folder(spark, path):
+        return spark.read.schema("domain string, favicon_url string").json(path)
     return read_json_map(spark, path, T.StringType(), key_name="domain").withColumnRenamed("value", "favicon_url")
 
 
 def read_covers(spark: SparkSession, path: str) -> DataFrame:
-    """SRC6: domain -> {cover_url, background_color}; empty when missing."""
+    """SRC6: domain -> {cover_url, background_color}; empty when missing; a folder is
+    read as JSON lines."""
+    if _is_folder(spark, path):
+        return spark.read.schema(T.StructType([T.StructField("domain", T.StringType()), *COVER_VALUE.fields])).json(path)
     return read_json_map(spark, path, COVER_VALUE, key_name="domain")
 
 

@@ -10,7 +10,7 @@ each row keeps (file, row number) for first/last-writer rules.
 from __future__ import annotations
 
 import glob
-import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +29,7 @@ def _list_and_headers(spark: SparkSession, pattern: str) -> list[tuple[str, tupl
     """(path, header) for every file matching ``pattern``. Only file names and
     one header line per file reach the driver. Local paths use the standard
     library; URIs (hdfs://, s3a://, ...) go through the Hadoop FileSystem API."""
-    if "://" not in pattern:
+    if not re.match(r"[A-Za-z][A-Za-z0-9+.-]+:", pattern):
         out = []
         for p in sorted(glob.glob(pattern)):
             with open(p, encoding="utf-8") as f:
