@@ -60,7 +60,7 @@ CSV_SOURCES_SQL = f"""
 SELECT n_name AS locale, 'Shop "' || CAST(c_custkey AS VARCHAR) || '", <b>&</b> more' AS publisher_name,
        'https://shop' || CAST(c_custkey AS VARCHAR) || '.example.com/rss' AS feed_url,
        CASE n_nationkey % 3 WHEN 0 THEN 'c-' || CAST(c_custkey AS VARCHAR) ELSE '' END AS creative_instance_id,
-       CASE n_nationkey % 3 WHEN 2 THEN 0.0 ELSE 2.5 END AS score, n_nationkey % 3 <> 2 AS og_images,
+       CAST(CASE n_nationkey % 3 WHEN 2 THEN 0.0 ELSE 2.5 END AS DOUBLE) AS score, n_nationkey % 3 <> 2 AS og_images,
        CASE WHEN c_custkey % 2 = 0 THEN CAST(c_custkey AS INTEGER) END AS rank, c_mktsegment || '|Top News' AS channels,
        CASE WHEN c_custkey % 3 = 0 THEN 'https://f.example.com/' || CAST(c_custkey AS VARCHAR) || '.ico' END AS favicon_url,
        CASE WHEN c_custkey % 4 = 0 THEN 'https://c.example.com/' || CAST(c_custkey AS VARCHAR) || '.png' END AS cover_url,
