@@ -4,22 +4,25 @@ Pages of one host share a template. Each page's block-level DOM is reduced to a
 skeleton tree (runs of alike siblings become one repeated node) with a hash of
 the text that stands directly in every node.
 
-1. Per host one page's skeleton is the reference tree (the page with the
-   smallest hash of its URL).
-2. Every page's skeleton is aligned to its host's reference by simple tree
-   matching, and for every reference node the smallest and largest text hash over
-   all pages are aggregated. A node whose text is the same on all pages is part
-   of the template, a varying node is a slot.
-3. Every page is aligned to its host's wrapper again. Its text is taken from the
+1. Pages are grouped by host and layout (their skeleton's upper levels). A group's
+   reference tree is the skeleton of one page (the smallest hash of URL and text).
+2. Every page's skeleton is aligned to its group's reference by simple tree
+   matching, and the pages are counted for every reference node and every text
+   block that stands directly in it. A block that the same node has on ``SHARE`` of
+   the group's pages, and on at least ``MIN_PAGES``, is part of the template; what
+   varies is content. So a page that words its notice in its own way changes
+   nothing for the others, and a constant paragraph among varying ones is found.
+3. Every page is aligned to its group's wrapper again. Its text is taken from the
    content region: the ``article`` or ``main`` element with the most text, and
    without one the whole body; elements that are page furniture by their tag or
    class are left out (a class word does not count where the element holds a
-   ``main`` element or most of the page's text), and so are template nodes. A page whose region would lose
-   all its text as template (a host of copies of one page) keeps it.
+   ``main`` element or most of the page's text), and so are template blocks. A page
+   whose region would lose all its text as template (copies of one page) keeps it.
 
 Statistics cover all pages; only skeletons and hashes take part in steps 1 and
-2. Step 3 shuffles each page once to meet its host's wrapper; a hot host's side
-of that join is split by the adaptive skew join.
+2. Step 3 shuffles each page once to meet its group's wrapper; a hot group's side
+of that join is split by the adaptive skew join. Trees are walked with explicit
+stacks, so a page may be nested to any depth.
 
 Defined results: null or empty html gives empty text; pages without a host are
 aligned with each other like those of one host; null and repeated page_ids and
@@ -35,6 +38,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +46,10 @@ from pyspark.sql import functions as F
 from quillfeed.llm.url_filter import host_of
 from quillfeed.session import cut_lineage
 
-MIN_PAGES = 3  # a text must be the same on this many pages of a host to count as template
+MIN_PAGES = 3  # a block must be the same on this many pages of a group to count as template
+SHARE = 0.9  # and on this share of them
+LAYOUT_DEPTH = 3  # levels of a skeleton that make its layout: html, body, and what stands in them
+SLICE = 500  # pages that a task hands back at once
 TEXT_SCHEMA = "page_id long, url string, text string, n_chars long"
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -182,82 +189,94 @@ def _class_words(attributes: str) -> frozenset:
 
 
 # -- skeletons ---------------------------------------------------------------
-def skeleton(page: Page) -> tuple[list, list[int]]:
-    """Nested [signature, children] of the page, numbered in preorder, and the
-    skeleton node of each element. Alike neighbouring siblings share a node."""
+Tree = tuple[list[str], list[int]]  # signature and parent of every node, in preorder
+
+
+def skeleton(page: Page) -> tuple[Tree, list[int]]:
+    """The page's tree and the skeleton node of each element. Alike neighbouring
+    siblings share a node."""
     children = page.children()
     node_of = [0] * len(page.tags)
-    counter = [0]
-
-    def build(members: list[int]) -> list:
-        number = counter[0]
-        counter[0] += 1
+    signs: list[str] = []
+    parents: list[int] = []
+    todo: list[tuple[list[int], int]] = [([0], -1)]
+    while todo:
+        members, parent = todo.pop()
+        number = len(signs)
+        signs.append(" ".join([page.tags[members[0]], *sorted(page.words[members[0]])]))
+        parents.append(parent)
+        runs: list[tuple[str, list[int]]] = []
         for m in members:
             node_of[m] = number
-        runs: list[tuple[str, list[int]]] = []
-        for c in (c for m in members for c in children[m]):
-            sign = " ".join([page.tags[c], *sorted(page.words[c])])
-            if runs and runs[-1][0] == sign:
-                runs[-1][1].append(c)
-            else:
-                runs.append((sign, [c]))
-        return [" ".join([page.tags[members[0]], *sorted(page.words[members[0]])]), [build(run) for _, run in runs]]
-
-    return build([0]), node_of
+            for c in children[m]:
+                sign = " ".join([page.tags[c], *sorted(page.words[c])])
+                if runs and runs[-1][0] == sign:
+                    runs[-1][1].append(c)
+                else:
+                    runs.append((sign, [c]))
+        todo.extend((run, number) for _, run in reversed(runs))
+    return (signs, parents), node_of
 
 
-def shape(tree: list) -> str:
+def shape(tree: Tree) -> str:
     return json.dumps(tree, ensure_ascii=False, separators=(",", ":"))
 
 
-def simple_tree_matching(a: list, b: list) -> list[tuple[int, int]]:
-    """Largest top-down, order-keeping alignment of two trees: pairs of preorder
-    numbers of nodes with equal signatures."""
-    def sizes(t):
-        return 1 + sum(sizes(c) for c in t[1])
-
-    def match(x, xn, y, yn):
-        if x[0] != y[0]:
-            return 0, None
-        xs, ys = x[1], y[1]
-        if not xs or not ys:
-            return 1, (xn, yn, [])
-        x_at, y_at, at = [], [], xn + 1
-        for c in xs:
-            x_at.append(at)
-            at += sizes(c)
-        at = yn + 1
-        for c in ys:
-            y_at.append(at)
-            at += sizes(c)
+def layout(tree: Tree, levels: int = LAYOUT_DEPTH) -> int:
+    """Signed 64-bit hash of the tree's upper levels."""
+    signs, parents = tree
+    depth = [0] * len(signs)
+    upper = []
+    for i in range(1, len(signs)):
+        depth[i] = depth[parents[i]] + 1
+        if depth[i] <= levels:
+            upper.append(f"{depth[i]} {signs[i]}")
+    return xxhash.xxh3_64_intdigest("\n".join(upper).encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def simple_tree_matching(a: Tree, b: Tree) -> list[tuple[int, int]]:
+    """Largest top-down, order-keeping alignment of two trees: pairs of nodes with
+    equal signatures."""
+    kids: list[list[list[int]]] = []
+    for signs, parents in (a, b):
+        below: list[list[int]] = [[] for _ in signs]
+        for i in range(1, len(signs)):
+            below[parents[i]].append(i)
+        kids.append(below)
+    if a[0][0] != b[0][0]:
+        return []
+    # Pairs that can be aligned, each after the pair of its parents.
+    order = [(0, 0)]
+    for x, y in order:
+        order.extend((c, d) for c in kids[0][x] for d in kids[1][y] if a[0][c] == b[0][d])
+    weight: dict[tuple[int, int], int] = {}
+
+    def table(x: int, y: int) -> list[list[int]]:
+        xs, ys = kids[0][x], kids[1][y]
         best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
-        took = {}
         for i, c in enumerate(xs):
             for j, d in enumerate(ys):
-                w, plan = match(c, x_at[i], d, y_at[j])
-                top = max(best[i][j + 1], best[i + 1][j])
-                if w and best[i][j] + w > top:
-                    top = best[i][j] + w
-                    took[i, j] = plan
-                best[i + 1][j + 1] = top
-        kids, i, j = [], len(xs), len(ys)
+                best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + weight.get((c, d), 0))
+        return best
+
+    for x, y in reversed(order):
+        weight[x, y] = 1 + table(x, y)[-1][-1]
+    pairs: list[tuple[int, int]] = []
+    todo = [(0, 0)]
+    while todo:
+        x, y = todo.pop()
+        pairs.append((x, y))
+        best = table(x, y)
+        xs, ys = kids[0][x], kids[1][y]
+        i, j = len(xs), len(ys)
         while i and j:
             if best[i][j] == best[i - 1][j]:
                 i -= 1
             elif best[i][j] == best[i][j - 1]:
                 j -= 1
             else:
-                kids.append(took[i - 1, j - 1])
+                todo.append((xs[i - 1], ys[j - 1]))
                 i, j = i - 1, j - 1
-        return 1 + best[len(xs)][len(ys)], (xn, yn, kids[::-1])
-
-    pairs: list[tuple[int, int]] = []
-    todo = [match(a, 0, b, 0)[1]]
-    while todo:
-        plan = todo.pop()
-        if plan:
-            pairs.append(plan[:2])
-            todo.extend(plan[2])
     return sorted(pairs)
 
 
@@ -274,22 +293,19 @@ class Aligner:
             if len(self.cache) >= self.limit:
                 self.cache.clear()
             a = json.loads(mine)
-            pairs = simple_tree_matching(a, json.loads(reference)) if mine != reference else ((i, i) for i in range(mine.count('["')))
+            pairs = simple_tree_matching(a, json.loads(reference)) if mine != reference else ((i, i) for i in range(len(a[0])))
             found = self.cache[mine, reference] = dict(pairs)
         return found
 
 
-def node_hashes(page: Page, node_of: list[int]) -> dict[int, int]:
-    """Signed 64-bit hash of the text blocks that stand directly in each skeleton node."""
-    parts: dict[int, list[str]] = {}
-    for element, text in page.blocks:
-        parts.setdefault(node_of[element], []).append(text)
-    return {n: xxhash.xxh3_64_intdigest("\n".join(t).encode("utf-8", "surrogatepass")) - (1 << 63) for n, t in parts.items()}
+def block_hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
 # -- one page's text -----------------------------------------------------------
 def main_blocks(page: Page, node_of: list[int] | None = None, template: frozenset = frozenset()) -> list[str]:
-    """The content region's blocks; ``template`` has skeleton nodes to leave out."""
+    """The content region's blocks; ``template`` has the blocks to leave out, as
+    (skeleton node, hash of the text)."""
     n = len(page.tags)
     parents, tags, words = page.parents, page.tags, page.words
     region = [False] * n
@@ -303,14 +319,19 @@ def main_blocks(page: Page, node_of: list[int] | None = None, template: frozense
             top = tags[i] in ("article", "main", "body", "html") or i in text_of
             out[i] = (out[parents[i]] or tags[i] in FURNITURE or (not top and bool(words[i] & FURNITURE_WORDS))
                       or (not region[i] and not top and (tags[i] == "header" or bool(words[i] & HEADER_WORDS))))
-        size: dict[int, int] = {}
+        below, seen, order = [0] * n, [False] * n, []  # text below each element; regions as their text comes
         for element, text in page.blocks:
             if not out[element]:
+                below[element] += len(text)
                 at = element
-                while at > 0:
+                while at > 0 and not seen[at]:
+                    seen[at] = True
                     if tags[at] in ("article", "main"):
-                        size[at] = size.get(at, 0) + len(text)
+                        order.append(at)
                     at = parents[at]
+        for i in range(n - 1, 0, -1):
+            below[parents[i]] += below[i]
+        size = {i: below[i] for i in order}
         root = 0
         if size:
             # The innermost region that has the most text (an article inside main, not a teaser beside it).
@@ -345,15 +366,15 @@ def main_blocks(page: Page, node_of: list[int] | None = None, template: frozense
         if wide:
             blocks = content(wide) or blocks
     if template and node_of is not None:
-        kept = [(e, t) for e, t in blocks if node_of[e] not in template]
+        kept = [(e, t) for e, t in blocks if (node_of[e], block_hash(t)) not in template]
         blocks = kept or blocks
     return [t for _, t in blocks]
 
 
 def extract_page(source: str | None, reference: str | None = None, template: frozenset = frozenset(),
                  align: Aligner | None = None) -> str:
-    """Main text of one page, given its host's wrapper (reference shape and the
-    numbers of its template nodes)."""
+    """Main text of one page, given its group's wrapper (reference shape and the
+    template blocks as (reference node, hash of the text))."""
     if not source:
         return ""
     page = Page(source)
@@ -361,14 +382,33 @@ def extract_page(source: str | None, reference: str | None = None, template: fro
         return "\n\n".join(main_blocks(page))
     tree, node_of = skeleton(page)
     to_reference = (align or Aligner())(shape(tree), reference)
-    constant = frozenset(mine for mine, theirs in to_reference.items() if theirs in template)
+    by_node: dict[int, list[int]] = {}
+    for node, found in template:
+        by_node.setdefault(node, []).append(found)
+    constant = frozenset((mine, h) for mine, theirs in to_reference.items() for h in by_node.get(theirs, ()))
     return "\n\n".join(main_blocks(page, node_of, constant))
 
 
 # -- the job ---------------------------------------------------------------------
-def induce_wrappers(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """host, reference (shape) and template (reference nodes with one text on all
-    pages that have them, and on at least ``min_pages``)."""
+def with_layout(pages: DataFrame) -> DataFrame:
+    """page_id, url and html with the host and the layout of the page."""
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
+                        F.col("html").cast("string").alias("html"), host_of(F.col("url")).alias("host"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, SLICE):
+                part = batch.slice(a, SLICE)
+                found = [layout(skeleton(Page(h.as_py() or ""))[0]) for h in part.column("html")]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.int64())], names=[*part.schema.names, "layout"])
+
+    return rows.mapInArrow(run, "page_id long, url string, html string, host string, layout long")
+
+
+def induce_wrappers(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
+    """host, layout, reference (shape) and template: the reference's nodes and the
+    hashes of the blocks that stand in them on ``share`` of the group's pages, and
+    on at least ``min_pages``."""
 
     def outline(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -376,43 +416,46 @@ def induce_wrappers(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
             for host, first, source in zip(frame["host"], frame["first"], frame["html"]):
                 page = Page(source or "")
                 tree, node_of = skeleton(page)
-                hashes = node_hashes(page, node_of)
-                rows.append((host, first, shape(tree), list(hashes), list(hashes.values())))
-            yield pd.DataFrame(rows, columns=["host", "first", "shape", "nodes", "hashes"])
+                blocks = sorted({(node_of[e], block_hash(t)) for e, t in page.blocks})
+                rows.append((host, layout(tree), first, shape(tree), [n for n, _ in blocks], [h for _, h in blocks]))
+            yield pd.DataFrame(rows, columns=["host", "layout", "first", "shape", "nodes", "hashes"])
 
     keyed = pages.select(host_of(F.col("url")).alias("host"), F.xxhash64("url", "html").alias("first"), "html")
     outlines = cut_lineage(keyed.mapInPandas(
-        outline, "host string, first long, shape string, nodes array<int>, hashes array<long>"))
-    reference = cut_lineage(outlines.groupBy("host").agg(F.min(F.struct("first", "shape")).alias("r"))
-                            .select("host", F.col("r.shape").alias("reference")))
+        outline, "host string, layout long, first long, shape string, nodes array<int>, hashes array<long>"))
+    group = ["host", "layout"]
+    reference = outlines.groupBy(*group).agg(F.min(F.struct("first", "shape")).alias("r"), F.count(F.lit(1)).alias("pages"))
+    reference = cut_lineage(reference.where(F.col("pages") >= min_pages).select(*group, F.col("r.shape").alias("reference"), "pages"))
 
     def aligned(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         align = Aligner()
         for frame in frames:
             rows = []
-            for host, mine, nodes, hashes, ref in zip(*(frame[c] for c in ("host", "shape", "nodes", "hashes", "reference"))):
+            for host, kind, mine, nodes, hashes, ref in zip(*(frame[c] for c in (*group, "shape", "nodes", "hashes", "reference"))):
                 to = align(mine, ref)
-                rows.extend((host, to[n], h) for n, h in zip(nodes, hashes) if n in to)
-            yield pd.DataFrame(rows, columns=["host", "node", "hash"])
+                rows.extend({(host, kind, to[n], h) for n, h in zip(nodes, hashes) if n in to})
+            yield pd.DataFrame(rows, columns=[*group, "node", "hash"])
 
-    seen = outlines.join(reference, "host").mapInPandas(aligned, "host string, node int, hash long")
-    nodes = seen.groupBy("host", "node").agg(F.min("hash").alias("lo"), F.max("hash").alias("hi"), F.count(F.lit(1)).alias("n"))
-    template = nodes.where((F.col("lo") == F.col("hi")) & (F.col("n") >= min_pages)).groupBy("host").agg(
-        F.sort_array(F.collect_list("node")).alias("template"))  # at most the reference's nodes
-    return reference.join(template, "host")
+    seen = outlines.join(reference.drop("pages"), group).mapInPandas(aligned, "host string, layout long, node int, hash long")
+    blocks = seen.groupBy(*group, "node", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
+    blocks = blocks.join(reference.select(*group, "pages"), group).where(F.col("n") >= F.col("pages") * share)
+    # No longer than a page's blocks over the share.
+    template = blocks.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("node", "hash"))).alias("template"))
+    return reference.drop("pages").join(template, group)
 
 
-def extract_main_text(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+def extract_main_text(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
     """page_id, url, text and n_chars for each row of ``pages`` (page_id, url, html)."""
-    wrappers = cut_lineage(induce_wrappers(pages, min_pages)).withColumnRenamed("host", "__host")
-    mine = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    joined = mine.join(wrappers, host_of(F.col("url")) == F.col("__host"), "left").drop("__host")
+    wrappers = cut_lineage(induce_wrappers(pages, min_pages, share)).withColumnsRenamed({"host": "__host", "layout": "__layout"})
+    mine = with_layout(pages)
+    joined = mine.join(wrappers, (F.col("host") == F.col("__host")) & (F.col("layout") == F.col("__layout")), "left").select(
+        "page_id", "url", "html", "reference", F.col("template.node").alias("nodes"), F.col("template.hash").alias("hashes"))
 
     def extract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         align = Aligner()
         for frame in frames:
-            texts = [extract_page(h, r, frozenset(t) if t is not None else frozenset(), align)
-                     for h, r, t in zip(frame["html"], frame["reference"], frame["template"])]
+            texts = [extract_page(h, r, frozenset(zip(n, x)) if n is not None else frozenset(), align)
+                     for h, r, n, x in zip(frame["html"], frame["reference"], frame["nodes"], frame["hashes"])]
             yield pd.DataFrame({"page_id": frame["page_id"].astype("Int64"), "url": frame["url"], "text": texts,
                                 "n_chars": [len(t) for t in texts]})
 

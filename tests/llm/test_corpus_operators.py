@@ -169,9 +169,18 @@ def test_simple_tree_matching_equals_brute_force():
     def tree(depth):
         return [rng.choice("ab"), [tree(depth - 1) for _ in range(rng.randint(0, 3))] if depth else []]
 
+    def flat(t):
+        signs, parents, todo = [], [], [(t, -1)]
+        while todo:
+            node, parent = todo.pop()
+            todo += [(c, len(signs)) for c in reversed(node[1])]
+            signs.append(node[0])
+            parents.append(parent)
+        return signs, parents
+
     for _ in range(100):
         a, b = tree(3), tree(3)
-        pairs = wrapper.simple_tree_matching(a, b)
+        pairs = wrapper.simple_tree_matching(flat(a), flat(b))
         assert len(pairs) == best(a, b)
         assert len({x for x, _ in pairs}) == len({y for _, y in pairs}) == len(pairs)
 
@@ -189,6 +198,81 @@ def test_wrapper_drops_text_that_is_the_same_on_all_pages(spark):
     assert wrapper.extract_main_text(spark.createDataFrame([], pages.schema)).count() == 0
 
 
+def texts_of(spark, pages, **more):
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    return {r.page_id: r.text for r in wrapper.extract_main_text(df, **more).collect()}
+
+
+def test_pages_may_be_nested_to_any_depth(spark):
+    deep = "<body>" + "<div>" * 50_000 + "<p>at the bottom</p>" + "</div>" * 50_000
+    pages = [(i, f"http://deep.org/{i}", deep) for i in range(4)] + [(9, "http://deep.org/x", "<ul><li>" * 20_000 + "<p>x</p>"),
+                                                                   (10, None, "<article>" * 3_000 + "<p>y</p>")]
+    got = texts_of(spark, pages)
+    assert got == {0: "at the bottom", 1: "at the bottom", 2: "at the bottom", 3: "at the bottom", 9: "x", 10: "y"}
+
+
+def test_each_layout_of_a_host_has_its_own_wrapper(spark):
+    one = "<body><table><tr><td>Read this notice of layout one</td></tr></table><div><p>Story {0}</p><p>More of {0}</p></div></body>"
+    two = "<body><div><p>Tale {0}</p></div><ul><li>Read this notice of layout two</li></ul></body>"
+    pages = [(i, f"http://two.org/{i}", (one if i % 3 else two).format(i)) for i in range(30)]
+    got = texts_of(spark, pages)
+    assert got == {i: f"Story {i}\n\nMore of {i}" if i % 3 else f"Tale {i}" for i in range(30)}
+    off = texts_of(spark, pages, min_pages=10 ** 9)  # without induction the notices stay
+    assert off[1].startswith("Read this notice") and off[0].endswith("layout two")
+
+
+def test_one_page_of_two_hundred_that_words_its_notice_differently(spark):
+    page = "<body><div><p>Story {0}</p><p>{1}</p><p>End of {0}</p></div></body>"
+    pages = [(i, f"http://many.org/{i}", page.format(i, "Please subscribe to our letter" if i != 77 else "Subscribe now!")) for i in range(200)]
+    got = texts_of(spark, pages)
+    assert {i for i, t in got.items() if t == f"Story {i}\n\nEnd of {i}"} == set(range(200)) - {77}
+    assert got[77] == "Story 77\n\nSubscribe now!\n\nEnd of 77"
+
+
+def test_extraction_equals_brute_force_on_templated_hosts(spark):
+    """Own parser, paths instead of alignments: blocks that stand at one path on nine tenths of a layout's pages go."""
+    from collections import Counter
+    from html.parser import HTMLParser
+
+    rng = random.Random(8)
+    pages = []
+    for host in range(4):
+        before = [f"<div><p>Constant {host} {k}</p></div>" for k in range(rng.randint(1, 3))]
+        for i in range(25):
+            story = "".join(f"<p>{rng.choice(['one', 'two'])} {host} {i} {k}</p>" for k in range(rng.randint(1, 4)))
+            odd = f"<ol><li>{'Sometimes' if rng.random() < 0.7 else f'Else {i}'}</li></ol>"
+            end = f"<ul><li>End of host {host}</li></ul>" if host % 2 else ""
+            pages.append((host * 100 + i, f"https://h{host}.net/p/{i}", f"<html><body>{''.join(before)}<blockquote>{story}</blockquote>{odd}{end}</body></html>"))
+
+    class Blocks(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.path, self.found, self.top = [], [], []
+
+        def handle_starttag(self, tag, _):
+            self.path.append(tag)
+            if len(self.path) == 3:
+                self.top.append(tag)
+
+        def handle_endtag(self, _):
+            self.path.pop()
+
+        def handle_data(self, data):
+            self.found.append((tuple(self.path), data))
+
+    parsed, groups, counts = {}, Counter(), Counter()
+    for i, url, html in pages:
+        p = Blocks()
+        p.feed(html)
+        runs = tuple(t for k, t in enumerate(p.top) if not k or p.top[k - 1] != t)
+        parsed[i] = (url.split("/")[2], runs), p.found
+        groups[parsed[i][0]] += 1
+        counts.update((parsed[i][0], b) for b in set(p.found))
+    want = {i: "\n\n".join(t for path, t in found if counts[g, (path, t)] < max(3, 0.9 * groups[g])) for i, (g, found) in parsed.items()}
+    assert texts_of(spark, pages) == want
+    assert any("Sometimes" in t for t in want.values()) and not any("Constant" in t or "End of" in t for t in want.values())
+
+
 # -- n-gram join ---------------------------------------------------------------------
 def brute_components(docs, size=3, percent=90):
     sets = []
