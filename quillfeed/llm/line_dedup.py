@@ -2,22 +2,26 @@
 
 Every line is placed in a tree of fixed depth: by its number of tokens, then by
 its first ``DEPTH`` tokens; tokens with a digit are variable and stand as
-``<*>``. In a leaf, lines that agree in at least ``SIMILAR`` of their segments
-share a template, whose other segments are variable. (A line of up to
-``SEGMENTS`` tokens has one token a segment; a longer line is cut into that many
-runs of tokens, each kept as a hash, so a line takes the same room whatever its
-length. One changed token changes a whole run, so lines of ``RUNS_FROM`` tokens
-or more need ``SIMILAR_RUNS`` of their segments; that is at least about this
-share of their tokens. Lines of that length that differ in more runs do not share
-a template, even if few of their tokens differ.) Lines of fewer than
-``MIN_TOKENS`` tokens are too short for the tree and recur only as they are. A line that shares a template with a line of a document with a smaller
-doc_id recurs and is dropped; the others stay.
+``<*>``. A line is cut into ``SEGMENTS`` runs of tokens, or one token a segment if
+it has fewer, and two lines of a leaf are alike if at least ``SIMILAR`` of their
+segments are the same; one share for all lengths. Segments are kept as hashes, so
+a line takes the same room whatever its length.
+
+A template is a leaf with some places left out; the line of the smallest document
+among those that agree in all other places stands for it. A line that has a
+template whose first line is alike, and belongs to a document with a smaller
+doc_id, recurs and is dropped. Places are ``GROUPS`` groups of neighbouring
+segments; as many are left out as segments may differ, in every combination, so two
+alike lines always share a template. Lines of up to ``GROUPS`` tokens that share one
+are alike; of longer ones the segments are compared with those of the first line.
+Lines of fewer than ``MIN_TOKENS`` tokens are too short for the tree and recur only
+as they are.
 
 Scale: lines are first reduced to distinct masked lines (partial aggregation),
 so a hot line is one row. A line is listed under each of its templates, that is
-under its leaf and its segments with every allowed set of variable ones left out,
-with its smallest and largest doc_id, which are aggregated per template. So lines
-that agree always meet, no two lines are compared, and a leaf of any size is
+under its leaf and its places with every allowed set of variable ones left out,
+with its smallest and largest doc_id, which are aggregated per template. A line is
+compared with the first lines of its templates only, and a leaf of any size is
 spread over all tasks. The join that brings the decisions back to the
 documents can be split at a hot line (adaptive skew join). Texts are shuffled
 once, by doc_id.
@@ -46,10 +50,9 @@ from pyspark.sql import functions as F
 from quillfeed.session import cut_lineage
 
 DEPTH = 3
-SEGMENTS = 8
-SIMILAR = 0.8  # share of the segments, where a segment is about one token
-SIMILAR_RUNS = 0.5  # where a segment is a run of tokens, which one changed token changes
-RUNS_FROM = 2 * SEGMENTS  # tokens from which all segments are runs
+SEGMENTS = 16
+GROUPS = 8  # places of a template
+SIMILAR = 0.75  # share of the segments that alike lines have in common
 MIN_TOKENS = 4
 MIN_CHARS = 10  # shorter lines of fewer than MIN_TOKENS tokens stay
 LONGEST = (DEPTH + 1) * SEGMENTS  # from here on no segment lies inside the leading tokens
@@ -124,29 +127,41 @@ def document_lines(docs: DataFrame) -> DataFrame:
 
 
 def variable_segments(n: int) -> int:
-    """How many segments of a line of ``n`` tokens may differ within a template."""
+    """How many segments of alike lines of ``n`` tokens may differ."""
     m = min(n, SEGMENTS)
-    return m - math.ceil((SIMILAR_RUNS if n >= RUNS_FROM else SIMILAR) * m)
+    return m - math.ceil(SIMILAR * m)
+
+
+def group_of_segment(n: int) -> list[int]:
+    """The place that each segment of a line of ``n`` tokens belongs to."""
+    m = min(n, SEGMENTS)
+    g = min(m, GROUPS)
+    return [i * g // m for i in range(m)]
 
 
 @lru_cache(maxsize=None)
 def left_out(n: int) -> list[tuple[int, ...]]:
-    """The sets of segments that templates of lines of ``n`` tokens leave out;
-    segments inside the leading tokens are the same in a whole leaf and stay."""
+    """The sets of places that templates of lines of ``n`` tokens leave out; places
+    inside the leading tokens are the same in a whole leaf and stay."""
     m = min(n, SEGMENTS)
-    free = [i for i in range(m) if (i + 1) * n // m > DEPTH]
+    free = sorted({g for i, g in enumerate(group_of_segment(n)) if (i + 1) * n // m > DEPTH})
     return list(combinations(free, min(variable_segments(n), len(free))))
 
 
 def template_keys(leaf: np.ndarray, n: int, segments: np.ndarray) -> np.ndarray:
-    """The templates of each line (a row of ``segments``): one per set of segments
-    left out. Two lines of a leaf agree in the needed segments if and only if they
-    share one. From LONGEST tokens on, all lengths leave out the same sets."""
+    """The templates of each line (a row of ``segments``): one per set of places
+    left out. From LONGEST tokens on, all lengths leave out the same sets."""
     place = np.arange(1, SEGMENTS + 1, dtype=np.uint64) * _M1
     mixed = _mix(segments.astype(np.int64).view(np.uint64) + place)
     total = leaf.astype(np.int64).view(np.uint64) + mixed.sum(axis=1, dtype=np.uint64)
-    keys = [_mix(total - mixed[:, list(out)].sum(axis=1, dtype=np.uint64) + np.uint64(((k + 1) * int(_M2)) % (1 << 64)))
-            for k, out in enumerate(left_out(min(n, LONGEST)))]
+    groups = np.array(group_of_segment(n))
+    by_group = [mixed[:, np.flatnonzero(groups == g)].sum(axis=1, dtype=np.uint64) for g in range(groups.max() + 1)]
+    keys = []
+    for k, out in enumerate(left_out(min(n, LONGEST))):
+        key = total + np.uint64(((k + 1) * int(_M2)) % (1 << 64))
+        for g in out:
+            key = key - by_group[g]
+        keys.append(_mix(key))
     return np.stack(keys, axis=1).view(np.int64)
 
 
@@ -156,32 +171,6 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def cluster(leaf: int, segments: np.ndarray) -> list[tuple[int, list[int]]]:
-    """(smallest shared template, line numbers) of the groups of two or more lines
-    of a leaf that templates join; ``segments`` has a row per line."""
-    m = int((segments[0] != 0).sum())
-    keys = template_keys(np.full(len(segments), leaf), m, segments)
-    root = list(range(len(segments)))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    first: dict[int, int] = {}
-    shared: dict[int, set[int]] = {}
-    for i, row in enumerate(keys.tolist()):
-        for key in row:
-            if key in first:
-                root[find(i)] = find(first[key])
-                shared.setdefault(first[key], set()).add(key)
-            first.setdefault(key, i)
-    groups: dict[int, list[int]] = {}
-    for i in range(len(segments)):
-        groups.setdefault(find(i), []).append(i)
-    return [(min(k for i in mine for k in shared.get(i, ())), mine) for mine in groups.values() if len(mine) > 1]
-
-
 def leaf_templates(lines: DataFrame) -> DataFrame:
     """key, template, lo, hi: a row per template of each distinct line whose leaf
     has another one; ``lines`` has key, leaf, n, lo, hi and the segments."""
@@ -205,13 +194,22 @@ def leaf_templates(lines: DataFrame) -> DataFrame:
 
 def recurring_lines(lines: DataFrame) -> DataFrame:
     """key and ``keeper`` (the document that keeps the line) of all masked lines
-    that have a template which occurs in more than one document."""
+    that stand in more than one document, or are alike the first line of a template
+    of theirs that stands in another one."""
     distinct = cut_lineage(lines.groupBy("key").agg(
         F.max("leaf").alias("leaf"), F.max("n").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
         *[F.max(s).alias(s) for s in _SEGS]))
     alike = leaf_templates(distinct)
-    spread = cut_lineage(alike.groupBy("template").agg(F.min("lo").alias("keeper"), F.max("hi").alias("hi")).where("keeper < hi"))
-    by_template = alike.select("key", "template").join(spread.select("template", "keeper"), "template").select("key", "keeper")
+    spread = cut_lineage(alike.groupBy("template").agg(F.min(F.struct("lo", "key")).alias("first"), F.max("hi").alias("hi"))
+                         .where("first.lo < hi").select("template", F.col("first.lo").alias("keeper"), F.col("first.key").alias("first")))
+    pairs = cut_lineage(alike.select("key", "template").join(spread, "template").where("key <> first")
+                        .groupBy("key", "first").agg(F.min("keeper").alias("keeper")))
+    mine = distinct.select("key", "n", *_SEGS)
+    theirs = distinct.select(F.col("key").alias("first"), *[F.col(s).alias(f"first_{s}") for s in _SEGS])
+    # Segments past the end of a short line are 0 in both and count for neither.
+    same = sum(((F.col(s) == F.col(f"first_{s}")) & (F.col(s) != 0)).cast("int") for s in _SEGS)
+    need = F.ceil(F.least(F.col("n"), F.lit(SEGMENTS)) * SIMILAR)
+    by_template = pairs.join(mine, "key").join(theirs, "first").where(same >= need).select("key", "keeper")
     by_line = distinct.where("lo < hi").select("key", F.col("lo").alias("keeper"))
     return by_line.unionByName(by_template).groupBy("key").agg(F.min("keeper").alias("keeper"))
 

@@ -53,17 +53,28 @@ def test_line_dedup_generalises_variable_fields(spark):
     docs = [(i, f"{x}\na line of its own number {chr(97 + i) * 5} {chr(98 + i) * 4} here") for i, x in enumerate(lines)]
     got = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(docs, DOCS)).collect()}
     assert [i for i in sorted(got) if "logged in" in got[i].text] == [0]
-    assert all("line of its own" in r.text for r in got.values())
-
-
-def test_cluster_joins_similar_lines_of_a_leaf():
-    def segs(x):
-        return line_dedup.segments_of(x.split())
-    rows = np.array([segs(b"the job number one ended without any error"), segs(b"the job number two ended without any error"),
-                     segs(b"the job number six was never even started yesterday")[:8]])
-    found = line_dedup.cluster(1, rows[:2])
-    assert [m for _, m in found] == [[0, 1]]
-    assert line_dedup.cluster(1, rows[[0, 2]]) == []
+    assert [i for i in sorted(got) if "line of its own" in got[i].text] == [0]  # two fields of nine tokens
+
+
+def test_line_dedup_has_one_similarity_for_all_lengths(spark):
+    """The same share of differing tokens decides alike for short, middling and long lines."""
+    for n, step in ((8, 1), (12, 1), (15, 1), (16, 1), (17, 1), (32, 2), (160, 10)):
+        words = ["the", "same", "start", *(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(n - 3))]
+        for few, drops in ((0.2, True), (0.3, False)):
+            other = [*words]
+            # Differences side by side, in whole segments from the end.
+            changed = int(few * n) // step if drops else -(-(int(few * n) + 1) // step)
+            for k in range(max(1, changed) * step):
+                other[-1 - k] = f"x{other[-1 - k]}"
+            docs = [(1, " ".join(words)), (2, " ".join(other))]
+            got = {r.doc_id: r.n_dropped for r in line_dedup.dedup_lines(spark.createDataFrame(docs, DOCS)).collect()}
+            assert got == {1: 0, 2: int(drops)}, (n, few)
+    apart = ["in the morning the cat sat quietly beside the warm stove and looked at the grey rain",
+             "in the morning the cat sat quietly beside an old man who told us about his war"]
+    alike = ["today a user {} logged in from {} office".format(*x) for x in (("ann", "paris"), ("bob", "rome"))]
+    docs = list(enumerate(apart + alike))
+    got = {r.doc_id: r.n_dropped for r in line_dedup.dedup_lines(spark.createDataFrame(docs, DOCS)).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 1}
 
 
 def test_line_dedup_several_fields_and_short_lines(spark):
@@ -86,12 +97,22 @@ def test_line_dedup_several_fields_and_short_lines(spark):
 
 
 def brute_templates(lines):
-    """Numbers of the lines (number = doc_id) of one leaf that agree in enough
-    segments with a line of a smaller number."""
-    segs = np.array([line_dedup.segments_of(x.encode().split()) for x in lines])
-    n = len(lines[0].split())
-    need = min(n, line_dedup.SEGMENTS) - line_dedup.variable_segments(n)
-    return [i for i in range(1, len(segs)) if ((segs[:i] == segs[i]) & (segs[i] != 0)).sum(axis=1).max() >= need]
+    """Numbers of the lines (number = doc_id) of one leaf that are alike the first
+    line of one of their templates, on the tokens themselves."""
+    words = [x.split() for x in lines]
+    n = len(words[0])
+    m = min(n, 16)
+    segs = [[tuple(w[i * n // m:(i + 1) * n // m]) for i in range(m)] for w in words]
+    place = [i * min(m, 8) // m for i in range(m)]
+    may_differ = m - -(-3 * m // 4)
+    found = set()
+    for out in itertools.combinations(range(max(place) + 1), may_differ):
+        first = {}
+        for i, s in enumerate(segs):
+            f = first.setdefault(tuple(x for x, g in zip(s, place) if g not in out), i)
+            if f != i and sum(x == y for x, y in zip(s, segs[f])) >= m - may_differ:
+                found.add(i)
+    return sorted(found)
 
 
 def test_line_dedup_large_leaf_matches_brute_force(spark):
