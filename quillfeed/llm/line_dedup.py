@@ -200,10 +200,10 @@ def recurring_lines(lines: DataFrame) -> DataFrame:
         F.max("leaf").alias("leaf"), F.max("n").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
         *[F.max(s).alias(s) for s in _SEGS]))
     alike = leaf_templates(distinct)
-    spread = cut_lineage(alike.groupBy("template").agg(F.min(F.struct("lo", "key")).alias("first"), F.max("hi").alias("hi"))
-                         .where("first.lo < hi").select("template", F.col("first.lo").alias("keeper"), F.col("first.key").alias("first")))
-    pairs = cut_lineage(alike.select("key", "template").join(spread, "template").where("key <> first")
-                        .groupBy("key", "first").agg(F.min("keeper").alias("keeper")))
+    spread = cut_lineage(alike.groupBy("template").agg(F.min("lo").alias("keeper"), F.max("hi").alias("hi")).where("keeper < hi"))
+    shared = cut_lineage(alike.select("key", "lo", "template").join(spread.select("template", "keeper"), "template"))
+    first = shared.where("lo = keeper").groupBy("template").agg(F.min("key").alias("first"))
+    pairs = shared.join(first, "template").where("key <> first").groupBy("key", "first").agg(F.min("keeper").alias("keeper"))
     mine = distinct.select("key", "n", *_SEGS)
     theirs = distinct.select(F.col("key").alias("first"), *[F.col(s).alias(f"first_{s}") for s in _SEGS])
     # Segments past the end of a short line are 0 in both and count for neither.
