@@ -325,7 +325,7 @@ def filter_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = shared.value.scorer()
-        for batch in batches:
+        for batch in (b.slice(a, 1_000) for b in batches for a in range(0, b.num_rows, 1_000)):
             yield batch.filter(pa.array([s < threshold for s in scored(score, batch.column(at))], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
