@@ -16,7 +16,10 @@ every score in the block.
 
 Queries and candidates meet as (query block, unit) pairs: a stated query set
 against all rows, in blocks. A task holds one block of queries and one unit at a
-time, and a pair returns only scores that can still be among the k best.
+time, and a pair returns only scores that can still be among the k best. The
+bounds stay in their tasks: the first step returns a query's best unit of each
+task, the second computes the bounds again and returns a row only for pairs that
+have to be searched.
 
 Defined results: vectors that are null, have a null or non-finite component or a
 null vec_id take no part; vectors of different lengths are compared as if the
@@ -43,6 +46,7 @@ QUERY_BLOCK = 1_024  # queries in a block, about
 LOW = -(2 ** 63)
 UNIT_SCHEMA = "unit long, n int, dim int, kind string, ids binary, data binary, top binary, low binary"
 HITS = "query_id long, vec_id long, score long"
+PAIRS = "q_unit long, unit long, wanted binary, floors binary"
 
 
 def quantised(vectors: DataFrame, factor: int = 256) -> DataFrame:
@@ -175,15 +179,39 @@ def top_k(vectors: DataFrame, k: int = 5, query_every: int = 50, unit: int = UNI
         n = -(-r.n // block)
         return _matrix(r.top, "<f8", n, r.dim), _matrix(r.low, "<f8", n, r.dim)
 
-    def unit_bounds(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def best_units(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Per query the unit with the largest bound among those of this task that
+        follow each other under its query block."""
+        at, ids, bound, unit = None, None, None, None
+        for frame in frames:
+            for r in frame.itertuples(index=False):
+                if r.q_unit != at:
+                    if at is not None:
+                        yield pd.DataFrame({"q_unit": at, "query_id": ids, "bound": bound, "unit": unit})
+                    at, (ids, q) = r.q_unit, query_of(r)
+                    bound, unit = np.full(len(ids), -np.inf), np.full(len(ids), r.unit)
+                wide, top, low = _same_width(q, *summary_of(r))
+                b = bounds(wide, top, low).max(axis=1)
+                better = (b > bound) | ((b == bound) & (r.unit > unit))
+                bound, unit = np.where(better, b, bound), np.where(better, r.unit, unit)
+        if at is not None:
+            yield pd.DataFrame({"q_unit": at, "query_id": ids, "bound": bound, "unit": unit})
+
+    def reached(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Pairs in which a query's bound reaches its k-th score so far, with those
+        queries and scores; a query's home unit has been searched."""
         for frame in frames:
             for r in frame.itertuples(index=False):
                 ids, q = query_of(r)
                 q, top, low = _same_width(q, *summary_of(r))
-                yield pd.DataFrame({"q_unit": r.q_unit, "query_id": ids, "unit": r.unit, "bound": bounds(q, top, low).max(axis=1)})
+                floor = np.frombuffer(r.all_floors, "<i8")
+                go = (bounds(q, top, low).max(axis=1) >= floor) | (floor == LOW)
+                go &= np.frombuffer(r.homes, "<i8") != r.unit
+                if go.any():
+                    yield pd.DataFrame([{"q_unit": r.q_unit, "unit": r.unit, "wanted": ids[go].tobytes(), "floors": floor[go].tobytes()}])
 
     def hits(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Search each pair for its wanted queries (all without ``wanted``)."""
+        """Search each pair for its wanted queries."""
         for frame in frames:
             for r in frame.itertuples(index=False):
                 ids, q = query_of(r)
@@ -200,26 +228,30 @@ def top_k(vectors: DataFrame, k: int = 5, query_every: int = 50, unit: int = UNI
                 yield pd.DataFrame({"query_id": ids[mine][i], "vec_id": vec, "score": s})
 
     # Query blocks times units: the stated query set against all rows, in blocks.
-    reach = cut_lineage(asked.crossJoin(docs.select("unit", "n", "dim", "top", "low")).mapInPandas(
-        unit_bounds, "q_unit long, query_id long, unit long, bound double"))
-    start = reach.groupBy("query_id").agg(F.max(F.struct("bound", "unit")).alias("b")).select("query_id", F.col("b.unit").alias("home"))
-    reach = reach.join(start, "query_id")
-
-    def searched(wanted: DataFrame) -> DataFrame:
-        """Rows (q_unit, unit, query_id, floor) searched pair by pair; a pair has at
-        most the queries of one query block."""
-        def listed(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame([{"q_unit": int(key[0]), "unit": int(key[1]),
-                                  "wanted": part["query_id"].to_numpy("<i8").tobytes(),
-                                  "floors": part["floor"].to_numpy("<i8").tobytes()}])
-
-        pairs = wanted.groupBy("q_unit", "unit").applyInPandas(listed, "q_unit long, unit long, wanted binary, floors binary")
+    # A task writes a row per query, not per query and unit.
+    summaries = docs.select("unit", "n", "dim", "top", "low")
+    partial = asked.crossJoin(summaries).mapInPandas(best_units, "q_unit long, query_id long, bound double, unit long")
+    home = cut_lineage(partial.groupBy("q_unit", "query_id").agg(F.max(F.struct("bound", "unit"))["unit"].alias("home")))
+
+    def packed(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        """One row of a query block's queries for one unit (at most a block's)."""
+        return pd.DataFrame([{"q_unit": int(key[0]), "unit": int(key[1]), "wanted": part["query_id"].to_numpy("<i8").tobytes(),
+                              "floors": np.full(len(part), LOW, "<i8").tobytes()}])
+
+    def aligned(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        """A query block's k-th scores and home units in the order of its ids."""
+        part = part.sort_values("query_id")
+        return pd.DataFrame([{"q_unit": int(key[0]), "all_floors": part["kth"].to_numpy("<i8").tobytes(),
+                              "homes": part["home"].to_numpy("<i8").tobytes()}])
+
+    def searched(pairs: DataFrame) -> DataFrame:
         return pairs.join(asked, "q_unit").join(docs, "unit").mapInPandas(hits, HITS)
 
-    first = cut_lineage(searched(reach.where("unit = home").withColumn("floor", F.lit(LOW).cast("long"))))
+    first = cut_lineage(searched(home.groupBy("q_unit", F.col("home").alias("unit")).applyInPandas(packed, PAIRS)))
     floors = first.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("kth"))
-    rest = reach.where("unit <> home").join(floors, "query_id", "left").where("kth is null or bound >= kth")
-    rest = searched(rest.withColumn("floor", F.coalesce("kth", F.lit(LOW).cast("long"))))
+    state = home.join(floors, "query_id", "left").withColumn("kth", F.coalesce("kth", F.lit(LOW).cast("long")))
+    state = state.groupBy("q_unit").applyInPandas(aligned, "q_unit long, all_floors binary, homes binary")
+    rest = searched(cut_lineage(asked.join(state, "q_unit").crossJoin(summaries).mapInPandas(reached, PAIRS)))
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = first.unionByName(rest).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers as P
 
 from quillfeed.llm import line_dedup, ngram_join, packing, topk, url_filter, wrapper
+from quillfeed.session import cut_lineage
 
 DOCS = "doc_id long, text string"
 
@@ -357,10 +358,31 @@ def test_top_k_matches_brute_force(spark):
         s = sorted((-sum(a * b for a, b in zip(good[q], good[d])), d) for d in good if d != q)[:5]
         want += [(q, r + 1, d, -x) for r, (x, d) in enumerate(s)]
     assert sorted(tuple(r) for r in topk.top_k(frame, unit=40, block=7).collect()) == sorted(want)
+    assert sorted(tuple(r) for r in topk.top_k(frame.repartition(7), unit=16, block=4).collect()) == sorted(want)
     assert topk.top_k(frame.where("vec_id = 50")).count() == 0
     assert topk.top_k(spark.createDataFrame([], frame.schema)).count() == 0
 
 
+def test_top_k_keeps_bounds_in_their_tasks(spark, monkeypatch):
+    written = []
+
+    def counted(df):
+        out = cut_lineage(df)
+        written.append((out.columns, out.count()))
+        return out
+
+    monkeypatch.setattr(topk, "cut_lineage", counted)
+    rng = np.random.default_rng(4)
+    middle = rng.normal(0, 1, (20, 6)) * 3  # each unit of ids around its own point
+    rows = [(i, [float(x) for x in middle[i // 100] + rng.normal(0, 0.05, 6)]) for i in range(2_000)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    assert topk.top_k(frame, unit=100, block=10).count() == 40 * 5
+    home = next(n for c, n in written if "home" in c)
+    pairs = [n for c, n in written if c == ["q_unit", "unit", "wanted", "floors"]]
+    assert home == 40  # one row a query
+    assert len(pairs) == 1 and pairs[0] <= 20  # one query block: at most a row a unit
+
+
 # -- packing -------------------------------------------------------------------------
 def test_pack_is_first_fit_decreasing_and_whole():
     def first_fit(sizes, room):

@@ -72,6 +72,50 @@ def test_licence_base_places_match_brute_force(spark):
     assert licenses.scan_documents(rows_of(spark, []) if False else spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def brute_matches(text, templates, min_score):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    found = []
+    for t in templates:
+        k, full = t.key_words, t.words
+        for i in range(len(words) - len(k) + 1):
+            if words[i:i + len(k)] == k:
+                start = i - t.key_at
+                score = sum(0 <= start + j < len(words) and words[start + j] == x for j, x in enumerate(full)) / len(full)
+                if t.base or score >= min_score:
+                    found.append((t.label, t.base, start, round(score, 9)))
+    return sorted(found)
+
+
+def test_licence_templates_match_brute_force(spark):
+    rng = np.random.default_rng(5)
+    texts = [None, "", "license " * 500, "the under mit license by cc nc " * 40]
+    for t in licenses.TEMPLATES:
+        w = t.words
+        texts += [t.text, " ".join(reversed(w)), "x " + t.text.upper() + " " + t.text, t.key + " " + t.key, " ".join(w[:-1]),
+                  " ".join(x for i, x in enumerate(w) if i != len(w) // 2), " ".join(w[len(w) // 2:])]
+        shuffled = list(w)
+        rng.shuffle(shuffled)
+        texts.append(" ".join(shuffled) + " by under the software")
+    texts += texts[:6]  # repeated rows
+    for rare in (1, 2, 3, 9):
+        frame = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, words int").coalesce(2)
+        rows = licenses.scan_documents(frame, rare=rare).collect()
+        assert len(rows) == len(texts)
+        for r in rows:
+            got = sorted((m.label, m.base, m.start, round(m.score, 9)) for m in r.matches)
+            want = brute_matches(texts[r.doc_id], licenses.TEMPLATES, licenses.MIN_SCORE)
+            assert got == want, (rare, texts[r.doc_id])
+            assert r.labels == sorted({m[0] for m in want})
+
+
+def test_licence_postings_are_intersected(spark):
+    frequency = {"license": 90, "under": 50, "the": 1000, "mit": 3}
+    t = licenses.Template("mit", "released under the mit license", "under the mit license")
+    assert licenses.postings([t], frequency) == [[("mit", 3), ("under", 1), ("license", 4)]]
+    plan = licenses.scan_documents(rows_of(spark, ["under the mit license"]))._jdf.queryExecution().executedPlan().toString()
+    assert "array_intersect" in plan and "Python" not in plan and "Exchange" not in plan
+
+
 def brute_quality(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
