@@ -206,7 +206,7 @@ def scan_documents(docs: DataFrame, templates=TEMPLATES, min_score: float = MIN_
 
     held = F.col("held")
     looked_up = words.withColumn("held", F.array_intersect(w, _strings(vocabulary)))
-    alive = F.filter(posted, lambda t: F.size(F.array_except(t["rare"], held)) == 0)
+    alive = F.filter(posted, lambda t: F.forall(t["rare"], lambda x: F.array_contains(held, x)))
     looked_up = looked_up.withColumn("postings", _or_empty(
         F.size(held) > 0, F.flatten(F.transform(alive, lambda t: t["postings"])), "array<struct<word:string,k:int,code:bigint>>"))
     looked_up = looked_up.withColumn("wanted", F.array_distinct(F.transform("postings", lambda p: p["word"])))
