@@ -11,8 +11,8 @@ probabilities. Words that were never seen, such as misspellings, share the vecto
 they have in common with seen ones.
 
 Training: at most ``max_docs`` labelled rows, those with the smallest hash of
-their doc_id among the rows that may be learnt from, as long as their texts hold
-at most ``max_chars`` characters (a bounded, documented sample; the texts are
+their doc_id among the rows that may be learnt from, passing over texts that would
+take the sample beyond ``max_chars`` characters (a bounded, documented sample; the texts are
 fetched by a broadcast of at most that many ids). Scoring
 is row-local over every whole text; the model is two floats a bucket.
 
@@ -46,6 +46,7 @@ CACHE_WORDS = 500_000
 THRESHOLD = 0.3
 MIN_DOCS = 3  # buckets of fewer documents than this stay neutral
 MIN_STEPS = 400  # a small sample is gone through more often
+START = 1e-4  # first sum of squares of a bucket's gradients; one document's gradient is about 1e-5
 CALIBRATE = 0.2  # share of the sample kept for the calibration
 _LOOKALIKE = str.maketrans("013457@$", "oieastas")
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -178,7 +179,7 @@ def train(texts: list[str], labels: list[int], epochs: int = 10, batch: int = 64
     vectors = np.zeros((BUCKETS, DIM))  # what was never learnt stays neutral
     softmax = rng.normal(0, 0.5, (DIM, 2))
     bias = np.array([2.5, -2.5])
-    g_vec, g_soft, g_bias = np.full(BUCKETS, 1e-2), np.full((DIM, 2), 1e-2), np.full(2, 1e-2)
+    g_vec, g_soft, g_bias = np.full(BUCKETS, START), np.full((DIM, 2), 1e-2), np.full(2, 1e-2)
     order = np.arange(len(docs))
     apart = order[rng.random(len(docs)) < CALIBRATE]  # not trained on, but calibrated on
     order = np.setdiff1d(order, apart)
@@ -270,7 +271,8 @@ def held_out(doc_id="doc_id"):
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_docs: int = MAX_DOCS,
         max_chars: int = MAX_CHARS) -> Model:
     """Train on at most ``max_docs`` labelled rows that are not held out, in the order of
-    their ids' hashes and as long as their whole texts together hold ``max_chars``."""
+    their ids' hashes; a text with which the whole texts would hold more than
+    ``max_chars`` is passed over."""
     chosen = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
         .where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out())
@@ -287,13 +289,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_docs: int
         .join(F.broadcast(ids), "doc_id")  # at most max_docs ids
         .groupBy("doc_id", "at").agg(F.min("text").alias("text")).persist()
     )
-    total, upto = 0, -1
+    total, fitting = 0, []
     for r in texts.select("at", F.length("text").alias("n")).orderBy("at").collect():
-        total += r.n or 0
-        if total > max_chars:
-            break
-        upto = r.at
-    rows = texts.where(F.col("at") <= upto).select("doc_id", "text").toArrow().sort_by("doc_id")
+        if total + (r.n or 0) <= max_chars:
+            total += r.n or 0
+            fitting.append(r.at)
+    rows = texts.where(F.col("at").isin(fitting)).select("doc_id", "text").toArrow().sort_by("doc_id")
     texts.unpersist()
     return train(rows.column("text").to_pylist(), [wanted[i] for i in rows.column("doc_id").to_pylist()])
 

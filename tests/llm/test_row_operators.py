@@ -3,12 +3,14 @@
 import base64
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from quillfeed.llm import bpe, licenses, quality, toxicity
 
@@ -206,3 +208,38 @@ def test_toxicity_learns_only_from_allowed_rows(spark, monkeypatch):
     assert set(seen) == {f"text {i}" for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2}
     assert toxicity.score_documents(docs, model).count() == 41
     assert toxicity.filter_documents(docs, model, 0.6).columns == docs.columns
+
+
+def test_toxicity_learns_from_a_thousand_rows():
+    rng = np.random.default_rng(8)
+    syllables = [a + b for a in "bdfgklmnprstv" for b in ("an", "er", "is", "on", "ul")]
+    marks = ["stupid", "worthless", "disgusting", "pathetic", "scum"]
+    texts, labels = [], []
+    for i in range(1_400):
+        words = ["".join(rng.choice(syllables, rng.integers(1, 4))) for _ in range(rng.integers(40, 160))]
+        y = int(i % 8 == 0)
+        for _ in range(3 * y):
+            words[rng.integers(len(words))] = str(rng.choice(marks))
+        texts.append(" ".join(words))
+        labels.append(y)
+    score = toxicity.train(texts[:1_000], labels[:1_000]).scorer()
+    got, y = np.array(score(texts[1_000:])), np.array(labels[1_000:])
+    ranks = got.argsort(kind="stable").argsort() + 1.0
+    auc = (ranks[y == 1].sum() - y.sum() * (y.sum() + 1) / 2) / (y.sum() * (len(y) - y.sum()))
+    assert auc > 0.95
+    assert ((got >= toxicity.THRESHOLD) & (y == 1)).sum() >= 0.8 * y.sum()
+    assert ((got >= toxicity.THRESHOLD) & (y == 0)).sum() <= 0.05 * (len(y) - y.sum())
+
+
+def test_toxicity_passes_over_texts_beyond_its_bound(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels, **kw: seen.append((sorted(texts, key=len), sorted(labels))))
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2]
+    first = spark.createDataFrame([(i,) for i in ids], "doc_id long").selectExpr("doc_id").orderBy(F.xxhash64("doc_id")).first().doc_id
+    docs = spark.createDataFrame([(i, "z" * 5_000 if i == first else "ab") for i in ids], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, toxic int")
+    toxicity.fit(docs, labels, max_chars=1_000)
+    assert len(seen) == 1 and len(seen[0][0]) == len(ids) - 1 and max(map(len, seen[0][0])) == 2
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    toxicity.fit(empty, labels)
+    assert seen[1] == ([], [])
