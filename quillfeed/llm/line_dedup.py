@@ -37,6 +37,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
@@ -109,18 +110,22 @@ def document_lines(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(a, SLICE) for b in batches for a in range(0, b.num_rows, SLICE)):
-            rows = []
+            ids, keys, leaves, sizes, segs = array("q"), array("q"), array("q"), array("i"), array("i")
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                mine = {}
+                seen = set()
                 for line in text_lines(text):
                     tokens = compared_tokens(line)
-                    if tokens is not None:
-                        mine[line_key(tokens)] = tokens
-                rows.extend((doc_id, key, leaf_of(t), len(t), *segments_of(t)) for key, t in mine.items())
-            cols = list(zip(*rows)) if rows else [()] * (4 + SEGMENTS)
-            kinds = [pa.int64()] * 3 + [pa.int32()] * (1 + SEGMENTS)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                             names=["doc_id", "key", "leaf", "n", *_SEGS])
+                    key = None if tokens is None else line_key(tokens)
+                    if key is not None and key not in seen:
+                        seen.add(key)
+                        ids.append(doc_id)
+                        keys.append(key)
+                        leaves.append(leaf_of(tokens))
+                        sizes.append(len(tokens))
+                        segs.extend(segments_of(tokens))
+            by_segment = np.array(segs, dtype=np.int32).reshape(-1, SEGMENTS).T.copy()
+            cols = [np.array(c, dtype=np.int64) for c in (ids, keys, leaves)] + [np.array(sizes, dtype=np.int32), *by_segment]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["doc_id", "key", "leaf", "n", *_SEGS])
 
     usable = docs.selectExpr("cast(doc_id as long) doc_id", "text").where("doc_id is not null")
     return usable.mapInArrow(run, LINE_SCHEMA)
