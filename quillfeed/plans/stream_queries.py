@@ -1,7 +1,7 @@
 """Registered queries of the streaming operators (STR3-6, SET7, SET11, FLT8, FLT14).
 
-Each query deals a driver table into files in the shared folder, one after the
-other, and runs a stream that reads one file a batch, so that batches, watermarks
+Each query deals a driver table into parts in the shared folder, one after the
+other, and runs a stream that reads one part a batch, so that batches, watermarks
 and replays behave as they do in a series of scheduled runs.
 """
 
@@ -23,14 +23,32 @@ from quillfeed.streaming import incremental as STRM
 from quillfeed.streaming import keyed_store
 
 
+def _write_files(part: DataFrame, folder: str, files: int) -> None:
+    """``part`` as exactly ``files`` files, written by as many tasks. A task without
+    rows writes none; copies of a file without rows stand for those."""
+    spark = part.sparkSession
+    part.repartition(files, *part.columns).write.option("maxRecordsPerFile", 0).parquet(folder)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{folder}/part-*")
+    fs = pattern.getFileSystem(conf)
+    written = {f.getPath().getName() for f in fs.globStatus(pattern)}
+    if len(written) < files:
+        part.limit(0).coalesce(1).write.mode("append").parquet(folder)
+        [empty] = [f.getPath() for f in fs.globStatus(pattern) if f.getPath().getName() not in written]
+        for k in range(files - len(written) - 1):
+            jvm.org.apache.hadoop.fs.FileUtil.copy(fs, empty, fs, jvm.org.apache.hadoop.fs.Path(f"{folder}/part-empty-{k:05d}.parquet"), False, conf)
+
+
 def dealt_stream(parts: list[DataFrame], path: str) -> DataFrame:
-    """The ``parts`` as a stream that reads one of them a batch, in their order."""
+    """The ``parts`` as a stream that reads one of them a batch, in their order. Each
+    is written as the same number of files, that of the shuffle partitions, and a
+    batch takes so many: no task holds a whole part."""
     spark = parts[0].sparkSession
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for k, part in enumerate(parts):
-        # One file a part: a batch takes one file.
-        part.coalesce(1).write.parquet(f"{path}/part={k:03d}")
+        _write_files(part, f"{path}/part={k:03d}", files)
     schema = spark.read.parquet(f"{path}/part=000").schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/part=*")
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(f"{path}/part=*")
 
 
 # --- STR3 + SET7: upsert of three batches onto a filled store ------------------------
@@ -112,7 +130,7 @@ def faulty_documents(spark: SparkSession, base: str) -> DataFrame:
 
 @register("dead_letters", DEAD_LETTERS_SQL)
 def dead_letters(spark: SparkSession, base: str) -> DataFrame:
-    """Feed documents in three files streamed into entries and dead letters; every
+    """Feed documents in three parts streamed into entries and dead letters; every
     document is in exactly one of the two, a bad one with its own kind."""
     out = STRM.shared_dir(spark, "drop")
     docs = faulty_documents(spark, base)
@@ -134,7 +152,7 @@ FROM events GROUP BY ALL"""
 def stream_daily_counts(spark: SparkSession, base: str) -> DataFrame:
     """UTC-day windows per event type in update mode: changed windows are merged by
     key into a table, and closed ones leave the state by the watermark. The events
-    arrive in three files by time."""
+    arrive in three parts by time."""
     out = STRM.shared_dir(spark, "daily")
     e = read_table(spark, base, "events").select("event_type", F.col("ts").cast("timestamp").alias("ts"))
     day = F.dayofmonth("ts")

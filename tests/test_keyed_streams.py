@@ -120,6 +120,20 @@ def test_stream_starts_from_the_existing_table(spark, table):
     assert len(rows) == 201 and rows["k1"] == ("two", 2) and rows["k2"] == ("old", 1)
 
 
+def test_a_batch_takes_a_whole_part_of_many_files(spark):
+    """Full parts, one with fewer rows than files, and one without rows."""
+    out = STRM.shared_dir(spark, "test-dealt").removeprefix("file:")
+    parts = [spark.range(0, 1000), spark.range(1000, 1002), spark.range(0), spark.range(2000, 3000)]
+    stream = stream_queries.dealt_stream(parts, out + "/drop")
+    named = {k: [n for n in os.listdir(f"{out}/drop/part={k:03d}") if n.endswith(".parquet")] for k in range(4)}
+    assert {len(n) for n in named.values()} == {int(spark.conf.get("spark.sql.shuffle.partitions"))} and len(named[0]) > 1
+    STRM.run_to_parquet(stream, out + "/rows", out + "/ckpt")
+    got = [sorted(r.id for r in spark.read.schema("id long").parquet(f"{out}/rows/batch={k}").collect()) for k in range(4)]
+    assert got == [list(range(1000)), [1000, 1001], [], list(range(2000, 3000))] and not os.path.exists(out + "/rows/batch=4")
+    largest = spark.read.parquet(out + "/drop/part=000").groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert largest < 500  # a task writes a share of the part
+
+
 RSS = ("<?xml version='1.0'?><rss version='2.0'><channel><title>t</title>{}</channel></rss>")
 ITEM = "<item><title>x</title><link>https://a.example/{}</link></item>"
 
