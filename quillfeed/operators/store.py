@@ -209,14 +209,17 @@ def upsert_articles(article: DataFrame | None, incoming: DataFrame, feed: DataFr
     * miss: inserted with created = modified = as_of and feed_id looked up by
       the feed's url_hash (= the article's publisher_id)
     * untouched stored rows pass through unchanged.
-    Several incoming copies of one key: the last by ``ord`` is applied."""
+    Several incoming copies of one key: the last by ``ord`` is applied.
+    The feeds are sorted and merged with the articles, never broadcast: their files
+    look small, and a broadcast takes every feed's hash through the driver."""
     now = ts_literal(as_of)
     inc = incoming
     if "ord" in inc.columns:
         payload = [c for c in inc.columns if c != "article_key"]
         inc = inc.groupBy("article_key").agg(
             F.max_by(F.struct(*payload), F.col("ord")).alias("_r")).select("article_key", "_r.*")
-    inc = inc.join(feed.select(F.col("url_hash").alias("publisher_id"), F.col("id").alias("feed_id")), "publisher_id", "left")
+    feeds = feed.select(F.col("url_hash").alias("publisher_id"), F.col("id").alias("feed_id"))
+    inc = inc.join(feeds.hint("merge"), "publisher_id", "left")
     new_rows = inc.select(
         surrogate_id("article_key").alias("id"), "article_key", *ARTICLE_FIELDS, "feed_id",
         now.alias("created"), now.alias("modified"),

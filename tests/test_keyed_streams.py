@@ -111,6 +111,17 @@ def test_a_batch_that_broke_off_is_finished_from_its_staging(spark, table, monke
     assert len(rows) == 201 and rows["k1"] == rows["new"] == "fresh" and rows["k9"] == "old"
 
 
+def test_no_feed_is_broadcast(spark, table):
+    """Whatever the files' size, the feeds do not go through the driver."""
+    path, feed = table
+    small = STRM.shared_dir(spark, "test-feeds")
+    feed.write.parquet(small)
+    after = store.upsert_articles(None, articles(spark, ["k1", "k2"], "new"), spark.read.parquet(small), dt.datetime(2024, 2, 1))
+    assert {(r["article_key"], r["feed_id"]) for r in after.collect()} == {("k1", 7), ("k2", 7)}
+    plan = after._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_stream_starts_from_the_existing_table(spark, table):
     path, feed = table
     drop = tempfile.mkdtemp(prefix="qf-drop-") + "/d"
