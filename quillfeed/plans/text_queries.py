@@ -126,9 +126,10 @@ def word_list(spark: SparkSession, base: str) -> DataFrame:
     """A list of some thousand words and two-word phrases drawn from the texts by
     their hash; the phrases are written with other signs between their words."""
     w = read_table(spark, base, "documents").select(TX.words_of(F.col("text")).alias("w"))
-    single = w.select(F.explode("w").alias("w"))
-    pairs = w.where(F.size("w") > 1).select(F.concat(F.col("w")[0], F.lit(" "), F.col("w")[1]).alias("w"))
-    drawn = single.unionByName(pairs).distinct().where((F.length("w") >= 5) & (F.md5(F.col("w").cast("binary")) < "10"))
+    # Words and pair in one array: a text is read and cut once, and only its different words are hashed.
+    pair = F.when(F.size("w") > 1, F.array(F.array_join(F.slice("w", 1, 2), " "))).otherwise(F.array().cast("array<string>"))
+    each = w.select(F.explode(F.array_distinct(F.concat("w", pair))).alias("w"))
+    drawn = each.where((F.length("w") >= 5) & (F.md5(F.col("w").cast("binary")) < "10")).distinct()
     return drawn.select(F.upper(F.replace("w", F.lit(" "), F.lit(" - "))).alias("word"))
 
 

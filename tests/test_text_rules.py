@@ -1,7 +1,9 @@
 """Scrubbing of attributes, character references, the date grammar, word lists."""
 
 import datetime as dt
+import hashlib
 import html
+import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -10,6 +12,9 @@ from pyspark.sql import functions as F
 from quillfeed.functions import text as TX
 from quillfeed.functions.timeparse import parse_feed_time
 from quillfeed.operators import clean
+from quillfeed.plans import text_queries
+
+TX_WORD = re.compile(r"[a-z0-9_]+")
 
 
 def column(spark, values, expr):
@@ -79,3 +84,15 @@ def test_word_list_as_a_table(spark, monkeypatch):
         found = clean.flag_listed_words(rows, "id", "t", words)
         assert {r.id: (r.n_listed, r.first_listed) for r in found.collect()} == want
     assert clean.flag_listed_words(rows, "id", "t", words.limit(0)).count() == 0
+
+
+def test_word_list_reads_and_cuts_each_text_once(spark, tmp_path):
+    texts = [(k, t) for k, t in enumerate(["alpha beta gamma alpha", "Alpha", "", None, "x", "beta, gamma beta-gamma"] + [f"word{i} next{i} word{i}" for i in range(200)])]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    listed = text_queries.word_list(spark, str(tmp_path))
+    words = [TX_WORD.findall((t or "").lower()) for _, t in texts]
+    drawn = {w for ws in words for w in [*ws, *([" ".join(ws[:2])] if len(ws) > 1 else [])]}
+    want = {w.upper().replace(" ", " - ") for w in drawn if len(w) >= 5 and hashlib.md5(w.encode()).hexdigest() < "10"}
+    assert sorted(r.word for r in listed.collect()) == sorted(want) and any("-" in w for w in want)
+    plan = listed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(") == 1
